@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no streaming operator: no event-time watermark, window,
+stateful operator or late-data handling.  Its "watermark" is the next
+calendar year to load, which the batch method (``refinery.plans.batch``)
+keeps as a one-row state table.  Nothing is built here on purpose.
+"""
