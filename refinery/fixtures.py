@@ -25,7 +25,7 @@ FIXTURE_LOAD_TIME = "2024-06-30 00:00:00"
 
 
 def _input_key(sf_dir: str) -> str:
-    h = hashlib.sha1(sf_dir.encode())
+    h = hashlib.sha1(f"stage-v2:{sf_dir}".encode())
     lp = local_path(sf_dir)
     for t in ("lineitem", "orders"):
         if lp and os.path.exists(f"{lp}/{t}.parquet"):

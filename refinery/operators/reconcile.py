@@ -42,7 +42,8 @@ def keyed_differences(a: DataFrame, b: DataFrame, keys: list[str], columns: list
     """Keys whose rows differ between ``a`` and ``b``.
 
     Output: the keys, ``status`` (``only_<a>``, ``only_<b>`` or ``differs``)
-    and ``differing_columns`` (comma list, in ``columns`` order).  NULL keys
+    and ``differing_columns`` (comma list in ``columns`` order; empty for
+    one-sided keys).  NULL keys
     match each other (the NULL product group is a real Gold row).
     """
     la = a.select(*[F.col(c).alias(f"a__{c}") for c in keys + columns], F.lit(True).alias("a__in"))
@@ -58,7 +59,8 @@ def keyed_differences(a: DataFrame, b: DataFrame, keys: list[str], columns: list
               .otherwise(F.lit("differs")))
     out = j.select(*[F.coalesce(F.col(f"a__{k}"), F.col(f"b__{k}")).alias(k) for k in keys],
                    status.alias("status"),
-                   F.concat_ws(",", *diffs).alias("differing_columns"))
+                   F.when(status == "differs", F.concat_ws(",", *diffs))
+                   .otherwise(F.lit("")).alias("differing_columns"))
     return out.filter((F.col("status") != "differs") | (F.col("differing_columns") != ""))
 
 

@@ -211,10 +211,10 @@ UNION ALL SELECT 'gold', 'clean_refresh', CAST(count(*) AS BIGINT) FROM g_clean"
                             f"b AS ({_gold('s_clean', True, False)})") + """
 SELECT * FROM (
   SELECT COALESCE(a.parent_asin, b.parent_asin) AS parent_asin,
-    CASE WHEN b.parent_asin IS NULL AND b.total_reviews IS NULL THEN 'only_batch'
-         WHEN a.parent_asin IS NULL AND a.total_reviews IS NULL THEN 'only_clean_refresh'
+    CASE WHEN b.total_reviews IS NULL THEN 'only_batch'
+         WHEN a.total_reviews IS NULL THEN 'only_clean_refresh'
          ELSE 'differs' END AS status,
-    concat_ws(',',
+    CASE WHEN a.total_reviews IS NULL OR b.total_reviews IS NULL THEN '' ELSE concat_ws(',',
       CASE WHEN a.avg_rating IS DISTINCT FROM b.avg_rating THEN 'avg_rating' END,
       CASE WHEN a.total_reviews IS DISTINCT FROM b.total_reviews THEN 'total_reviews' END,
       CASE WHEN a.verified_count IS DISTINCT FROM b.verified_count THEN 'verified_count' END,
@@ -223,7 +223,7 @@ SELECT * FROM (
       CASE WHEN a.reviews_with_images IS DISTINCT FROM b.reviews_with_images THEN 'reviews_with_images' END,
       CASE WHEN a.latest_review_ts IS DISTINCT FROM b.latest_review_ts THEN 'latest_review_ts' END,
       CASE WHEN a.earliest_review_ts IS DISTINCT FROM b.earliest_review_ts THEN 'earliest_review_ts' END
-    ) AS differing_columns
+    ) END AS differing_columns
   FROM a FULL OUTER JOIN b ON a.parent_asin IS NOT DISTINCT FROM b.parent_asin
 ) d WHERE status <> 'differs' OR differing_columns <> ''""",
     "reconcile_silver_rows": _with(REC, S_CLEAN, S_BATCH) + f"""

@@ -29,7 +29,7 @@ from refinery.operators import silver as silver_ops
 from refinery.plans.metrics import RUNS, Clock, RunMetrics, estimate_credits, log_run
 from refinery.plans.store import TableStore
 from refinery.schemas import BATCH_STATE, GOLD, GOLD_PARTS, SILVER
-from refinery.sources.staged import YEAR_COL, read_bronze
+from refinery.sources.staged import YEAR_COL, read_bronze, year_present
 from refinery.spec import BATCH, FIRST_BATCH_YEAR, LAST_BATCH_YEAR
 
 SILVER_T = "silver"
@@ -91,13 +91,16 @@ def process_next_batch(spark: SparkSession, bronze_path: str, store: TableStore,
     if year > last_year:
         return BatchResult(DONE, None, 0)
 
-    # 1) Silver: this year's rows; the Bronze read is pruned to one partition.
-    obs = Observation(f"silver_{year}")
-    silver_y = (silver_ops.extract(read_bronze(spark, bronze_path, year=year), BATCH.for_year(year))
-                .withColumn("loaded_at", now).withColumn(YEAR_COL, F.lit(year))
-                .observe(obs, F.count(F.lit(1)).alias("n")))
-    store.overwrite_partitions(SILVER_T, silver_y, YEAR_COL)
-    rows = int(obs.get["n"])
+    # 1) Silver: this year's rows; the Bronze read is pruned to one partition,
+    #    and a year with no Bronze partition has nothing to load.
+    rows = 0
+    if year_present(spark, bronze_path, year):
+        obs = Observation(f"silver_{year}")
+        silver_y = (silver_ops.extract(read_bronze(spark, bronze_path, year=year), BATCH.for_year(year))
+                    .withColumn("loaded_at", now).withColumn(YEAR_COL, F.lit(year))
+                    .observe(obs, F.count(F.lit(1)).alias("n")))
+        store.overwrite_partitions(SILVER_T, silver_y, YEAR_COL)
+        rows = int(obs.get["n"])
 
     # 2) Gold: replace the products this year touched.
     gold_written = 0

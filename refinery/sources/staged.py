@@ -20,12 +20,27 @@ from refinery.functions.variant import field
 YEAR_COL = "review_year"
 
 
-def stage_lines(lines: DataFrame, path: str, compression: str = "gzip") -> str:
-    """Write JSON-lines text (column ``value``) as staged files."""
-    lines.select("value").write.mode("overwrite").option("compression", compression).text(path)
+def stage_lines(lines: DataFrame, path: str, compression: str = "gzip",
+                files: int | None = None) -> str:
+    """Write JSON-lines text (column ``value``) as staged files.
+
+    A gzip file is read by one task, so the dump is cut into ``files`` pieces
+    (default: the session's parallelism), hashed on the line text so that a
+    retried task writes the same piece.
+    """
+    n = files or lines.sparkSession.sparkContext.defaultParallelism
+    (lines.select("value").repartition(n, F.xxhash64("value")).write.mode("overwrite")
+     .option("compression", compression).text(path))
     return path
 
 
+def year_present(spark: SparkSession, bronze_path: str, year: int) -> bool:
+    """Whether Bronze has a partition for ``year`` (a listing, no scan)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{bronze_path}/{YEAR_COL}={int(year)}")
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def list_staged(spark: SparkSession, path: str) -> DataFrame:
     """``LIST @stage`` (A1): path, modification time and size of each file.
 

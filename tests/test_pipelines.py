@@ -1,0 +1,137 @@
+"""Invariants of the three refresh methods."""
+
+from __future__ import annotations
+
+import datetime as dt
+import itertools
+
+from pyspark.sql import functions as F
+
+from refinery.operators import gold as gold_ops
+from refinery.operators import silver as silver_ops
+from refinery.operators.gold import GOLD_DATA_COLUMNS
+from refinery.operators.silver import SILVER_DATA_COLUMNS
+from refinery.plans import batch as batch_plan
+from refinery.plans import clean as clean_plan
+from refinery.plans import upsert as upsert_plan
+from refinery.plans.metrics import Clock, read_runs
+from refinery.plans.store import TableStore
+from refinery.schemas import GOLD, SILVER
+from refinery.session import fresh_workspace
+from refinery.sources.staged import read_bronze
+from refinery.spec import BATCH, CLEAN
+
+
+def _clock():
+    ticks = itertools.count()
+    ids = itertools.count()
+    return Clock(now=lambda: dt.datetime(2025, 1, 1) + dt.timedelta(seconds=next(ticks)),
+                 new_id=lambda: f"run-{next(ids):04d}")
+
+
+def _multiset(df, cols):
+    return sorted(tuple(r) for r in df.select(*cols).fillna("~").collect())
+
+
+def _store(spark, label):
+    return TableStore(spark, fresh_workspace(spark, label))
+
+
+def test_clean_refresh_twice_is_equal(spark, golden_bronze):
+    store = _store(spark, "t-clean")
+    m1 = clean_plan.clean_refresh(spark, golden_bronze[0], store, _clock())
+    s1 = _multiset(store.read("silver", SILVER), SILVER_DATA_COLUMNS)
+    g1 = _multiset(store.read("gold", GOLD), GOLD_DATA_COLUMNS)
+    m2 = clean_plan.clean_refresh(spark, golden_bronze[0], store, _clock())
+    assert s1 == _multiset(store.read("silver", SILVER), SILVER_DATA_COLUMNS)
+    assert g1 == _multiset(store.read("gold", GOLD), GOLD_DATA_COLUMNS)
+    assert (m1.bronze_row_count, m1.silver_rows_loaded, m1.gold_rows_loaded) == (30, 19, 8)
+    assert m1.silver_rows_deleted == 0 and m2.silver_rows_deleted == 19   # D8
+    runs = read_runs(store).collect()
+    assert len(runs) == 2 and {r.method for r in runs} == {"clean_refresh"}
+
+
+def test_batch_equals_closed_form_and_retry_is_idempotent(spark, golden_bronze):
+    bronze = golden_bronze[0]
+    store = _store(spark, "t-batch")
+    batch_plan.create_batch_tables(spark, store)
+    results = batch_plan.run_all_batches(spark, bronze, store, clock=_clock())
+    processed = [r for r in results if r.year is not None]
+    assert [r.year for r in processed] == list(range(1996, 2024))
+    assert results[-1].status == batch_plan.DONE
+    closed = gold_ops.aggregate(silver_ops.extract(read_bronze(spark, bronze), BATCH), BATCH)
+    assert _multiset(store.read("gold", GOLD), GOLD_DATA_COLUMNS) == _multiset(closed, GOLD_DATA_COLUMNS)
+    silver_before = _multiset(batch_plan.read_silver(store), SILVER_DATA_COLUMNS)
+    assert len(silver_before) == 18
+    # a failure after the Silver write of 2010 is retried: set the watermark back
+    batch_plan.set_next_year(spark, store, 2010)
+    r = batch_plan.process_next_batch(spark, bronze, store, clock=_clock())
+    assert r.status.startswith("processed batch year=2010 rows=")
+    assert _multiset(batch_plan.read_silver(store), SILVER_DATA_COLUMNS) == silver_before
+    assert _multiset(store.read("gold", GOLD), GOLD_DATA_COLUMNS) == _multiset(closed, GOLD_DATA_COLUMNS)
+    # metrics: one row per processed year; gold_rows_loaded is the Gold total
+    runs = read_runs(store).filter(F.col("batch_id") == 2023).collect()
+    assert runs[0].gold_rows_loaded == len(closed.collect())
+
+
+def test_batch_reset_drops_early_years(spark, golden_bronze):
+    store = _store(spark, "t-reset")
+    batch_plan.create_batch_tables(spark, store)
+    batch_plan.reset_batch(spark, store, 2000)
+    batch_plan.run_all_batches(spark, golden_bronze[0], store, clock=_clock())
+    years = {r.y for r in batch_plan.read_silver(store).select(F.year("review_ts").alias("y")).collect()}
+    assert min(years) >= 2000 and 1996 not in years and 1998 not in years
+
+
+def test_upsert_twice_writes_nothing_and_keeps_stale(spark, golden_bronze):
+    bronze = golden_bronze[0]
+    store = _store(spark, "t-upsert")
+    r1 = upsert_plan.process_upsert(spark, bronze, store, _clock())
+    assert r1.silver_actions == {"insert": 16, "update": 0, "noop": 0, "keep": 0}
+    r2 = upsert_plan.process_upsert(spark, bronze, store, _clock())
+    assert r2.metrics.silver_rows_loaded == 0                         # idempotent Silver
+    assert r2.silver_actions["noop"] == 16
+    assert r2.metrics.gold_rows_loaded == r1.metrics.gold_rows_loaded  # Gold always rewritten (J6)
+    assert r2.metrics.credits_used is None
+    assert r2.status.startswith("upsert OK | run_id=")
+
+
+def test_upsert_change_moves_product_and_leaves_stale_gold(spark, tmp_path):
+    from refinery.sources.staged import load_bronze
+    lines1 = ['{"rating":4,"text":"a","asin":"A1","parent_asin":"P1","user_id":"U1","timestamp":1275350400000}',
+              '{"rating":2,"text":"b","asin":"A2","parent_asin":"P2","user_id":"U2","timestamp":1275350400000}']
+    lines2 = ['{"rating":4,"text":"a","asin":"A1","parent_asin":"P9","user_id":"U1","timestamp":1275350400000}',
+              '{"rating":5,"text":"c","asin":"A3","parent_asin":"P2","user_id":"U3","timestamp":1275350400000}']
+    paths = []
+    for i, lines in enumerate((lines1, lines2)):
+        f = tmp_path / f"w{i}.jsonl"
+        f.write_text("\n".join(lines) + "\n")
+        out = f"{fresh_workspace(spark, 'bronze-w')}/bronze"
+        load_bronze(spark, str(f), out)
+        paths.append(out)
+    store = _store(spark, "t-upsert-move")
+    upsert_plan.process_upsert(spark, paths[0], store, _clock())
+    r = upsert_plan.process_upsert(spark, paths[1], store, _clock())
+    assert r.silver_actions == {"insert": 1, "update": 1, "noop": 0, "keep": 1}
+    gold = {g.parent_asin: g for g in store.read("gold", GOLD).collect()}
+    assert set(gold) == {"P1", "P2", "P9"}        # P1 stale: no reviews left (V13)
+    assert gold["P1"].total_reviews == 1 and gold["P2"].total_reviews == 2
+    silver = {s.user_id: s for s in store.read("silver", SILVER).collect()}
+    assert silver["U1"].parent_asin == "P9" and silver["U2"].parent_asin == "P2"
+
+
+def test_merge_uniqueness_check(spark):
+    from refinery.operators.merge import duplicate_keys
+    df = spark.createDataFrame([("u", "a"), ("u", "a"), ("u", "b")], "user_id string, asin string")
+    assert [tuple(r)[:2] for r in duplicate_keys(df, ["user_id", "asin"]).collect()] == [("u", "a")]
+
+
+def test_clean_and_batch_reconcile(spark, golden_bronze):
+    from refinery.operators.reconcile import keyed_differences
+    bronze = read_bronze(spark, golden_bronze[0])
+    a = gold_ops.aggregate(silver_ops.extract(bronze, BATCH), BATCH)
+    b = gold_ops.aggregate(silver_ops.extract(bronze, CLEAN), CLEAN)
+    diff = {r.parent_asin: (r.status, r.differing_columns)
+            for r in keyed_differences(a, b, ["parent_asin"], GOLD_DATA_COLUMNS[1:], "batch", "clean").collect()}
+    assert diff[None] == ("only_clean", "")          # NULL group only in clean (V11)
+    assert diff["P4"][0] == "only_clean"              # 2024-01-01 row only in clean (V2)
