@@ -28,6 +28,7 @@ from refinery.operators import gold as gold_ops
 from refinery.operators import silver as silver_ops
 from refinery.plans.metrics import RUNS, Clock, RunMetrics, estimate_credits, log_run
 from refinery.plans.store import TableStore
+from refinery.plans.tags import method_tag, statement
 from refinery.schemas import BATCH_STATE, GOLD, GOLD_PARTS, SILVER
 from refinery.sources.staged import YEAR_COL, read_bronze, year_present
 from refinery.spec import BATCH, FIRST_BATCH_YEAR, LAST_BATCH_YEAR
@@ -84,6 +85,13 @@ def process_next_batch(spark: SparkSession, bronze_path: str, store: TableStore,
                        last_year: int = LAST_BATCH_YEAR,
                        bronze_rows: int | None = None) -> BatchResult:
     """One yearly step (P2); returns the reference's status string."""
+    with method_tag(spark, "batch"):
+        return _process_next_batch(spark, bronze_path, store, clock, credits_per_hour,
+                                   last_year, bronze_rows)
+
+
+def _process_next_batch(spark, bronze_path, store, clock, credits_per_hour, last_year,
+                        bronze_rows) -> BatchResult:
     clock = clock or Clock()
     start = clock.now()
     now = F.lit(start).cast("timestamp_ntz")
@@ -99,7 +107,8 @@ def process_next_batch(spark: SparkSession, bronze_path: str, store: TableStore,
         silver_y = (silver_ops.extract(read_bronze(spark, bronze_path, year=year), BATCH.for_year(year))
                     .withColumn("loaded_at", now).withColumn(YEAR_COL, F.lit(year))
                     .observe(obs, F.count(F.lit(1)).alias("n")))
-        store.overwrite_partitions(SILVER_T, silver_y, YEAR_COL)
+        with statement(spark, f"INSERT INTO sports_reviews_silver (year {year})"):
+            store.overwrite_partitions(SILVER_T, silver_y, YEAR_COL)
         rows = int(obs.get["n"])
 
     # 2) Gold: replace the products this year touched.
@@ -107,7 +116,8 @@ def process_next_batch(spark: SparkSession, bronze_path: str, store: TableStore,
     if rows:
         year_rows = store.read_partitioned(SILVER_T, SILVER_PART).filter(F.col(YEAR_COL) == year)
         parts_y = gold_ops.partials(year_rows).withColumn(YEAR_COL, F.lit(year))
-        store.overwrite_partitions(PARTS_T, parts_y, YEAR_COL)
+        with statement(spark, f"INSERT INTO gold partials (year {year})"):
+            store.overwrite_partitions(PARTS_T, parts_y, YEAR_COL)
         all_parts = store.read_partitioned(PARTS_T, GOLD_PARTS)
         touched = all_parts.filter(F.col(YEAR_COL) == year).select(gold_ops.KEY)
         recomputed = gold_ops.combine_partials(gold_ops.rows_of_keys(all_parts, touched), BATCH) \
@@ -117,7 +127,8 @@ def process_next_batch(spark: SparkSession, bronze_path: str, store: TableStore,
             .observe(obs_g, F.count(F.lit(1)).alias("n"),
                      F.count_if(F.col("_new").isNotNull()).alias("written")) \
             .select(*GOLD.fieldNames())
-        store.replace(GOLD_T, new_gold)
+        with statement(spark, f"DELETE + INSERT INTO sports_reviews_gold (year {year})"):
+            store.replace(GOLD_T, new_gold)
         gold_total = int(obs_g.get["n"])
         gold_written = int(obs_g.get["written"])
     else:
@@ -133,10 +144,12 @@ def process_next_batch(spark: SparkSession, bronze_path: str, store: TableStore,
         bronze_row_count=int(bronze_rows), silver_rows_loaded=rows, silver_rows_deleted=0,
         gold_rows_loaded=gold_total, duration_sec=duration,
         credits_used=estimate_credits(duration, credits_per_hour))
-    log_run(store, metrics)
+    with statement(spark, "INSERT INTO pipeline_run_metrics"):
+        log_run(store, metrics)
 
     # 4) advance the watermark last: a failure before this repeats the year.
-    set_next_year(spark, store, year + 1)
+    with statement(spark, "UPDATE batch_state"):
+        set_next_year(spark, store, year + 1)
     return BatchResult(f"processed batch year={year} rows={rows}", year, rows, gold_written, metrics)
 
 

@@ -14,6 +14,7 @@ from refinery.operators import gold as gold_ops
 from refinery.operators import silver as silver_ops
 from refinery.plans.metrics import Clock, RunMetrics, estimate_credits, log_run
 from refinery.plans.store import TableStore
+from refinery.plans.tags import method_tag, statement
 from refinery.schemas import SILVER
 from refinery.sources.staged import read_bronze
 from refinery.spec import CLEAN
@@ -24,6 +25,12 @@ GOLD_T = "gold"
 
 def clean_refresh(spark: SparkSession, bronze_path: str, store: TableStore,
                   clock: Clock | None = None, credits_per_hour: float | None = 1.0) -> RunMetrics:
+    """One clean refresh; every job it starts is tagged ``method=clean_refresh``."""
+    with method_tag(spark, "clean_refresh"):
+        return _clean_refresh(spark, bronze_path, store, clock, credits_per_hour)
+
+
+def _clean_refresh(spark, bronze_path, store, clock, credits_per_hour) -> RunMetrics:
     clock = clock or Clock()
     start = clock.now()
     now = F.lit(start).cast("timestamp_ntz")
@@ -34,11 +41,13 @@ def clean_refresh(spark: SparkSession, bronze_path: str, store: TableStore,
     obs_b, obs_s = Observation("bronze"), Observation("silver")
     bronze = read_bronze(spark, bronze_path).observe(obs_b, F.count(F.lit(1)).alias("n"))
     silver = silver_ops.with_load_clock(silver_ops.extract(bronze, CLEAN), now)
-    store.replace(SILVER_T, silver.observe(obs_s, F.count(F.lit(1)).alias("n")))
+    with statement(spark, "TRUNCATE + INSERT INTO sports_reviews_silver"):
+        store.replace(SILVER_T, silver.observe(obs_s, F.count(F.lit(1)).alias("n")))
 
     obs_g = Observation("gold")
     gold = gold_ops.aggregate(store.read(SILVER_T, SILVER), CLEAN).withColumn("loaded_at", now)
-    store.replace(GOLD_T, gold.observe(obs_g, F.count(F.lit(1)).alias("n")))
+    with statement(spark, "TRUNCATE + INSERT INTO sports_reviews_gold"):
+        store.replace(GOLD_T, gold.observe(obs_g, F.count(F.lit(1)).alias("n")))
 
     duration = (clock.now() - start).total_seconds()
     row = RunMetrics(
@@ -46,5 +55,6 @@ def clean_refresh(spark: SparkSession, bronze_path: str, store: TableStore,
         bronze_row_count=int(obs_b.get["n"]), silver_rows_loaded=int(obs_s.get["n"]),
         silver_rows_deleted=int(replaced), gold_rows_loaded=int(obs_g.get["n"]),
         duration_sec=duration, credits_used=estimate_credits(duration, credits_per_hour))
-    log_run(store, row)
+    with statement(spark, "INSERT INTO pipeline_run_metrics"):
+        log_run(store, row)
     return row

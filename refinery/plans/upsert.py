@@ -26,6 +26,7 @@ from refinery.operators import silver as silver_ops
 from refinery.operators.merge import ACTION, merge_plan
 from refinery.plans.metrics import RUNS, Clock, RunMetrics, estimate_credits, log_run
 from refinery.plans.store import TableStore
+from refinery.plans.tags import method_tag, statement
 from refinery.schemas import GOLD, GOLD_COLUMNS, RUN_METRICS, SILVER, SILVER_COLUMNS
 from refinery.sources.staged import read_bronze
 from refinery.spec import UPSERT
@@ -84,6 +85,11 @@ def process_upsert(spark: SparkSession, bronze_path: str, store: TableStore,
                    clock: Clock | None = None,
                    credits_per_hour: float | None = None) -> UpsertResult:
     """One upsert run (P4).  Credits default to NULL, as the reference logs."""
+    with method_tag(spark, "upsert"):
+        return _process_upsert(spark, bronze_path, store, clock, credits_per_hour)
+
+
+def _process_upsert(spark, bronze_path, store, clock, credits_per_hour) -> UpsertResult:
     clock = clock or Clock()
     run_id = clock.new_id()
     start = clock.now()
@@ -93,12 +99,14 @@ def process_upsert(spark: SparkSession, bronze_path: str, store: TableStore,
     obs_b, obs_s = Observation("bronze"), Observation("silver_merge")
     bronze = read_bronze(spark, bronze_path).observe(obs_b, F.count(F.lit(1)).alias("n"))
     plan = silver_merge_plan(store.read(SILVER_T, SILVER), silver_source(bronze), now)
-    store.replace(SILVER_T, _observe_actions(plan, obs_s).drop(ACTION))
+    with statement(spark, "MERGE INTO sports_reviews_silver"):
+        store.replace(SILVER_T, _observe_actions(plan, obs_s).drop(ACTION))
     s_act = _counts(obs_s)
 
     obs_g = Observation("gold_merge")
     gplan = gold_merge_plan(store.read(GOLD_T, GOLD), store.read(SILVER_T, SILVER), now)
-    store.replace(GOLD_T, _observe_actions(gplan, obs_g).drop(ACTION))
+    with statement(spark, "MERGE INTO sports_reviews_gold"):
+        store.replace(GOLD_T, _observe_actions(gplan, obs_g).drop(ACTION))
     g_act = _counts(obs_g)
 
     silver_loaded = s_act["insert"] + s_act["update"]
@@ -109,7 +117,8 @@ def process_upsert(spark: SparkSession, bronze_path: str, store: TableStore,
         bronze_row_count=int(obs_b.get["n"]), silver_rows_loaded=silver_loaded,
         silver_rows_deleted=0, gold_rows_loaded=gold_loaded, duration_sec=duration,
         credits_used=estimate_credits(duration, credits_per_hour))
-    log_run(store, metrics)
+    with statement(spark, "INSERT INTO pipeline_run_metrics"):
+        log_run(store, metrics)
     status = (f"upsert OK | run_id={run_id} | bronze={metrics.bronze_row_count}"
               f" | silver_loaded={silver_loaded} | gold_loaded={gold_loaded}"
               f" | duration_sec={duration}")

@@ -31,6 +31,7 @@ from refinery.plans import upsert as upsert_plan
 from refinery.plans.store import TableStore
 from refinery.schemas import GOLD, SILVER
 from refinery.session import ensure_session_settings, fresh_workspace
+from refinery.sources import eventlog
 from refinery.sources.staged import list_staged, read_bronze, read_staged
 from refinery.spec import BATCH, CLEAN, UPSERT
 
@@ -236,6 +237,31 @@ def recent_runs_summary(spark, sf_dir):
     return mx.recent_summary(c.unionByName(b).unionByName(u), mx.utc_now())
 
 
+def _history(spark):
+    path = eventlog.event_log_dir(spark)
+    if path is None:
+        return None
+    return eventlog.job_history(eventlog.read_events(spark, path))
+
+
+def job_history(spark, sf_dir):
+    """Jobs of the batch run by tag, newest first.
+
+    Empty when the session writes no event log."""
+    runs.batch_run(spark, sf_dir)
+    h = _history(spark)
+    return eventlog.empty_history(spark) if h is None else eventlog.query_history(h, tag="method=batch")
+
+
+def merge_history(spark, sf_dir):
+    """Latest Silver MERGE found by its text."""
+    runs.upsert_two_waves(spark, sf_dir)
+    h = _history(spark)
+    if h is None:
+        return eventlog.empty_history(spark)
+    return eventlog.query_history(h, pattern="%merge into sports_reviews_silver%", k=1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_field_preview": bronze_field_preview,
     "bronze_year_histogram": bronze_year_histogram,
@@ -268,4 +294,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_latest": kpi_latest,
     "cost_report": cost_report,
     "recent_runs_summary": recent_runs_summary,
+    "job_history": job_history,
+    "merge_history": merge_history,
 }

@@ -26,11 +26,21 @@ SESSION_CONF = {
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "refinery", extra: dict | None = None) -> SparkSession:
-    """Session for tests and the bench; a cluster job would pass its own conf."""
+                  app_name: str = "refinery", extra: dict | None = None,
+                  event_log_dir: str | None = None) -> SparkSession:
+    """Session for tests and the bench; a cluster job would pass its own conf.
+
+    ``event_log_dir`` turns on Spark's event log there (read back by
+    ``sources.eventlog`` for the per-job history).
+    """
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
+    if event_log_dir:
+        os.makedirs(event_log_dir, exist_ok=True) if local_path(event_log_dir) else None
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log_dir)
+                   .config("spark.eventLog.compress", "false"))
     for k, v in {**SESSION_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

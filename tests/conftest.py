@@ -16,7 +16,10 @@ SMALL_SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session(master="local[*]", shuffle_partitions=8, app_name="refinery-tests")
+    import tempfile
+    logs = tempfile.mkdtemp(prefix="run-eventlog-")
+    s = build_session(master="local[*]", shuffle_partitions=8, app_name="refinery-tests",
+                      event_log_dir=logs)
     yield s
     s.stop()
 

@@ -63,3 +63,22 @@ def test_credit_estimate():
     assert mx.estimate_credits(3600.0, 1.0) == 1.0
     assert mx.estimate_credits(1.5, 1.0) == 0.000417
     assert mx.estimate_credits(10.0, None) is None
+
+
+def test_job_history_from_event_log(spark, golden_bronze):
+    from refinery.plans import upsert as upsert_plan
+    from refinery.plans.store import TableStore
+    from refinery.session import fresh_workspace
+    from refinery.sources import eventlog
+
+    store = TableStore(spark, fresh_workspace(spark, "t-history"))
+    upsert_plan.process_upsert(spark, golden_bronze[0], store)
+    hist = eventlog.job_history(eventlog.read_events(spark, eventlog.event_log_dir(spark)))
+    merges = eventlog.query_history(hist, tag="method=upsert",
+                                    pattern="%MERGE INTO sports_reviews_silver%").collect()
+    assert merges, "the Silver merge job is in the history"
+    m = merges[0]
+    assert m.query.startswith("MERGE INTO sports_reviews_silver") and m.result == "JobSucceeded"
+    assert m.rows_read >= 30 and m.total_sec >= 0
+    latest = eventlog.query_history(hist, tag="method=upsert", k=1).collect()
+    assert len(latest) == 1
