@@ -107,7 +107,7 @@ def _process_next_batch(spark, bronze_path, store, clock, credits_per_hour, last
         silver_y = (silver_ops.extract(read_bronze(spark, bronze_path, year=year), BATCH.for_year(year))
                     .withColumn("loaded_at", now).withColumn(YEAR_COL, F.lit(year))
                     .observe(obs, F.count(F.lit(1)).alias("n")))
-        with statement(spark, f"INSERT INTO sports_reviews_silver (year {year})"):
+        with statement(spark, f"INSERT INTO silver (year {year})"):
             store.overwrite_partitions(SILVER_T, silver_y, YEAR_COL)
         rows = int(obs.get["n"])
 
@@ -127,7 +127,7 @@ def _process_next_batch(spark, bronze_path, store, clock, credits_per_hour, last
             .observe(obs_g, F.count(F.lit(1)).alias("n"),
                      F.count_if(F.col("_new").isNotNull()).alias("written")) \
             .select(*GOLD.fieldNames())
-        with statement(spark, f"DELETE + INSERT INTO sports_reviews_gold (year {year})"):
+        with statement(spark, f"DELETE + INSERT INTO gold (year {year})"):
             store.replace(GOLD_T, new_gold)
         gold_total = int(obs_g.get["n"])
         gold_written = int(obs_g.get["written"])
@@ -144,7 +144,7 @@ def _process_next_batch(spark, bronze_path, store, clock, credits_per_hour, last
         bronze_row_count=int(bronze_rows), silver_rows_loaded=rows, silver_rows_deleted=0,
         gold_rows_loaded=gold_total, duration_sec=duration,
         credits_used=estimate_credits(duration, credits_per_hour))
-    with statement(spark, "INSERT INTO pipeline_run_metrics"):
+    with statement(spark, "INSERT INTO run_metrics"):
         log_run(store, metrics)
 
     # 4) advance the watermark last: a failure before this repeats the year.

@@ -41,12 +41,12 @@ def _clean_refresh(spark, bronze_path, store, clock, credits_per_hour) -> RunMet
     obs_b, obs_s = Observation("bronze"), Observation("silver")
     bronze = read_bronze(spark, bronze_path).observe(obs_b, F.count(F.lit(1)).alias("n"))
     silver = silver_ops.with_load_clock(silver_ops.extract(bronze, CLEAN), now)
-    with statement(spark, "TRUNCATE + INSERT INTO sports_reviews_silver"):
+    with statement(spark, "TRUNCATE + INSERT INTO silver"):
         store.replace(SILVER_T, silver.observe(obs_s, F.count(F.lit(1)).alias("n")))
 
     obs_g = Observation("gold")
     gold = gold_ops.aggregate(store.read(SILVER_T, SILVER), CLEAN).withColumn("loaded_at", now)
-    with statement(spark, "TRUNCATE + INSERT INTO sports_reviews_gold"):
+    with statement(spark, "TRUNCATE + INSERT INTO gold"):
         store.replace(GOLD_T, gold.observe(obs_g, F.count(F.lit(1)).alias("n")))
 
     duration = (clock.now() - start).total_seconds()
@@ -55,6 +55,6 @@ def _clean_refresh(spark, bronze_path, store, clock, credits_per_hour) -> RunMet
         bronze_row_count=int(obs_b.get["n"]), silver_rows_loaded=int(obs_s.get["n"]),
         silver_rows_deleted=int(replaced), gold_rows_loaded=int(obs_g.get["n"]),
         duration_sec=duration, credits_used=estimate_credits(duration, credits_per_hour))
-    with statement(spark, "INSERT INTO pipeline_run_metrics"):
+    with statement(spark, "INSERT INTO run_metrics"):
         log_run(store, row)
     return row

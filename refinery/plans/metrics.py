@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from refinery.functions.scalar import round_half_up
 from refinery.schemas import RUN_METRICS, RUN_METRICS_COLUMNS, SHARED_RUN_COLUMNS
 
-RUNS = "pipeline_run_metrics"
+RUNS = "run_metrics"
 
 # Cost assumptions of the reference (fixed values): the batch estimate uses
 # 1 credit per hour of run time, the upsert cost report 2 USD per credit.
@@ -75,7 +75,7 @@ def metrics_frame(spark: SparkSession, rows: list[RunMetrics]) -> DataFrame:
 
 
 def log_run(store, row: RunMetrics) -> None:
-    """INSERT INTO pipeline_run_metrics (P5)."""
+    """INSERT INTO run_metrics (P5)."""
     store.append(RUNS, metrics_frame(store.spark, [row]))
 
 

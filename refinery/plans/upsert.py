@@ -99,13 +99,13 @@ def _process_upsert(spark, bronze_path, store, clock, credits_per_hour) -> Upser
     obs_b, obs_s = Observation("bronze"), Observation("silver_merge")
     bronze = read_bronze(spark, bronze_path).observe(obs_b, F.count(F.lit(1)).alias("n"))
     plan = silver_merge_plan(store.read(SILVER_T, SILVER), silver_source(bronze), now)
-    with statement(spark, "MERGE INTO sports_reviews_silver"):
+    with statement(spark, "MERGE INTO silver"):
         store.replace(SILVER_T, _observe_actions(plan, obs_s).drop(ACTION))
     s_act = _counts(obs_s)
 
     obs_g = Observation("gold_merge")
     gplan = gold_merge_plan(store.read(GOLD_T, GOLD), store.read(SILVER_T, SILVER), now)
-    with statement(spark, "MERGE INTO sports_reviews_gold"):
+    with statement(spark, "MERGE INTO gold"):
         store.replace(GOLD_T, _observe_actions(gplan, obs_g).drop(ACTION))
     g_act = _counts(obs_g)
 
@@ -117,7 +117,7 @@ def _process_upsert(spark, bronze_path, store, clock, credits_per_hour) -> Upser
         bronze_row_count=int(obs_b.get["n"]), silver_rows_loaded=silver_loaded,
         silver_rows_deleted=0, gold_rows_loaded=gold_loaded, duration_sec=duration,
         credits_used=estimate_credits(duration, credits_per_hour))
-    with statement(spark, "INSERT INTO pipeline_run_metrics"):
+    with statement(spark, "INSERT INTO run_metrics"):
         log_run(store, metrics)
     status = (f"upsert OK | run_id={run_id} | bronze={metrics.bronze_row_count}"
               f" | silver_loaded={silver_loaded} | gold_loaded={gold_loaded}"

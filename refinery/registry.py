@@ -223,6 +223,11 @@ def kpi_totals(spark, sf_dir):
     return mx.kpi_totals(mx.read_runs(runs.batch_run(spark, sf_dir)))
 
 
+def latest_runs(spark, sf_dir):
+    """``ORDER BY run_timestamp DESC LIMIT 10`` over the upsert runs (L3)."""
+    return mx.latest_runs(mx.read_runs(runs.upsert_two_waves(spark, sf_dir)), 10)
+
+
 def kpi_latest(spark, sf_dir):
     return mx.kpi_latest(mx.read_runs(runs.upsert_two_waves(spark, sf_dir)))
 
@@ -259,7 +264,7 @@ def merge_history(spark, sf_dir):
     h = _history(spark)
     if h is None:
         return eventlog.empty_history(spark)
-    return eventlog.query_history(h, pattern="%merge into sports_reviews_silver%", k=1)
+    return eventlog.query_history(h, pattern="%merge into silver%", k=1)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -292,6 +297,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_per_batch": kpi_per_batch,
     "kpi_totals": kpi_totals,
     "kpi_latest": kpi_latest,
+    "latest_runs": latest_runs,
     "cost_report": cost_report,
     "recent_runs_summary": recent_runs_summary,
     "job_history": job_history,

@@ -75,10 +75,10 @@ def test_job_history_from_event_log(spark, golden_bronze):
     upsert_plan.process_upsert(spark, golden_bronze[0], store)
     hist = eventlog.job_history(eventlog.read_events(spark, eventlog.event_log_dir(spark)))
     merges = eventlog.query_history(hist, tag="method=upsert",
-                                    pattern="%MERGE INTO sports_reviews_silver%").collect()
+                                    pattern="%MERGE INTO silver%").collect()
     assert merges, "the Silver merge job is in the history"
     m = merges[0]
-    assert m.query.startswith("MERGE INTO sports_reviews_silver") and m.result == "JobSucceeded"
+    assert m.query.startswith("MERGE INTO silver") and m.result == "JobSucceeded"
     assert m.rows_read >= 30 and m.total_sec >= 0
     latest = eventlog.query_history(hist, tag="method=upsert", k=1).collect()
     assert len(latest) == 1

@@ -40,7 +40,7 @@ def test_every_query_registered_with_oracle_or_reason():
     rows_only = set(QUERIES) - set(ORACLE)
     # clock, id or path columns only: durations, run times, file names
     assert rows_only == {"file_listing", "run_metrics_union", "kpi_per_batch", "kpi_totals",
-                         "kpi_latest", "cost_report", "recent_runs_summary", "job_history",
+                         "kpi_latest", "cost_report", "recent_runs_summary", "job_history", "latest_runs",
                          "merge_history"}
 
 
