@@ -46,6 +46,13 @@ def main() -> None:
     _, bronze_w1 = fixture_paths(spark, sf_dir, "wave1")
     _, bronze_w2 = fixture_paths(spark, sf_dir, "wave2")
 
+    # Warm-up (not timed): JVM start-up and first code generation would
+    # otherwise land on whichever item runs first.
+    from pyspark.sql import functions as F
+    from refinery.sources.staged import read_staged
+    read_staged(spark, stage).select(F.count_if(F.col("raw_json").isNull())).collect()
+    spark.range(100000).groupBy((F.col("id") % 7).alias("k")).count().collect()
+
     # Bronze load of the whole dump (A2-A4): JSON parse to variant + write.
     scratch = fresh_workspace(spark, "bench-bronze")
     load = timed("bronze_load", lambda: load_bronze(spark, stage, f"{scratch}/bronze"))

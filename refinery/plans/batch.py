@@ -83,15 +83,20 @@ def next_year(store: TableStore) -> int:
 def process_next_batch(spark: SparkSession, bronze_path: str, store: TableStore,
                        clock: Clock | None = None, credits_per_hour: float | None = 1.0,
                        last_year: int = LAST_BATCH_YEAR,
-                       bronze_rows: int | None = None) -> BatchResult:
-    """One yearly step (P2); returns the reference's status string."""
+                       bronze_rows: int | None = None,
+                       gold_rows: int | None = None) -> BatchResult:
+    """One yearly step (P2); returns the reference's status string.
+
+    ``bronze_rows`` / ``gold_rows`` let a caller that already knows the Bronze
+    size and the current Gold size (the catch-up loop) skip recounting them.
+    """
     with method_tag(spark, "batch"):
         return _process_next_batch(spark, bronze_path, store, clock, credits_per_hour,
-                                   last_year, bronze_rows)
+                                   last_year, bronze_rows, gold_rows)
 
 
 def _process_next_batch(spark, bronze_path, store, clock, credits_per_hour, last_year,
-                        bronze_rows) -> BatchResult:
+                        bronze_rows, gold_rows) -> BatchResult:
     clock = clock or Clock()
     start = clock.now()
     now = F.lit(start).cast("timestamp_ntz")
@@ -114,12 +119,12 @@ def _process_next_batch(spark, bronze_path, store, clock, credits_per_hour, last
     # 2) Gold: replace the products this year touched.
     gold_written = 0
     if rows:
-        year_rows = store.read_partitioned(SILVER_T, SILVER_PART).filter(F.col(YEAR_COL) == year)
+        year_rows = store.read_partition(SILVER_T, SILVER_PART, YEAR_COL, year)
         parts_y = gold_ops.partials(year_rows).withColumn(YEAR_COL, F.lit(year))
         with statement(spark, f"INSERT INTO gold partials (year {year})"):
             store.overwrite_partitions(PARTS_T, parts_y, YEAR_COL)
         all_parts = store.read_partitioned(PARTS_T, GOLD_PARTS)
-        touched = all_parts.filter(F.col(YEAR_COL) == year).select(gold_ops.KEY)
+        touched = store.read_partition(PARTS_T, GOLD_PARTS, YEAR_COL, year).select(gold_ops.KEY)
         recomputed = gold_ops.combine_partials(gold_ops.rows_of_keys(all_parts, touched), BATCH) \
             .withColumn("loaded_at", now).withColumn("_new", F.lit(True))
         obs_g = Observation(f"gold_{year}")
@@ -131,6 +136,8 @@ def _process_next_batch(spark, bronze_path, store, clock, credits_per_hour, last
             store.replace(GOLD_T, new_gold)
         gold_total = int(obs_g.get["n"])
         gold_written = int(obs_g.get["written"])
+    elif gold_rows is not None:
+        gold_total = int(gold_rows)
     else:
         cur = store.current(GOLD_T)
         gold_total = spark.read.parquet(cur).count() if cur else 0
@@ -157,12 +164,15 @@ def run_all_batches(spark: SparkSession, bronze_path: str, store: TableStore,
                     calls: int = 30, **kw) -> list[BatchResult]:
     """Catch-up loop (P3): up to ``calls`` steps; extra calls do nothing."""
     bronze_rows = spark.read.parquet(bronze_path).count()
+    gold_rows = None
     out = []
     for _ in range(calls):
-        r = process_next_batch(spark, bronze_path, store, bronze_rows=bronze_rows, **kw)
+        r = process_next_batch(spark, bronze_path, store, bronze_rows=bronze_rows,
+                               gold_rows=gold_rows, **kw)
         out.append(r)
         if r.status == DONE:
             break
+        gold_rows = r.metrics.gold_rows_loaded
     return out
 
 

@@ -52,19 +52,26 @@ class TableStore:
         return f"{self.root}/{name}"
 
     # -- snapshot tables -----------------------------------------------------
-    def _versions(self, name: str) -> list[tuple[int, bool]]:
-        out = []
+    def _version_numbers(self, name: str) -> list[int]:
+        """Snapshot versions present (committed or not), ascending; one listing."""
+        nums = []
         for child in self._children(self.path(name)):
             m = _VERSION.match(child)
             if m:
-                committed = self._exists(f"{self.path(name)}/{child}/_SUCCESS")
-                out.append((int(m.group(1)), committed))
-        return sorted(out)
+                nums.append(int(m.group(1)))
+        return sorted(nums)
 
     def current(self, name: str) -> str | None:
-        """Path of the newest committed snapshot, or None."""
-        done = [v for v, ok in self._versions(name) if ok]
-        return f"{self.path(name)}/v={done[-1]:06d}" if done else None
+        """Path of the newest committed snapshot, or None.
+
+        Probes commit markers from the newest version down, so the cost does
+        not grow with the number of snapshots kept.
+        """
+        for v in reversed(self._version_numbers(name)):
+            path = f"{self.path(name)}/v={v:06d}"
+            if self._exists(f"{path}/_SUCCESS"):
+                return path
+        return None
 
     def exists(self, name: str) -> bool:
         return self.current(name) is not None or self._exists(f"{self.path(name)}/_SUCCESS")
@@ -78,8 +85,8 @@ class TableStore:
 
     def replace(self, name: str, df: DataFrame) -> str:
         """CREATE OR REPLACE / TRUNCATE + INSERT (A5, A9): write a new snapshot."""
-        versions = self._versions(name)
-        nxt = (versions[-1][0] + 1) if versions else 1
+        versions = self._version_numbers(name)
+        nxt = (versions[-1] + 1) if versions else 1
         path = f"{self.path(name)}/v={nxt:06d}"
         df.write.mode("errorifexists").parquet(path)
         return path
@@ -125,3 +132,11 @@ class TableStore:
 
     def read_partitioned(self, name: str, schema: T.StructType) -> DataFrame:
         return self.read_appended(name, schema)
+
+    def read_partition(self, name: str, schema: T.StructType, column: str, value) -> DataFrame:
+        """One partition of a partitioned table, listing only its folder."""
+        base = self._gen_path(name)
+        path = f"{base}/{column}={value}"
+        if not self._exists(path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", base).parquet(path)

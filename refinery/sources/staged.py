@@ -102,8 +102,15 @@ def load_bronze(spark: SparkSession, stage_path: str, bronze_path: str,
 
 def read_bronze(spark: SparkSession, bronze_path: str, year: int | None = None,
                 keep_year: bool = False) -> DataFrame:
-    """Bronze as (raw_json, load_timestamp); ``year`` prunes to one partition."""
-    df = spark.read.parquet(bronze_path)
-    if year is not None:
-        df = df.filter(F.col(YEAR_COL) == year)
+    """Bronze as (raw_json, load_timestamp).
+
+    With ``year`` only that partition's folder is listed and read (the
+    ``basePath`` keeps ``review_year`` as a column), so a yearly step never
+    lists the other years' files.
+    """
+    if year is None:
+        df = spark.read.parquet(bronze_path)
+    else:
+        df = (spark.read.option("basePath", bronze_path)
+              .parquet(f"{bronze_path}/{YEAR_COL}={int(year)}"))
     return df if keep_year else df.drop(YEAR_COL)

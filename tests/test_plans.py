@@ -17,11 +17,18 @@ def _no_python(plan: str) -> None:
         assert node not in plan
 
 
-def test_year_step_prunes_to_one_partition(spark, golden_bronze):
+def test_year_step_reads_one_partition(spark, golden_bronze):
     df = silver_ops.extract(read_bronze(spark, golden_bronze[0], year=2010), BATCH.for_year(2010))
+    files = df.inputFiles()
+    assert files and all("/review_year=2010/" in f for f in files)
+    _no_python(_plan(df))
+
+
+def test_full_bronze_read_prunes_by_partition_filter(spark, golden_bronze):
+    from pyspark.sql import functions as F
+    df = read_bronze(spark, golden_bronze[0], keep_year=True).filter(F.col("review_year") == 2010)
     plan = _plan(df)
-    assert "PartitionFilters: [isnotnull(review_year" in plan and "= 2010" in plan
-    _no_python(plan)
+    assert "PartitionFilters: [isnotnull(review_year" in plan
 
 
 def test_variant_fields_pushed_into_scan(spark, golden_bronze):
