@@ -11,12 +11,20 @@ Year-partitioned tables (batch Silver and its partial aggregates) instead
 overwrite single partitions in place with dynamic partition overwrite, which
 makes re-running a year idempotent.
 
+A snapshot can also be written *bucketed* on a key (``replace_bucketed``):
+the files are hash-clustered on the key exactly like a shuffle on it, and the
+snapshot is registered as an external catalog table carrying the bucket spec.
+A later join or aggregation on that key then reads it without an exchange --
+the upsert merge shuffles only its source, never the whole Silver table.  The
+spec is kept next to the snapshot, so any later session can register it again.
+
 Paths go through the Hadoop FileSystem API so the same code works on a local
 folder, HDFS or an object store.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,16 +89,70 @@ class TableStore:
         cur = self.current(name)
         if cur is None:
             return self.spark.createDataFrame([], schema)
+        spec = self._bucket_spec(name, cur)
+        if spec is not None:
+            return self._bucketed_table(cur, schema, *spec).select(*schema.fieldNames())
         return self.spark.read.schema(schema).parquet(cur)
 
-    def replace(self, name: str, df: DataFrame) -> str:
-        """CREATE OR REPLACE / TRUNCATE + INSERT (A5, A9): write a new snapshot."""
+    def _next_path(self, name: str) -> str:
         versions = self._version_numbers(name)
         nxt = (versions[-1] + 1) if versions else 1
-        path = f"{self.path(name)}/v={nxt:06d}"
+        return f"{self.path(name)}/v={nxt:06d}"
+
+    def replace(self, name: str, df: DataFrame) -> str:
+        """CREATE OR REPLACE / TRUNCATE + INSERT (A5, A9): write a new snapshot."""
+        path = self._next_path(name)
         df.write.mode("errorifexists").parquet(path)
         return path
 
+    # -- bucketed snapshots -------------------------------------------------------
+    def _spec_path(self, name: str, snapshot: str) -> str:
+        return f"{self.path(name)}/_bucketing/{snapshot.rsplit('/', 1)[1]}"
+
+    def _bucket_spec(self, name: str, snapshot: str) -> tuple[int, list[str]] | None:
+        p, fs = self._fs(self._spec_path(name, snapshot))
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
+                self.spark.sparkContext._jvm.java.io.InputStreamReader(stream))
+            n, cols = reader.readLine().split("|")
+        finally:
+            stream.close()
+        return int(n), cols.split(",")
+
+    @staticmethod
+    def _ident(snapshot: str) -> str:
+        return "refinery_" + hashlib.sha1(snapshot.encode()).hexdigest()[:16]
+
+    def _bucketed_table(self, snapshot: str, schema: T.StructType, n: int, keys: list[str]) -> DataFrame:
+        ident = self._ident(snapshot)
+        if not self.spark.catalog.tableExists(ident):
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            by = ", ".join(f"`{k}`" for k in keys)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {ident} ({cols}) USING parquet "
+                           f"CLUSTERED BY ({by}) INTO {n} BUCKETS LOCATION '{snapshot}'")
+        return self.spark.table(ident)
+
+    def replace_bucketed(self, name: str, df: DataFrame, keys: list[str], buckets: int) -> str:
+        """A new snapshot hash-clustered on ``keys`` into ``buckets`` files groups.
+
+        When ``df`` is already partitioned on ``keys`` into ``buckets``
+        partitions (a join or window on the key), every task writes one bucket
+        file and no extra shuffle or sort is added.
+        """
+        path = self._next_path(name)
+        p, fs = self._fs(self._spec_path(name, path))
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(f"{int(buckets)}|{','.join(keys)}\n".encode()))
+        finally:
+            out.close()
+        (df.write.format("parquet").bucketBy(int(buckets), *keys).option("path", path)
+         .mode("errorifexists").saveAsTable(self._ident(path)))
+        return path
+
     def create_if_absent(self, name: str, schema: T.StructType) -> None:
         """CREATE TABLE IF NOT EXISTS (A6): an empty first snapshot."""
         if self.current(name) is None:

@@ -82,14 +82,21 @@ def _observe_actions(plan: DataFrame, obs: Observation) -> DataFrame:
 
 
 def process_upsert(spark: SparkSession, bronze_path: str, store: TableStore,
-                   clock: Clock | None = None,
-                   credits_per_hour: float | None = None) -> UpsertResult:
-    """One upsert run (P4).  Credits default to NULL, as the reference logs."""
+                   clock: Clock | None = None, credits_per_hour: float | None = None,
+                   silver_buckets: int | None = None) -> UpsertResult:
+    """One upsert run (P4).  Credits default to NULL, as the reference logs.
+
+    Silver is kept bucketed on (user_id, asin) into ``silver_buckets``
+    (default: ``spark.sql.shuffle.partitions``), so the next run's merge reads
+    it without shuffling it.
+    """
+    if silver_buckets is None:
+        silver_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     with method_tag(spark, "upsert"):
-        return _process_upsert(spark, bronze_path, store, clock, credits_per_hour)
+        return _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_buckets)
 
 
-def _process_upsert(spark, bronze_path, store, clock, credits_per_hour) -> UpsertResult:
+def _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_buckets) -> UpsertResult:
     clock = clock or Clock()
     run_id = clock.new_id()
     start = clock.now()
@@ -100,7 +107,8 @@ def _process_upsert(spark, bronze_path, store, clock, credits_per_hour) -> Upser
     bronze = read_bronze(spark, bronze_path).observe(obs_b, F.count(F.lit(1)).alias("n"))
     plan = silver_merge_plan(store.read(SILVER_T, SILVER), silver_source(bronze), now)
     with statement(spark, "MERGE INTO silver"):
-        store.replace(SILVER_T, _observe_actions(plan, obs_s).drop(ACTION))
+        store.replace_bucketed(SILVER_T, _observe_actions(plan, obs_s).drop(ACTION), KEYS,
+                               silver_buckets)
     s_act = _counts(obs_s)
 
     obs_g = Observation("gold_merge")

@@ -53,3 +53,24 @@ def test_latest_per_key_uses_window_group_limit(spark, golden_bronze):
     assert "WindowGroupLimit" in plan
     assert "hashpartitioning(user_id" in plan
     _no_python(plan)
+
+
+def test_upsert_merge_does_not_shuffle_bucketed_silver(spark, golden_bronze):
+    from pyspark.sql import functions as F
+    from refinery.plans import upsert as upsert_plan
+    from refinery.plans.store import TableStore
+    from refinery.schemas import SILVER
+    from refinery.session import fresh_workspace
+
+    store = TableStore(spark, fresh_workspace(spark, "t-bucketed"))
+    upsert_plan.process_upsert(spark, golden_bronze[0], store)
+    target = store.read("silver", SILVER)
+    source = upsert_plan.silver_source(read_bronze(spark, golden_bronze[0]))
+    plan = _plan(upsert_plan.silver_merge_plan(target, source, F.localtimestamp()))
+    assert "Bucketed: true" in plan
+    assert plan.count("Exchange hashpartitioning") == 1      # the source side only
+    # a second run over the bucketed table still gives the same Silver
+    before = sorted(tuple(r) for r in target.drop("loaded_at").collect())
+    r = upsert_plan.process_upsert(spark, golden_bronze[0], store)
+    assert r.metrics.silver_rows_loaded == 0
+    assert sorted(tuple(r) for r in store.read("silver", SILVER).drop("loaded_at").collect()) == before
