@@ -13,12 +13,17 @@ def epoch_ms_to_ts(ms: Column) -> Column:
 
     Adding to the NTZ epoch keeps the result independent of the session zone.
     """
-    return F.timestamp_add("MILLISECOND", ms, F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz"))
+    return F.timestamp_add("MILLISECOND", ms, ntz(dt.datetime(1970, 1, 1)))
 
 
-def ntz(value: dt.datetime) -> Column:
-    """A TIMESTAMP_NTZ literal."""
-    return F.lit(value).cast("timestamp_ntz")
+def ntz(value: dt.datetime | str) -> Column:
+    """A TIMESTAMP_NTZ literal.
+
+    Built from its ISO text: a Python ``datetime`` literal would pass through
+    the driver process's local zone before the cast.
+    """
+    text = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else str(value)
+    return F.lit(text).cast("timestamp_ntz")
 
 
 def bounded(c: Column, width: int) -> Column:

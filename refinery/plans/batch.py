@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from refinery.operators import gold as gold_ops
 from refinery.operators import silver as silver_ops
+from refinery.functions.scalar import ntz
 from refinery.plans.metrics import RUNS, Clock, RunMetrics, estimate_credits, log_run
 from refinery.plans.store import TableStore
 from refinery.plans.tags import method_tag, statement
@@ -99,7 +100,7 @@ def _process_next_batch(spark, bronze_path, store, clock, credits_per_hour, last
                         bronze_rows, gold_rows) -> BatchResult:
     clock = clock or Clock()
     start = clock.now()
-    now = F.lit(start).cast("timestamp_ntz")
+    now = ntz(start)
     year = next_year(store)
     if year > last_year:
         return BatchResult(DONE, None, 0)

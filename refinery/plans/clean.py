@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from refinery.operators import gold as gold_ops
 from refinery.operators import silver as silver_ops
+from refinery.functions.scalar import ntz
 from refinery.plans.metrics import Clock, RunMetrics, estimate_credits, log_run
 from refinery.plans.store import TableStore
 from refinery.plans.tags import method_tag, statement
@@ -33,7 +34,7 @@ def clean_refresh(spark: SparkSession, bronze_path: str, store: TableStore,
 def _clean_refresh(spark, bronze_path, store, clock, credits_per_hour) -> RunMetrics:
     clock = clock or Clock()
     start = clock.now()
-    now = F.lit(start).cast("timestamp_ntz")
+    now = ntz(start)
 
     previous = store.current(SILVER_T)
     replaced = spark.read.parquet(previous).count() if previous else 0  # D8

@@ -16,7 +16,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.functions.scalar import round_half_up
+from refinery.functions.scalar import round_half_up, ntz
 from refinery.schemas import RUN_METRICS, RUN_METRICS_COLUMNS, SHARED_RUN_COLUMNS
 
 RUNS = "run_metrics"
@@ -136,7 +136,7 @@ def cost_report(runs: DataFrame, usd_per_credit: float = USD_PER_CREDIT, k: int
 def recent_summary(runs: DataFrame, now: dt.datetime, hours: int = 1) -> DataFrame:
     """Runs of the last ``hours``: earliest start, count and rounded credits
     (F12, G13, G14, X12)."""
-    since = F.lit(now).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(hours)} HOUR")
+    since = ntz(now) - F.expr(f"INTERVAL {int(hours)} HOUR")
     return (runs.filter(F.col("run_timestamp") >= since)
             .agg(F.min("run_timestamp").alias("first_run_timestamp"),
                  F.count(F.lit(1)).alias("runs"),

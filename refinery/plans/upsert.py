@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from refinery.operators import gold as gold_ops
 from refinery.operators import silver as silver_ops
 from refinery.operators.merge import ACTION, merge_plan
+from refinery.functions.scalar import ntz
 from refinery.plans.metrics import RUNS, Clock, RunMetrics, estimate_credits, log_run
 from refinery.plans.store import TableStore
 from refinery.plans.tags import method_tag, statement
@@ -100,7 +101,7 @@ def _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_b
     clock = clock or Clock()
     run_id = clock.new_id()
     start = clock.now()
-    now = F.lit(start).cast("timestamp_ntz")
+    now = ntz(start)
     create_upsert_tables(store)
 
     obs_b, obs_s = Observation("bronze"), Observation("silver_merge")

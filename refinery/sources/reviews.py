@@ -78,7 +78,7 @@ def review_lines(spark: SparkSession, sf_dir: str, wave: int | None = None,
     pk = F.col("l_partkey")
     parent = _parent(pk)
     if wave == 1:
-        base = base.filter(F.col("l_shipdate") < F.lit(WAVE1_BEFORE))
+        base = base.filter(F.col("l_shipdate") < F.lit(WAVE1_BEFORE.isoformat(sep=" ")))
     elif wave == 2:
         base = base.filter(pk % 10 != 0)
         parent = F.when(pk % 80 == 21, F.lit(WAVE2_PARENT)).otherwise(parent)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.functions.scalar import epoch_ms_to_ts
+from refinery.functions.scalar import epoch_ms_to_ts, ntz
 from refinery.functions.variant import field
 
 YEAR_COL = "review_year"
@@ -89,7 +89,7 @@ def load_bronze(spark: SparkSession, stage_path: str, bronze_path: str,
     """
     raw = read_staged(spark, stage_path)
     obs = Observation("bronze_load")
-    stamp = F.lit(load_time).cast("timestamp_ntz") if load_time is not None else F.localtimestamp()
+    stamp = ntz(load_time) if load_time is not None else F.localtimestamp()
     out = (raw.observe(obs, F.count(F.lit(1)).alias("lines"),
                        F.count_if(F.col("raw_json").isNull()).alias("rejected"))
            .filter(F.col("raw_json").isNotNull())
