@@ -202,3 +202,22 @@ class TableStore:
         if not self._exists(path):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", base).parquet(path)
+
+    # -- SQL access ------------------------------------------------------------------
+    def register_views(self, tables: dict[str, T.StructType], prefix: str = "",
+                       partitioned: tuple[str, ...] = (), appended: tuple[str, ...] = ()) -> list[str]:
+        """Temp views over the current version of each table, so reports can
+        be written in Spark SQL (``SELECT ... FROM run_metrics ...``)."""
+        names = []
+        for name, schema in tables.items():
+            if name in partitioned:
+                df = self.read_partitioned(name, schema)
+            elif name in appended:
+                df = self.read_appended(name, schema)
+            else:
+                df = self.read(name, schema)
+            view = f"{prefix}{name}"
+            df.createOrReplaceTempView(view)
+            names.append(view)
+        return names
+
