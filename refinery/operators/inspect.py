@@ -39,8 +39,16 @@ def field_preview(bronze: DataFrame, k: int | None = 10) -> DataFrame:
 
 
 def year_histogram(bronze: DataFrame) -> DataFrame:
-    """Rows per year of the raw timestamp, by year."""
-    yr = F.year(epoch_ms_to_ts(field("timestamp", "bigint")))
+    """Rows per year of the raw timestamp, by year.
+
+    Bronze carries ``review_year`` = year of that same timestamp as its
+    partition column; when present it is used, and the count needs no
+    variant decoding at all.
+    """
+    if "review_year" in bronze.columns:
+        yr = F.col("review_year")
+    else:
+        yr = F.year(epoch_ms_to_ts(field("timestamp", "bigint")))
     return (bronze.groupBy(yr.alias("yr")).agg(F.count(F.lit(1)).alias("n"))
             .orderBy(F.col("yr").asc_nulls_first()))
 

@@ -60,7 +60,9 @@ def bronze_field_preview(spark, sf_dir):
 
 
 def bronze_year_histogram(spark, sf_dir):
-    return inspect_ops.year_histogram(_bronze(spark, sf_dir))
+    ensure_session_settings(spark)
+    bronze = read_bronze(spark, bronze_for(spark, sf_dir, "all"), keep_year=True)
+    return inspect_ops.year_histogram(bronze)
 
 
 def file_listing(spark, sf_dir):

@@ -110,7 +110,9 @@ def read_bronze(spark: SparkSession, bronze_path: str, year: int | None = None,
     """
     if year is None:
         df = spark.read.parquet(bronze_path)
-    else:
+    elif year_present(spark, bronze_path, year):
         df = (spark.read.option("basePath", bronze_path)
               .parquet(f"{bronze_path}/{YEAR_COL}={int(year)}"))
+    else:
+        df = spark.read.parquet(bronze_path).limit(0)
     return df if keep_year else df.drop(YEAR_COL)

@@ -51,3 +51,16 @@ def test_non_object_lines_load_whole(spark, tmp_path):
     load = load_bronze(spark, str(f), out)
     assert (load.loaded_rows, load.rejected_lines) == (5, 1)   # array kept as one row
     assert read_bronze(spark, out).count() == 5
+
+
+def test_year_histogram_partition_column_equals_timestamp_year(spark, golden_bronze):
+    from refinery.operators.inspect import year_histogram
+    with_col = read_bronze(spark, golden_bronze[0], keep_year=True)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    a = sorted((tuple(r) for r in year_histogram(with_col).collect()), key=key)
+    b = sorted((tuple(r) for r in year_histogram(with_col.drop("review_year")).collect()), key=key)
+    assert a == b
+
+
+def test_absent_year_reads_empty(spark, golden_bronze):
+    assert read_bronze(spark, golden_bronze[0], year=1980).count() == 0
