@@ -3,7 +3,7 @@
 The reference compares row counts only; counts hide most method differences
 (SURVEY 1.4), so rows are compared too: keyed tables by a full outer join on
 the key with NULL-safe equality, keyless ones (Silver keeps duplicates) as
-multisets with ``exceptAll``.
+multisets by counting each distinct row on both sides.
 """
 
 from __future__ import annotations
@@ -66,6 +66,19 @@ def keyed_differences(a: DataFrame, b: DataFrame, keys: list[str], columns: list
 
 def multiset_differences(a: DataFrame, b: DataFrame, a_name: str = "a",
                          b_name: str = "b") -> DataFrame:
-    """Rows in one side more often than in the other (EXCEPT ALL both ways)."""
-    return (a.exceptAll(b).withColumn("side", F.lit(f"only_{a_name}"))
-            .unionByName(b.exceptAll(a).withColumn("side", F.lit(f"only_{b_name}"))))
+    """Rows held more often by one side than the other (keyless tables).
+
+    One shuffle: both sides are unioned and counted per distinct row (partial
+    aggregation first, so a row repeated a billion times costs one record per
+    task); rows whose counts differ come out once, with ``side`` and
+    ``copies`` = the surplus.  Nothing is replicated.
+    """
+    cols = a.columns
+    tagged = (a.select(*cols, F.lit(1).alias("_a"), F.lit(0).alias("_b"))
+              .unionByName(b.select(*cols, F.lit(0).alias("_a"), F.lit(1).alias("_b"))))
+    counts = tagged.groupBy(*cols).agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
+    return (counts.filter(F.col("_na") != F.col("_nb"))
+            .select(*cols,
+                    F.when(F.col("_na") > F.col("_nb"), F.lit(f"only_{a_name}"))
+                     .otherwise(F.lit(f"only_{b_name}")).alias("side"),
+                    F.abs(F.col("_na") - F.col("_nb")).cast("bigint").alias("copies")))

@@ -227,9 +227,16 @@ SELECT * FROM (
   FROM a FULL OUTER JOIN b ON a.parent_asin IS NOT DISTINCT FROM b.parent_asin
 ) d WHERE status <> 'differs' OR differing_columns <> ''""",
     "reconcile_silver_rows": _with(REC, S_CLEAN, S_BATCH) + f"""
-SELECT *, 'only_batch' AS side FROM (SELECT {SILVER_COLS} FROM s_batch EXCEPT ALL SELECT {SILVER_COLS} FROM s_clean) x
-UNION ALL
-SELECT *, 'only_clean_refresh' AS side FROM (SELECT {SILVER_COLS} FROM s_clean EXCEPT ALL SELECT {SILVER_COLS} FROM s_batch) y""",
+SELECT {SILVER_COLS},
+       CASE WHEN na > nb THEN 'only_batch' ELSE 'only_clean_refresh' END AS side,
+       CAST(abs(na - nb) AS BIGINT) AS copies
+FROM (
+  SELECT {SILVER_COLS}, sum(a) AS na, sum(b) AS nb FROM (
+    SELECT {SILVER_COLS}, 1 AS a, 0 AS b FROM s_batch
+    UNION ALL
+    SELECT {SILVER_COLS}, 0 AS a, 1 AS b FROM s_clean
+  ) u GROUP BY ALL
+) c WHERE na <> nb""",
     "run_metrics_counts": _with(REC, S_CLEAN, S_BATCH, *TWO_WAVES,
                                 f"g_clean AS ({_gold('s_clean', True, False)})",
                                 "years AS (SELECT CAST(range AS INTEGER) AS y FROM range(1996, 2024))") + """
