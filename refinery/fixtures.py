@@ -24,7 +24,7 @@ KINDS = {"all": {}, "wave1": {"wave": 1}, "wave2": {"wave": 2}, "broken": {"brok
 FIXTURE_LOAD_TIME = "2024-06-30 00:00:00"
 
 
-def _input_key(sf_dir: str) -> str:
+def input_key(sf_dir: str) -> str:
     h = hashlib.sha1(f"stage-v2:{sf_dir}".encode())
     lp = local_path(sf_dir)
     for t in ("lineitem", "orders"):
@@ -36,7 +36,7 @@ def _input_key(sf_dir: str) -> str:
 
 
 def fixture_paths(spark: SparkSession, sf_dir: str, kind: str) -> tuple[str, str]:
-    base = workspace(spark, "fixtures", _input_key(sf_dir), kind)
+    base = workspace(spark, "fixtures", input_key(sf_dir), kind)
     return f"{base}/stage", f"{base}/bronze"
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from refinery.operators import gold as gold_ops
 from refinery.operators import silver as silver_ops
 from refinery.functions.scalar import ntz
-from refinery.plans.metrics import RUNS, Clock, RunMetrics, estimate_credits, log_run
+from refinery.plans.metrics import elapsed_sec, RUNS, Clock, RunMetrics, estimate_credits, log_run
 from refinery.plans.store import TableStore
 from refinery.plans.tags import method_tag, statement
 from refinery.schemas import BATCH_STATE, GOLD, GOLD_PARTS, SILVER
@@ -146,7 +146,7 @@ def _process_next_batch(spark, bronze_path, store, clock, credits_per_hour, last
     # 3) metrics: gold_rows_loaded is the Gold total, as in the reference.
     if bronze_rows is None:
         bronze_rows = spark.read.parquet(bronze_path).count()
-    duration = (clock.now() - start).total_seconds()
+    duration = elapsed_sec(start, clock.now())
     metrics = RunMetrics(
         run_id=clock.new_id(), run_timestamp=start, method="batch", batch_id=year,
         bronze_row_count=int(bronze_rows), silver_rows_loaded=rows, silver_rows_deleted=0,

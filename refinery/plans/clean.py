@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from refinery.operators import gold as gold_ops
 from refinery.operators import silver as silver_ops
 from refinery.functions.scalar import ntz
-from refinery.plans.metrics import Clock, RunMetrics, estimate_credits, log_run
+from refinery.plans.metrics import elapsed_sec, Clock, RunMetrics, estimate_credits, log_run
 from refinery.plans.store import TableStore
 from refinery.plans.tags import method_tag, statement
 from refinery.schemas import SILVER
@@ -50,7 +50,7 @@ def _clean_refresh(spark, bronze_path, store, clock, credits_per_hour) -> RunMet
     with statement(spark, "TRUNCATE + INSERT INTO gold"):
         store.replace(GOLD_T, gold.observe(obs_g, F.count(F.lit(1)).alias("n")))
 
-    duration = (clock.now() - start).total_seconds()
+    duration = elapsed_sec(start, clock.now())
     row = RunMetrics(
         run_id=clock.new_id(), run_timestamp=start, method="clean_refresh", batch_id=None,
         bronze_row_count=int(obs_b.get["n"]), silver_rows_loaded=int(obs_s.get["n"]),

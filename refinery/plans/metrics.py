@@ -63,6 +63,11 @@ class RunMetrics:
         return tuple(getattr(self, c) for c in RUN_METRICS_COLUMNS)
 
 
+def elapsed_sec(start: dt.datetime, end: dt.datetime) -> float:
+    """Whole milliseconds elapsed, in seconds (X11: DATEDIFF('millisecond') / 1000.0)."""
+    return ((end - start) // dt.timedelta(milliseconds=1)) / 1000.0
+
+
 def estimate_credits(duration_sec: float, credits_per_hour: float | None) -> float | None:
     """Seconds / 3600 x rate, rounded to 6 places (P10); NULL without a rate."""
     if credits_per_hour is None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from refinery.fixtures import _input_key, bronze_for
+from refinery.fixtures import bronze_for, input_key
 from refinery.plans import batch as batch_plan
 from refinery.plans import clean as clean_plan
 from refinery.plans import upsert as upsert_plan
@@ -19,8 +19,9 @@ from refinery.session import fresh_workspace
 _DONE: dict[tuple, TableStore] = {}
 
 
-def _memo(spark: SparkSession, sf_dir: str, label: str, run) -> TableStore:
-    key = (id(spark.sparkContext), _input_key(sf_dir), label)
+def memo(spark: SparkSession, sf_dir: str, label: str, run) -> TableStore:
+    """Run ``run(store)`` once per session, input and label; return its store."""
+    key = (id(spark.sparkContext), input_key(sf_dir), label)
     store = _DONE.get(key)
     if store is None:
         store = TableStore(spark, fresh_workspace(spark, label))
@@ -33,7 +34,7 @@ def clean_run(spark: SparkSession, sf_dir: str) -> TableStore:
     """P1 over the whole review set."""
     def run(store):
         clean_plan.clean_refresh(spark, bronze_for(spark, sf_dir, "all"), store)
-    return _memo(spark, sf_dir, "clean", run)
+    return memo(spark, sf_dir, "clean", run)
 
 
 def batch_run(spark: SparkSession, sf_dir: str, reset_year: int | None = None) -> TableStore:
@@ -44,7 +45,7 @@ def batch_run(spark: SparkSession, sf_dir: str, reset_year: int | None = None) -
         if reset_year is not None:
             batch_plan.reset_batch(spark, store, reset_year)
         batch_plan.run_all_batches(spark, bronze, store)
-    return _memo(spark, sf_dir, f"batch-{reset_year or 'seed'}", run)
+    return memo(spark, sf_dir, f"batch-{reset_year or 'seed'}", run)
 
 
 def upsert_two_waves(spark: SparkSession, sf_dir: str) -> TableStore:
@@ -52,11 +53,11 @@ def upsert_two_waves(spark: SparkSession, sf_dir: str) -> TableStore:
     def run(store):
         for kind in ("wave1", "wave2"):
             upsert_plan.process_upsert(spark, bronze_for(spark, sf_dir, kind), store)
-    return _memo(spark, sf_dir, "upsert2", run)
+    return memo(spark, sf_dir, "upsert2", run)
 
 
 def upsert_one_wave(spark: SparkSession, sf_dir: str) -> TableStore:
     """P4 once over the whole review set."""
     def run(store):
         upsert_plan.process_upsert(spark, bronze_for(spark, sf_dir, "all"), store)
-    return _memo(spark, sf_dir, "upsert1", run)
+    return memo(spark, sf_dir, "upsert1", run)

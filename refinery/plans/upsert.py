@@ -25,7 +25,7 @@ from refinery.operators import gold as gold_ops
 from refinery.operators import silver as silver_ops
 from refinery.operators.merge import ACTION, merge_plan
 from refinery.functions.scalar import ntz
-from refinery.plans.metrics import RUNS, Clock, RunMetrics, estimate_credits, log_run
+from refinery.plans.metrics import elapsed_sec, RUNS, Clock, RunMetrics, estimate_credits, log_run
 from refinery.plans.store import TableStore
 from refinery.plans.tags import method_tag, statement
 from refinery.schemas import GOLD, GOLD_COLUMNS, RUN_METRICS, SILVER, SILVER_COLUMNS
@@ -120,7 +120,7 @@ def _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_b
 
     silver_loaded = s_act["insert"] + s_act["update"]
     gold_loaded = g_act["insert"] + g_act["update"]
-    duration = (clock.now() - start).total_seconds()
+    duration = elapsed_sec(start, clock.now())
     metrics = RunMetrics(
         run_id=run_id, run_timestamp=start, method="upsert", batch_id=None,
         bronze_row_count=int(obs_b.get["n"]), silver_rows_loaded=silver_loaded,

@@ -156,7 +156,7 @@ def upsert_two_waves_gold(spark, sf_dir):
 
 def upsert_actions(spark, sf_dir):
     """Actions of the wave-2 merge against Silver after wave 1."""
-    store = runs._memo(spark, sf_dir, "upsert-wave1", lambda st: upsert_plan.process_upsert(
+    store = runs.memo(spark, sf_dir, "upsert-wave1", lambda st: upsert_plan.process_upsert(
         spark, bronze_for(spark, sf_dir, "wave1"), st))
     source = upsert_plan.silver_source(_bronze(spark, sf_dir, "wave2"))
     plan = upsert_plan.silver_merge_plan(store.read("silver", SILVER), source, F.localtimestamp())
@@ -168,7 +168,7 @@ def upsert_idempotent(spark, sf_dir):
     def run(store):
         for kind in ("wave1", "wave2", "wave2"):
             upsert_plan.process_upsert(spark, bronze_for(spark, sf_dir, kind), store)
-    store = runs._memo(spark, sf_dir, "upsert-again", run)
+    store = runs.memo(spark, sf_dir, "upsert-again", run)
     last = mx.latest_runs(upsert_plan.read_runs(store), 1)
     figures = [last.select(F.lit(c).alias("figure"), F.col(c).alias("value"))
                for c in ("silver_rows_loaded", "gold_rows_loaded")]
