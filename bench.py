@@ -26,6 +26,14 @@ from refinery.sources.staged import load_bronze, read_bronze  # noqa: E402
 from refinery.spec import CLEAN, UPSERT  # noqa: E402
 
 
+def _sf(sf_dir: str):
+    text = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(text)
+    except ValueError:
+        return text
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -80,7 +88,7 @@ def main() -> None:
     total = round(sum(times.values()), 3)
     print(json.dumps({
         "metric": "total_sec", "value": total, "unit": "sec", "queries": times,
-        "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
+        "sf": _sf(sf_dir),
         "cpus": cpus,
         "rows": {"bronze": load.loaded_rows, "silver_clean": clean.silver_rows_loaded,
                  "batch_steps": sum(1 for s in steps if s.year is not None),

@@ -142,6 +142,7 @@ class TableStore:
         partitions (a join or window on the key), every task writes one bucket
         file and no extra shuffle or sort is added.
         """
+        previous = self.current(name)
         path = self._next_path(name)
         p, fs = self._fs(self._spec_path(name, path))
         out = fs.create(p, True)
@@ -151,6 +152,9 @@ class TableStore:
             out.close()
         (df.write.format("parquet").bucketBy(int(buckets), *keys).option("path", path)
          .mode("errorifexists").saveAsTable(self._ident(path)))
+        if previous is not None:
+            # external table: only the catalog entry goes, the files stay
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._ident(previous)}")
         return path
 
     def create_if_absent(self, name: str, schema: T.StructType) -> None:
