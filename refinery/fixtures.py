@@ -20,12 +20,15 @@ from refinery.sources import reviews
 from refinery.sources.staged import BronzeLoad, load_bronze, stage_lines
 
 KINDS = {"all": {}, "wave1": {"wave": 1}, "wave2": {"wave": 2}, "broken": {"broken": True}}
+# Bumped whenever staging or the Bronze layout changes, so cached fixture
+# tables of an older layout are never reused.
+LAYOUT_VERSION = "layout-3"
 # Fixed load time of fixture Bronze rows, so no clock reaches compared output.
 FIXTURE_LOAD_TIME = "2024-06-30 00:00:00"
 
 
 def input_key(sf_dir: str) -> str:
-    h = hashlib.sha1(f"stage-v2:{sf_dir}".encode())
+    h = hashlib.sha1(f"{LAYOUT_VERSION}:{sf_dir}".encode())
     lp = local_path(sf_dir)
     for t in ("lineitem", "orders"):
         if lp and os.path.exists(f"{lp}/{t}.parquet"):

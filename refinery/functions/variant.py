@@ -18,6 +18,14 @@ def field(name: str, type_: str, raw: str = RAW) -> Column:
     return F.try_variant_get(F.col(raw), f"$.{name}", type_)
 
 
+def whole_number(name: str, type_: str = "bigint", raw: str = RAW) -> Column:
+    """``raw_json:name::INTEGER`` / ``::NUMBER``: a fractional value is rounded
+    half away from zero (3.5 -> 4), not truncated; NULL if not a number or out
+    of range for ``type_``."""
+    d = F.try_variant_get(F.col(raw), f"$.{name}", "decimal(38,6)")
+    return F.round(d, 0).try_cast(type_)
+
+
 def present(name: str, raw: str = RAW) -> Column:
     """Path-level test ``raw_json:name IS NOT NULL``: a JSON null passes (F1)."""
     return F.variant_get(F.col(raw), f"$.{name}", "variant").isNotNull()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refinery.functions.scalar import epoch_ms_to_ts
-from refinery.functions.variant import array_size, field
+from refinery.functions.variant import array_size, field, whole_number
 
 PREVIEW_COLUMNS = ["rating", "review_title", "review_text", "asin", "parent_asin", "user_id",
                    "ts_unix", "verified_purchase", "helpful_vote", "image_count"]
@@ -26,9 +26,9 @@ def field_preview(bronze: DataFrame, k: int | None = 10) -> DataFrame:
         field("asin", "string").alias("asin"),
         field("parent_asin", "string").alias("parent_asin"),
         field("user_id", "string").alias("user_id"),
-        field("timestamp", "bigint").alias("ts_unix"),
+        whole_number("timestamp").alias("ts_unix"),
         field("verified_purchase", "boolean").alias("verified_purchase"),
-        field("helpful_vote", "int").alias("helpful_vote"),
+        whole_number("helpful_vote", "int").alias("helpful_vote"),
         array_size("images").alias("image_count"),
     )
     if k is None:
@@ -48,7 +48,7 @@ def year_histogram(bronze: DataFrame) -> DataFrame:
     if "review_year" in bronze.columns:
         yr = F.col("review_year")
     else:
-        yr = F.year(epoch_ms_to_ts(field("timestamp", "bigint")))
+        yr = F.year(epoch_ms_to_ts(whole_number("timestamp")))
     return (bronze.groupBy(yr.alias("yr")).agg(F.count(F.lit(1)).alias("n"))
             .orderBy(F.col("yr").asc_nulls_first()))
 

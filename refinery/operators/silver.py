@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refinery.functions.scalar import bounded, epoch_ms_to_ts, md5_of, ntz
-from refinery.functions.variant import array_size, field, present
+from refinery.functions.variant import array_size, field, present, whole_number
 from refinery.spec import MethodSpec
 
 # Silver row without the load clock.
@@ -41,7 +41,7 @@ def extract(bronze: DataFrame, spec: MethodSpec) -> DataFrame:
     """Typed, filtered Silver rows of ``spec`` (no ``loaded_at``)."""
     user_s = field("user_id", "string")
     asin_s = field("asin", "string")
-    ts_ms = field("timestamp", "bigint")
+    ts_ms = whole_number("timestamp")
     ts = epoch_ms_to_ts(ts_ms)
     rating = field("rating", "double")
     text = field("text", "string")
@@ -51,7 +51,7 @@ def extract(bronze: DataFrame, spec: MethodSpec) -> DataFrame:
         has_images = n_images > 0
     else:
         has_images = F.when(n_images > 0, F.lit(True)).otherwise(F.lit(spec.images_default))
-    helpful = field("helpful_vote", "int")
+    helpful = whole_number("helpful_vote", "int")
     if spec.helpful_default is not None:
         helpful = F.coalesce(helpful, F.lit(spec.helpful_default))
 
@@ -77,7 +77,7 @@ def extract(bronze: DataFrame, spec: MethodSpec) -> DataFrame:
 
 def _valid(spec: MethodSpec) -> Column:
     """Row filter of ``spec`` over the raw variant."""
-    ts = epoch_ms_to_ts(field("timestamp", "bigint"))
+    ts = epoch_ms_to_ts(whole_number("timestamp"))
     rating = field("rating", "double")
     if spec.null_test == "path":
         cond = (present("asin") & present("user_id") & present("rating") & present("timestamp"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.functions.scalar import epoch_ms_to_ts, ntz
-from refinery.functions.variant import field
+from refinery.functions.variant import whole_number
 
 YEAR_COL = "review_year"
 
@@ -67,7 +67,7 @@ def read_staged(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> Dat
 
 def with_year(bronze: DataFrame) -> DataFrame:
     """Add the storage-only ``review_year`` partition column."""
-    return bronze.withColumn(YEAR_COL, F.year(epoch_ms_to_ts(field("timestamp", "bigint"))))
+    return bronze.withColumn(YEAR_COL, F.year(epoch_ms_to_ts(whole_number("timestamp"))))
 
 
 @dataclass

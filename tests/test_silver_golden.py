@@ -115,3 +115,19 @@ def test_rounding_half_up(spark):
     df = spark.createDataFrame([(3.025,), (2.675,), (1.0 / 3,)], "x double")
     got = [r[0] for r in df.select(round_half_up(F.col("x"), 2)).collect()]
     assert got == [3.03, 2.68, 0.33]
+
+
+def test_integer_casts_round_like_number_casts(spark, tmp_path):
+    from refinery.session import fresh_workspace
+    from refinery.sources.staged import load_bronze
+    f = tmp_path / "frac.jsonl"
+    f.write_text('{"rating":4,"text":"t","asin":"A","user_id":"U","timestamp":1275350400000.6,'
+                 '"helpful_vote":2.5}\n'
+                 '{"rating":4,"text":"t","asin":"B","user_id":"U","timestamp":"1275350400000",'
+                 '"helpful_vote":"7"}\n')
+    out = f"{fresh_workspace(spark, 'frac')}/bronze"
+    load_bronze(spark, str(f), out)
+    rows = {r.asin: r for r in silver_ops.extract(read_bronze(spark, out), CLEAN).collect()}
+    assert rows["A"].helpful_vote == 3
+    assert rows["A"].review_ts == dt.datetime(2010, 6, 1, 0, 0, 0, 1000)
+    assert rows["B"].helpful_vote == 7 and rows["B"].review_ts == dt.datetime(2010, 6, 1)
