@@ -146,7 +146,7 @@ _YEAR_ROWS = _silver_clean_form("s_upto", "rec", T1996, f"{STEP_YEAR + 1}-01-01
 ORACLE: dict[str, str] = {
     "bronze_field_preview": _with(REC) + """
 SELECT rating, title AS review_title, text AS review_text, asin, parent_asin, user_id,
-       ts_ms AS ts_unix, verified_purchase, helpful_vote, CAST(image_count AS BIGINT) AS image_count
+       ts_ms AS ts_unix, verified_purchase, helpful_vote, CAST(image_count AS INTEGER) AS image_count
 FROM rec
 ORDER BY ts_unix DESC NULLS LAST, rating ASC NULLS LAST, review_title ASC NULLS LAST,
          review_text ASC NULLS LAST, asin ASC NULLS LAST, parent_asin ASC NULLS LAST,
