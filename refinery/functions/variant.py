@@ -26,6 +26,16 @@ def whole_number(name: str, type_: str = "bigint", raw: str = RAW) -> Column:
     return F.round(d, 0).try_cast(type_)
 
 
+def castable_or_raise(value: Column, name: str, type_: str, raw: str = RAW) -> Column:
+    """``value`` (a ``try_`` extraction of ``name``), or a job failure when the
+    field holds a non-null JSON value that does not cast to ``type_`` -- the
+    reference dialect fails the statement on such a cast (D3, strict mode)."""
+    v = F.variant_get(F.col(raw), f"$.{name}", "variant")
+    bad = v.isNotNull() & ~F.is_variant_null(v) & value.isNull()
+    return F.when(bad, F.raise_error(F.lit(f"field '{name}' does not cast to {type_}"))) \
+        .otherwise(value)
+
+
 def present(name: str, raw: str = RAW) -> Column:
     """Path-level test ``raw_json:name IS NOT NULL``: a JSON null passes (F1)."""
     return F.variant_get(F.col(raw), f"$.{name}", "variant").isNotNull()

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refinery.functions.scalar import bounded, epoch_ms_to_ts, md5_of, ntz
-from refinery.functions.variant import array_size, field, present, whole_number
+from refinery.functions.variant import array_size, castable_or_raise, field, present, whole_number
 from refinery.spec import MethodSpec
 
 # Silver row without the load clock.
@@ -37,13 +37,18 @@ def _width(c: Column, n: int, spec: MethodSpec) -> Column:
     return bounded(c, n) if spec.string_widths else c
 
 
-def extract(bronze: DataFrame, spec: MethodSpec) -> DataFrame:
-    """Typed, filtered Silver rows of ``spec`` (no ``loaded_at``)."""
+def extract(bronze: DataFrame, spec: MethodSpec, strict: bool = False) -> DataFrame:
+    """Typed, filtered Silver rows of ``spec`` (no ``loaded_at``).
+
+    A value that does not cast (``"rating": "abc"``) becomes NULL and the row
+    is rejected; with ``strict=True`` the job fails instead, as the reference
+    dialect does (D3).
+    """
     user_s = field("user_id", "string")
     asin_s = field("asin", "string")
-    ts_ms = whole_number("timestamp")
+    ts_ms = _checked(whole_number("timestamp"), "timestamp", "number", strict)
     ts = epoch_ms_to_ts(ts_ms)
-    rating = field("rating", "double")
+    rating = _checked(field("rating", "double"), "rating", "double", strict)
     text = field("text", "string")
     n_images = array_size("images")
 
@@ -51,7 +56,7 @@ def extract(bronze: DataFrame, spec: MethodSpec) -> DataFrame:
         has_images = n_images > 0
     else:
         has_images = F.when(n_images > 0, F.lit(True)).otherwise(F.lit(spec.images_default))
-    helpful = whole_number("helpful_vote", "int")
+    helpful = _checked(whole_number("helpful_vote", "int"), "helpful_vote", "integer", strict)
     if spec.helpful_default is not None:
         helpful = F.coalesce(helpful, F.lit(spec.helpful_default))
 
@@ -64,10 +69,11 @@ def extract(bronze: DataFrame, spec: MethodSpec) -> DataFrame:
         _width(field("title", "string"), WIDTH_TITLE, spec).alias("review_title"),
         text.alias("review_text"),
         helpful.alias("helpful_vote"),
-        field("verified_purchase", "boolean").alias("verified_purchase"),
+        _checked(field("verified_purchase", "boolean"), "verified_purchase", "boolean",
+                 strict).alias("verified_purchase"),
         ts.alias("review_ts"),
         has_images.alias("has_images"),
-        _valid(spec).alias("_valid"),
+        _valid(spec, ts, rating).alias("_valid"),
     )
     silver = projected.filter("_valid").drop("_valid")
     if spec.dedupe:
@@ -75,10 +81,12 @@ def extract(bronze: DataFrame, spec: MethodSpec) -> DataFrame:
     return silver
 
 
-def _valid(spec: MethodSpec) -> Column:
+def _checked(value: Column, name: str, type_: str, strict: bool) -> Column:
+    return castable_or_raise(value, name, type_) if strict else value
+
+
+def _valid(spec: MethodSpec, ts: Column, rating: Column) -> Column:
     """Row filter of ``spec`` over the raw variant."""
-    ts = epoch_ms_to_ts(whole_number("timestamp"))
-    rating = field("rating", "double")
     if spec.null_test == "path":
         cond = (present("asin") & present("user_id") & present("rating") & present("timestamp"))
     else:

@@ -131,3 +131,14 @@ def test_integer_casts_round_like_number_casts(spark, tmp_path):
     assert rows["A"].helpful_vote == 3
     assert rows["A"].review_ts == dt.datetime(2010, 6, 1, 0, 0, 0, 1000)
     assert rows["B"].helpful_vote == 7 and rows["B"].review_ts == dt.datetime(2010, 6, 1)
+
+
+def test_strict_mode_fails_on_bad_cast(spark, golden_bronze):
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+    lenient = silver_ops.extract(read_bronze(spark, golden_bronze[0]), CLEAN)
+    assert lenient.count() == 19
+    strict = silver_ops.extract(read_bronze(spark, golden_bronze[0]), CLEAN, strict=True)
+    with pytest.raises((PySparkException, Py4JJavaError)) as e:
+        strict.count()
+    assert "rating" in str(e.value)
