@@ -85,7 +85,7 @@ def process_next_batch(spark: SparkSession, bronze_path: str, store: TableStore,
                        clock: Clock | None = None, credits_per_hour: float | None = 1.0,
                        last_year: int = LAST_BATCH_YEAR,
                        bronze_rows: int | None = None,
-                       gold_rows: int | None = None) -> BatchResult:
+                       gold_rows: int | None = None, strict: bool = False) -> BatchResult:
     """One yearly step (P2); returns the reference's status string.
 
     ``bronze_rows`` / ``gold_rows`` let a caller that already knows the Bronze
@@ -93,11 +93,11 @@ def process_next_batch(spark: SparkSession, bronze_path: str, store: TableStore,
     """
     with method_tag(spark, "batch"):
         return _process_next_batch(spark, bronze_path, store, clock, credits_per_hour,
-                                   last_year, bronze_rows, gold_rows)
+                                   last_year, bronze_rows, gold_rows, strict)
 
 
 def _process_next_batch(spark, bronze_path, store, clock, credits_per_hour, last_year,
-                        bronze_rows, gold_rows) -> BatchResult:
+                        bronze_rows, gold_rows, strict) -> BatchResult:
     clock = clock or Clock()
     start = clock.now()
     now = ntz(start)
@@ -110,7 +110,8 @@ def _process_next_batch(spark, bronze_path, store, clock, credits_per_hour, last
     rows = 0
     if year_present(spark, bronze_path, year):
         obs = Observation(f"silver_{year}")
-        silver_y = (silver_ops.extract(read_bronze(spark, bronze_path, year=year), BATCH.for_year(year))
+        year_bronze = read_bronze(spark, bronze_path, year=year)
+        silver_y = (silver_ops.extract(year_bronze, BATCH.for_year(year), strict)
                     .withColumn("loaded_at", now).withColumn(YEAR_COL, F.lit(year))
                     .observe(obs, F.count(F.lit(1)).alias("n")))
         with statement(spark, f"INSERT INTO silver (year {year})"):

@@ -25,13 +25,16 @@ GOLD_T = "gold"
 
 
 def clean_refresh(spark: SparkSession, bronze_path: str, store: TableStore,
-                  clock: Clock | None = None, credits_per_hour: float | None = 1.0) -> RunMetrics:
-    """One clean refresh; every job it starts is tagged ``method=clean_refresh``."""
+                  clock: Clock | None = None, credits_per_hour: float | None = 1.0,
+                  strict: bool = False) -> RunMetrics:
+    """One clean refresh; every job it starts is tagged ``method=clean_refresh``.
+
+    ``strict`` fails the run on a value that does not cast (D3)."""
     with method_tag(spark, "clean_refresh"):
-        return _clean_refresh(spark, bronze_path, store, clock, credits_per_hour)
+        return _clean_refresh(spark, bronze_path, store, clock, credits_per_hour, strict)
 
 
-def _clean_refresh(spark, bronze_path, store, clock, credits_per_hour) -> RunMetrics:
+def _clean_refresh(spark, bronze_path, store, clock, credits_per_hour, strict) -> RunMetrics:
     clock = clock or Clock()
     start = clock.now()
     now = ntz(start)
@@ -41,7 +44,7 @@ def _clean_refresh(spark, bronze_path, store, clock, credits_per_hour) -> RunMet
 
     obs_b, obs_s = Observation("bronze"), Observation("silver")
     bronze = read_bronze(spark, bronze_path).observe(obs_b, F.count(F.lit(1)).alias("n"))
-    silver = silver_ops.with_load_clock(silver_ops.extract(bronze, CLEAN), now)
+    silver = silver_ops.with_load_clock(silver_ops.extract(bronze, CLEAN, strict), now)
     with statement(spark, "TRUNCATE + INSERT INTO silver"):
         store.replace(SILVER_T, silver.observe(obs_s, F.count(F.lit(1)).alias("n")))
 

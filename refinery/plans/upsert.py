@@ -58,9 +58,9 @@ def create_upsert_tables(store: TableStore) -> None:
     store.create_if_absent(GOLD_T, GOLD)
 
 
-def silver_source(bronze: DataFrame) -> DataFrame:
+def silver_source(bronze: DataFrame, strict: bool = False) -> DataFrame:
     """Extract + filter + newest per key."""
-    return silver_ops.extract(bronze, UPSERT)
+    return silver_ops.extract(bronze, UPSERT, strict)
 
 
 def silver_merge_plan(target: DataFrame, source: DataFrame, now) -> DataFrame:
@@ -84,7 +84,7 @@ def _observe_actions(plan: DataFrame, obs: Observation) -> DataFrame:
 
 def process_upsert(spark: SparkSession, bronze_path: str, store: TableStore,
                    clock: Clock | None = None, credits_per_hour: float | None = None,
-                   silver_buckets: int | None = None) -> UpsertResult:
+                   silver_buckets: int | None = None, strict: bool = False) -> UpsertResult:
     """One upsert run (P4).  Credits default to NULL, as the reference logs.
 
     Silver is kept bucketed on (user_id, asin) into ``silver_buckets``
@@ -94,10 +94,12 @@ def process_upsert(spark: SparkSession, bronze_path: str, store: TableStore,
     if silver_buckets is None:
         silver_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     with method_tag(spark, "upsert"):
-        return _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_buckets)
+        return _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_buckets,
+                               strict)
 
 
-def _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_buckets) -> UpsertResult:
+def _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_buckets,
+                    strict) -> UpsertResult:
     clock = clock or Clock()
     run_id = clock.new_id()
     start = clock.now()
@@ -106,7 +108,7 @@ def _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_b
 
     obs_b, obs_s = Observation("bronze"), Observation("silver_merge")
     bronze = read_bronze(spark, bronze_path).observe(obs_b, F.count(F.lit(1)).alias("n"))
-    plan = silver_merge_plan(store.read(SILVER_T, SILVER), silver_source(bronze), now)
+    plan = silver_merge_plan(store.read(SILVER_T, SILVER), silver_source(bronze, strict), now)
     with statement(spark, "MERGE INTO silver"):
         store.replace_bucketed(SILVER_T, _observe_actions(plan, obs_s).drop(ACTION), KEYS,
                                silver_buckets)
