@@ -16,7 +16,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.fixtures import bronze_for, fixture_paths, load_fixture
+from refinery.fixtures import bronze_for, load_fixture
 from refinery.operators import gold as gold_ops
 from refinery.operators import inspect as inspect_ops
 from refinery.operators import reconcile as rec
@@ -30,7 +30,7 @@ from refinery.plans import runs
 from refinery.plans import upsert as upsert_plan
 from refinery.plans.store import TableStore
 from refinery.schemas import GOLD, SILVER
-from refinery.session import ensure_session_settings, fresh_workspace
+from refinery.session import ensure_session_settings
 from refinery.sources import eventlog
 from refinery.sources.staged import list_staged, read_bronze, read_staged
 from refinery.spec import BATCH, CLEAN, UPSERT
