@@ -34,11 +34,18 @@ _VERSION = re.compile(r"^v=(\d+)$")
 
 
 class TableStore:
-    """Named tables under one root folder."""
+    """Named tables under one root folder.
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``keep`` snapshots of each table are retained (the current one and the
+    one before it by default, for readers still using it); older versions are
+    removed after each successful replace, so storage does not grow with the
+    number of runs.  ``keep=None`` retains everything.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keep: int | None = 2):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep = keep
 
     # -- file system ---------------------------------------------------------
     def _fs(self, path: str):
@@ -103,8 +110,34 @@ class TableStore:
         """CREATE OR REPLACE / TRUNCATE + INSERT (A5, A9): write a new snapshot."""
         path = self._next_path(name)
         df.write.mode("errorifexists").parquet(path)
+        self.vacuum(name)
         return path
 
+    def vacuum(self, name: str, keep: int | None = None) -> list[str]:
+        """Remove snapshot versions older than the newest ``keep`` committed
+        ones (and uncommitted leftovers below them).  Returns removed paths."""
+        keep = self.keep if keep is None else keep
+        if keep is None:
+            return []
+        versions = self._version_numbers(name)
+        committed = [v for v in versions
+                     if self._exists(f"{self.path(name)}/v={v:06d}/_SUCCESS")]
+        if len(committed) <= keep:
+            return []
+        oldest_kept = committed[-keep]
+        removed = []
+        for v in versions:
+            if v >= oldest_kept:
+                continue
+            path = f"{self.path(name)}/v={v:06d}"
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._ident(path)}")
+            for target in (path, self._spec_path(name, path)):
+                p, fs = self._fs(target)
+                if fs.exists(p):
+                    fs.delete(p, True)
+            removed.append(path)
+        return removed
+
     # -- bucketed snapshots -------------------------------------------------------
     def _spec_path(self, name: str, snapshot: str) -> str:
         return f"{self.path(name)}/_bucketing/{snapshot.rsplit('/', 1)[1]}"
@@ -155,6 +188,7 @@ class TableStore:
         if previous is not None:
             # external table: only the catalog entry goes, the files stay
             self.spark.sql(f"DROP TABLE IF EXISTS {self._ident(previous)}")
+        self.vacuum(name)
         return path
 
     def create_if_absent(self, name: str, schema: T.StructType) -> None:

@@ -64,3 +64,16 @@ def test_year_histogram_partition_column_equals_timestamp_year(spark, golden_bro
 
 def test_absent_year_reads_empty(spark, golden_bronze):
     assert read_bronze(spark, golden_bronze[0], year=1980).count() == 0
+
+
+def test_vacuum_keeps_current_and_previous(spark):
+    store = TableStore(spark, fresh_workspace(spark, "t-vacuum"))
+    for y in range(1996, 2001):
+        store.replace("state", spark.createDataFrame([(y,)], BATCH_STATE))
+    kept = sorted(os.listdir(local_path(store.path("state"))))
+    assert kept == ["v=000004", "v=000005"]
+    assert store.read("state", BATCH_STATE).first().next_year == 2000
+    everything = TableStore(spark, fresh_workspace(spark, "t-keepall"), keep=None)
+    for y in range(3):
+        everything.replace("state", spark.createDataFrame([(y,)], BATCH_STATE))
+    assert len(os.listdir(local_path(everything.path("state")))) == 3
