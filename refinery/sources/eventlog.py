@@ -37,13 +37,13 @@ _TASK_END = T.StructType([
         T.StructField("Input Metrics", _IO("Bytes Read", "Records Read")),
         T.StructField("Output Metrics", _IO("Bytes Written", "Records Written")),
         T.StructField("Shuffle Read Metrics", _IO("Remote Bytes Read", "Local Bytes Read")),
-        T.StructField("Shuffle Write Metrics", _IO("Shuffle Bytes Written")),
+        T.StructField("Shuffle Write Metrics", _IO("Shuffle Bytes Written", "Shuffle Records Written")),
     ])),
 ])
 
 HISTORY_COLUMNS = ["query_id", "jobs", "query", "description", "tags", "start_time", "total_sec",
                    "execute_sec", "rows_read", "rows_written", "mb_scanned",
-                   "shuffle_mb", "bytes_spilled", "result"]
+                   "shuffle_mb", "shuffle_records", "bytes_spilled", "result"]
 
 
 def event_log_dir(spark: SparkSession) -> str | None:
@@ -96,6 +96,7 @@ def job_history(events: DataFrame) -> DataFrame:
                  F.sum(F.coalesce(F.col(f"{m}.`Shuffle Read Metrics`.`Remote Bytes Read`"), F.lit(0))
                        + F.coalesce(F.col(f"{m}.`Shuffle Read Metrics`.`Local Bytes Read`"), F.lit(0)))
                  .alias("shuffle_bytes"),
+                 F.sum(f"{m}.`Shuffle Write Metrics`.`Shuffle Records Written`").alias("shuffle_records"),
                  F.sum(F.coalesce(F.col(f"{m}.`Memory Bytes Spilled`"), F.lit(0))
                        + F.coalesce(F.col(f"{m}.`Disk Bytes Spilled`"), F.lit(0))).alias("spill")))
     # A stage listed by several jobs (a reused, skipped stage) counts for the first.
@@ -104,7 +105,8 @@ def job_history(events: DataFrame) -> DataFrame:
     per_job = owner.join(tasks, "stage_id").groupBy("job_id").agg(
         F.sum("run_ms").alias("run_ms"), F.sum("rows_read").alias("rows_read"),
         F.sum("rows_written").alias("rows_written"), F.sum("bytes_read").alias("bytes_read"),
-        F.sum("shuffle_bytes").alias("shuffle_bytes"), F.sum("spill").alias("spill"))
+        F.sum("shuffle_bytes").alias("shuffle_bytes"), F.sum("shuffle_records").alias("shuffle_records"),
+        F.sum("spill").alias("spill"))
     # One row per statement: AQE runs a statement as several jobs.
     jobs = starts.join(ends, "job_id", "left").join(per_job, "job_id", "left")
     per_query = jobs.groupBy("query_id").agg(
@@ -114,7 +116,8 @@ def job_history(events: DataFrame) -> DataFrame:
         F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"),
         F.sum("run_ms").alias("run_ms"), F.sum("rows_read").alias("rows_read"),
         F.sum("rows_written").alias("rows_written"), F.sum("bytes_read").alias("bytes_read"),
-        F.sum("shuffle_bytes").alias("shuffle_bytes"), F.sum("spill").alias("spill"),
+        F.sum("shuffle_bytes").alias("shuffle_bytes"),
+        F.sum("shuffle_records").alias("shuffle_records"), F.sum("spill").alias("spill"),
         F.min("result").alias("result"))   # JobFailed sorts before JobSucceeded
     return per_query.select(
         "query_id", "jobs",
@@ -127,6 +130,7 @@ def job_history(events: DataFrame) -> DataFrame:
         F.coalesce("rows_written", F.lit(0)).alias("rows_written"),
         round_half_up(F.coalesce("bytes_read", F.lit(0)) / 1024 / 1024, 1).alias("mb_scanned"),
         round_half_up(F.coalesce("shuffle_bytes", F.lit(0)) / 1024 / 1024, 1).alias("shuffle_mb"),
+        F.coalesce("shuffle_records", F.lit(0)).alias("shuffle_records"),
         F.coalesce("spill", F.lit(0)).alias("bytes_spilled"),
         "result")
 
@@ -151,5 +155,6 @@ def query_history(history: DataFrame, tag: str | None = None, pattern: str | Non
 def empty_history(spark: SparkSession) -> DataFrame:
     schema = ("query_id string, jobs bigint, query string, description string, tags string, start_time timestamp_ntz, "
               "total_sec double, execute_sec double, rows_read bigint, rows_written bigint, "
-              "mb_scanned double, shuffle_mb double, bytes_spilled bigint, result string")
+              "mb_scanned double, shuffle_mb double, shuffle_records bigint, bytes_spilled bigint, "
+              "result string")
     return spark.createDataFrame([], schema)
