@@ -8,12 +8,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Representable instants, 0001-01-01 .. 9999-12-31 23:59:59.999, in epoch ms.
+MIN_EPOCH_MS = -62135596800000
+MAX_EPOCH_MS = 253402300799999
+
+
 def epoch_ms_to_ts(ms: Column) -> Column:
     """Unix milliseconds -> TIMESTAMP_NTZ, keeping the milliseconds.
 
     Adding to the NTZ epoch keeps the result independent of the session zone.
+    A value outside the representable range gives NULL (the row is then
+    rejected) instead of failing the job with a datetime overflow.
     """
-    return F.timestamp_add("MILLISECOND", ms, ntz(dt.datetime(1970, 1, 1)))
+    return F.when(ms.between(MIN_EPOCH_MS, MAX_EPOCH_MS),
+                  F.timestamp_add("MILLISECOND", ms, ntz(dt.datetime(1970, 1, 1))))
 
 
 def ntz(value: dt.datetime | str) -> Column:

@@ -142,3 +142,16 @@ def test_strict_mode_fails_on_bad_cast(spark, golden_bronze):
     with pytest.raises((PySparkException, Py4JJavaError)) as e:
         strict.count()
     assert "rating" in str(e.value)
+
+
+def test_out_of_range_timestamp_is_rejected_not_fatal(spark, tmp_path):
+    from refinery.session import fresh_workspace
+    from refinery.sources.staged import load_bronze
+    f = tmp_path / "huge.jsonl"
+    f.write_text('{"rating":4,"text":"t","asin":"A","user_id":"U","timestamp":1000000000000000000}\n'
+                 '{"rating":4,"text":"t","asin":"B","user_id":"U","timestamp":1275350400000}\n')
+    out = f"{fresh_workspace(spark, 'huge')}/bronze"
+    load = load_bronze(spark, str(f), out)
+    assert load.loaded_rows == 2
+    rows = silver_ops.extract(read_bronze(spark, out), UPSERT).collect()
+    assert [r.asin for r in rows] == ["B"]
