@@ -34,11 +34,27 @@ def stage_lines(lines: DataFrame, path: str, compression: str = "gzip",
     return path
 
 
-def year_present(spark: SparkSession, bronze_path: str, year: int) -> bool:
-    """Whether Bronze has a partition for ``year`` (a listing, no scan)."""
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{bronze_path}/{YEAR_COL}={int(year)}")
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def year_partitioned(spark: SparkSession, bronze_path: str) -> bool:
+    """Whether Bronze has the ``review_year=`` folder layout of ``load_bronze``."""
+    p, fs = _fs(spark, bronze_path)
+    if not fs.exists(p):
+        return False
+    return any(st.getPath().getName().startswith(f"{YEAR_COL}=") for st in fs.listStatus(p))
+
+
+def year_present(spark: SparkSession, bronze_path: str, year: int) -> bool:
+    """Whether ``year`` can hold rows: its partition exists (a listing, no
+    scan); always True for a Bronze table without the year layout."""
+    if not year_partitioned(spark, bronze_path):
+        return True
+    p, fs = _fs(spark, f"{bronze_path}/{YEAR_COL}={int(year)}")
+    return bool(fs.exists(p))
 
 
 def list_staged(spark: SparkSession, path: str) -> DataFrame:
@@ -110,6 +126,10 @@ def read_bronze(spark: SparkSession, bronze_path: str, year: int | None = None,
     """
     if year is None:
         df = spark.read.parquet(bronze_path)
+    elif not year_partitioned(spark, bronze_path):
+        # a Bronze table without the year layout: filter on the computed year
+        df = with_year(spark.read.parquet(bronze_path).drop(YEAR_COL))
+        df = df.filter(F.col(YEAR_COL) == int(year))
     elif year_present(spark, bronze_path, year):
         df = (spark.read.option("basePath", bronze_path)
               .parquet(f"{bronze_path}/{YEAR_COL}={int(year)}"))

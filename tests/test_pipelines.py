@@ -135,3 +135,15 @@ def test_clean_and_batch_reconcile(spark, golden_bronze):
             for r in keyed_differences(a, b, ["parent_asin"], GOLD_DATA_COLUMNS[1:], "batch", "clean").collect()}
     assert diff[None] == ("only_clean", "")          # NULL group only in clean (V11)
     assert diff["P4"][0] == "only_clean"              # 2024-01-01 row only in clean (V2)
+
+
+def test_batch_on_bronze_without_year_layout(spark, golden_bronze):
+    flat = f"{fresh_workspace(spark, 'flat')}/bronze"
+    read_bronze(spark, golden_bronze[0]).write.parquet(flat)       # no review_year folders
+    results = {}
+    for label, path in (("flat", flat), ("partitioned", golden_bronze[0])):
+        store = _store(spark, f"t-{label}")
+        batch_plan.create_batch_tables(spark, store)
+        batch_plan.run_all_batches(spark, path, store, clock=_clock())
+        results[label] = _multiset(store.read("gold", GOLD), GOLD_DATA_COLUMNS)
+    assert results["flat"] == results["partitioned"] and results["flat"]
