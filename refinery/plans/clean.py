@@ -16,7 +16,8 @@ from refinery.functions.scalar import ntz
 from refinery.plans.metrics import elapsed_sec, Clock, RunMetrics, estimate_credits, log_run
 from refinery.plans.store import TableStore
 from refinery.plans.tags import method_tag, statement
-from refinery.schemas import SILVER
+from refinery.plans.metrics import RUNS
+from refinery.schemas import GOLD, SILVER
 from refinery.sources.staged import read_bronze
 from refinery.spec import CLEAN
 
@@ -24,6 +25,14 @@ SILVER_T = "silver"
 GOLD_T = "gold"
 
 
+def create_clean_tables(store: TableStore) -> None:
+    """CREATE OR REPLACE the clean-refresh tables (A5): empty Silver and Gold,
+    a fresh run table."""
+    store.truncate(SILVER_T, SILVER)
+    store.truncate(GOLD_T, GOLD)
+    store.reset_appended(RUNS)
+
+
 def clean_refresh(spark: SparkSession, bronze_path: str, store: TableStore,
                   clock: Clock | None = None, credits_per_hour: float | None = 1.0,
                   strict: bool = False) -> RunMetrics:

@@ -147,3 +147,13 @@ def test_batch_on_bronze_without_year_layout(spark, golden_bronze):
         batch_plan.run_all_batches(spark, path, store, clock=_clock())
         results[label] = _multiset(store.read("gold", GOLD), GOLD_DATA_COLUMNS)
     assert results["flat"] == results["partitioned"] and results["flat"]
+
+
+def test_create_clean_tables_resets(spark, golden_bronze):
+    store = _store(spark, "t-clean-create")
+    clean_plan.clean_refresh(spark, golden_bronze[0], store, _clock())
+    clean_plan.create_clean_tables(store)
+    assert store.read("silver", SILVER).count() == 0 and store.read("gold", GOLD).count() == 0
+    assert read_runs(store).count() == 0
+    m = clean_plan.clean_refresh(spark, golden_bronze[0], store, _clock())
+    assert m.silver_rows_deleted == 0 and m.silver_rows_loaded == 19
