@@ -37,8 +37,10 @@ def _sf(sf_dir: str):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    import tempfile
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus),
-                          app_name="refinery-bench")
+                          app_name="refinery-bench",
+                          event_log_dir=tempfile.mkdtemp(prefix="run-bench-eventlog-"))
     times: dict[str, float] = {}
 
     def timed(name, fn):
@@ -85,11 +87,24 @@ def main() -> None:
     timed("upsert_wave1", lambda: upsert_plan.process_upsert(spark, bronze_w1, ustore))
     u2 = timed("upsert_wave2", lambda: upsert_plan.process_upsert(spark, bronze_w2, ustore))
 
+    # Shuffle and spill per method, from the event log (the reference watches
+    # bytes spilled by its upsert).
+    from refinery.sources import eventlog
+    hist = eventlog.job_history(eventlog.read_events(spark, eventlog.event_log_dir(spark)))
+    io = {}
+    for method in ("clean_refresh", "batch", "upsert"):
+        r = (hist.filter(eventlog.has_tag(f"method={method}"))
+             .agg(F.sum("shuffle_bytes").alias("b"), F.sum("bytes_spilled").alias("spill")).first())
+        io[method] = {"shuffle_mb": round(int(r.b or 0) / 1024 / 1024, 2),
+                      "spill_bytes": int(r.spill or 0)}
+
     total = round(sum(times.values()), 3)
     print(json.dumps({
         "metric": "total_sec", "value": total, "unit": "sec", "queries": times,
         "sf": _sf(sf_dir),
         "cpus": cpus,
+        "bronze_rows_per_sec": round(load.loaded_rows / times["bronze_load"]),
+        "io": io,
         "rows": {"bronze": load.loaded_rows, "silver_clean": clean.silver_rows_loaded,
                  "batch_steps": sum(1 for s in steps if s.year is not None),
                  "upsert_wave2_written": u2.metrics.silver_rows_loaded},

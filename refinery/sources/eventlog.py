@@ -43,7 +43,7 @@ _TASK_END = T.StructType([
 
 HISTORY_COLUMNS = ["query_id", "jobs", "query", "description", "tags", "start_time", "total_sec",
                    "execute_sec", "rows_read", "rows_written", "mb_scanned",
-                   "shuffle_mb", "shuffle_records", "bytes_spilled", "result"]
+                   "shuffle_mb", "shuffle_bytes", "shuffle_records", "bytes_spilled", "result"]
 
 
 def event_log_dir(spark: SparkSession) -> str | None:
@@ -130,6 +130,7 @@ def job_history(events: DataFrame) -> DataFrame:
         F.coalesce("rows_written", F.lit(0)).alias("rows_written"),
         round_half_up(F.coalesce("bytes_read", F.lit(0)) / 1024 / 1024, 1).alias("mb_scanned"),
         round_half_up(F.coalesce("shuffle_bytes", F.lit(0)) / 1024 / 1024, 1).alias("shuffle_mb"),
+        F.coalesce("shuffle_bytes", F.lit(0)).alias("shuffle_bytes"),
         F.coalesce("shuffle_records", F.lit(0)).alias("shuffle_records"),
         F.coalesce("spill", F.lit(0)).alias("bytes_spilled"),
         "result")
@@ -155,6 +156,7 @@ def query_history(history: DataFrame, tag: str | None = None, pattern: str | Non
 def empty_history(spark: SparkSession) -> DataFrame:
     schema = ("query_id string, jobs bigint, query string, description string, tags string, start_time timestamp_ntz, "
               "total_sec double, execute_sec double, rows_read bigint, rows_written bigint, "
-              "mb_scanned double, shuffle_mb double, shuffle_records bigint, bytes_spilled bigint, "
+              "mb_scanned double, shuffle_mb double, shuffle_bytes bigint, shuffle_records bigint, "
+              "bytes_spilled bigint, "
               "result string")
     return spark.createDataFrame([], schema)
