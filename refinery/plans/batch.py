@@ -30,7 +30,7 @@ from refinery.functions.scalar import ntz
 from refinery.plans.metrics import elapsed_sec, RUNS, Clock, RunMetrics, estimate_credits, log_run
 from refinery.plans.store import TableStore
 from refinery.plans.tags import method_tag, statement
-from refinery.schemas import BATCH_STATE, GOLD, GOLD_PARTS, SILVER
+from refinery.schemas import BATCH_STATE, GOLD, GOLD_PARTS, SILVER, one_row
 from refinery.sources.staged import YEAR_COL, read_bronze, year_present
 from refinery.spec import BATCH, FIRST_BATCH_YEAR, LAST_BATCH_YEAR
 
@@ -71,7 +71,7 @@ def reset_batch(spark: SparkSession, store: TableStore, year: int = 2000) -> Non
 
 def set_next_year(spark: SparkSession, store: TableStore, year: int) -> None:
     """UPDATE batch_state SET next_year = year (A12): a one-row snapshot."""
-    store.replace(STATE_T, spark.createDataFrame([(int(year),)], BATCH_STATE))
+    store.replace(STATE_T, one_row(spark, BATCH_STATE, (int(year),)))
 
 
 def next_year(store: TableStore) -> int:

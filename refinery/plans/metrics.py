@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.functions.scalar import round_half_up, ntz
-from refinery.schemas import RUN_METRICS, RUN_METRICS_COLUMNS, SHARED_RUN_COLUMNS
+from refinery.schemas import RUN_METRICS, RUN_METRICS_COLUMNS, SHARED_RUN_COLUMNS, one_row
 
 RUNS = "run_metrics"
 
@@ -81,7 +81,7 @@ def metrics_frame(spark: SparkSession, rows: list[RunMetrics]) -> DataFrame:
 
 def log_run(store, row: RunMetrics) -> None:
     """INSERT INTO run_metrics (P5)."""
-    store.append(RUNS, metrics_frame(store.spark, [row]))
+    store.append(RUNS, one_row(store.spark, RUN_METRICS, row.as_row()))
 
 
 def read_runs(store) -> DataFrame:

@@ -6,6 +6,8 @@ The reference's VARCHAR(n) widths are enforced by the Silver projection
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BRONZE = T.StructType([
@@ -93,3 +95,21 @@ RUN_METRICS = T.StructType([
 SHARED_RUN_COLUMNS = [c for c in RUN_METRICS_COLUMNS if c != "batch_id"]
 
 BATCH_STATE = T.StructType([T.StructField("next_year", T.IntegerType(), False)])
+
+
+def one_row(spark: SparkSession, schema: T.StructType, values: tuple) -> DataFrame:
+    """A one-row frame of ``schema`` built in the JVM, in one partition.
+
+    Cheaper than ``createDataFrame`` from a local list (which spreads one row
+    over the default parallelism) for the one-row state and metrics writes.
+    Timestamps are cast from ISO text so no local zone applies.
+    """
+    cols = []
+    for f, v in zip(schema.fields, values):
+        if v is not None and isinstance(f.dataType, T.TimestampNTZType):
+            lit = F.lit(v.isoformat(sep=" "))
+        else:
+            lit = F.lit(v)
+        cols.append(lit.cast(f.dataType).alias(f.name))
+    return spark.range(0, 1, 1, 1).select(*cols)
+

@@ -77,3 +77,12 @@ def test_vacuum_keeps_current_and_previous(spark):
     for y in range(3):
         everything.replace("state", spark.createDataFrame([(y,)], BATCH_STATE))
     assert len(os.listdir(local_path(everything.path("state")))) == 3
+
+
+def test_one_row_matches_schema(spark):
+    import datetime as dt
+    from refinery.schemas import RUN_METRICS, one_row
+    row = ("id", dt.datetime(2025, 1, 2, 3, 4, 5, 678000), "batch", 2000, 10, 5, 0, 3, 1.5, None)
+    df = one_row(spark, RUN_METRICS, row)
+    assert df.schema == RUN_METRICS or [f.dataType for f in df.schema] == [f.dataType for f in RUN_METRICS]
+    assert tuple(df.first()) == row and df.rdd.getNumPartitions() == 1
