@@ -155,6 +155,12 @@ class TableStore:
             stream.close()
         return int(n), cols.split(",")
 
+    def bucket_count(self, name: str) -> int | None:
+        """Bucket count of the current snapshot, None if it is not bucketed."""
+        cur = self.current(name)
+        spec = self._bucket_spec(name, cur) if cur else None
+        return spec[0] if spec else None
+
     @staticmethod
     def _ident(snapshot: str) -> str:
         return "refinery_" + hashlib.sha1(snapshot.encode()).hexdigest()[:16]

@@ -31,3 +31,18 @@ def statement(spark: SparkSession, text: str):
         yield
     finally:
         sc.setLocalProperty("spark.job.description", previous)
+
+
+@contextmanager
+def shuffle_partitions(spark: SparkSession, n: int | None):
+    """Run a statement with ``spark.sql.shuffle.partitions = n`` (None: as is)."""
+    if n is None:
+        yield
+        return
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(int(n)))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
+

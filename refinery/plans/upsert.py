@@ -27,7 +27,7 @@ from refinery.operators.merge import ACTION, merge_plan
 from refinery.functions.scalar import ntz
 from refinery.plans.metrics import elapsed_sec, RUNS, Clock, RunMetrics, estimate_credits, log_run
 from refinery.plans.store import TableStore
-from refinery.plans.tags import method_tag, statement
+from refinery.plans.tags import method_tag, shuffle_partitions, statement
 from refinery.schemas import GOLD, GOLD_COLUMNS, RUN_METRICS, SILVER, SILVER_COLUMNS
 from refinery.sources.staged import read_bronze
 from refinery.spec import UPSERT
@@ -87,12 +87,15 @@ def process_upsert(spark: SparkSession, bronze_path: str, store: TableStore,
                    silver_buckets: int | None = None, strict: bool = False) -> UpsertResult:
     """One upsert run (P4).  Credits default to NULL, as the reference logs.
 
-    Silver is kept bucketed on (user_id, asin) into ``silver_buckets``
-    (default: ``spark.sql.shuffle.partitions``), so the next run's merge reads
-    it without shuffling it.
+    Silver is kept bucketed on (user_id, asin) into ``silver_buckets``, so the
+    next run's merge reads it without shuffling it.  The count is sticky: by
+    default the current snapshot's count is kept (the session's
+    ``spark.sql.shuffle.partitions`` for a first run), and the merge runs with
+    that many shuffle partitions so the source lands in matching buckets.
     """
     if silver_buckets is None:
-        silver_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        silver_buckets = (store.bucket_count(SILVER_T)
+                          or int(spark.conf.get("spark.sql.shuffle.partitions")))
     with method_tag(spark, "upsert"):
         return _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_buckets,
                                strict)
@@ -109,7 +112,7 @@ def _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_b
     obs_b, obs_s = Observation("bronze"), Observation("silver_merge")
     bronze = read_bronze(spark, bronze_path).observe(obs_b, F.count(F.lit(1)).alias("n"))
     plan = silver_merge_plan(store.read(SILVER_T, SILVER), silver_source(bronze, strict), now)
-    with statement(spark, "MERGE INTO silver"):
+    with statement(spark, "MERGE INTO silver"), shuffle_partitions(spark, silver_buckets):
         store.replace_bucketed(SILVER_T, _observe_actions(plan, obs_s).drop(ACTION), KEYS,
                                silver_buckets)
     s_act = _counts(obs_s)

@@ -74,3 +74,20 @@ def test_upsert_merge_does_not_shuffle_bucketed_silver(spark, golden_bronze):
     r = upsert_plan.process_upsert(spark, golden_bronze[0], store)
     assert r.metrics.silver_rows_loaded == 0
     assert sorted(tuple(r) for r in store.read("silver", SILVER).drop("loaded_at").collect()) == before
+
+
+def test_bucket_count_is_sticky_across_shuffle_settings(spark, golden_bronze):
+    from refinery.plans import upsert as upsert_plan
+    from refinery.plans.store import TableStore
+    from refinery.session import fresh_workspace
+
+    store = TableStore(spark, fresh_workspace(spark, "t-sticky"))
+    upsert_plan.process_upsert(spark, golden_bronze[0], store, silver_buckets=6)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        upsert_plan.process_upsert(spark, golden_bronze[0], store)
+        assert store.bucket_count("silver") == 6
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
