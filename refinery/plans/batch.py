@@ -141,12 +141,11 @@ def _process_next_batch(spark, bronze_path, store, clock, credits_per_hour, last
     elif gold_rows is not None:
         gold_total = int(gold_rows)
     else:
-        cur = store.current(GOLD_T)
-        gold_total = spark.read.parquet(cur).count() if cur else 0
+        gold_total = store.read(GOLD_T, GOLD).count()
 
     # 3) metrics: gold_rows_loaded is the Gold total, as in the reference.
     if bronze_rows is None:
-        bronze_rows = spark.read.parquet(bronze_path).count()
+        bronze_rows = read_bronze(spark, bronze_path).count()
     duration = elapsed_sec(start, clock.now())
     metrics = RunMetrics(
         run_id=clock.new_id(), run_timestamp=start, method="batch", batch_id=year,
@@ -165,7 +164,7 @@ def _process_next_batch(spark, bronze_path, store, clock, credits_per_hour, last
 def run_all_batches(spark: SparkSession, bronze_path: str, store: TableStore,
                     calls: int = 30, **kw) -> list[BatchResult]:
     """Catch-up loop (P3): up to ``calls`` steps; extra calls do nothing."""
-    bronze_rows = spark.read.parquet(bronze_path).count()
+    bronze_rows = read_bronze(spark, bronze_path).count()
     gold_rows = None
     out = []
     for _ in range(calls):

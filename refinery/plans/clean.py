@@ -49,7 +49,7 @@ def _clean_refresh(spark, bronze_path, store, clock, credits_per_hour, strict) -
     now = ntz(start)
 
     previous = store.current(SILVER_T)
-    replaced = spark.read.parquet(previous).count() if previous else 0  # D8
+    replaced = spark.read.schema(SILVER).parquet(previous).count() if previous else 0  # D8
 
     obs_b, obs_s = Observation("bronze"), Observation("silver")
     bronze = read_bronze(spark, bronze_path).observe(obs_b, F.count(F.lit(1)).alias("n"))

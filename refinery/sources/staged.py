@@ -14,10 +14,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from refinery.functions.scalar import epoch_ms_to_ts, ntz
 from refinery.functions.variant import whole_number
+from refinery.schemas import BRONZE
 
 YEAR_COL = "review_year"
+# Bronze as stored: the reference's two columns plus the partition column.
+BRONZE_STORED = T.StructType(BRONZE.fields + [T.StructField(YEAR_COL, T.IntegerType(), True)])
 
 
 def stage_lines(lines: DataFrame, path: str, compression: str = "gzip",
@@ -118,21 +123,22 @@ def load_bronze(spark: SparkSession, stage_path: str, bronze_path: str,
 
 def read_bronze(spark: SparkSession, bronze_path: str, year: int | None = None,
                 keep_year: bool = False) -> DataFrame:
-    """Bronze as (raw_json, load_timestamp).
+    """Bronze as (raw_json, load_timestamp), read with its fixed schema.
 
     With ``year`` only that partition's folder is listed and read (the
     ``basePath`` keeps ``review_year`` as a column), so a yearly step never
-    lists the other years' files.
+    lists the other years' files.  A Bronze table without the year layout is
+    read whole and gets ``review_year`` computed from the record.
     """
-    if year is None:
-        df = spark.read.parquet(bronze_path)
-    elif not year_partitioned(spark, bronze_path):
-        # a Bronze table without the year layout: filter on the computed year
-        df = with_year(spark.read.parquet(bronze_path).drop(YEAR_COL))
-        df = df.filter(F.col(YEAR_COL) == int(year))
+    if not year_partitioned(spark, bronze_path):
+        df = with_year(spark.read.schema(BRONZE).parquet(bronze_path))
+        if year is not None:
+            df = df.filter(F.col(YEAR_COL) == int(year))
+    elif year is None:
+        df = spark.read.schema(BRONZE_STORED).parquet(bronze_path)
     elif year_present(spark, bronze_path, year):
-        df = (spark.read.option("basePath", bronze_path)
+        df = (spark.read.schema(BRONZE_STORED).option("basePath", bronze_path)
               .parquet(f"{bronze_path}/{YEAR_COL}={int(year)}"))
     else:
-        df = spark.read.parquet(bronze_path).limit(0)
+        df = spark.createDataFrame([], BRONZE_STORED)
     return df if keep_year else df.drop(YEAR_COL)

@@ -157,3 +157,19 @@ def test_create_clean_tables_resets(spark, golden_bronze):
     assert read_runs(store).count() == 0
     m = clean_plan.clean_refresh(spark, golden_bronze[0], store, _clock())
     assert m.silver_rows_deleted == 0 and m.silver_rows_loaded == 19
+
+
+def test_methods_on_empty_bronze(spark, tmp_path):
+    from refinery.sources.staged import load_bronze
+    stage = tmp_path / "empty"
+    stage.mkdir()
+    bronze = f"{fresh_workspace(spark, 'empty-bronze')}/bronze"
+    load_bronze(spark, str(stage), bronze)
+    m = clean_plan.clean_refresh(spark, bronze, _store(spark, "t-e1"), _clock())
+    assert (m.bronze_row_count, m.silver_rows_loaded, m.gold_rows_loaded) == (0, 0, 0)
+    store = _store(spark, "t-e2")
+    batch_plan.create_batch_tables(spark, store)
+    results = batch_plan.run_all_batches(spark, bronze, store, clock=_clock())
+    assert results[-1].status == batch_plan.DONE and all(r.rows == 0 for r in results)
+    u = upsert_plan.process_upsert(spark, bronze, _store(spark, "t-e3"), _clock())
+    assert u.metrics.silver_rows_loaded == 0 and u.metrics.gold_rows_loaded == 0

@@ -86,3 +86,13 @@ def test_one_row_matches_schema(spark):
     df = one_row(spark, RUN_METRICS, row)
     assert df.schema == RUN_METRICS or [f.dataType for f in df.schema] == [f.dataType for f in RUN_METRICS]
     assert tuple(df.first()) == row and df.rdd.getNumPartitions() == 1
+
+
+def test_empty_stage_loads_and_reads_empty(spark, tmp_path):
+    stage = tmp_path / "stage"
+    stage.mkdir()
+    out = f"{fresh_workspace(spark, 't-empty-stage')}/bronze"
+    load = load_bronze(spark, str(stage), out)
+    assert (load.loaded_rows, load.rejected_lines) == (0, 0)
+    assert read_bronze(spark, out).count() == 0
+    assert read_bronze(spark, out, year=2010).count() == 0
