@@ -155,3 +155,34 @@ def test_out_of_range_timestamp_is_rejected_not_fatal(spark, tmp_path):
     assert load.loaded_rows == 2
     rows = silver_ops.extract(read_bronze(spark, out), UPSERT).collect()
     assert [r.asin for r in rows] == ["B"]
+
+
+NULL_FIELD_LINES = {
+    "rating": '{"rating":null,"title":"n-rating","text":"t","asin":"A1","parent_asin":"P","user_id":"U1","timestamp":1275350400000}',
+    "timestamp": '{"rating":3,"title":"n-ts","text":"t","asin":"A2","parent_asin":"P","user_id":"U2","timestamp":null}',
+    "text": '{"rating":3,"title":"n-text","text":null,"asin":"A3","parent_asin":"P","user_id":"U3","timestamp":1275350400000}',
+    "title": '{"rating":3,"title":null,"text":"t","asin":"A4","parent_asin":"P","user_id":"U4","timestamp":1275350400000}',
+    "parent_asin": '{"rating":3,"title":"n-parent","text":"t","asin":"A5","parent_asin":null,"user_id":"U5","timestamp":1275350400000}',
+    "helpful_vote": '{"rating":3,"title":"n-helpful","text":"t","asin":"A6","parent_asin":"P","user_id":"U6","timestamp":1275350400000,"helpful_vote":null}',
+    "verified_purchase": '{"rating":3,"title":"n-verified","text":"t","asin":"A7","parent_asin":"P","user_id":"U7","timestamp":1275350400000,"verified_purchase":null}',
+}
+
+
+def test_json_null_in_every_field(spark, tmp_path):
+    from refinery.session import fresh_workspace
+    from refinery.sources.staged import load_bronze
+    f = tmp_path / "nulls.jsonl"
+    f.write_text("\n".join(NULL_FIELD_LINES.values()) + "\n")
+    out = f"{fresh_workspace(spark, 'nulls')}/bronze"
+    assert load_bronze(spark, str(f), out).loaded_rows == 7
+    for spec in (CLEAN, UPSERT):
+        rows = {r.user_id: r for r in silver_ops.extract(read_bronze(spark, out), spec).collect()}
+        # a JSON null rating, timestamp or text rejects the row in every method
+        assert set(rows) == {"U4", "U5", "U6", "U7"}
+        assert rows["U4"].review_title is None
+        assert rows["U5"].parent_asin is None
+        assert rows["U6"].helpful_vote == (0 if spec is CLEAN else None)
+        assert rows["U7"].verified_purchase is None
+    gold = {g.parent_asin for g in gold_ops.aggregate(
+        silver_ops.extract(read_bronze(spark, out), CLEAN), CLEAN).collect()}
+    assert gold == {"P", None}
