@@ -44,6 +44,11 @@ def test_every_query_registered_with_oracle_or_reason():
                          "merge_history"}
 
 
+# Spark type -> DuckDB type of the same values.
+TYPE_MAP = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+            "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SMALL_SF)
@@ -52,6 +57,11 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _canon(df.columns, srows) == _canon(ocols, res.fetchall())
+    rel = con.sql(ORACLE[name])
+    otypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    stypes = {f.name: TYPE_MAP.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in df.schema.fields}
+    assert stypes == otypes
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
