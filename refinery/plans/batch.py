@@ -153,7 +153,7 @@ def _process_next_batch(spark, bronze_path, store, clock, credits_per_hour, last
         gold_rows_loaded=gold_total, duration_sec=duration,
         credits_used=estimate_credits(duration, credits_per_hour))
     with statement(spark, "INSERT INTO run_metrics"):
-        log_run(store, metrics)
+        log_run(store, metrics, per_batch=True)
 
     # 4) advance the watermark last: a failure before this repeats the year.
     with statement(spark, "UPDATE batch_state"):

@@ -79,9 +79,18 @@ def metrics_frame(spark: SparkSession, rows: list[RunMetrics]) -> DataFrame:
     return spark.createDataFrame([r.as_row() for r in rows], RUN_METRICS)
 
 
-def log_run(store, row: RunMetrics) -> None:
-    """INSERT INTO run_metrics (P5)."""
-    store.append(RUNS, one_row(store.spark, RUN_METRICS, row.as_row()))
+def log_run(store, row: RunMetrics, per_batch: bool = False) -> None:
+    """INSERT INTO run_metrics (P5).
+
+    ``per_batch`` (batch method) keeps the table partitioned by ``batch_id``
+    and overwrites the step's partition, so a retried year replaces its row
+    instead of logging the year twice.
+    """
+    frame = one_row(store.spark, RUN_METRICS, row.as_row())
+    if per_batch:
+        store.overwrite_partitions(RUNS, frame, "batch_id")
+    else:
+        store.append(RUNS, frame)
 
 
 def read_runs(store) -> DataFrame:

@@ -69,8 +69,11 @@ def test_batch_equals_closed_form_and_retry_is_idempotent(spark, golden_bronze):
     assert r.status.startswith("processed batch year=2010 rows=")
     assert _multiset(batch_plan.read_silver(store), SILVER_DATA_COLUMNS) == silver_before
     assert _multiset(store.read("gold", GOLD), GOLD_DATA_COLUMNS) == _multiset(closed, GOLD_DATA_COLUMNS)
-    # metrics: one row per processed year; gold_rows_loaded is the Gold total
-    runs = read_runs(store).filter(F.col("batch_id") == 2023).collect()
+    # metrics: one row per processed year, also after the retried 2010;
+    # gold_rows_loaded is the Gold total
+    all_runs = read_runs(store)
+    assert all_runs.count() == 28 and all_runs.filter(F.col("batch_id") == 2010).count() == 1
+    runs = all_runs.filter(F.col("batch_id") == 2023).collect()
     assert runs[0].gold_rows_loaded == len(closed.collect())
 
 
