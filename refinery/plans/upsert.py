@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from refinery.operators import gold as gold_ops
 from refinery.operators import silver as silver_ops
-from refinery.operators.merge import ACTION, merge_plan
+from refinery.operators.merge import ACTION, duplicate_keys, merge_plan
 from refinery.functions.scalar import ntz
 from refinery.plans.metrics import elapsed_sec, RUNS, Clock, RunMetrics, estimate_credits, log_run
 from refinery.plans.store import TableStore
@@ -84,7 +84,8 @@ def _observe_actions(plan: DataFrame, obs: Observation) -> DataFrame:
 
 def process_upsert(spark: SparkSession, bronze_path: str, store: TableStore,
                    clock: Clock | None = None, credits_per_hour: float | None = None,
-                   silver_buckets: int | None = None, strict: bool = False) -> UpsertResult:
+                   silver_buckets: int | None = None, strict: bool = False,
+                   prune_orphans: bool = False, verify_keys: bool = False) -> UpsertResult:
     """One upsert run (P4).  Credits default to NULL, as the reference logs.
 
     Silver is kept bucketed on (user_id, asin) into ``silver_buckets``, so the
@@ -92,17 +93,29 @@ def process_upsert(spark: SparkSession, bronze_path: str, store: TableStore,
     default the current snapshot's count is kept (the session's
     ``spark.sql.shuffle.partitions`` for a first run), and the merge runs with
     that many shuffle partitions so the source lands in matching buckets.
+
+    ``prune_orphans`` removes Gold rows whose product has no Silver rows left
+    (off by default: the reference keeps them stale, V13 / D12).
+    ``verify_keys`` first checks that the merge keys are unique on both sides
+    and raises otherwise (D14); it costs one aggregation per side, and the
+    method guarantees uniqueness by construction, so it is off by default.
     """
     if silver_buckets is None:
         silver_buckets = (store.bucket_count(SILVER_T)
                           or int(spark.conf.get("spark.sql.shuffle.partitions")))
     with method_tag(spark, "upsert"):
         return _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_buckets,
-                               strict)
+                               strict, prune_orphans, verify_keys)
+
+
+def _check_unique(df: DataFrame, keys: list[str], what: str) -> None:
+    dup = duplicate_keys(df, keys).limit(1).collect()
+    if dup:
+        raise ValueError(f"merge {what} has duplicate keys {keys}: {tuple(dup[0])[:len(keys)]}")
 
 
 def _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_buckets,
-                    strict) -> UpsertResult:
+                    strict, prune_orphans, verify_keys) -> UpsertResult:
     clock = clock or Clock()
     run_id = clock.new_id()
     start = clock.now()
@@ -111,7 +124,11 @@ def _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_b
 
     obs_b, obs_s = Observation("bronze"), Observation("silver_merge")
     bronze = read_bronze(spark, bronze_path).observe(obs_b, F.count(F.lit(1)).alias("n"))
-    plan = silver_merge_plan(store.read(SILVER_T, SILVER), silver_source(bronze, strict), now)
+    source = silver_source(bronze, strict)
+    if verify_keys:
+        _check_unique(source, KEYS, "source")
+        _check_unique(store.read(SILVER_T, SILVER), KEYS, "target")
+    plan = silver_merge_plan(store.read(SILVER_T, SILVER), source, now)
     with statement(spark, "MERGE INTO silver"), shuffle_partitions(spark, silver_buckets):
         store.replace_bucketed(SILVER_T, _observe_actions(plan, obs_s).drop(ACTION), KEYS,
                                silver_buckets)
@@ -119,8 +136,11 @@ def _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_b
 
     obs_g = Observation("gold_merge")
     gplan = gold_merge_plan(store.read(GOLD_T, GOLD), store.read(SILVER_T, SILVER), now)
+    gplan = _observe_actions(gplan, obs_g)
+    if prune_orphans:
+        gplan = gplan.filter(F.col(ACTION) != "keep")
     with statement(spark, "MERGE INTO gold"):
-        store.replace(GOLD_T, _observe_actions(gplan, obs_g).drop(ACTION))
+        store.replace(GOLD_T, gplan.drop(ACTION))
     g_act = _counts(obs_g)
 
     silver_loaded = s_act["insert"] + s_act["update"]

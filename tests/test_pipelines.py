@@ -176,3 +176,30 @@ def test_methods_on_empty_bronze(spark, tmp_path):
     assert results[-1].status == batch_plan.DONE and all(r.rows == 0 for r in results)
     u = upsert_plan.process_upsert(spark, bronze, _store(spark, "t-e3"), _clock())
     assert u.metrics.silver_rows_loaded == 0 and u.metrics.gold_rows_loaded == 0
+
+
+def test_upsert_prune_orphans_and_key_check(spark, tmp_path):
+    import pytest
+    from refinery.sources.staged import load_bronze
+    lines1 = ['{"rating":4,"text":"a","asin":"A1","parent_asin":"P1","user_id":"U1","timestamp":1275350400000}']
+    lines2 = ['{"rating":4,"text":"a","asin":"A1","parent_asin":"P9","user_id":"U1","timestamp":1275350400000}']
+    paths = []
+    for i, lines in enumerate((lines1, lines2)):
+        f = tmp_path / f"p{i}.jsonl"
+        f.write_text("\n".join(lines) + "\n")
+        out = f"{fresh_workspace(spark, 'bronze-p')}/bronze"
+        load_bronze(spark, str(f), out)
+        paths.append(out)
+    store = _store(spark, "t-prune")
+    upsert_plan.process_upsert(spark, paths[0], store, _clock(), verify_keys=True)
+    r = upsert_plan.process_upsert(spark, paths[1], store, _clock(), prune_orphans=True)
+    assert {g.parent_asin for g in store.read("gold", GOLD).collect()} == {"P9"}   # P1 pruned
+    assert r.gold_actions["keep"] == 1
+    # a target with a duplicated key is refused when checked
+    bad = _store(spark, "t-dupkeys")
+    dup = spark.createDataFrame([("U1", "A1"), ("U1", "A1")], "user_id string, asin string")
+    rows = dup.select(*[F.col(c) if c in ("user_id", "asin") else F.lit(None).cast(t).alias(c)
+                        for c, t in ((f.name, f.dataType) for f in SILVER.fields)])
+    bad.replace("silver", rows)
+    with pytest.raises(ValueError, match="target has duplicate keys"):
+        upsert_plan.process_upsert(spark, paths[0], bad, _clock(), verify_keys=True)
