@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -21,7 +20,7 @@ from refinery.operators import gold as gold_ops  # noqa: E402
 from refinery.operators import silver as silver_ops  # noqa: E402
 from refinery.plans.store import TableStore  # noqa: E402
 from refinery.schemas import SILVER  # noqa: E402
-from refinery.session import build_session  # noqa: E402
+from refinery.session import build_session, fresh_workspace  # noqa: E402
 from refinery.sources.staged import load_bronze, read_bronze  # noqa: E402
 from refinery.spec import CLEAN, UPSERT  # noqa: E402
 
@@ -40,8 +39,7 @@ def _canon(rows):
 
 def main() -> None:
     spark = build_session(master="local[4,3]", shuffle_partitions=4, app_name="retry")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-retry-"))
-    root = spark.sparkContext.getCheckpointDir()
+    root = fresh_workspace(spark, "retry")
     bronze = f"{root}/bronze"
     load_bronze(spark, os.path.join(ROOT, "tests", "data", "golden.jsonl"), bronze)
 
