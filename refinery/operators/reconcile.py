@@ -11,15 +11,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Column labels of the layer-count report (fixed values, as published).
+LAYER_LABEL = "warstwa"
+ROWS_LABEL = "wierszy"
+
 
 def layer_counts(**layers: DataFrame) -> DataFrame:
-    """``SELECT 'name' AS warstwa, COUNT(*) AS wierszy ... UNION ALL``.
+    """Row count per layer, one union branch per layer.
 
     Each count is a global aggregate (partial count per task, one final row),
     and the one-row results are unioned.
     """
-    parts = [df.agg(F.count(F.lit(1)).alias("wierszy"))
-             .select(F.lit(name).alias("warstwa"), "wierszy") for name, df in layers.items()]
+    parts = [df.agg(F.count(F.lit(1)).alias(ROWS_LABEL))
+             .select(F.lit(name).alias(LAYER_LABEL), ROWS_LABEL) for name, df in layers.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
