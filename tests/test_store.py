@@ -96,3 +96,17 @@ def test_empty_stage_loads_and_reads_empty(spark, tmp_path):
     assert (load.loaded_rows, load.rejected_lines) == (0, 0)
     assert read_bronze(spark, out).count() == 0
     assert read_bronze(spark, out, year=2010).count() == 0
+
+
+def test_list_staged_files_metadata_only(spark, tmp_path):
+    from refinery.sources.staged import list_staged, stage_lines
+    lines = spark.createDataFrame([(f'{{"i": {i}}}',) for i in range(50)], "value string")
+    stage = f"{fresh_workspace(spark, 't-list')}/stage"
+    stage_lines(lines, stage, files=3)
+    listed = list_staged(spark, stage)
+    assert listed.columns == ["name", "size", "last_modified"]
+    rows = listed.collect()
+    assert 1 <= len(rows) <= 3 and all(r.size > 0 and r.name.endswith(".gz") for r in rows)
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[-1]          # file bodies are not read
+    assert load_bronze(spark, stage, f"{stage}-bronze").loaded_rows == 50
