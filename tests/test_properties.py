@@ -108,3 +108,44 @@ def test_gold_counts_never_exceed_total(spark, rows):
         assert r.verified_count + r.unverified_count <= r.total_reviews
         assert r.reviews_with_images <= r.total_reviews
         assert r.earliest_review_ts <= r.latest_review_ts
+
+
+ROW = st.tuples(st.sampled_from(["a", "b", "c", None]), st.one_of(st.none(), st.integers(0, 2)))
+
+
+@SETTINGS
+@given(a=st.lists(ROW, max_size=12), b=st.lists(ROW, max_size=12))
+def test_multiset_differences_match_counter(spark, a, b):
+    from collections import Counter
+
+    from refinery.operators.reconcile import multiset_differences
+    schema = "k string, v int"
+    got = {(r.k, r.v, r.side): r.copies for r in multiset_differences(
+        spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), "a", "b").collect()}
+    ca, cb = Counter(a), Counter(b)
+    expected = {}
+    for row in set(ca) | set(cb):
+        if ca[row] != cb[row]:
+            side = "only_a" if ca[row] > cb[row] else "only_b"
+            expected[(row[0], row[1], side)] = abs(ca[row] - cb[row])
+    assert got == expected
+
+
+@SETTINGS
+@given(a=st.dictionaries(st.sampled_from(["k1", "k2", "k3", None]), VAL, max_size=4),
+       b=st.dictionaries(st.sampled_from(["k1", "k2", "k3", None]), VAL, max_size=4))
+def test_keyed_differences_match_dicts(spark, a, b):
+    from refinery.operators.reconcile import keyed_differences
+    schema = "key string, v int"
+    got = {r.key: (r.status, r.differing_columns) for r in keyed_differences(
+        spark.createDataFrame(list(a.items()), schema), spark.createDataFrame(list(b.items()), schema),
+        ["key"], ["v"], "a", "b").collect()}
+    expected = {}
+    for k in set(a) | set(b):
+        if k not in b:
+            expected[k] = ("only_a", "")
+        elif k not in a:
+            expected[k] = ("only_b", "")
+        elif a[k] != b[k]:
+            expected[k] = ("differs", "v")
+    assert got == expected
