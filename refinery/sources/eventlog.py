@@ -27,6 +27,10 @@ _JOB_END = T.StructType([
     T.StructField("Completion Time", T.LongType()),
     T.StructField("Job Result", T.StructType([T.StructField("Result", T.StringType())])),
 ])
+_SQL_START = T.StructType([
+    T.StructField("executionId", T.LongType()),
+    T.StructField("time", T.LongType()),
+])
 _IO = lambda *names: T.StructType([T.StructField(n, T.LongType()) for n in names])
 _TASK_END = T.StructType([
     T.StructField("Stage ID", T.IntegerType()),
@@ -42,7 +46,7 @@ _TASK_END = T.StructType([
 ])
 
 HISTORY_COLUMNS = ["query_id", "jobs", "query", "description", "tags", "start_time", "total_sec",
-                   "execute_sec", "rows_read", "rows_written", "mb_scanned",
+                   "compile_sec", "execute_sec", "rows_read", "rows_written", "mb_scanned",
                    "shuffle_mb", "shuffle_bytes", "shuffle_records", "bytes_spilled", "result"]
 
 
@@ -107,6 +111,11 @@ def job_history(events: DataFrame) -> DataFrame:
         F.sum("rows_written").alias("rows_written"), F.sum("bytes_read").alias("bytes_read"),
         F.sum("shuffle_bytes").alias("shuffle_bytes"), F.sum("shuffle_records").alias("shuffle_records"),
         F.sum("spill").alias("spill"))
+    # Planning time: from the SQL execution's start to its first job.
+    sql_starts = (events.filter(F.col("event").endswith("SparkListenerSQLExecutionStart"))
+                  .select(F.from_json("json", _SQL_START).alias("e"))
+                  .select(F.col("e.executionId").cast("string").alias("query_id"),
+                          F.col("e.time").alias("sql_start_ms")))
     # One row per statement: AQE runs a statement as several jobs.
     jobs = starts.join(ends, "job_id", "left").join(per_job, "job_id", "left")
     per_query = jobs.groupBy("query_id").agg(
@@ -119,12 +128,14 @@ def job_history(events: DataFrame) -> DataFrame:
         F.sum("shuffle_bytes").alias("shuffle_bytes"),
         F.sum("shuffle_records").alias("shuffle_records"), F.sum("spill").alias("spill"),
         F.min("result").alias("result"))   # JobFailed sorts before JobSucceeded
+    per_query = per_query.join(sql_starts, "query_id", "left")
     return per_query.select(
         "query_id", "jobs",
         F.left(F.col("description"), F.lit(60)).alias("query"),
         "description", "tags",
         _ms_to_ts(F.col("start_ms")).alias("start_time"),
         round_half_up((F.col("end_ms") - F.col("start_ms")) / 1000.0, 2).alias("total_sec"),
+        round_half_up((F.col("start_ms") - F.col("sql_start_ms")) / 1000.0, 2).alias("compile_sec"),
         round_half_up(F.col("run_ms") / 1000.0, 2).alias("execute_sec"),
         F.coalesce("rows_read", F.lit(0)).alias("rows_read"),
         F.coalesce("rows_written", F.lit(0)).alias("rows_written"),
@@ -155,7 +166,7 @@ def query_history(history: DataFrame, tag: str | None = None, pattern: str | Non
 
 def empty_history(spark: SparkSession) -> DataFrame:
     schema = ("query_id string, jobs bigint, query string, description string, tags string, start_time timestamp_ntz, "
-              "total_sec double, execute_sec double, rows_read bigint, rows_written bigint, "
+              "total_sec double, compile_sec double, execute_sec double, rows_read bigint, rows_written bigint, "
               "mb_scanned double, shuffle_mb double, shuffle_bytes bigint, shuffle_records bigint, "
               "bytes_spilled bigint, "
               "result string")

@@ -82,3 +82,16 @@ def test_job_history_from_event_log(spark, golden_bronze):
     assert m.rows_read >= 30 and m.total_sec >= 0
     latest = eventlog.query_history(hist, tag="method=upsert", k=1).collect()
     assert len(latest) == 1
+
+
+def test_history_columns_and_compile_time(spark, golden_bronze):
+    from refinery.sources import eventlog
+    from refinery.sources.staged import read_bronze
+    from refinery.plans.tags import statement
+    with statement(spark, "history-columns probe"):
+        read_bronze(spark, golden_bronze[0]).count()
+    hist = eventlog.job_history(eventlog.read_events(spark, eventlog.event_log_dir(spark)))
+    assert hist.columns == eventlog.HISTORY_COLUMNS
+    assert eventlog.empty_history(spark).columns == eventlog.HISTORY_COLUMNS
+    (r,) = eventlog.query_history(hist, pattern="history-columns probe").collect()
+    assert r.compile_sec is not None and r.compile_sec >= 0
