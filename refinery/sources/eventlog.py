@@ -31,6 +31,13 @@ _SQL_START = T.StructType([
     T.StructField("executionId", T.LongType()),
     T.StructField("time", T.LongType()),
 ])
+_ACCUM_UPDATES = T.StructType([
+    T.StructField("executionId", T.LongType()),
+    T.StructField("accumUpdates", T.ArrayType(T.ArrayType(T.LongType()))),
+])
+# SQL metrics of file scans that stand for the warehouse's "partitions scanned"
+# (fixed metric names of Spark's scan operators).
+SCAN_METRICS = {"files_read": "number of files read", "partitions_read": "number of partitions read"}
 _IO = lambda *names: T.StructType([T.StructField(n, T.LongType()) for n in names])
 _TASK_END = T.StructType([
     T.StructField("Stage ID", T.IntegerType()),
@@ -47,7 +54,8 @@ _TASK_END = T.StructType([
 
 HISTORY_COLUMNS = ["query_id", "jobs", "query", "description", "tags", "start_time", "total_sec",
                    "compile_sec", "execute_sec", "rows_read", "rows_written", "mb_scanned",
-                   "shuffle_mb", "shuffle_bytes", "shuffle_records", "bytes_spilled", "result"]
+                   "shuffle_mb", "shuffle_bytes", "files_read", "partitions_read", "shuffle_records",
+                   "bytes_spilled", "result"]
 
 
 def event_log_dir(spark: SparkSession) -> str | None:
@@ -116,6 +124,7 @@ def job_history(events: DataFrame) -> DataFrame:
                   .select(F.from_json("json", _SQL_START).alias("e"))
                   .select(F.col("e.executionId").cast("string").alias("query_id"),
                           F.col("e.time").alias("sql_start_ms")))
+    scans = _scan_metrics(events)
     # One row per statement: AQE runs a statement as several jobs.
     jobs = starts.join(ends, "job_id", "left").join(per_job, "job_id", "left")
     per_query = jobs.groupBy("query_id").agg(
@@ -128,7 +137,7 @@ def job_history(events: DataFrame) -> DataFrame:
         F.sum("shuffle_bytes").alias("shuffle_bytes"),
         F.sum("shuffle_records").alias("shuffle_records"), F.sum("spill").alias("spill"),
         F.min("result").alias("result"))   # JobFailed sorts before JobSucceeded
-    per_query = per_query.join(sql_starts, "query_id", "left")
+    per_query = per_query.join(sql_starts, "query_id", "left").join(scans, "query_id", "left")
     return per_query.select(
         "query_id", "jobs",
         F.left(F.col("description"), F.lit(60)).alias("query"),
@@ -142,11 +151,41 @@ def job_history(events: DataFrame) -> DataFrame:
         round_half_up(F.coalesce("bytes_read", F.lit(0)) / 1024 / 1024, 1).alias("mb_scanned"),
         round_half_up(F.coalesce("shuffle_bytes", F.lit(0)) / 1024 / 1024, 1).alias("shuffle_mb"),
         F.coalesce("shuffle_bytes", F.lit(0)).alias("shuffle_bytes"),
+        F.coalesce("files_read", F.lit(0)).alias("files_read"),
+        F.coalesce("partitions_read", F.lit(0)).alias("partitions_read"),
         F.coalesce("shuffle_records", F.lit(0)).alias("shuffle_records"),
         F.coalesce("spill", F.lit(0)).alias("bytes_spilled"),
         "result")
 
 
+def _scan_metrics(events: DataFrame) -> DataFrame:
+    """Files and partitions read per SQL execution.
+
+    Plan events name each SQL metric with its accumulator id; driver-side
+    accumulator updates carry the values.  Both are joined on (execution,
+    accumulator), keeping the last value of each accumulator.
+    """
+    plans = events.filter(F.col("event").endswith("SparkListenerSQLExecutionStart")
+                          | F.col("event").endswith("SparkListenerSQLAdaptiveExecutionUpdate"))
+    ids = []
+    for out, name in SCAN_METRICS.items():
+        pattern = f'"name":"{name}","accumulatorId":(\\d+)'
+        ids.append(plans.select(
+            F.get_json_object("json", "$.executionId").cast("long").alias("exec_id"),
+            F.explode(F.regexp_extract_all("json", F.lit(pattern), 1)).alias("acc"),
+            F.lit(out).alias("metric")))
+    metric_ids = ids[0].unionByName(ids[1]).select(
+        "exec_id", F.col("acc").cast("long").alias("acc"), "metric").distinct()
+    updates = (events.filter(F.col("event").endswith("SparkListenerDriverAccumUpdates"))
+               .select(F.from_json("json", _ACCUM_UPDATES).alias("e"))
+               .select(F.col("e.executionId").alias("exec_id"), F.explode("e.accumUpdates").alias("u"))
+               .select("exec_id", F.col("u")[0].alias("acc"), F.col("u")[1].alias("value"))
+               .groupBy("exec_id", "acc").agg(F.max("value").alias("value")))
+    joined = metric_ids.join(updates, ["exec_id", "acc"])
+    return (joined.groupBy(F.col("exec_id").cast("string").alias("query_id"))
+            .agg(*[F.sum(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in SCAN_METRICS]))
+
+
 def has_tag(tag: str) -> Column:
     """The job carried ``tag`` (F13); session tags are stored with a prefix."""
     return F.exists(F.split(F.coalesce(F.col("tags"), F.lit("")), ","),
@@ -167,7 +206,8 @@ def query_history(history: DataFrame, tag: str | None = None, pattern: str | Non
 def empty_history(spark: SparkSession) -> DataFrame:
     schema = ("query_id string, jobs bigint, query string, description string, tags string, start_time timestamp_ntz, "
               "total_sec double, compile_sec double, execute_sec double, rows_read bigint, rows_written bigint, "
-              "mb_scanned double, shuffle_mb double, shuffle_bytes bigint, shuffle_records bigint, "
+              "mb_scanned double, shuffle_mb double, shuffle_bytes bigint, files_read bigint, "
+              "partitions_read bigint, shuffle_records bigint, "
               "bytes_spilled bigint, "
               "result string")
     return spark.createDataFrame([], schema)

@@ -95,3 +95,14 @@ def test_history_columns_and_compile_time(spark, golden_bronze):
     assert eventlog.empty_history(spark).columns == eventlog.HISTORY_COLUMNS
     (r,) = eventlog.query_history(hist, pattern="history-columns probe").collect()
     assert r.compile_sec is not None and r.compile_sec >= 0
+
+
+def test_history_counts_files_and_partitions_read(spark, golden_bronze):
+    from refinery.sources import eventlog
+    from refinery.sources.staged import read_bronze
+    from refinery.plans.tags import statement
+    with statement(spark, "files-read probe"):
+        read_bronze(spark, golden_bronze[0], year=2010).count()
+    hist = eventlog.job_history(eventlog.read_events(spark, eventlog.event_log_dir(spark)))
+    (r,) = eventlog.query_history(hist, pattern="files-read probe").collect()
+    assert r.files_read >= 1 and r.partitions_read == 1      # one year partition
