@@ -99,7 +99,7 @@ class BronzeLoad:
 
 
 def load_bronze(spark: SparkSession, stage_path: str, bronze_path: str,
-                load_time=None) -> BronzeLoad:
+                load_time=None, on_error: str = "continue") -> BronzeLoad:
     """COPY INTO bronze ... ON_ERROR='CONTINUE' (A3, A4, P11).
 
     One pass over the staged files: lines that do not parse are counted by an
@@ -107,8 +107,13 @@ def load_bronze(spark: SparkSession, stage_path: str, bronze_path: str,
     the load time and written partitioned by ``review_year``.  Each task writes
     at most one file per year it holds (the writer sorts by partition value),
     so no shuffle of the raw data is needed.
+
+    ``on_error="abort"`` fails the load on the first line that does not parse
+    (the JSON reader's FAILFAST mode) instead of skipping it.
     """
-    raw = read_staged(spark, stage_path)
+    if on_error not in ("continue", "abort"):
+        raise ValueError("on_error must be 'continue' or 'abort'")
+    raw = read_staged(spark, stage_path, mode="PERMISSIVE" if on_error == "continue" else "FAILFAST")
     obs = Observation("bronze_load")
     stamp = ntz(load_time) if load_time is not None else F.localtimestamp()
     out = (raw.observe(obs, F.count(F.lit(1)).alias("lines"),

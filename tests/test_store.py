@@ -110,3 +110,11 @@ def test_list_staged_files_metadata_only(spark, tmp_path):
     plan = listed._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1]          # file bodies are not read
     assert load_bronze(spark, stage, f"{stage}-bronze").loaded_rows == 50
+
+
+def test_load_abort_on_error(spark):
+    import pytest
+    from refinery.session import fresh_workspace as fw
+    from tests.conftest import GOLDEN
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST|parse"):
+        load_bronze(spark, GOLDEN, f"{fw(spark, 't-abort')}/bronze", on_error="abort")
