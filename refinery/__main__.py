@@ -2,7 +2,7 @@
 
 Commands mirror what a user of the SQL original runs:
 
-  load     --stage DIR --bronze DIR                 staged JSON-lines -> Bronze
+  load     --stage DIR --bronze DIR [--on-error continue|abort]   staged JSON-lines -> Bronze
   clean    --bronze DIR --target DIR                one clean refresh
   batch    --bronze DIR --target DIR [--create] [--reset-year Y] [--calls N]
   upsert   --bronze DIR --target DIR
@@ -36,6 +36,7 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("load")
     p.add_argument("--stage", required=True)
     p.add_argument("--bronze", required=True)
+    p.add_argument("--on-error", choices=["continue", "abort"], default="continue")
     for name in ("clean", "batch", "upsert"):
         p = sub.add_parser(name)
         p.add_argument("--bronze", required=True)
@@ -58,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = _spark()
     if a.cmd == "load":
         from refinery.sources.staged import load_bronze
-        r = load_bronze(spark, a.stage, a.bronze)
+        r = load_bronze(spark, a.stage, a.bronze, on_error=a.on_error)
         print(f"loaded={r.loaded_rows} rejected={r.rejected_lines}")
         return 0
     store = TableStore(spark, a.target)
