@@ -24,10 +24,10 @@ from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from refinery.functions.scalar import ntz
 from refinery.operators import gold as gold_ops
 from refinery.operators import silver as silver_ops
-from refinery.functions.scalar import ntz
-from refinery.plans.metrics import elapsed_sec, RUNS, Clock, RunMetrics, estimate_credits, log_run
+from refinery.plans.metrics import RUNS, Clock, RunMetrics, elapsed_sec, estimate_credits, log_run
 from refinery.plans.store import TableStore
 from refinery.plans.tags import method_tag, statement
 from refinery.schemas import BATCH_STATE, GOLD, GOLD_PARTS, SILVER, one_row

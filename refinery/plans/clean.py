@@ -10,13 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
+from refinery.functions.scalar import ntz
 from refinery.operators import gold as gold_ops
 from refinery.operators import silver as silver_ops
-from refinery.functions.scalar import ntz
-from refinery.plans.metrics import elapsed_sec, Clock, RunMetrics, estimate_credits, log_run
+from refinery.plans.metrics import RUNS, Clock, RunMetrics, elapsed_sec, estimate_credits, log_run
 from refinery.plans.store import TableStore
 from refinery.plans.tags import method_tag, statement
-from refinery.plans.metrics import RUNS
 from refinery.schemas import GOLD, SILVER
 from refinery.sources.staged import read_bronze
 from refinery.spec import CLEAN

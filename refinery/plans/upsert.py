@@ -5,8 +5,10 @@ Plan shape per run (checked with ``explain``):
 
 * Bronze scan -> projection/filter -> partial ``WindowGroupLimit`` (top-1 per
   key inside each task) -> shuffle on (user_id, asin) -> final top-1.
-* Silver snapshot scan -> shuffle on (user_id, asin) -> full outer sort-merge
-  join with the source, which reuses the window's partitioning.
+* Silver snapshot, stored bucketed on (user_id, asin) -> bucketed scan, no
+  shuffle -> full outer sort-merge join with the source, whose single shuffle
+  (the window's) lands in the same buckets.  The new Silver is written back
+  bucketed, one file per bucket.
 * Gold: partial aggregate of the new Silver -> shuffle on ``parent_asin`` ->
   final aggregate -> full outer join with the (small) Gold table.
 
@@ -21,11 +23,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from refinery.functions.scalar import ntz
 from refinery.operators import gold as gold_ops
 from refinery.operators import silver as silver_ops
 from refinery.operators.merge import ACTION, duplicate_keys, merge_plan
-from refinery.functions.scalar import ntz
-from refinery.plans.metrics import elapsed_sec, RUNS, Clock, RunMetrics, estimate_credits, log_run
+from refinery.plans.metrics import RUNS, Clock, RunMetrics, elapsed_sec, estimate_credits, log_run
 from refinery.plans.store import TableStore
 from refinery.plans.tags import method_tag, shuffle_partitions, statement
 from refinery.schemas import GOLD, GOLD_COLUMNS, RUN_METRICS, SILVER, SILVER_COLUMNS
