@@ -162,3 +162,51 @@ def test_two_upserts_match_merge_model(spark, tmp_path_factory, w1, w2):
     gold = {r.parent_asin: (round(r.avg_rating, 9),) + tuple(r)[2:9]
             for r in store.read("gold", GOLD).collect()}
     assert gold == expected
+
+
+BATCH_RECORD = st.fixed_dictionaries({
+    "rating": st.sampled_from([1, 2, 3.5, 5, 0.5]),
+    "text": st.sampled_from(["x", ""]),
+    "asin": st.sampled_from(["A1", "A2", MISSING]),
+    "user_id": st.sampled_from(["U1", "U2"]),
+    "timestamp": st.sampled_from([820454399999, 820454400000, 1275350400000, 1704067199999,
+                                  1704067200000]),
+    "parent_asin": st.sampled_from([MISSING, "P1", "P2"]),
+    "title": st.just("t"),
+    "helpful_vote": st.sampled_from([MISSING, 0, 3]),
+    "verified_purchase": st.sampled_from([MISSING, True, False]),
+    "images": st.sampled_from([MISSING, [], [{"u": 1}]]),
+})
+
+
+def _round2(x: float) -> float:
+    from decimal import ROUND_HALF_UP, Decimal
+    return float(Decimal(repr(x)).quantize(Decimal("0.000001"), ROUND_HALF_UP)
+                 .quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(records=st.lists(BATCH_RECORD, min_size=1, max_size=12))
+def test_batch_catch_up_matches_model(spark, tmp_path_factory, records):
+    from refinery.plans import batch as batch_plan
+    from refinery.plans.store import TableStore
+    from refinery.schemas import GOLD
+    f = tmp_path_factory.mktemp("batch") / "r.jsonl"
+    f.write_text("\n".join(json.dumps({k: v for k, v in r.items() if v is not MISSING})
+                           for r in records) + "\n")
+    out = f"{fresh_workspace(spark, 'batch-model')}/bronze"
+    load_bronze(spark, str(f), out)
+    store = TableStore(spark, fresh_workspace(spark, "batch-model-run"))
+    batch_plan.create_batch_tables(spark, store)
+    batch_plan.run_all_batches(spark, out, store)
+
+    silver = [r for r in _model(records, CLEAN) if r[9] < dt.datetime(2024, 1, 1)]
+    canon = lambda rows: sorted(rows, key=lambda t: tuple((x is None, str(x)) for x in t))
+    got = canon([tuple(r) for r in batch_plan.read_silver(store).drop("loaded_at").collect()])
+    assert got == canon(silver)
+    expected = {}
+    for p, v in _gold_model(silver).items():
+        rows = [r for r in silver if r[2] == p]
+        expected[p] = (_round2(sum(r[4] for r in rows) / len(rows)),) + v[1:]
+    gold = {r.parent_asin: tuple(r)[1:9] for r in store.read("gold", GOLD).collect()}
+    assert gold == expected
