@@ -179,6 +179,14 @@ BATCH_RECORD = st.fixed_dictionaries({
 })
 
 
+# Valid records on both sides of each batch boundary, added to every example.
+EDGE_RECORDS = [
+    {"rating": 4, "text": "x", "asin": f"E{i}", "user_id": "UE", "timestamp": ts, "parent_asin": "PE",
+     "title": "t", "helpful_vote": MISSING, "verified_purchase": MISSING, "images": MISSING}
+    for i, ts in enumerate([820454399999, 820454400000, 1704067199999, 1704067200000])
+]
+
+
 def _round2(x: float) -> float:
     from decimal import ROUND_HALF_UP, Decimal
     return float(Decimal(repr(x)).quantize(Decimal("0.000001"), ROUND_HALF_UP)
@@ -188,6 +196,7 @@ def _round2(x: float) -> float:
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(records=st.lists(BATCH_RECORD, min_size=1, max_size=12))
 def test_batch_catch_up_matches_model(spark, tmp_path_factory, records):
+    records = records + EDGE_RECORDS
     from refinery.plans import batch as batch_plan
     from refinery.plans.store import TableStore
     from refinery.schemas import GOLD
