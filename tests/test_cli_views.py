@@ -37,3 +37,19 @@ def test_cli_runs_upsert_and_report(spark, golden_bronze, capsys):
     assert "silver" in out and "16" in out
     assert main(["sql", "--target", target, "--method", "upsert",
                  "SELECT COUNT(*) AS n FROM gold"]) == 0
+
+
+def test_views_for_clean_and_upsert(spark, golden_bronze):
+    from refinery.plans import clean as clean_plan
+    from refinery.plans import upsert as upsert_plan
+    for method, run in (("clean_refresh", clean_plan.clean_refresh),
+                        ("upsert", upsert_plan.process_upsert)):
+        store = TableStore(spark, fresh_workspace(spark, f"t-views-{method}"))
+        run(spark, golden_bronze[0], store)
+        views.register(spark, store, method, prefix=f"v_{method}_")
+        counts = spark.sql(f"""
+            SELECT (SELECT COUNT(*) FROM v_{method}_silver) AS s,
+                   (SELECT COUNT(*) FROM v_{method}_gold) AS g,
+                   (SELECT MAX(method) FROM v_{method}_run_metrics) AS m""").first()
+        assert counts.m == method
+        assert (counts.s, counts.g) == ((19, 8) if method == "clean_refresh" else (16, 7))
