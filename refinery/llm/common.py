@@ -68,6 +68,16 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
 
 
 
+def hash_sample(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """The ``rows`` rows of ``df`` whose keys have the smallest hashes.
+
+    Only hashes are sorted; the rows are then read by the largest of those.
+    """
+    h = F.xxhash64(*keys)
+    last = df.select(h.alias("h")).orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    return df.limit(0) if last is None else df.filter(h <= last).limit(rows)
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the Python workers, once per application."""
     app = spark.sparkContext.applicationId

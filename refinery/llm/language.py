@@ -1 +1,272 @@
-"""placeholder"""
+"""Language ID: multinomial logistic regression on TF-IDF of character n-grams.
+
+Letters are lower-cased, runs of anything else become one space, and the 1- to
+3-grams of the result are hashed to ``DIM`` features.  A document's vector is
+tf-idf of length 1.  The weights are sparse: they are trained with
+follow-the-regularised-leader under an elastic-net penalty.  A temperature,
+fitted on labelled rows kept out of that training, calibrates the scores.
+
+Document frequencies count every training document.  Weights and temperature
+come from at most ``SAMPLE_ROWS`` labelled rows, those of smallest hash in each
+language.  At most ``MAX_LANGUAGES`` languages are learned, the most frequent.
+
+Defined results.  Null text or no letter: ``und`` with score 0.  No labelled
+rows, or an empty table: everything is ``und`` with score 0.  Null doc_id: not
+learned from, not held out.  Repeated rows: a row each.  Other columns are
+ignored by ``predict`` and kept by ``accepted``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from .common import slices
+
+DIM = 1 << 15
+ORDERS = (1, 2, 3)
+SAMPLE_ROWS = 2_400
+MAX_LANGUAGES = 200
+EPOCHS = 3
+#: Learning rate, its offset, L1 and L2 of the regularised leader.
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.01
+FOLDS = 5
+#: A document is rejected if no language is likelier than all others together.
+MIN_SCORE = 0.5
+
+UNKNOWN = "und"
+
+
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """For each code point: itself if a letter, else a space."""
+    points = range(0x110000)
+    return np.fromiter((c if chr(c).isalpha() else 32 for c in points), np.uint32, 0x110000)
+
+
+def features(text: str | None) -> np.ndarray:
+    """The hashed n-grams of a text, repeats included; none without a letter."""
+    if not text:
+        return np.empty(0, np.int64)
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    a = np.empty(len(points) + 2, np.uint32)
+    a[0] = a[-1] = 32
+    a[1:-1] = _letters()[points]
+    space = a == 32
+    keep = ~space
+    keep[1:] |= ~space[:-1]
+    keep[0] = True
+    a = a[keep]
+    if len(a) < 2:
+        return np.empty(0, np.int64)
+    out = []
+    for order in ORDERS:
+        n = len(a) - order + 1
+        if n <= 0:
+            continue
+        h = np.full(n, order * 0x9E3779B1 & 0xFFFFFFFF, np.uint32)
+        for j in range(order):
+            h ^= a[j:j + n]
+            h *= np.uint32(0x85EBCA6B)
+            h ^= h >> np.uint32(15)
+        out.append(h[a[:n] != 32] if order == 1 else h)
+    return (np.concatenate(out) & np.uint32(DIM - 1)).astype(np.int64)
+
+
+def counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """(features, counts) of a text."""
+    f = features(text)
+    n = np.bincount(f, minlength=DIM)
+    at = np.flatnonzero(n)
+    return at, n[at]
+
+
+@dataclass
+class Model:
+    """Languages, inverse document frequencies, weights (a column per language), temperature."""
+
+    languages: list[str]
+    idf: np.ndarray
+    weights: np.ndarray
+    bias: np.ndarray
+    temperature: float = 1.0
+
+    def vector(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        x = n * self.idf[at]
+        norm = np.sqrt(x @ x)
+        return x / norm if norm else x
+
+    def logits(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return self.vector(at, n) @ self.weights[at] + self.bias
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        at, n = counts(text)
+        if not len(at) or not self.languages:
+            return UNKNOWN, 0.0
+        p = softmax(self.logits(at, n) / self.temperature)
+        best = int(p.argmax())
+        return self.languages[best], float(p[best])
+
+
+def softmax(z: np.ndarray) -> np.ndarray:
+    e = np.exp(z - z.max(axis=-1, keepdims=True))
+    return e / e.sum(axis=-1, keepdims=True)
+
+
+def follow_leader(rows: list[tuple[int, np.ndarray, np.ndarray]], languages: int,
+                  epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (DIM, languages) and biases from (language, features, values).
+
+    Each coordinate keeps the sum of its adjusted gradients z and of their
+    squares n; its weight is 0 while |z| is within L1.
+    """
+    z, n = np.zeros((DIM + 1, languages)), np.zeros((DIM + 1, languages))
+
+    def weight(at) -> np.ndarray:
+        own = z[at]
+        w = -(own - np.sign(own) * L1) / ((BETA + np.sqrt(n[at])) / ALPHA + L2)
+        return np.where(np.abs(own) > L1, w, 0.0)
+
+    for _ in range(epochs):
+        for language, at, x in rows:
+            at, x = np.append(at, DIM), np.append(x, 1.0)
+            w = weight(at)
+            p = softmax(x @ w)
+            p[language] -= 1.0
+            g = x[:, None] * p
+            step = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
+            z[at] += g - step * w
+            n[at] += g * g
+    w = weight(np.arange(DIM + 1))
+    return w[:DIM], w[DIM]
+
+
+def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
+    """The temperature of least cross-entropy, by golden-section search on its logarithm.
+
+    A label counts as (n + 1) / (n + 2) sure, so that n right answers don't ask for certainty.
+    """
+    n, languages = logits.shape
+    if n == 0 or languages < 2:
+        return 1.0
+    target = np.full(logits.shape, 1 / (n + 2) / (languages - 1))
+    target[np.arange(n), labels] = (n + 1) / (n + 2)
+
+    def loss(log_t: float) -> float:
+        z = logits / np.exp(log_t)
+        top = z.max(axis=1, keepdims=True)
+        return -float((target * (z - top - np.log(np.exp(z - top).sum(axis=1, keepdims=True)))).sum())
+
+    low, high, ratio = -4.0, 4.0, (5 ** 0.5 - 1) / 2
+    for _ in range(60):
+        a, b = high - ratio * (high - low), low + ratio * (high - low)
+        low, high = (low, b) if loss(a) < loss(b) else (a, high)
+    return float(np.exp((low + high) / 2))
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Whether a document is kept out of all learning; false for a null id."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
+
+
+def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
+    """How many texts have each feature, and how many texts there are, over all rows."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen, rows = np.zeros(DIM, np.int64), np.zeros(DIM, bool), 0
+        for batch in slices(batches):
+            for text in batch.column(0).to_pylist():
+                seen[:] = False
+                seen[features(text)] = True
+                total += seen
+                rows += 1
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(at, -1)), pa.array(np.append(total[at], rows))], ["feature", "n"])
+
+    found = (texts.mapInArrow(count, "feature long, n long")
+             .groupBy("feature").agg(F.sum("n").alias("n")).toArrow())  # DIM + 1 rows at most
+    df, rows = np.zeros(DIM, np.int64), 0
+    for feature, n in zip(found.column(0).to_pylist(), found.column(1).to_pylist()):
+        if feature < 0:
+            rows = n
+        else:
+            df[feature] = n
+    return df, rows
+
+
+def train(docs: DataFrame) -> Model:
+    """A model from the labelled documents that are not held out."""
+    docs = docs.select(F.col("doc_id"), F.col("text"), F.col("lang")).filter(
+        "doc_id is not null and lang is not null").filter(~held_out())
+    top = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    languages = sorted(r[0] for r in top)
+    if not languages:
+        return Model([], np.zeros(DIM), np.zeros((DIM, 0)), np.zeros(0))
+    df, rows = document_frequencies(docs.select("text"))
+    idf = np.log((1 + rows) / (1 + df)) + 1
+    # The rows of smallest hash in each language: ids first, then their texts.
+    each = max(10, SAMPLE_ROWS // len(languages))
+    ranked = docs.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn(
+        "rank", F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id")))
+    chosen = ranked.filter(F.col("rank") <= each).filter(F.col("lang").isin(languages)).select("doc_id").distinct()
+
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            found = [counts(t) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())),
+                 pa.array([f[1].astype(np.int32) for f in found], pa.list_(pa.int32()))], ["h", "lang", "at", "n"])
+
+    sample = (docs.join(F.broadcast(chosen), "doc_id").select(F.xxhash64("doc_id").alias("h"), "lang", "text")
+              .mapInArrow(sampled, "h long, lang string, at array<int>, n array<int>")
+              .orderBy("h", "lang").toArrow())
+    model = Model(languages, idf, np.zeros((DIM, len(languages))), np.zeros(len(languages)))
+    number = {x: i for i, x in enumerate(languages)}
+    learn, calibrate = [], []
+    for i in range(sample.num_rows):
+        lang = sample.column(1)[i].as_py()
+        at = sample.column(2)[i].values.to_numpy().astype(np.int64)
+        if lang not in number or not len(at):
+            continue
+        row = (number[lang], at, model.vector(at, sample.column(3)[i].values.to_numpy()))
+        (calibrate if i % FOLDS == 0 else learn).append(row)
+    model.weights, model.bias = follow_leader(learn, len(languages))
+    if calibrate:
+        logits = np.array([x @ model.weights[at] + model.bias for _, at, x in calibrate])
+        model.temperature = fit_temperature(logits, np.array([c[0] for c in calibrate]))
+    return model
+
+
+def predict(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score) of every document; trains first if no model is given."""
+    shared = docs.sparkSession.sparkContext.broadcast(model or train(docs))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [shared.value.predict(t) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()),
+                 pa.array([f[1] for f in found], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text").mapInArrow(
+        score, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, model: Model | None = None, min_score: float = MIN_SCORE) -> DataFrame:
+    """``docs``, all columns, whose language is known with at least ``min_score``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model or train(docs))
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [shared.value.predict(t) for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array([lang != UNKNOWN and p >= min_score for lang, p in found], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

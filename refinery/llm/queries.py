@@ -7,17 +7,47 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import best_fit, decontaminate, simhash, token_files
+from . import (
+    best_fit,
+    chat_parse,
+    decontaminate,
+    edit_counts,
+    language,
+    neighbours,
+    page_text,
+    simhash,
+    token_files,
+    url_filter,
+)
 from .common import read, ship
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+#: The rules of op9, host/path and verdict.
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
+             ("com/fr/", "allow"), ("com/de/", "block")]
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op2_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_counts.edit_counts(read(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_BPE)
+
+
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), every=50, top=5)
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict(read(spark, sf_dir, "documents"))
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_parse.format_chats(read(spark, sf_dir, "conversations"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(read(spark, sf_dir, "documents"))
 
@@ -30,6 +60,14 @@ def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.best_fit(read(spark, sf_dir, "documents"), WORD_BPE, end_id=0)
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(read(spark, sf_dir, "pages"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -41,6 +79,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: _shipped(q) for q in (
-        op1_decontamination, op6_simhash, op7_token_files, op8_best_fit)}
+        op1_decontamination, op2_edit_counts, op3_neighbours, op4_language, op5_chat_format,
+        op6_simhash, op7_token_files, op8_best_fit, op9_url_filter, op10_page_text)}
 
 ORACLE: dict[str, str] = {}

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_folder, slices
+from .common import hash_sample, new_folder, slices
 from .tokens import encoder
 
 #: The dictionary: documents and bytes per document it is trained on, its size.
@@ -62,8 +62,7 @@ def encode_documents(texts: pa.Array, vocabulary: str, end_id: int) -> list[np.n
 
 def train_dictionary(docs: DataFrame, vocabulary: str, end_id: int) -> bytes:
     """A dictionary from the documents of smallest hash; empty if there are too few."""
-    sample = (docs.select("text", F.xxhash64("doc_id", "text").alias("h"))
-              .orderBy("h", "text").limit(DICT_DOCS).select("text").toArrow())
+    sample = hash_sample(docs, ["doc_id"], DICT_DOCS).select("doc_id", "text").orderBy("doc_id", "text").toArrow()
     texts = sample.column("text").cast(pa.large_string()).combine_chunks()
     parts = [x.tobytes()[:DICT_DOC_BYTES] for x in encode_documents(texts, vocabulary, end_id)]
     try:

@@ -89,10 +89,13 @@ class ChunkEncoder:
     def chunk(self, chunk: str, starts: bool) -> bytes | None:
         """Ids of what stands between two spaces; None if the text can't be cut there."""
         words = chunk.split("\n")
-        for word in words:
+        for word in words[1:] if starts and not words[0] else words:
             if word.split() != [word]:
                 return None
-        first = self._word(words[0], *(("", "") if starts else self.before))
+        if starts:
+            first = self._word(words[0], "", "") if words[0] else b""
+        else:
+            first = self._word(words[0], *self.before)
         return self.line_feed.join([first, *(self._word(w, "", "") for w in words[1:])])
 
     def _all(self, chunks: list[str]) -> list[bytes | None]:
@@ -137,10 +140,7 @@ class ChunkEncoder:
         values = coded.dictionary
         for i in range(n):
             head = values[int(code[first[i]])].as_py() if ok[i] else None
-            if head == "" and at[i + 1] - at[i] == 1:
-                own = b""
-            else:
-                own = self.chunk(head, True) if head else None
+            own = self.chunk(head, True) if ok[i] else None
             if own is None:
                 own = self.whole(texts[i].as_py())
                 ok[i] = False
