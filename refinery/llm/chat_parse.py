@@ -1,7 +1,8 @@
 """Transcript parsing: roles of lines by a hidden Markov model, then canonical turns.
 
-A state is a role and a place in its turn: its first line, a later line, or a
-blank line before it.  A line shows a speaker marker (or none), whether it ends as a
+A state is a role and a place in its turn: its first line with a marker, a
+later line, the blank line before a turn without marker, or the first line
+after that.  A line shows a speaker marker (or none), whether it ends as a
 question, and its length.  Frequencies on labelled transcripts give the
 chances; Viterbi recovers the most probable states, and each recovered turn is
 rendered as ``<|role|>``, its text, ``<|end|>``.
@@ -34,7 +35,8 @@ from pyspark.sql import functions as F
 from .common import stored
 
 ROLES = ("system", "user", "assistant")
-PLACES = ("first", "later", "blank")
+PLACES = ("marked", "later", "blank", "opened")
+#: A state is role * 4 + place.  A turn begins with a marked line, or with a blank one and an opened one.
 STATES = len(ROLES) * len(PLACES)
 
 #: Words that mark a speaker, by role.
@@ -94,10 +96,12 @@ def transcripts(conversations: DataFrame) -> DataFrame:
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     written = F.when(unmarked, F.concat(F.array(F.lit("")), lines)).otherwise(
         F.concat(F.array(F.concat(marker, F.lit(" "), F.element_at(lines, 1))), F.slice(lines, 2, 1 << 30)))
-    return (conversations.select("conv_id", "turn", "role", "text").select(
-        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
-        F.xxhash64("text", F.monotonically_increasing_id()).alias("copy"), "role",
-        F.posexplode(written).alias("pos", "line")))
+    # The copy's number is given before its lines are dealt out.
+    numbered = conversations.select("conv_id", "turn", "role", "text").withColumn(
+        "copy", F.xxhash64("text", F.monotonically_increasing_id()))
+    return numbered.select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "copy", "role",
+        F.posexplode(written).alias("pos", "line"))
 
 
 def observed(lines: DataFrame) -> DataFrame:
@@ -122,33 +126,34 @@ def train(lines: DataFrame) -> Chances:
 
     Turns follow one another by an equi-join on the next turn's number.
     """
-    state = F.coalesce(*(F.when(F.col("role") == r, F.lit(3 * i)) for i, r in enumerate(ROLES)))
+    state = F.coalesce(*(F.when(F.col("role") == r, F.lit(4 * i)) for i, r in enumerate(ROLES)))
     known = lines.filter(F.col("role").isin(*ROLES)).select(
         "conv_id", "turn", "copy", "pos", "seen", state.alias("role"),
         (F.col("symbol") == 4).alias("blank")).filter(F.col("conv_id").isNotNull())
     lead = known.groupBy("conv_id", "turn", "copy", "role").agg(
-        F.max(F.when(F.col("pos") == 0, F.col("blank"))).alias("led"), F.count(F.lit(1)).alias("n"))
+        F.coalesce(F.max(F.when(F.col("pos") == 0, F.col("blank"))), F.lit(False)).alias("led"),
+        F.count(F.lit(1)).alias("n"))
+    lead = (lead.withColumn("later", F.greatest(F.col("n") - F.when(F.col("led"), 2).otherwise(1), F.lit(0)))
+            .withColumn("last", F.when(F.col("later") > 0, 1).when(F.col("led"), 3).otherwise(0)))
     show = np.ones((STATES, len(SYMBOLS) * 6)) * 0.05
-    place = F.when(F.col("blank"), 2).when((F.col("pos") == 0) | ((F.col("pos") == 1) & F.col("led")), 0).otherwise(1)
+    place = (F.when(F.col("blank"), 2).when(F.col("pos") == 0, 0)
+             .when((F.col("pos") == 1) & F.col("led"), 3).otherwise(1))
     for s, o, n in (known.join(lead, ["conv_id", "turn", "copy", "role"]).groupBy(
             (F.col("role") + place).alias("s"), "seen").count().collect()):
         show[s, o] += n
     step, start = np.ones((STATES, STATES)) * 0.05, np.ones(STATES) * 0.05
     after = lead.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("role").alias("next"), F.col("led").alias("next_led"))
-    for role, to, led, n in lead.join(after, ["conv_id", "turn"]).groupBy("role", "next", "next_led").count().collect():
-        if led:  # a line, the blank one before the next turn, its first line
-            step[role + 1, to + 2] += n
-            step[role, to + 2] += n
-            step[to + 2, to] += n
-        else:
-            step[role + 1, to] += n
-            step[role, to] += n
-    for role, turns, rows in lead.groupBy("role").agg(F.count(F.lit(1)), F.sum(F.col("n") - F.col("led").cast("int"))).collect():
-        step[role, role + 1] += turns
-        step[role + 1, role + 1] += max(rows - 2 * turns, 0)
+    for role, last, to, led, n in lead.join(after, ["conv_id", "turn"]).groupBy(
+            "role", "last", "next", "next_led").count().collect():
+        step[role + last, to + (2 if led else 0)] += n
+    for role, led, turns, longer, more in lead.groupBy("role", "led").agg(
+            F.count(F.lit(1)), F.count_if(F.col("later") > 0), F.sum(F.greatest(F.col("later") - 1, F.lit(0)))).collect():
+        if led:
+            step[role + 2, role + 3] += turns
+        step[role + (3 if led else 0), role + 1] += longer
+        step[role + 1, role + 1] += more
     for role, led, n in lead.filter("turn = 0").groupBy("role", "led").count().collect():
         start[role + (2 if led else 0)] += n
-        step[role + 2, role] += n if led else 0
     return Chances(*(np.log(x / x.sum(axis=-1, keepdims=True)) for x in (start, step, show)))
 
 
@@ -243,7 +248,7 @@ def decode(lines: DataFrame, model: Chances) -> DataFrame:
                 "conv_id": pa.array([conv] * n, pa.int64()), "block": pa.array([number] * n, pa.int64()),
                 "turn": pa.array([r[2] for r in rows], pa.int64()), "copy": pa.array([r[3] for r in rows], pa.int64()),
                 "pos": pa.array([r[4] for r in rows], pa.int32()), "state": pa.array(found.astype(np.int32)),
-                "inside": pa.array(np.cumsum(found % 3 == 0), pa.int64())})
+                "inside": pa.array(np.cumsum((found % 4 == 0) | (found % 4 == 3)), pa.int64())})
 
     bounded = (keyed.join(ends, F.col("conv_id").eqNullSafe(F.col("conv")) & (F.col("block") == F.col("number")))
                .select(*ordered, "seen", "before", "end")
@@ -257,8 +262,8 @@ def decode(lines: DataFrame, model: Chances) -> DataFrame:
     numbered = found.join(begun, F.col("conv_id").eqNullSafe(F.col("conv")) & (F.col("block") == F.col("number"))).select(
         F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("copy").alias("k"), F.col("pos").alias("p"),
         F.greatest(F.col("earlier") + F.col("inside") - 1, F.lit(0)).alias("turn_no"),
-        F.element_at(F.array(*map(F.lit, ROLES)), F.floor(F.col("state") / 3).cast("int") + 1).alias("role_pred"),
-        (F.col("state") % 3 == 2).alias("is_blank"))
+        F.element_at(F.array(*map(F.lit, ROLES)), F.floor(F.col("state") / 4).cast("int") + 1).alias("role_pred"),
+        (F.col("state") % 4 == 2).alias("is_blank"))
     return lines.join(numbered, F.col("conv_id").eqNullSafe(F.col("c"))
                       & (F.coalesce(F.col("turn"), F.lit(-(1 << 60))) == F.col("t"))
                       & (F.col("copy") == F.col("k")) & (F.col("pos") == F.col("p"))).drop("c", "t", "k", "p")
