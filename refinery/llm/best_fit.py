@@ -81,42 +81,45 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     """Best-fit decreasing over counts: (length, first rank, count, first sequence, offset).
 
     Sequences with the same room are kept as ranges of numbers.  A piece goes
-    to the least room that holds it; only if there is none, to a new sequence.
+    to the least room that holds it, only if there is none to a new sequence;
+    the next piece of its length then finds the least room in that same
+    sequence while it fits.  So a range is filled in layers, one for each
+    piece that a sequence takes.
     """
-    rows = []
+    rows: list[tuple[int, int, int, int, int]] = []
     open_: dict[int, list[tuple[int, int]]] = defaultdict(list)  # room: (first sequence, count)
     sequences = 0
     for length in sorted(counts, reverse=True):
         left, rank = counts[length], 0
-        room = length
-        while left and room <= capacity:
-            # Rooms below this one hold none; what is placed leaves room - length < room.
-            if not open_.get(room):
-                room += 1
-                continue
-            first, n = open_[room].pop()
-            take = min(n, left)
-            if take < n:
-                open_[room].append((first + take, n - take))
-            rows.append((length, rank, take, first, capacity - room))
-            left, rank = left - take, rank + take
-            if room - length:
-                open_[room - length].append((first, take))
-                if room - length >= length:
-                    room -= length
+
+        def fill(first: int, n: int, room: int, each: int) -> None:
+            nonlocal left, rank
+            for k in range(each):
+                rows.append((length, rank, n, first, capacity - room + k * length))
+                rank += n
+            left -= n * each
+            if room > each * length:
+                open_[room - each * length].append((first, n))
+
+        def use(first: int, n: int, room: int) -> None:
+            """Fill what is needed of the ``n`` sequences from ``first``, the last one maybe in part."""
+            each = room // length
+            full = min(n, left // each)
+            if full:
+                fill(first, full, room, each)
+            if full < n and left:
+                fill(first + full, 1, room, left)
+                full += 1
+            if full < n:
+                open_[room].append((first + full, n - full))
+
+        for room in range(length, capacity + 1):
+            while left and open_.get(room):
+                use(*open_[room].pop(), room)
         if left:
-            each = capacity // length
-            full, more = divmod(left, each)
-            for k in range(each):  # a layer over all new sequences; the last may stay part empty
-                n = full + (1 if k < more else 0)
-                if n:
-                    rows.append((length, rank, n, sequences, k * length))
-                    rank += n
-            if full and capacity - each * length:
-                open_[capacity - each * length].append((sequences, full))
-            if more:
-                open_[capacity - more * length].append((sequences + full, 1))
-            sequences += full + (1 if more else 0)
+            n = -(-left // (capacity // length))
+            use(sequences, n, capacity)
+            sequences += n
     return rows
 
 
