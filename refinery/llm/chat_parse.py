@@ -286,7 +286,7 @@ def canonical(decoded: DataFrame) -> DataFrame:
         F.max_by("role_pred", F.struct(~F.col("is_blank"), "x")).alias("role"),
         F.count(F.lit(1)).alias("n_lines"), joined.alias("body"))
         .select("conv_id", "turn_no", "role", "n_lines",
-                F.concat(F.lit("<|"), "role", F.lit("|>\n"), F.trim(F.col("body")), F.lit("\n<|end|>")).alias("text")))
+                F.concat(F.lit("<|"), "role", F.lit("|>\n"), F.btrim("body", F.lit(" \n\r\t")), F.lit("\n<|end|>")).alias("text")))
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:

@@ -214,7 +214,7 @@ def test_rendered_turns(spark):
     for r in sf.orderBy("conv_id", "turn").collect():
         truth.setdefault(r.conv_id, []).append(f"<|{r.role}|>\n{r.text.strip()}\n<|end|>")
     same = sum(found[k] == truth[k] for k in truth)
-    assert found.keys() == truth.keys() and same / len(truth) > 0.9
+    assert found.keys() == truth.keys() and same / len(truth) > 0.95
 
 
 def test_odd_rows(spark):
