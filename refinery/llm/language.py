@@ -205,17 +205,21 @@ def train(docs: DataFrame) -> Model:
     """A model from the labelled documents that are not held out."""
     docs = docs.select(F.col("doc_id"), F.col("text"), F.col("lang")).filter(
         "doc_id is not null and lang is not null").filter(~held_out())
-    top = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    languages = sorted(r[0] for r in top)
+    top = dict(r[:] for r in docs.groupBy("lang").count().orderBy(F.desc("count"), "lang")
+               .limit(MAX_LANGUAGES).collect())
+    languages = sorted(top)
     if not languages:
         return Model([], np.zeros(DIM), np.zeros((DIM, 0)), np.zeros(0))
     df, rows = document_frequencies(docs.select("text"))
     idf = np.log((1 + rows) / (1 + df)) + 1
     # The rows of smallest hash in each language: ids first, then their texts.
+    # Hashes are spread evenly, so those of four times as many rows as are wanted lie below a known bound.
     each = max(10, SAMPLE_ROWS // len(languages))
-    ranked = docs.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn(
-        "rank", F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id")))
-    chosen = ranked.filter(F.col("rank") <= each).filter(F.col("lang").isin(languages)).select("doc_id").distinct()
+    bounds = {x: -(1 << 63) + min((1 << 64) - 1, (1 << 64) * 4 * each // n) for x, n in top.items()}
+    bound = F.create_map(*(F.lit(v) for pair in bounds.items() for v in pair))[F.col("lang")]
+    few = docs.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).filter(F.col("h") <= bound)
+    ranked = few.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id")))
+    chosen = ranked.filter(F.col("rank") <= each).select("doc_id").distinct()
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
