@@ -238,7 +238,8 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     """
     found = stored(components(docs, shingle, radius).select("doc_id", "component_id"), "components")
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    # Dropped ids grow with the table: both sides are dealt by id at every size, never broadcast.
+    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
     if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
         return kept
     named = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
