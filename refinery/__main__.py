@@ -44,7 +44,7 @@ def main(argv: list[str] | None = None) -> int:
         if name == "batch":
             p.add_argument("--create", action="store_true", help="create tables, seed 1996")
             p.add_argument("--reset-year", type=int)
-            p.add_argument("--calls", type=int, default=30)
+            p.add_argument("--calls", type=int, help="steps at most (default: until all are done)")
     p = sub.add_parser("report")
     p.add_argument("--target", required=True)
     p.add_argument("--method", required=True, choices=["clean_refresh", "batch", "upsert"])

@@ -15,31 +15,44 @@ import os
 from pyspark.sql import SparkSession
 
 from refinery.plans.store import TableStore
-from refinery.session import ensure_session_settings, local_path, workspace
+from refinery.session import ensure_session_settings, workspace
 from refinery.sources import reviews
 from refinery.sources.staged import BronzeLoad, load_bronze, stage_lines
 
-KINDS = {"all": {}, "wave1": {"wave": 1}, "wave2": {"wave": 2}, "broken": {"broken": True}}
+KINDS = {"all": {}, "wave1": {"wave": 1}, "wave2": {"wave": 2}, "broken": {"broken": True},
+         "corrected": {"corrected": True}}
 # Bumped whenever staging or the Bronze layout changes, so cached fixture
 # tables of an older layout are never reused.
-LAYOUT_VERSION = "layout-3"
+LAYOUT_VERSION = "layout-4"
 # Fixed load time of fixture Bronze rows, so no clock reaches compared output.
 FIXTURE_LOAD_TIME = "2024-06-30 00:00:00"
 
 
-def input_key(sf_dir: str) -> str:
+def table_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, size and change time of every file of a table, on any file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    found, files = [], fs.listFiles(p, True)
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().getName(), int(f.getLen()), int(f.getModificationTime())))
+    return sorted(found)
+
+
+def input_key(spark: SparkSession, sf_dir: str) -> str:
     h = hashlib.sha1(f"{LAYOUT_VERSION}:{sf_dir}".encode())
-    lp = local_path(sf_dir)
     for t in ("lineitem", "orders"):
-        if lp and os.path.exists(f"{lp}/{t}.parquet"):
-            st = os.stat(f"{lp}/{t}.parquet")
-            h.update(f"{t}:{st.st_size}:{int(st.st_mtime)}".encode())
+        for name, size, modified in table_files(spark, f"{sf_dir}/{t}.parquet"):
+            h.update(f"{t}:{name}:{size}:{modified}".encode())
     name = os.path.basename(sf_dir.rstrip("/")) or "data"
     return f"{name}-{h.hexdigest()[:10]}"
 
 
 def fixture_paths(spark: SparkSession, sf_dir: str, kind: str) -> tuple[str, str]:
-    base = workspace(spark, "fixtures", input_key(sf_dir), kind)
+    base = workspace(spark, "fixtures", input_key(spark, sf_dir), kind)
     return f"{base}/stage", f"{base}/bronze"
 
 
@@ -52,9 +65,11 @@ def load_fixture(spark: SparkSession, sf_dir: str, kind: str = "all") -> tuple[s
     ensure_session_settings(spark)
     stage, bronze = fixture_paths(spark, sf_dir, kind)
     probe = TableStore(spark, bronze)
-    if probe._exists(f"{bronze}/_SUCCESS"):
+    if probe.marked(bronze):
         return stage, bronze, None
-    if not probe._exists(f"{stage}/_SUCCESS"):
+    if not probe.marked(stage):
         stage_lines(reviews.review_lines(spark, sf_dir, **KINDS[kind]), stage)
+        probe.mark(stage)
     load = load_bronze(spark, stage, bronze, load_time=FIXTURE_LOAD_TIME)
+    probe.mark(bronze)
     return stage, bronze, load

@@ -56,9 +56,3 @@ def round_half_up(c: Column, scale: int) -> Column:
     step makes the result the same everywhere.
     """
     return F.round(c.cast("decimal(18,6)"), scale).cast("double")
-
-
-def year_start(year: Column | int) -> Column:
-    """DATE_FROM_PARTS(y, 1, 1) as TIMESTAMP_NTZ."""
-    y = year if isinstance(year, Column) else F.lit(year)
-    return F.make_date(y, F.lit(1), F.lit(1)).cast("timestamp_ntz")

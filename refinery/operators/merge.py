@@ -78,11 +78,6 @@ def action_counts(plan: DataFrame) -> DataFrame:
         .withColumnRenamed(ACTION, "action")
 
 
-def written_count_expr() -> Column:
-    """SQLROWCOUNT of a MERGE: inserted + updated rows."""
-    return F.count_if(F.col(ACTION).isin(*WRITTEN))
-
-
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once (D14 check for a merge source/target)."""
     return df.groupBy(*keys).count().filter(F.col("count") > 1)

@@ -8,6 +8,8 @@ filter is written on the extracted fields, so each variant path is read once.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,15 +28,23 @@ SILVER_DATA_COLUMNS = [
 LATEST_ORDER = ["review_ts", "rating", "helpful_vote", "verified_purchase",
                 "review_title", "review_text", "parent_asin", "has_images"]
 
-# VARCHAR widths of the clean/batch Silver DDL (fixed values).
-WIDTH_ASIN = 25
-WIDTH_PARENT_ASIN = 25
-WIDTH_USER_ID = 50
-WIDTH_TITLE = 500
+# VARCHAR widths of the Silver DDL of every method (fixed values).
+WIDTHS = {"asin": 25, "parent_asin": 25, "user_id": 50, "review_title": 500}
+
+
+def _width(c: Column, n: int, spec: MethodSpec, name: str, strict: bool) -> Column:
+    """Cut to the declared width (D2); with ``strict`` a longer value fails the run."""
+    if not spec.string_widths:
+        return c
+    if not strict:
+        return bounded(c, n)
+    return F.when(F.length(c) > n, F.raise_error(F.lit(f"{name} is longer than {n} characters")).cast("string")).otherwise(c)
 
 
-def _width(c: Column, n: int, spec: MethodSpec) -> Column:
-    return bounded(c, n) if spec.string_widths else c
+def cut_counts(bronze: DataFrame, spec: MethodSpec) -> DataFrame:
+    """How many kept rows have a value cut to its declared width, by column: one row."""
+    wide = extract(bronze, replace(spec, string_widths=False, dedupe=False))
+    return wide.agg(*(F.count_if(F.length(c) > n).alias(c) for c, n in WIDTHS.items()))
 
 
 def extract(bronze: DataFrame, spec: MethodSpec, strict: bool = False) -> DataFrame:
@@ -62,11 +72,11 @@ def extract(bronze: DataFrame, spec: MethodSpec, strict: bool = False) -> DataFr
 
     projected = bronze.select(
         md5_of(user_s, asin_s, field("timestamp", "string"), sep=spec.id_separator).alias("review_id"),
-        _width(asin_s, WIDTH_ASIN, spec).alias("asin"),
-        _width(field("parent_asin", "string"), WIDTH_PARENT_ASIN, spec).alias("parent_asin"),
-        _width(user_s, WIDTH_USER_ID, spec).alias("user_id"),
+        _width(asin_s, WIDTHS["asin"], spec, "asin", strict).alias("asin"),
+        _width(field("parent_asin", "string"), WIDTHS["parent_asin"], spec, "parent_asin", strict).alias("parent_asin"),
+        _width(user_s, WIDTHS["user_id"], spec, "user_id", strict).alias("user_id"),
         rating.alias("rating"),
-        _width(field("title", "string"), WIDTH_TITLE, spec).alias("review_title"),
+        _width(field("title", "string"), WIDTHS["review_title"], spec, "title", strict).alias("review_title"),
         text.alias("review_text"),
         helpful.alias("helpful_vote"),
         _checked(field("verified_purchase", "boolean"), "verified_purchase", "boolean",

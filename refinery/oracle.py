@@ -24,7 +24,9 @@ def _rec(name: str, wave: int | None = None) -> str:
     {parent} AS parent_asin,
     'U' || CAST(o.o_custkey AS VARCHAR) AS user_id,
     CASE l.l_partkey % 97 WHEN 0 THEN 1704067200000 WHEN 1 THEN 1718409600000
-         WHEN 2 THEN NULL WHEN 3 THEN 1704067199123 ELSE epoch_ms(l.l_shipdate) END AS ts_ms,
+         WHEN 2 THEN NULL
+         WHEN 3 THEN CASE WHEN l.l_partkey % 80 < 20 THEN 1704067199123 ELSE epoch_ms(l.l_shipdate) END
+         ELSE epoch_ms(l.l_shipdate) END AS ts_ms,
     CASE WHEN l.l_linenumber % 4 = 0 THEN NULL ELSE CAST(trunc(l.l_quantity) AS INTEGER) END AS helpful_vote,
     CASE WHEN l.l_returnflag = 'N' THEN NULL ELSE l.l_returnflag = 'A' END AS verified_purchase,
     CASE WHEN l.l_linenumber % 5 = 0 THEN NULL ELSE l.l_linenumber % 3 END AS image_count,
@@ -34,6 +36,14 @@ def _rec(name: str, wave: int | None = None) -> str:
 )"""
 
 
+# Corrected input of the re-run: by timestamp, as the fixed ones lie in 2023 and 2024.
+REC_CORRECTED = """rec_c AS (
+  SELECT * FROM rec
+  WHERE ts_ms IS NULL OR NOT (year(epoch_ms(ts_ms)) = 1997
+        OR (year(epoch_ms(ts_ms)) = 1998 AND pk % 80 < 30))
+)"""
+
+
 def _silver_clean_form(name: str, rec: str, lo: str, hi: str, hi_inclusive: bool) -> str:
     """Clean/batch Silver (V1-V8 in clean form) over [lo, hi] or [lo, hi)."""
     op = "<=" if hi_inclusive else "<"
@@ -107,7 +117,7 @@ GOLD_COLS = ("parent_asin, avg_rating, total_reviews, verified_count, unverified
              "helpful_votes_sum, reviews_with_images, latest_review_ts, earliest_review_ts")
 T1996 = "1996-01-01 00:00:00"
 T2024 = "2024-01-01 00:00:00"
-STEP_YEAR = 1998
+STEP_YEAR = 2023
 
 
 def _with(*ctes: str) -> str:
@@ -143,6 +153,74 @@ def _batch_gold_years(lo: int, hi_excl: int) -> str:
 
 _YEAR_ROWS = _silver_clean_form("s_upto", "rec", T1996, f"{STEP_YEAR + 1}-01-01 00:00:00", False)
 
+RUNS_WITH = _with(REC, S_CLEAN, S_BATCH, *TWO_WAVES,
+                  f"g_clean AS ({_gold('s_clean', True, False)})",
+                  "years AS (SELECT CAST(range AS INTEGER) AS y FROM range(1996, 2024))")
+RUN_COUNTS = """
+SELECT 'clean_refresh' AS method, CAST(NULL AS INTEGER) AS batch_id,
+       (SELECT CAST(count(*) AS BIGINT) FROM rec) AS bronze_row_count,
+       (SELECT CAST(count(*) AS BIGINT) FROM s_clean) AS silver_rows_loaded,
+       CAST(0 AS BIGINT) AS silver_rows_deleted,
+       (SELECT CAST(count(*) AS BIGINT) FROM g_clean) AS gold_rows_loaded
+UNION ALL
+SELECT 'batch', y, (SELECT CAST(count(*) AS BIGINT) FROM rec),
+       (SELECT CAST(count(*) AS BIGINT) FROM s_batch WHERE year(review_ts) = y),
+       CAST(0 AS BIGINT),
+       (SELECT CAST(count(DISTINCT parent_asin) AS BIGINT) FROM s_batch
+         WHERE year(review_ts) <= y AND parent_asin IS NOT NULL)
+FROM years
+UNION ALL
+SELECT 'upsert', NULL, (SELECT CAST(count(*) AS BIGINT) FROM rec1),
+       (SELECT CAST(count(*) AS BIGINT) FROM w1), CAST(0 AS BIGINT),
+       (SELECT CAST(count(*) AS BIGINT) FROM g1)
+UNION ALL
+SELECT 'upsert', NULL, (SELECT CAST(count(*) AS BIGINT) FROM rec2),
+       (SELECT CAST(count(*) AS BIGINT) FROM w2 WHERE NOT EXISTS (
+          SELECT 1 FROM w1 WHERE w1.user_id = w2.user_id AND w1.asin = w2.asin
+            AND w1.rating IS NOT DISTINCT FROM w2.rating AND w1.review_ts IS NOT DISTINCT FROM w2.review_ts
+            AND w1.review_title IS NOT DISTINCT FROM w2.review_title
+            AND w1.review_text IS NOT DISTINCT FROM w2.review_text
+            AND w1.helpful_vote IS NOT DISTINCT FROM w2.helpful_vote
+            AND w1.verified_purchase IS NOT DISTINCT FROM w2.verified_purchase
+            AND w1.parent_asin IS NOT DISTINCT FROM w2.parent_asin
+            AND w1.has_images IS NOT DISTINCT FROM w2.has_images)),
+       CAST(0 AS BIGINT),
+       (SELECT CAST(count(*) AS BIGINT) FROM g2)"""
+
+# The runs' clock (fixed values): each method's clock starts at this time and
+# moves a second a reading; a run reads it at its start and its end, so the
+# n-th run of a method starts 2 (n - 1) seconds after it and takes one.
+CLOCK_START = "2024-07-01 00:00:00"
+# Which run of its method a row is: batch years from 1996, upsert waves by their Bronze size.
+RUN_TABLE = RUNS_WITH + f""", counts AS ({RUN_COUNTS}),
+numbered AS (
+  SELECT *, CASE method WHEN 'batch' THEN batch_id - 1996
+                 WHEN 'upsert' THEN CASE WHEN bronze_row_count = (SELECT count(*) FROM rec1) THEN 0 ELSE 1 END
+                 ELSE 0 END AS n
+  FROM counts),
+runs AS (
+  SELECT CASE method WHEN 'clean_refresh' THEN 'clean' ELSE method END || '-' || lpad(CAST(n + 1 AS VARCHAR), 3, '0') AS run_id,
+         TIMESTAMP '{CLOCK_START}' + to_seconds(2 * n) AS run_timestamp, method, batch_id, bronze_row_count,
+         silver_rows_loaded, silver_rows_deleted, gold_rows_loaded, CAST(1 AS DOUBLE) AS duration_sec,
+         CASE WHEN method = 'upsert' THEN NULL ELSE CAST(round(1 / 3600.0, 6) AS DOUBLE) END AS credits_used
+  FROM numbered)
+"""
+SHARED = ("run_id, run_timestamp, method, bronze_row_count, silver_rows_loaded, silver_rows_deleted, "
+          "gold_rows_loaded, duration_sec, credits_used")
+# Statements of the batch run: years with a Bronze partition load Silver, those
+# with Silver rows also partials and Gold.
+BATCH_STATEMENTS = """, loaded AS (
+  SELECT y, (SELECT count(*) FROM s_batch WHERE year(review_ts) = y) AS silver_rows,
+         (SELECT count(DISTINCT parent_asin) FROM s_batch WHERE year(review_ts) = y) AS products
+  FROM years WHERE y IN (SELECT year(epoch_ms(ts_ms)) FROM rec)),
+statements AS (
+  SELECT 'CALL batch' AS query, CAST(NULL AS BIGINT) AS rows_written
+  UNION ALL SELECT 'INSERT INTO silver (year ' || y || ')', silver_rows FROM loaded
+  UNION ALL SELECT 'INSERT INTO gold partials (year ' || y || ')', products FROM loaded WHERE silver_rows > 0
+  UNION ALL SELECT 'DELETE + INSERT INTO gold (year ' || y || ')', products FROM loaded WHERE silver_rows > 0
+  UNION ALL SELECT 'INSERT INTO run_metrics', 28)
+"""
+
 ORACLE: dict[str, str] = {
     "bronze_field_preview": _with(REC) + """
 SELECT rating, title AS review_title, text AS review_text, asin, parent_asin, user_id,
@@ -177,6 +255,8 @@ SELECT {GOLD_COLS} FROM gold2 ORDER BY total_reviews DESC, parent_asin ASC NULLS
     "batch_all_years_silver": _with(REC, S_BATCH) + f"SELECT {SILVER_COLS} FROM s_batch",
     "batch_all_years_gold": _batch_gold_years(1996, 2024),
     "batch_reset_2000": _batch_gold_years(2000, 2024),
+    "batch_rerun_corrected_year_gold": _with(
+        REC, REC_CORRECTED, _silver_clean_form("s", "rec_c", T1996, T2024, False)) + _gold("s", True, True),
     "upsert_two_waves_silver": _with(REC, *TWO_WAVES) + f"SELECT {SILVER_COLS} FROM s2",
     "upsert_two_waves_gold": _with(REC, *TWO_WAVES) + f"SELECT {GOLD_COLS} FROM gold2",
     "upsert_actions": _with(REC, *TWO_WAVES) + """
@@ -237,36 +317,45 @@ FROM (
     SELECT {SILVER_COLS}, 0 AS a, 1 AS b FROM s_clean
   ) u GROUP BY ALL
 ) c WHERE na <> nb""",
-    "run_metrics_counts": _with(REC, S_CLEAN, S_BATCH, *TWO_WAVES,
-                                f"g_clean AS ({_gold('s_clean', True, False)})",
-                                "years AS (SELECT CAST(range AS INTEGER) AS y FROM range(1996, 2024))") + """
-SELECT 'clean_refresh' AS method, CAST(NULL AS INTEGER) AS batch_id,
-       (SELECT CAST(count(*) AS BIGINT) FROM rec) AS bronze_row_count,
-       (SELECT CAST(count(*) AS BIGINT) FROM s_clean) AS silver_rows_loaded,
-       CAST(0 AS BIGINT) AS silver_rows_deleted,
-       (SELECT CAST(count(*) AS BIGINT) FROM g_clean) AS gold_rows_loaded
-UNION ALL
-SELECT 'batch', y, (SELECT CAST(count(*) AS BIGINT) FROM rec),
-       (SELECT CAST(count(*) AS BIGINT) FROM s_batch WHERE year(review_ts) = y),
-       CAST(0 AS BIGINT),
-       (SELECT CAST(count(DISTINCT parent_asin) AS BIGINT) FROM s_batch
-         WHERE year(review_ts) <= y AND parent_asin IS NOT NULL)
-FROM years
-UNION ALL
-SELECT 'upsert', NULL, (SELECT CAST(count(*) AS BIGINT) FROM rec1),
-       (SELECT CAST(count(*) AS BIGINT) FROM w1), CAST(0 AS BIGINT),
-       (SELECT CAST(count(*) AS BIGINT) FROM g1)
-UNION ALL
-SELECT 'upsert', NULL, (SELECT CAST(count(*) AS BIGINT) FROM rec2),
-       (SELECT CAST(count(*) AS BIGINT) FROM w2 WHERE NOT EXISTS (
-          SELECT 1 FROM w1 WHERE w1.user_id = w2.user_id AND w1.asin = w2.asin
-            AND w1.rating IS NOT DISTINCT FROM w2.rating AND w1.review_ts IS NOT DISTINCT FROM w2.review_ts
-            AND w1.review_title IS NOT DISTINCT FROM w2.review_title
-            AND w1.review_text IS NOT DISTINCT FROM w2.review_text
-            AND w1.helpful_vote IS NOT DISTINCT FROM w2.helpful_vote
-            AND w1.verified_purchase IS NOT DISTINCT FROM w2.verified_purchase
-            AND w1.parent_asin IS NOT DISTINCT FROM w2.parent_asin
-            AND w1.has_images IS NOT DISTINCT FROM w2.has_images)),
-       CAST(0 AS BIGINT),
-       (SELECT CAST(count(*) AS BIGINT) FROM g2)""",
+    "run_metrics_counts": RUNS_WITH + RUN_COUNTS,
+    "run_metrics_union": RUN_TABLE + f"SELECT {SHARED} FROM runs ORDER BY run_timestamp DESC, run_id DESC",
+    "kpi_per_batch": RUN_TABLE + """
+SELECT batch_id, silver_rows_loaded, gold_rows_loaded, duration_sec, credits_used
+FROM runs WHERE method = 'batch' ORDER BY batch_id""",
+    "kpi_totals": RUN_TABLE + """
+SELECT method, CAST(count(*) AS BIGINT) AS num_batches, CAST(sum(silver_rows_loaded) AS BIGINT) AS total_silver_rows,
+       sum(duration_sec) AS total_duration_sec, CAST(round(sum(credits_used), 6) AS DOUBLE) AS est_credits
+FROM runs WHERE method = 'batch' GROUP BY method""",
+    "kpi_latest": RUN_TABLE + """
+SELECT bronze_row_count AS "Wiersze Bronze", silver_rows_loaded AS "Zapisy do Silver (Insert/Update)",
+       gold_rows_loaded AS "Zapisy do Gold (Insert/Update)", duration_sec AS "Czas trwania (s)"
+FROM runs WHERE run_id = 'upsert-002'""",
+    "latest_run_time": RUN_TABLE + """
+SELECT run_timestamp, duration_sec AS "Czas pracy warehouse (s)" FROM runs WHERE run_id = 'upsert-002'""",
+    "latest_runs": RUN_TABLE + """
+SELECT run_id, run_timestamp, method, batch_id, bronze_row_count, silver_rows_loaded, silver_rows_deleted,
+       gold_rows_loaded, duration_sec, credits_used FROM runs WHERE method = 'upsert' ORDER BY run_timestamp DESC""",
+    "cost_report": RUN_TABLE + """
+SELECT run_timestamp, method, batch_id, duration_sec AS "Czas pracy warehouse (s)", credits_used,
+       credits_used * 2 AS "Szac. koszt (USD)*" FROM runs""",
+    "recent_runs_summary": RUN_TABLE + f"""
+SELECT min(run_timestamp) AS first_run_timestamp, CAST(count(*) AS BIGINT) AS runs,
+       CAST(round(sum(credits_used), 4) AS DOUBLE) AS credits_used
+FROM runs WHERE run_timestamp >= TIMESTAMP '{CLOCK_START}' + INTERVAL 3611 SECOND - INTERVAL 1 HOUR""",
+    "job_history": RUNS_WITH + BATCH_STATEMENTS + """
+SELECT query, 'method=batch' AS query_tag, 'SUCCEEDED' AS state, CAST(rows_written AS BIGINT) AS rows_written
+FROM statements""",
+    "merge_history": RUN_TABLE + """
+SELECT 'MERGE INTO silver' AS query, 'method=upsert' AS query_tag, 'SUCCEEDED' AS state,
+       silver_rows_loaded AS rows_written FROM runs WHERE run_id = 'upsert-002'""",
+    "file_listing": """
+SELECT CAST(count(*) AS BIGINT) AS lines, TRUE AS files_listed, TRUE AS all_sized, TRUE AS all_dated
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
+    "bronze_preview": _with(REC) + """
+SELECT rating, title AS review_title, ts_ms AS ts_unix, TIMESTAMP '2024-06-30 00:00:00' AS load_timestamp
+FROM rec ORDER BY ts_unix DESC NULLS LAST, rating NULLS LAST, review_title NULLS LAST LIMIT 5""",
+    "load_stamp": RUNS_WITH + f"""
+SELECT 'bronze' AS tbl, TIMESTAMP '2024-06-30 00:00:00' AS stamp, CAST(count(*) AS BIGINT) AS n FROM rec
+UNION ALL SELECT 'silver', TIMESTAMP '{CLOCK_START}', CAST(count(*) AS BIGINT) FROM s_clean
+UNION ALL SELECT 'gold', TIMESTAMP '{CLOCK_START}', CAST(count(*) AS BIGINT) FROM g_clean""",
 }

@@ -13,7 +13,11 @@ Layout that makes a yearly step cost one year of data, not the whole history:
   per year.  The result equals the reference's re-aggregation of all Silver
   rows of the touched products (J1-J3, G2).
 * Gold is replaced as a new snapshot: untouched rows are carried over by a
-  left-anti join on the touched keys.
+  left-anti join on the touched keys.  A year that was loaded before (a re-run
+  of corrected input) also touches the products it held then; those keys are
+  saved before its partitions change, so a retry still knows them.
+* The watermark is a small file, and a catch-up logs its metrics in one append
+  and passes over years without input in one go.
 """
 
 from __future__ import annotations
@@ -27,11 +31,11 @@ from pyspark.sql import types as T
 from refinery.functions.scalar import ntz
 from refinery.operators import gold as gold_ops
 from refinery.operators import silver as silver_ops
-from refinery.plans.metrics import RUNS, Clock, RunMetrics, elapsed_sec, estimate_credits, log_run
+from refinery.plans.metrics import RUNS, Clock, RunMetrics, elapsed_sec, estimate_credits, log_runs
 from refinery.plans.store import TableStore
 from refinery.plans.tags import method_tag, statement
 from refinery.schemas import BATCH_STATE, GOLD, GOLD_PARTS, SILVER, one_row
-from refinery.sources.staged import YEAR_COL, read_bronze, year_present
+from refinery.sources.staged import YEAR_COL, bronze_years, read_bronze, year_present
 from refinery.spec import BATCH, FIRST_BATCH_YEAR, LAST_BATCH_YEAR
 
 SILVER_T = "silver"
@@ -39,6 +43,8 @@ PARTS_T = "gold_parts"
 GOLD_T = "gold"
 STATE_T = "batch_state"
 SILVER_PART = T.StructType(SILVER.fields + [T.StructField(YEAR_COL, T.IntegerType(), True)])
+PENDING_T = "batch_pending"
+PENDING = T.StructType([T.StructField(gold_ops.KEY, T.StringType(), True)])
 DONE = "all batches done"
 
 
@@ -57,6 +63,7 @@ def create_batch_tables(spark: SparkSession, store: TableStore,
     for name in (SILVER_T, PARTS_T, RUNS):
         store.reset_appended(name)
     store.truncate(GOLD_T, GOLD)
+    store.write_text(f"{store.path(PENDING_T)}/year", "none\n")
     set_next_year(spark, store, first_year)
 
 
@@ -70,15 +77,20 @@ def reset_batch(spark: SparkSession, store: TableStore, year: int = 2000) -> Non
 
 
 def set_next_year(spark: SparkSession, store: TableStore, year: int) -> None:
-    """UPDATE batch_state SET next_year = year (A12): a one-row snapshot."""
-    store.replace(STATE_T, one_row(spark, BATCH_STATE, (int(year),)))
+    """UPDATE batch_state SET next_year = year (A12): one small file."""
+    store.write_text(f"{store.path(STATE_T)}/next_year", f"{int(year)}\n")
 
 
 def next_year(store: TableStore) -> int:
-    row = store.read(STATE_T, BATCH_STATE).first()
-    if row is None:
+    found = store.read_text(f"{store.path(STATE_T)}/next_year")
+    if found is None:
         raise RuntimeError("batch_state is empty: call create_batch_tables first")
-    return int(row.next_year)
+    return int(found)
+
+
+def read_state(spark: SparkSession, store: TableStore):
+    """The one-row ``batch_state`` table."""
+    return one_row(spark, BATCH_STATE, (next_year(store),))
 
 
 def process_next_batch(spark: SparkSession, bronze_path: str, store: TableStore,
@@ -89,44 +101,82 @@ def process_next_batch(spark: SparkSession, bronze_path: str, store: TableStore,
     """One yearly step (P2); returns the reference's status string.
 
     ``bronze_rows`` / ``gold_rows`` let a caller that already knows the Bronze
-    size and the current Gold size (the catch-up loop) skip recounting them.
+    size and the current Gold size skip recounting them.
     """
-    with method_tag(spark, "batch"):
-        return _process_next_batch(spark, bronze_path, store, clock, credits_per_hour,
-                                   last_year, bronze_rows, gold_rows, strict)
+    with method_tag(spark, "batch", store):
+        r = _step(spark, bronze_path, store, clock or Clock(), credits_per_hour, last_year,
+                  bronze_rows, gold_rows, strict, year_present(spark, bronze_path, next_year(store)))
+        if r.metrics is not None:
+            _log(spark, store, [r])
+            set_next_year(spark, store, r.year + 1)
+        return r
 
 
-def _process_next_batch(spark, bronze_path, store, clock, credits_per_hour, last_year,
-                        bronze_rows, gold_rows, strict) -> BatchResult:
-    clock = clock or Clock()
+def _log(spark: SparkSession, store: TableStore, steps: list[BatchResult]) -> None:
+    rows = [r.metrics for r in steps if r.metrics is not None]
+    if rows:
+        with statement(spark, "INSERT INTO run_metrics") as st:
+            log_runs(store, rows, per_batch=True)
+            st.rows = len(rows)
+
+
+def _load_silver(spark, bronze_path, store, year, now, strict) -> int:
+    """Overwrite the year's Silver partition; its rows."""
+    obs = Observation(f"silver_{year}")
+    silver_y = (silver_ops.extract(read_bronze(spark, bronze_path, year=year), BATCH.for_year(year), strict)
+                .withColumn("loaded_at", now).withColumn(YEAR_COL, F.lit(year))
+                .observe(obs, F.count(F.lit(1)).alias("n")))
+    with statement(spark, f"INSERT INTO silver (year {year})") as st:
+        store.overwrite_partitions(SILVER_T, silver_y, YEAR_COL)
+        st.rows = int(obs.get["n"])
+    return st.rows
+
+
+def _step(spark, bronze_path, store, clock, credits_per_hour, last_year, bronze_rows, gold_rows,
+          strict, present) -> BatchResult:
+    """Silver and Gold of one year; the caller logs it and advances the watermark."""
     start = clock.now()
     now = ntz(start)
     year = next_year(store)
     if year > last_year:
         return BatchResult(DONE, None, 0)
 
+    # 0) A year loaded before: the products it held are touched too.  They are
+    #    saved first, as its partitions are about to change.
+    pending_file = f"{store.path(PENDING_T)}/year"
+    again = store.read_text(pending_file) == str(year)
+    if store.has_partition(PARTS_T, YEAR_COL, year):
+        old = store.read_partition(PARTS_T, GOLD_PARTS, YEAR_COL, year).select(gold_ops.KEY)
+        if again:
+            old = old.unionByName(store.read(PENDING_T, PENDING)).distinct()
+        with statement(spark, f"save touched products (year {year})"):
+            store.replace(PENDING_T, old)
+        store.write_text(pending_file, f"{year}\n")
+        again = True
+
     # 1) Silver: this year's rows; the Bronze read is pruned to one partition,
     #    and a year with no Bronze partition has nothing to load.
-    rows = 0
-    if year_present(spark, bronze_path, year):
-        obs = Observation(f"silver_{year}")
-        year_bronze = read_bronze(spark, bronze_path, year=year)
-        silver_y = (silver_ops.extract(year_bronze, BATCH.for_year(year), strict)
-                    .withColumn("loaded_at", now).withColumn(YEAR_COL, F.lit(year))
-                    .observe(obs, F.count(F.lit(1)).alias("n")))
-        with statement(spark, f"INSERT INTO silver (year {year})"):
-            store.overwrite_partitions(SILVER_T, silver_y, YEAR_COL)
-        rows = int(obs.get["n"])
-
-    # 2) Gold: replace the products this year touched.
+    rows = _load_silver(spark, bronze_path, store, year, now, strict) if present else 0
+    if not rows:  # an overwrite without rows leaves the old ones
+        for name in (SILVER_T, PARTS_T):
+            store.drop_partition(name, YEAR_COL, year)
+
+    # 2) Gold: replace the products this year touches, or touched when it was
+    #    loaded before; a product without partials left goes.
     gold_written = 0
-    if rows:
-        year_rows = store.read_partition(SILVER_T, SILVER_PART, YEAR_COL, year)
-        parts_y = gold_ops.partials(year_rows).withColumn(YEAR_COL, F.lit(year))
-        with statement(spark, f"INSERT INTO gold partials (year {year})"):
-            store.overwrite_partitions(PARTS_T, parts_y, YEAR_COL)
+    if rows or again:
+        if rows:
+            year_rows = store.read_partition(SILVER_T, SILVER_PART, YEAR_COL, year)
+            obs_p = Observation(f"parts_{year}")
+            parts_y = (gold_ops.partials(year_rows).withColumn(YEAR_COL, F.lit(year))
+                       .observe(obs_p, F.count(F.lit(1)).alias("n")))
+            with statement(spark, f"INSERT INTO gold partials (year {year})") as st:
+                store.overwrite_partitions(PARTS_T, parts_y, YEAR_COL)
+                st.rows = int(obs_p.get["n"])
         all_parts = store.read_partitioned(PARTS_T, GOLD_PARTS)
         touched = store.read_partition(PARTS_T, GOLD_PARTS, YEAR_COL, year).select(gold_ops.KEY)
+        if again:
+            touched = touched.unionByName(store.read(PENDING_T, PENDING)).distinct()
         recomputed = gold_ops.combine_partials(gold_ops.rows_of_keys(all_parts, touched), BATCH) \
             .withColumn("loaded_at", now).withColumn("_new", F.lit(True))
         obs_g = Observation(f"gold_{year}")
@@ -134,10 +184,12 @@ def _process_next_batch(spark, bronze_path, store, clock, credits_per_hour, last
             .observe(obs_g, F.count(F.lit(1)).alias("n"),
                      F.count_if(F.col("_new").isNotNull()).alias("written")) \
             .select(*GOLD.fieldNames())
-        with statement(spark, f"DELETE + INSERT INTO gold (year {year})"):
+        with statement(spark, f"DELETE + INSERT INTO gold (year {year})") as st:
             store.replace(GOLD_T, new_gold)
+            st.rows = gold_written = int(obs_g.get["written"])
         gold_total = int(obs_g.get["n"])
-        gold_written = int(obs_g.get["written"])
+        if again:
+            store.write_text(pending_file, "none\n")
     elif gold_rows is not None:
         gold_total = int(gold_rows)
     else:
@@ -152,28 +204,37 @@ def _process_next_batch(spark, bronze_path, store, clock, credits_per_hour, last
         bronze_row_count=int(bronze_rows), silver_rows_loaded=rows, silver_rows_deleted=0,
         gold_rows_loaded=gold_total, duration_sec=duration,
         credits_used=estimate_credits(duration, credits_per_hour))
-    with statement(spark, "INSERT INTO run_metrics"):
-        log_run(store, metrics, per_batch=True)
-
-    # 4) advance the watermark last: a failure before this repeats the year.
-    with statement(spark, "UPDATE batch_state"):
-        set_next_year(spark, store, year + 1)
     return BatchResult(f"processed batch year={year} rows={rows}", year, rows, gold_written, metrics)
 
 
 def run_all_batches(spark: SparkSession, bronze_path: str, store: TableStore,
-                    calls: int = 30, **kw) -> list[BatchResult]:
-    """Catch-up loop (P3): up to ``calls`` steps; extra calls do nothing."""
-    bronze_rows = read_bronze(spark, bronze_path).count()
-    gold_rows = None
-    out = []
-    for _ in range(calls):
-        r = process_next_batch(spark, bronze_path, store, bronze_rows=bronze_rows,
-                               gold_rows=gold_rows, **kw)
-        out.append(r)
-        if r.status == DONE:
-            break
-        gold_rows = r.metrics.gold_rows_loaded
+                    calls: int | None = None, clock: Clock | None = None,
+                    credits_per_hour: float | None = 1.0, last_year: int = LAST_BATCH_YEAR,
+                    strict: bool = False) -> list[BatchResult]:
+    """Catch-up loop (P3): steps until all are done, or ``calls`` of them.
+
+    Whether a year has input is known from one listing.  The watermark moves
+    with every year that changed a table; metrics are logged once at the end,
+    also when a step fails.
+    """
+    clock = clock or Clock()
+    out: list[BatchResult] = []
+    with method_tag(spark, "batch", store):
+        years = bronze_years(spark, bronze_path)
+        bronze_rows = read_bronze(spark, bronze_path).count()
+        gold_rows = None
+        try:
+            while calls is None or len(out) < calls:
+                year = next_year(store)
+                r = _step(spark, bronze_path, store, clock, credits_per_hour, last_year, bronze_rows,
+                          gold_rows, strict, years is None or year in years)
+                out.append(r)
+                if r.status == DONE:
+                    break
+                gold_rows = r.metrics.gold_rows_loaded
+                set_next_year(spark, store, r.year + 1)
+        finally:
+            _log(spark, store, out)
     return out
 
 

@@ -38,7 +38,7 @@ def clean_refresh(spark: SparkSession, bronze_path: str, store: TableStore,
     """One clean refresh; every job it starts is tagged ``method=clean_refresh``.
 
     ``strict`` fails the run on a value that does not cast (D3)."""
-    with method_tag(spark, "clean_refresh"):
+    with method_tag(spark, "clean_refresh", store):
         return _clean_refresh(spark, bronze_path, store, clock, credits_per_hour, strict)
 
 
@@ -53,13 +53,15 @@ def _clean_refresh(spark, bronze_path, store, clock, credits_per_hour, strict) -
     obs_b, obs_s = Observation("bronze"), Observation("silver")
     bronze = read_bronze(spark, bronze_path).observe(obs_b, F.count(F.lit(1)).alias("n"))
     silver = silver_ops.with_load_clock(silver_ops.extract(bronze, CLEAN, strict), now)
-    with statement(spark, "TRUNCATE + INSERT INTO silver"):
+    with statement(spark, "TRUNCATE + INSERT INTO silver") as st:
         store.replace(SILVER_T, silver.observe(obs_s, F.count(F.lit(1)).alias("n")))
+        st.rows = int(obs_s.get["n"])
 
     obs_g = Observation("gold")
     gold = gold_ops.aggregate(store.read(SILVER_T, SILVER), CLEAN).withColumn("loaded_at", now)
-    with statement(spark, "TRUNCATE + INSERT INTO gold"):
+    with statement(spark, "TRUNCATE + INSERT INTO gold") as st:
         store.replace(GOLD_T, gold.observe(obs_g, F.count(F.lit(1)).alias("n")))
+        st.rows = int(obs_g.get["n"])
 
     duration = elapsed_sec(start, clock.now())
     row = RunMetrics(
@@ -67,6 +69,7 @@ def _clean_refresh(spark, bronze_path, store, clock, credits_per_hour, strict) -
         bronze_row_count=int(obs_b.get["n"]), silver_rows_loaded=int(obs_s.get["n"]),
         silver_rows_deleted=int(replaced), gold_rows_loaded=int(obs_g.get["n"]),
         duration_sec=duration, credits_used=estimate_credits(duration, credits_per_hour))
-    with statement(spark, "INSERT INTO run_metrics"):
+    with statement(spark, "INSERT INTO run_metrics") as st:
         log_run(store, row)
+        st.rows = 1
     return row

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.functions.scalar import round_half_up, ntz
-from refinery.schemas import RUN_METRICS, RUN_METRICS_COLUMNS, SHARED_RUN_COLUMNS, one_row
+from refinery.schemas import RUN_METRICS, RUN_METRICS_COLUMNS, SHARED_RUN_COLUMNS
 
 RUNS = "run_metrics"
 
@@ -79,14 +79,19 @@ def metrics_frame(spark: SparkSession, rows: list[RunMetrics]) -> DataFrame:
     return spark.createDataFrame([r.as_row() for r in rows], RUN_METRICS)
 
 
-def log_run(store, row: RunMetrics, per_batch: bool = False) -> None:
-    """INSERT INTO run_metrics (P5).
+def log_run(store, row: RunMetrics) -> None:
+    """INSERT INTO run_metrics (P5)."""
+    log_runs(store, [row])
+
+
+def log_runs(store, rows: list[RunMetrics], per_batch: bool = False) -> None:
+    """INSERT INTO run_metrics, several runs in one write.
 
     ``per_batch`` (batch method) keeps the table partitioned by ``batch_id``
-    and overwrites the step's partition, so a retried year replaces its row
+    and overwrites the steps' partitions, so a retried year replaces its row
     instead of logging the year twice.
     """
-    frame = one_row(store.spark, RUN_METRICS, row.as_row())
+    frame = store.spark.createDataFrame([r.as_row() for r in rows], RUN_METRICS).coalesce(1)
     if per_batch:
         store.overwrite_partitions(RUNS, frame, "batch_id")
     else:
@@ -136,6 +141,12 @@ def kpi_latest(runs: DataFrame, method: str | None = "upsert") -> DataFrame:
         F.col("duration_sec").alias(LABEL_DURATION))
 
 
+def latest_run_time(runs: DataFrame, method: str = "upsert") -> DataFrame:
+    """Run time of the latest run of a method (P10)."""
+    return latest_runs(runs.filter(F.col("method") == method), 1).select(
+        "run_timestamp", F.col("duration_sec").alias(LABEL_WAREHOUSE_TIME))
+
+
 def cost_report(runs: DataFrame, usd_per_credit: float = USD_PER_CREDIT, k: int | None = 5) -> DataFrame:
     """Credits and their price per run, newest first."""
     out = runs.select(

@@ -2,10 +2,12 @@
 
 Plain Parquet has no row-level DELETE / UPDATE / MERGE, and overwriting a
 path that the same job reads loses data.  So every replace is a new
-*snapshot*: the job writes ``<table>/v=<n>/`` in full and the table switches
-to it when the write commits (the committer's ``_SUCCESS`` marker).  Readers
-never see an empty or half-written table, a failed write leaves the previous
-version current, and a retry simply writes the next version.
+*snapshot*: the job writes ``<table>/v=<n>/`` in full, then the store puts its
+own marker file beside the data, and the table switches to it.  The marker
+does not depend on the session's committer settings.  Readers never see an
+empty or half-written table, a failed write leaves the previous version
+current, and a retry simply writes the next version.  A table that has
+snapshots but no marked one is an error, never an empty table.
 
 Year-partitioned tables (batch Silver and its partial aggregates) instead
 overwrite single partitions in place with dynamic partition overwrite, which
@@ -26,26 +28,32 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _VERSION = re.compile(r"^v=(\d+)$")
+# Name of the store's commit marker (readers skip names with an underscore).
+MARKER = "_REFINERY_COMMITTED"
 
 
 class TableStore:
     """Named tables under one root folder.
 
-    ``keep`` snapshots of each table are retained (the current one and the
-    one before it by default, for readers still using it); older versions are
-    removed after each successful replace, so storage does not grow with the
-    number of runs.  ``keep=None`` retains everything.
+    ``keep`` snapshots of each table are retained at least (the current one and
+    the one before it by default), and any that was replaced less than
+    ``keep_sec`` ago, so that a reader has that long to finish.  Older versions
+    and older generations of append-only tables are removed after a successful
+    replace or reset.  ``keep=None`` retains everything.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keep: int | None = 2):
+    def __init__(self, spark: SparkSession, root: str, keep: int | None = 2,
+                 keep_sec: float = 3600.0):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep = keep
+        self.keep_sec = keep_sec
 
     # -- file system ---------------------------------------------------------
     def _fs(self, path: str):
@@ -66,6 +74,44 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def write_text(self, path: str, text: str) -> None:
+        """A small file, complete or absent: written beside its name, then renamed."""
+        part = f"{path}.part"
+        p, fs = self._fs(part)
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        target, _ = self._fs(path)
+        if fs.exists(target):
+            fs.delete(target, False)
+        if not fs.rename(p, target):
+            raise OSError(f"cannot write {path}")
+
+    def read_text(self, path: str) -> str | None:
+        """First line of a small file, None if there is none."""
+        p, fs = self._fs(path)
+        if not fs.exists(p):
+            return None
+        jvm = self.spark.sparkContext._jvm
+        stream = fs.open(p)
+        try:
+            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream)).readLine()
+        finally:
+            stream.close()
+
+    def mark(self, path: str) -> None:
+        """Declare the folder's contents complete."""
+        self.write_text(f"{path}/{MARKER}", "ok\n")
+
+    def marked(self, path: str) -> bool:
+        return self._exists(f"{path}/{MARKER}")
+
+    def _age_sec(self, path: str) -> float:
+        p, fs = self._fs(path)
+        return time.time() - fs.getFileStatus(p).getModificationTime() / 1000.0
+
     # -- snapshot tables -----------------------------------------------------
     def _version_numbers(self, name: str) -> list[int]:
         """Snapshot versions present (committed or not), ascending; one listing."""
@@ -77,19 +123,25 @@ class TableStore:
         return sorted(nums)
 
     def current(self, name: str) -> str | None:
-        """Path of the newest committed snapshot, or None.
+        """Path of the newest committed snapshot, None if there is no snapshot.
 
         Probes commit markers from the newest version down, so the cost does
-        not grow with the number of snapshots kept.
+        not grow with the number of snapshots kept.  Snapshots without any
+        marked one raise: their state is unknown, not empty.
         """
-        for v in reversed(self._version_numbers(name)):
+        versions = self._version_numbers(name)
+        for v in reversed(versions):
             path = f"{self.path(name)}/v={v:06d}"
-            if self._exists(f"{path}/_SUCCESS"):
+            if self.marked(path):
                 return path
+        if versions:
+            raise RuntimeError(
+                f"{self.path(name)} has snapshots but none is committed; a first write failed or its "
+                f"marker {MARKER} was lost: mark the right one with TableStore.mark, or remove the folder")
         return None
 
     def exists(self, name: str) -> bool:
-        return self.current(name) is not None or self._exists(f"{self.path(name)}/_SUCCESS")
+        return self.current(name) is not None
 
     def read(self, name: str, schema: T.StructType) -> DataFrame:
         """Current snapshot, or an empty frame of ``schema`` (never created)."""
@@ -110,21 +162,29 @@ class TableStore:
         """CREATE OR REPLACE / TRUNCATE + INSERT (A5, A9): write a new snapshot."""
         path = self._next_path(name)
         df.write.mode("errorifexists").parquet(path)
+        self.mark(path)
         self.vacuum(name)
         return path
 
     def vacuum(self, name: str, keep: int | None = None) -> list[str]:
-        """Remove snapshot versions older than the newest ``keep`` committed
-        ones (and uncommitted leftovers below them).  Returns removed paths."""
+        """Remove snapshot versions older than the newest ``keep`` committed ones
+        (and uncommitted leftovers below them) that were replaced at least
+        ``keep_sec`` ago.  Returns removed paths."""
         keep = self.keep if keep is None else keep
         if keep is None:
             return []
         versions = self._version_numbers(name)
         committed = [v for v in versions
-                     if self._exists(f"{self.path(name)}/v={v:06d}/_SUCCESS")]
+                     if self.marked(f"{self.path(name)}/v={v:06d}")]
         if len(committed) <= keep:
             return []
         oldest_kept = committed[-keep]
+        # A snapshot was replaced when the committed one after it was marked.
+        while oldest_kept != committed[0]:
+            at = committed.index(oldest_kept)
+            if self._age_sec(f"{self.path(name)}/v={oldest_kept:06d}/{MARKER}") >= self.keep_sec:
+                break
+            oldest_kept = committed[at - 1]
         removed = []
         for v in versions:
             if v >= oldest_kept:
@@ -143,16 +203,10 @@ class TableStore:
         return f"{self.path(name)}/_bucketing/{snapshot.rsplit('/', 1)[1]}"
 
     def _bucket_spec(self, name: str, snapshot: str) -> tuple[int, list[str]] | None:
-        p, fs = self._fs(self._spec_path(name, snapshot))
-        if not fs.exists(p):
+        line = self.read_text(self._spec_path(name, snapshot))
+        if line is None:
             return None
-        stream = fs.open(p)
-        try:
-            reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
-                self.spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-            n, cols = reader.readLine().split("|")
-        finally:
-            stream.close()
+        n, cols = line.split("|")
         return int(n), cols.split(",")
 
     def bucket_count(self, name: str) -> int | None:
@@ -163,7 +217,8 @@ class TableStore:
 
     @staticmethod
     def _ident(snapshot: str) -> str:
-        return "refinery_" + hashlib.sha1(snapshot.encode()).hexdigest()[:16]
+        # In a database of its own name, so a later USE leaves no orphan entry.
+        return "default.refinery_" + hashlib.sha1(snapshot.encode()).hexdigest()[:16]
 
     def _bucketed_table(self, snapshot: str, schema: T.StructType, n: int, keys: list[str]) -> DataFrame:
         ident = self._ident(snapshot)
@@ -183,14 +238,10 @@ class TableStore:
         """
         previous = self.current(name)
         path = self._next_path(name)
-        p, fs = self._fs(self._spec_path(name, path))
-        out = fs.create(p, True)
-        try:
-            out.write(bytearray(f"{int(buckets)}|{','.join(keys)}\n".encode()))
-        finally:
-            out.close()
+        self.write_text(self._spec_path(name, path), f"{int(buckets)}|{','.join(keys)}\n")
         (df.write.format("parquet").bucketBy(int(buckets), *keys).option("path", path)
          .mode("errorifexists").saveAsTable(self._ident(path)))
+        self.mark(path)
         if previous is not None:
             # external table: only the catalog entry goes, the files stay
             self.spark.sql(f"DROP TABLE IF EXISTS {self._ident(previous)}")
@@ -227,9 +278,32 @@ class TableStore:
         return self.spark.read.schema(schema).parquet(path)
 
     def reset_appended(self, name: str) -> None:
-        """TRUNCATE of an append-only or partitioned table: a new generation."""
-        p, fs = self._fs(f"{self.path(name)}/g={self._generation(name) + 1:06d}")
+        """TRUNCATE of an append-only or partitioned table: a new generation.
+
+        Generations ended at least ``keep_sec`` ago are removed."""
+        now = self._generation(name) + 1
+        p, fs = self._fs(f"{self.path(name)}/g={now:06d}")
         fs.mkdirs(p)
+        if self.keep is None:
+            return
+        ended = None  # a generation ended when the one after it was begun
+        for g in range(now - 1, 0, -1):
+            later = f"{self.path(name)}/g={g + 1:06d}"
+            if ended is None and self._age_sec(later) >= self.keep_sec:
+                ended = g
+            if ended is not None:
+                old, _ = self._fs(f"{self.path(name)}/g={g:06d}")
+                if fs.exists(old):
+                    fs.delete(old, True)
+
+    def has_partition(self, name: str, column: str, value) -> bool:
+        return self._exists(f"{self._gen_path(name)}/{column}={value}")
+
+    def drop_partition(self, name: str, column: str, value) -> None:
+        """Remove one partition: what an overwrite with no rows leaves standing."""
+        p, fs = self._fs(f"{self._gen_path(name)}/{column}={value}")
+        if fs.exists(p):
+            fs.delete(p, True)
 
     def overwrite_partitions(self, name: str, df: DataFrame, partition_col: str) -> None:
         """Replace only the partitions present in ``df`` (dynamic overwrite)."""

@@ -105,7 +105,7 @@ def process_upsert(spark: SparkSession, bronze_path: str, store: TableStore,
     if silver_buckets is None:
         silver_buckets = (store.bucket_count(SILVER_T)
                           or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    with method_tag(spark, "upsert"):
+    with method_tag(spark, "upsert", store):
         return _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_buckets,
                                strict, prune_orphans, verify_keys)
 
@@ -131,19 +131,21 @@ def _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_b
         _check_unique(source, KEYS, "source")
         _check_unique(store.read(SILVER_T, SILVER), KEYS, "target")
     plan = silver_merge_plan(store.read(SILVER_T, SILVER), source, now)
-    with statement(spark, "MERGE INTO silver"), shuffle_partitions(spark, silver_buckets):
+    with statement(spark, "MERGE INTO silver") as st, shuffle_partitions(spark, silver_buckets):
         store.replace_bucketed(SILVER_T, _observe_actions(plan, obs_s).drop(ACTION), KEYS,
                                silver_buckets)
-    s_act = _counts(obs_s)
+        s_act = _counts(obs_s)
+        st.rows = s_act["insert"] + s_act["update"]
 
     obs_g = Observation("gold_merge")
     gplan = gold_merge_plan(store.read(GOLD_T, GOLD), store.read(SILVER_T, SILVER), now)
     gplan = _observe_actions(gplan, obs_g)
     if prune_orphans:
         gplan = gplan.filter(F.col(ACTION) != "keep")
-    with statement(spark, "MERGE INTO gold"):
+    with statement(spark, "MERGE INTO gold") as st:
         store.replace(GOLD_T, gplan.drop(ACTION))
-    g_act = _counts(obs_g)
+        g_act = _counts(obs_g)
+        st.rows = g_act["insert"] + g_act["update"]
 
     silver_loaded = s_act["insert"] + s_act["update"]
     gold_loaded = g_act["insert"] + g_act["update"]
@@ -153,8 +155,9 @@ def _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_b
         bronze_row_count=int(obs_b.get["n"]), silver_rows_loaded=silver_loaded,
         silver_rows_deleted=0, gold_rows_loaded=gold_loaded, duration_sec=duration,
         credits_used=estimate_credits(duration, credits_per_hour))
-    with statement(spark, "INSERT INTO run_metrics"):
+    with statement(spark, "INSERT INTO run_metrics") as st:
         log_run(store, metrics)
+        st.rows = 1
     status = (f"upsert OK | run_id={run_id} | bronze={metrics.bronze_row_count}"
               f" | silver_loaded={silver_loaded} | gold_loaded={gold_loaded}"
               f" | duration_sec={duration}")

@@ -10,6 +10,7 @@ compared with an oracle.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import replace
 from typing import Callable
 
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.fixtures import bronze_for, load_fixture
+from refinery.functions.variant import field, whole_number
 from refinery.operators import gold as gold_ops
 from refinery.operators import inspect as inspect_ops
 from refinery.operators import reconcile as rec
@@ -26,17 +28,17 @@ from refinery.operators.merge import action_counts
 from refinery.operators.silver import SILVER_DATA_COLUMNS
 from refinery.plans import batch as batch_plan
 from refinery.plans import metrics as mx
-from refinery.plans import runs
+from refinery.plans import runs, tags
 from refinery.plans import upsert as upsert_plan
 from refinery.plans.store import TableStore
 from refinery.schemas import GOLD, SILVER
 from refinery.session import ensure_session_settings
-from refinery.sources import eventlog
+from refinery.sources import reviews
 from refinery.sources.staged import list_staged, read_bronze, read_staged
 from refinery.spec import BATCH, CLEAN, UPSERT
 
 # The yearly step shown by the single-year queries.
-STEP_YEAR = 1998
+STEP_YEAR = 2023
 MEASURES = GOLD_DATA_COLUMNS[1:]
 
 
@@ -66,8 +68,34 @@ def bronze_year_histogram(spark, sf_dir):
 
 
 def file_listing(spark, sf_dir):
+    """Staged files (A1): their lines sum up to the input, and each has a name,
+    a size and a time.  Their number follows the data and the session."""
     stage, _, _ = load_fixture(spark, sf_dir, "all")
-    return list_staged(spark, stage)
+    files = list_staged(spark, stage)
+    lines = read_staged(spark, stage).agg(F.count(F.lit(1)).alias("lines"))
+    listed = files.agg((F.count(F.lit(1)) > 0).alias("files_listed"),
+                       F.coalesce(F.bool_and(F.col("size") > 0), F.lit(False)).alias("all_sized"),
+                       F.coalesce(F.bool_and(F.col("last_modified").isNotNull()), F.lit(False)).alias("all_dated"))
+    return lines.join(listed)  # one row each
+
+
+def bronze_preview(spark, sf_dir):
+    """First rows of Bronze with their load time (A4, A14), in a total order of what is shown."""
+    bronze = _bronze(spark, sf_dir).select(
+        field("rating", "double").alias("rating"), field("title", "string").alias("review_title"),
+        whole_number("timestamp").alias("ts_unix"), "load_timestamp")
+    return inspect_ops.preview(bronze.orderBy(F.col("ts_unix").desc_nulls_last(), F.col("rating").asc_nulls_last(),
+                                              F.col("review_title").asc_nulls_last()), 5)
+
+
+def load_stamp(spark, sf_dir):
+    """Load times of the layers of a clean refresh (A4, A10): one per table and run."""
+    store = runs.clean_run(spark, sf_dir)
+    tables = (("bronze", _bronze(spark, sf_dir), "load_timestamp"),
+              ("silver", store.read("silver", SILVER), "loaded_at"), ("gold", store.read("gold", GOLD), "loaded_at"))
+    parts = [df.groupBy(F.col(c).alias("stamp")).agg(F.count(F.lit(1)).alias("n"))
+             .select(F.lit(name).alias("tbl"), "stamp", "n") for name, df, c in tables]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def malformed_lines(spark, sf_dir):
@@ -139,7 +167,12 @@ def batch_all_years_gold(spark, sf_dir):
 
 
 def batch_reset_2000(spark, sf_dir):
-    return _gold(runs.batch_run(spark, sf_dir, reset_year=2000))
+    return _gold(runs.batch_reset_run(spark, sf_dir, 2000))
+
+
+def batch_rerun_corrected_year_gold(spark, sf_dir):
+    """Gold after two loaded years are run again over corrected input."""
+    return _gold(runs.batch_corrected_run(spark, sf_dir, reviews.CORRECTED_YEAR, reviews.VANISHED_YEAR))
 
 
 def clean_refresh_gold(spark, sf_dir):
@@ -234,6 +267,11 @@ def kpi_latest(spark, sf_dir):
     return mx.kpi_latest(mx.read_runs(runs.upsert_two_waves(spark, sf_dir)))
 
 
+def latest_run_time(spark, sf_dir):
+    """Run time of the latest upsert (P10)."""
+    return mx.latest_run_time(mx.read_runs(runs.upsert_two_waves(spark, sf_dir)))
+
+
 def cost_report(spark, sf_dir):
     c, b, u = _all_runs(spark, sf_dir)
     return mx.cost_report(c.unionByName(b).unionByName(u), k=None)
@@ -241,38 +279,32 @@ def cost_report(spark, sf_dir):
 
 def recent_runs_summary(spark, sf_dir):
     c, b, u = _all_runs(spark, sf_dir)
-    return mx.recent_summary(c.unionByName(b).unionByName(u), mx.utc_now())
+    # An hour and eleven seconds after the runs' clock began: the first of them are too old.
+    now = runs.CLOCK_START + dt.timedelta(seconds=3611)
+    return mx.recent_summary(c.unionByName(b).unionByName(u), now)
 
 
-def _history(spark):
-    path = eventlog.event_log_dir(spark)
-    if path is None:
-        return None
-    return eventlog.job_history(eventlog.read_events(spark, path))
+def _statements(store: TableStore, **by) -> DataFrame:
+    found = tags.statement_history(tags.read_history(store), **by)
+    return found.select("query", "query_tag", "state", "rows_written")
 
 
 def job_history(spark, sf_dir):
-    """Jobs of the batch run by tag, newest first.
-
-    Empty when the session writes no event log."""
-    runs.batch_run(spark, sf_dir)
-    h = _history(spark)
-    return eventlog.empty_history(spark) if h is None else eventlog.query_history(h, tag="method=batch")
+    """Statements of the batch run by tag, newest first."""
+    return _statements(runs.batch_run(spark, sf_dir), tag="method=batch")
 
 
 def merge_history(spark, sf_dir):
     """Latest Silver MERGE found by its text."""
-    runs.upsert_two_waves(spark, sf_dir)
-    h = _history(spark)
-    if h is None:
-        return eventlog.empty_history(spark)
-    return eventlog.query_history(h, pattern="%merge into silver%", k=1)
+    return _statements(runs.upsert_two_waves(spark, sf_dir), pattern="%merge into SILVER%", k=1)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_field_preview": bronze_field_preview,
     "bronze_year_histogram": bronze_year_histogram,
     "file_listing": file_listing,
+    "bronze_preview": bronze_preview,
+    "load_stamp": load_stamp,
     "malformed_lines": malformed_lines,
     "silver_clean": silver_clean,
     "silver_batch_year": silver_batch_year,
@@ -286,6 +318,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_all_years_silver": batch_all_years_silver,
     "batch_all_years_gold": batch_all_years_gold,
     "batch_reset_2000": batch_reset_2000,
+    "batch_rerun_corrected_year_gold": batch_rerun_corrected_year_gold,
     "upsert_two_waves_silver": upsert_two_waves_silver,
     "upsert_two_waves_gold": upsert_two_waves_gold,
     "upsert_actions": upsert_actions,
@@ -300,6 +333,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_totals": kpi_totals,
     "kpi_latest": kpi_latest,
     "latest_runs": latest_runs,
+    "latest_run_time": latest_run_time,
     "cost_report": cost_report,
     "recent_runs_summary": recent_runs_summary,
     "job_history": job_history,

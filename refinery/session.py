@@ -61,7 +61,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        # Local runs and tests only: the cluster names a shared folder.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="refinery-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 

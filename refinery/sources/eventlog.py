@@ -58,13 +58,12 @@ HISTORY_COLUMNS = ["query_id", "jobs", "query", "description", "tags", "start_ti
                    "bytes_spilled", "result"]
 
 
-def event_log_dir(spark: SparkSession) -> str | None:
-    """This application's event log folder, or None when logging is off."""
-    if spark.conf.get("spark.eventLog.enabled", "false").lower() != "true":
-        return None
+def event_log_dir(spark: SparkSession) -> str:
+    """This application's event log folder; an error if the session writes none."""
     base = spark.conf.get("spark.eventLog.dir", None)
-    if not base:
-        return None
+    if spark.conf.get("spark.eventLog.enabled", "false").lower() != "true" or not base:
+        raise RuntimeError("this session writes no event log: set spark.eventLog.enabled and spark.eventLog.dir "
+                           "(the store's statement_history needs neither)")
     return f"{base.rstrip('/')}/*{spark.sparkContext.applicationId}*"
 
 
@@ -201,13 +200,3 @@ def query_history(history: DataFrame, tag: str | None = None, pattern: str | Non
         history = history.filter(F.col("description").ilike(pattern))
     out = history.orderBy(F.col("start_time").desc(), F.col("query_id").desc())
     return out.limit(k) if k else out
-
-
-def empty_history(spark: SparkSession) -> DataFrame:
-    schema = ("query_id string, jobs bigint, query string, description string, tags string, start_time timestamp_ntz, "
-              "total_sec double, compile_sec double, execute_sec double, rows_read bigint, rows_written bigint, "
-              "mb_scanned double, shuffle_mb double, shuffle_bytes bigint, files_read bigint, "
-              "partitions_read bigint, shuffle_records bigint, "
-              "bytes_spilled bigint, "
-              "result string")
-    return spark.createDataFrame([], schema)

@@ -24,6 +24,12 @@ TS_MID_2024_MS = 1718409600000     # 2024-06-15 00:00:00
 TS_END_2023_MS = 1704067199123     # 2023-12-31 23:59:59.123
 WAVE1_BEFORE = dt.datetime(1999, 1, 1)
 WAVE2_PARENT = "Q21"
+# The last second of 2023 goes to a quarter of the products only, so that a
+# step of that year is selective at every scale.
+END_2023_PRODUCTS = 20
+# Corrected input: this ship year has lost the reviews of the first products,
+# the other one all of its reviews.
+CORRECTED_YEAR, CORRECTED_PRODUCTS, VANISHED_YEAR = 1998, 30, 1997
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +49,7 @@ def _record(parent_asin: Column) -> Column:
     ts = (F.when(pk % 97 == 0, F.lit(TS_2024_START_MS))
           .when(pk % 97 == 1, F.lit(TS_MID_2024_MS))
           .when(pk % 97 == 2, F.lit(None).cast("bigint"))
-          .when(pk % 97 == 3, F.lit(TS_END_2023_MS))
+          .when((pk % 97 == 3) & (pk % 80 < END_2023_PRODUCTS), F.lit(TS_END_2023_MS))
           .otherwise(ship_ms))
     images = F.when(ln % 5 == 0, F.lit(None)).otherwise(
         F.array_repeat(F.struct(F.lit("MAIN").alias("variant")), ln % 3))
@@ -68,9 +74,12 @@ def _parent(pk: Column) -> Column:
 
 
 def review_lines(spark: SparkSession, sf_dir: str, wave: int | None = None,
-                 broken: bool = False) -> DataFrame:
+                 broken: bool = False, corrected: bool = False) -> DataFrame:
     """JSON-lines text (column ``value``) of the reviews.
 
+    ``corrected`` leaves out some reviews by ship date (see CORRECTED_YEAR);
+    the fixed timestamps of 2023 and 2024 stay.
+
     ``wave`` 1 / 2 select the two upsert waves; ``broken`` cuts every line with
     ``l_partkey % 89 = 0`` in half, which no JSON reader can parse.
     """
@@ -82,6 +91,11 @@ def review_lines(spark: SparkSession, sf_dir: str, wave: int | None = None,
     elif wave == 2:
         base = base.filter(pk % 10 != 0)
         parent = F.when(pk % 80 == 21, F.lit(WAVE2_PARENT)).otherwise(parent)
+    if corrected:
+        dated = ~(pk % 97).isin(0, 1, 2) & ~((pk % 97 == 3) & (pk % 80 < END_2023_PRODUCTS))
+        year = F.year("l_shipdate")
+        base = base.filter(~(dated & ((year == VANISHED_YEAR)
+                                      | ((year == CORRECTED_YEAR) & (pk % 80 < CORRECTED_PRODUCTS)))))
     # to_json drops NULL fields ("missing"); a JSON null is spliced in as text.
     text = F.when(pk % 101 == 6, F.concat(F.lit('{"asin":null,'), F.expr("substring(_j, 2)"))) \
         .otherwise(F.col("_j"))

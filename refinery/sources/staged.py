@@ -25,16 +25,15 @@ YEAR_COL = "review_year"
 BRONZE_STORED = T.StructType(BRONZE.fields + [T.StructField(YEAR_COL, T.IntegerType(), True)])
 
 
-def stage_lines(lines: DataFrame, path: str, compression: str = "gzip",
-                files: int | None = None) -> str:
+def stage_lines(lines: DataFrame, path: str, compression: str = "none") -> str:
     """Write JSON-lines text (column ``value``) as staged files.
 
-    A gzip file is read by one task, so the dump is cut into ``files`` pieces
-    (default: the session's parallelism), hashed on the line text so that a
-    retried task writes the same piece.
+    The files' number follows the data: lines are rebalanced to pieces of
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, whatever their text,
+    so copies of one line are spread too.  Plain text can be split by its
+    readers; a gzip file would be read by one task.
     """
-    n = files or lines.sparkSession.sparkContext.defaultParallelism
-    (lines.select("value").repartition(n, F.xxhash64("value")).write.mode("overwrite")
+    (lines.select("value").hint("rebalance").write.mode("overwrite")
      .option("compression", compression).text(path))
     return path
 
@@ -62,6 +61,16 @@ def year_present(spark: SparkSession, bronze_path: str, year: int) -> bool:
     return bool(fs.exists(p))
 
 
+def bronze_years(spark: SparkSession, bronze_path: str) -> set[int] | None:
+    """Years with a partition, from one listing; None without the year layout."""
+    if not year_partitioned(spark, bronze_path):
+        return None
+    p, fs = _fs(spark, bronze_path)
+    names = (st.getPath().getName() for st in fs.listStatus(p))
+    return {int(n.split("=", 1)[1]) for n in names
+            if n.startswith(f"{YEAR_COL}=") and n.split("=", 1)[1].lstrip("-").isdigit()}
+
+
 def list_staged(spark: SparkSession, path: str) -> DataFrame:
     """``LIST @stage`` (A1): path, modification time and size of each file.
 
@@ -104,9 +113,10 @@ def load_bronze(spark: SparkSession, stage_path: str, bronze_path: str,
 
     One pass over the staged files: lines that do not parse are counted by an
     ``Observation`` on the same scan and left out; the rest are stamped with
-    the load time and written partitioned by ``review_year``.  Each task writes
-    at most one file per year it holds (the writer sorts by partition value),
-    so no shuffle of the raw data is needed.
+    the load time and written partitioned by ``review_year``.  The rows are
+    rebalanced by that year first: one exchange of the raw data, after which
+    AQE splits a large year into files of the advisory size and puts small
+    ones together, so the number of files follows the data, not tasks x years.
 
     ``on_error="abort"`` fails the load on the first line that does not parse
     (the JSON reader's FAILFAST mode) instead of skipping it.
@@ -120,12 +130,22 @@ def load_bronze(spark: SparkSession, stage_path: str, bronze_path: str,
                        F.count_if(F.col("raw_json").isNull()).alias("rejected"))
            .filter(F.col("raw_json").isNotNull())
            .withColumn("load_timestamp", stamp))
-    (with_year(out).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (with_year(out).hint("rebalance", YEAR_COL).write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy(YEAR_COL).parquet(bronze_path))
-    m = obs.get
+    if not bronze_years(spark, bronze_path) and not _null_year(spark, bronze_path):
+        # Nothing was kept: adaptive execution drops an empty branch together
+        # with what it observed, so the rejected lines are counted on their own.
+        m = raw.agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("raw_json").isNull()).alias("rejected")).first()
+    else:
+        m = obs.get
     return BronzeLoad(bronze_path, int(m["lines"] - m["rejected"]), int(m["rejected"]))
 
 
+def _null_year(spark: SparkSession, bronze_path: str) -> bool:
+    p, fs = _fs(spark, f"{bronze_path}/{YEAR_COL}=__HIVE_DEFAULT_PARTITION__")
+    return bool(fs.exists(p))
+
+
 def read_bronze(spark: SparkSession, bronze_path: str, year: int | None = None,
                 keep_year: bool = False) -> DataFrame:
     """Bronze as (raw_json, load_timestamp), read with its fixed schema.

@@ -50,7 +50,7 @@ BATCH = MethodSpec(
 UPSERT = MethodSpec(
     name="upsert", id_separator="|", null_test="value",
     lower=dt.datetime(1996, 1, 1), upper=dt.datetime(2025, 1, 1), upper_inclusive=False,
-    helpful_default=None, images_default=False, string_widths=False, dedupe=True,
+    helpful_default=None, images_default=False, string_widths=True, dedupe=True,
     round_avg=False, drop_null_parent=True)
 
 FIRST_BATCH_YEAR = 1996

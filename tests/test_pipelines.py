@@ -203,3 +203,82 @@ def test_upsert_prune_orphans_and_key_check(spark, tmp_path):
     bad.replace("silver", rows)
     with pytest.raises(ValueError, match="target has duplicate keys"):
         upsert_plan.process_upsert(spark, paths[0], bad, _clock(), verify_keys=True)
+
+
+def _bronze_of(spark, tmp_path, name, rows):
+    """Bronze of (user, product, year) reviews."""
+    from refinery.sources.staged import load_bronze
+    f = tmp_path / f"{name}.jsonl"
+    f.write_text("".join(
+        f'{{"rating":4,"text":"a","asin":"A-{p}","parent_asin":"{p}","user_id":"{u}",'
+        f'"timestamp":{int(dt.datetime(y, 6, 1, tzinfo=dt.timezone.utc).timestamp() * 1000)}}}\n' for u, p, y in rows))
+    out = f"{fresh_workspace(spark, 'bronze-' + name)}/bronze"
+    load_bronze(spark, str(f), out)
+    return out
+
+
+def _gold_rows(store):
+    return {g.parent_asin: g.total_reviews for g in store.read("gold", GOLD).collect()}
+
+
+def test_rerun_of_a_corrected_year(spark, tmp_path):
+    """A product that the year has lost, and a year that is gone, leave Gold."""
+    full = _bronze_of(spark, tmp_path, "full", [("u1", "p1", 1998), ("u1", "p2", 1998), ("u2", "p1", 1999), ("u3", "p3", 2000)])
+    less = _bronze_of(spark, tmp_path, "less", [("u1", "p1", 1998), ("u2", "p1", 1999)])
+    store = _store(spark, "t-rerun")
+    batch_plan.create_batch_tables(spark, store)
+    batch_plan.run_all_batches(spark, full, store, last_year=2001)
+    assert _gold_rows(store) == {"p1": 2, "p2": 1, "p3": 1}
+    for year, expected in ((1998, {"p1": 2, "p3": 1}), (2000, {"p1": 2}), (2000, {"p1": 2})):
+        batch_plan.set_next_year(spark, store, year)
+        batch_plan.process_next_batch(spark, less, store)
+        assert _gold_rows(store) == expected
+    assert sorted((r.user_id, r.parent_asin) for r in batch_plan.read_silver(store).collect()) == [("u1", "p1"), ("u2", "p1")]
+
+
+def test_rerun_that_fails_midway_still_knows_what_it_touched(spark, tmp_path, monkeypatch):
+    import pytest
+    full = _bronze_of(spark, tmp_path, "f2", [("u1", "p1", 1998), ("u1", "p2", 1998)])
+    less = _bronze_of(spark, tmp_path, "l2", [("u1", "p1", 1998)])
+    store = _store(spark, "t-rerun-fail")
+    batch_plan.create_batch_tables(spark, store)
+    batch_plan.run_all_batches(spark, full, store, last_year=1998)
+    batch_plan.set_next_year(spark, store, 1998)
+    with monkeypatch.context() as m:
+        def broken(*_):
+            raise OSError("lost")
+        m.setattr(gold_ops, "replace_keys", broken)
+        with pytest.raises(OSError):
+            batch_plan.process_next_batch(spark, less, store)
+    assert _gold_rows(store) == {"p1": 1, "p2": 1}       # Gold untouched, watermark stays
+    batch_plan.process_next_batch(spark, less, store)
+    assert _gold_rows(store) == {"p1": 1}
+
+
+def test_catch_up_runs_until_done_and_logs_every_year(spark, tmp_path):
+    bronze = _bronze_of(spark, tmp_path, "long", [("u1", "p1", 1950), ("u1", "p1", 2001)])
+    store = _store(spark, "t-long")
+    batch_plan.create_batch_tables(spark, store, first_year=1950)
+    results = batch_plan.run_all_batches(spark, bronze, store, clock=_clock())
+    assert results[-1].status == batch_plan.DONE and batch_plan.next_year(store) == 2024
+    assert [r.batch_id for r in read_runs(store).orderBy("batch_id").collect()] == list(range(1950, 2024))
+
+
+def test_failed_run_is_in_the_history(spark, tmp_path, monkeypatch):
+    import pytest
+    from refinery.plans import tags
+    bronze = _bronze_of(spark, tmp_path, "h", [("u1", "p1", 1998)])
+    store = _store(spark, "t-history")
+    clean_plan.clean_refresh(spark, bronze, store, _clock())
+    with monkeypatch.context() as m:
+        def broken(*_):
+            raise OSError("lost")
+        m.setattr(store, "replace", broken)
+        with pytest.raises(OSError):
+            clean_plan.clean_refresh(spark, bronze, store, _clock())
+    history = tags.read_history(store)
+    failed = tags.statement_history(history, state=tags.FAILED).collect()
+    assert [r.query for r in failed] == ["TRUNCATE + INSERT INTO silver", "CALL clean_refresh"]
+    done = tags.statement_history(history, pattern="%into GOLD%", state=tags.SUCCEEDED).collect()
+    assert [(r.query_tag, r.rows_written) for r in done] == [("method=clean_refresh", 1)]
+    assert tags.statement_history(history, since=dt.datetime(2100, 1, 1)).count() == 0

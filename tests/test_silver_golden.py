@@ -79,7 +79,7 @@ def test_defaults_differ(spark, golden_bronze):
         assert clean[u]["has_images"] is None and ups[u]["has_images"] is False
     assert clean["U22"]["has_images"] is False and ups["U22"]["has_images"] is False
     assert clean["U11"]["has_images"] is True
-    assert len(clean["U24"]["review_title"]) == 500 and len(ups["U24"]["review_title"]) == 501  # V8
+    assert len(clean["U24"]["review_title"]) == 500 and len(ups["U24"]["review_title"]) == 500  # D2
 
 
 def test_timestamp_keeps_millis(spark, golden_bronze):
@@ -186,3 +186,14 @@ def test_json_null_in_every_field(spark, tmp_path):
     gold = {g.parent_asin for g in gold_ops.aggregate(
         silver_ops.extract(read_bronze(spark, out), CLEAN), CLEAN).collect()}
     assert gold == {"P", None}
+
+
+def test_cut_values_are_counted_and_strict_refuses_them(spark, golden_bronze):
+    from pyspark.sql import functions as F
+    bronze = read_bronze(spark, golden_bronze[0])
+    for spec in (CLEAN, UPSERT):
+        counts = silver_ops.cut_counts(bronze, spec).first().asDict()
+        assert counts == {"asin": 0, "parent_asin": 0, "user_id": 0, "review_title": 1}
+        with pytest.raises(Exception, match="title is longer than 500"):
+            silver_ops.extract(bronze.filter(F.expr("variant_get(raw_json, '$.user_id', 'string') = 'U24'")),
+                               spec, strict=True).collect()

@@ -67,12 +67,17 @@ def test_absent_year_reads_empty(spark, golden_bronze):
 
 
 def test_vacuum_keeps_current_and_previous(spark):
-    store = TableStore(spark, fresh_workspace(spark, "t-vacuum"))
+    store = TableStore(spark, fresh_workspace(spark, "t-vacuum"), keep_sec=0)
     for y in range(1996, 2001):
         store.replace("state", spark.createDataFrame([(y,)], BATCH_STATE))
     kept = sorted(os.listdir(local_path(store.path("state"))))
     assert kept == ["v=000004", "v=000005"]
     assert store.read("state", BATCH_STATE).first().next_year == 2000
+    # replaced a moment ago: a reader may still be at it
+    young = TableStore(spark, fresh_workspace(spark, "t-young"))
+    for y in range(4):
+        young.replace("state", spark.createDataFrame([(y,)], BATCH_STATE))
+    assert len(os.listdir(local_path(young.path("state")))) == 4
     everything = TableStore(spark, fresh_workspace(spark, "t-keepall"), keep=None)
     for y in range(3):
         everything.replace("state", spark.createDataFrame([(y,)], BATCH_STATE))
@@ -102,11 +107,11 @@ def test_list_staged_files_metadata_only(spark, tmp_path):
     from refinery.sources.staged import list_staged, stage_lines
     lines = spark.createDataFrame([(f'{{"i": {i}}}',) for i in range(50)], "value string")
     stage = f"{fresh_workspace(spark, 't-list')}/stage"
-    stage_lines(lines, stage, files=3)
+    stage_lines(lines, stage, compression="gzip")
     listed = list_staged(spark, stage)
     assert listed.columns == ["name", "size", "last_modified"]
     rows = listed.collect()
-    assert 1 <= len(rows) <= 3 and all(r.size > 0 and r.name.endswith(".gz") for r in rows)
+    assert len(rows) == 1 and all(r.size > 0 and r.name.endswith(".gz") for r in rows)
     plan = listed._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1]          # file bodies are not read
     assert load_bronze(spark, stage, f"{stage}-bronze").loaded_rows == 50
@@ -118,3 +123,71 @@ def test_load_abort_on_error(spark):
     from tests.conftest import GOLDEN
     with pytest.raises(Exception, match="(?i)malformed|FAILFAST|parse"):
         load_bronze(spark, GOLDEN, f"{fw(spark, 't-abort')}/bronze", on_error="abort")
+
+
+def _state(spark, year):
+    return spark.createDataFrame([(year,)], BATCH_STATE)
+
+
+def test_state_outlives_sessions_without_success_files(spark, golden_bronze):
+    """The store's marker does not depend on the committer's."""
+    from refinery.plans import upsert as upsert_plan
+    from refinery.schemas import GOLD, SILVER
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        store = TableStore(spark, fresh_workspace(spark, "t-nosuccess"))
+        first = upsert_plan.process_upsert(spark, golden_bronze[0], store)
+        again = upsert_plan.process_upsert(spark, golden_bronze[0], store)
+        assert not store._exists(f"{store.current('gold')}/_SUCCESS")
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert first.silver_actions["insert"] == 16 and again.silver_actions["noop"] == 16
+    assert store.read("silver", SILVER).count() == 16 and store.read("gold", GOLD).count() == 7
+
+
+def test_unmarked_table_raises(spark):
+    import pytest
+    from refinery.plans.store import MARKER
+    store = TableStore(spark, fresh_workspace(spark, "t-unmarked"))
+    path = store.replace("state", _state(spark, 2000))
+    os.remove(f"{local_path(path)}/{MARKER}")
+    for use in (lambda: store.read("state", BATCH_STATE), lambda: store.create_if_absent("state", BATCH_STATE)):
+        with pytest.raises(RuntimeError, match="none is committed"):
+            use()
+    store.replace("state", _state(spark, 2001))       # a retry of the failed write
+    assert store.read("state", BATCH_STATE).first().next_year == 2001
+
+
+def test_old_generations_are_removed(spark):
+    now = TableStore(spark, fresh_workspace(spark, "t-gen"), keep_sec=0)
+    for y in range(3):
+        now.append("runs", _state(spark, y))
+        now.reset_appended("runs")
+    assert sorted(os.listdir(local_path(now.path("runs")))) == ["g=000004"]
+    later = TableStore(spark, fresh_workspace(spark, "t-gen-young"))
+    for y in range(3):
+        later.append("runs", _state(spark, y))
+        later.reset_appended("runs")
+    assert len(os.listdir(local_path(later.path("runs")))) == 4
+    assert later.read_appended("runs", BATCH_STATE).count() == 0
+
+
+def test_bronze_files_follow_data_not_tasks(spark):
+    """As many files from 40 input files as from one."""
+    lines = spark.createDataFrame(
+        [(f'{{"timestamp": {(i % 5) * 31_557_600_000 + 946_684_800_000}, "i": {i}}}',) for i in range(400)], "value string")
+    counts = []
+    for n in (1, 40):
+        base = fresh_workspace(spark, f"t-files-{n}")
+        lines.repartition(n).write.text(f"{base}/stage")
+        load_bronze(spark, f"{base}/stage", f"{base}/bronze")
+        counts.append(sum(f.endswith(".parquet") for _, _, names in os.walk(local_path(f"{base}/bronze")) for f in names))
+    assert counts[0] == counts[1] <= 5
+
+
+def test_rejected_lines_are_counted_when_nothing_is_kept(spark, tmp_path):
+    f = tmp_path / "bad.jsonl"
+    f.write_text('{"a":\n{"b"\n')
+    load = load_bronze(spark, str(f), f"{fresh_workspace(spark, 't-allbad')}/bronze")
+    assert (load.loaded_rows, load.rejected_lines) == (0, 2)
