@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import re
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -101,6 +102,11 @@ class TableStore:
         finally:
             stream.close()
 
+    def size(self, path: str) -> int:
+        """Bytes of a folder's files, 0 if it does not exist."""
+        p, fs = self._fs(path)
+        return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
     def mark(self, path: str) -> None:
         """Declare the folder's contents complete."""
         self.write_text(f"{path}/{MARKER}", "ok\n")
@@ -190,14 +196,17 @@ class TableStore:
             if v >= oldest_kept:
                 continue
             path = f"{self.path(name)}/v={v:06d}"
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._ident(path)}")
-            for target in (path, self._spec_path(name, path)):
-                p, fs = self._fs(target)
-                if fs.exists(p):
-                    fs.delete(p, True)
+            self._drop_snapshot(name, path)
             removed.append(path)
         return removed
 
+    def _drop_snapshot(self, name: str, path: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._ident(path)}")
+        for target in (path, self._spec_path(name, path)):
+            p, fs = self._fs(target)
+            if fs.exists(p):
+                fs.delete(p, True)
+
     # -- bucketed snapshots -------------------------------------------------------
     def _spec_path(self, name: str, snapshot: str) -> str:
         return f"{self.path(name)}/_bucketing/{snapshot.rsplit('/', 1)[1]}"
@@ -229,9 +238,13 @@ class TableStore:
                            f"CLUSTERED BY ({by}) INTO {n} BUCKETS LOCATION '{snapshot}'")
         return self.spark.table(ident)
 
-    def replace_bucketed(self, name: str, df: DataFrame, keys: list[str], buckets: int) -> str:
+    def replace_bucketed(self, name: str, df: DataFrame, keys: list[str], buckets: int,
+                         changed: Callable[[], bool] = lambda: True) -> str | None:
         """A new snapshot hash-clustered on ``keys`` into ``buckets`` files groups.
 
+        ``changed`` is asked after the write; if it says no, the new files are
+        dropped and the table stays at its version (None is returned).
+
         When ``df`` is already partitioned on ``keys`` into ``buckets``
         partitions (a join or window on the key), every task writes one bucket
         file and no extra shuffle or sort is added.
@@ -241,6 +254,9 @@ class TableStore:
         self.write_text(self._spec_path(name, path), f"{int(buckets)}|{','.join(keys)}\n")
         (df.write.format("parquet").bucketBy(int(buckets), *keys).option("path", path)
          .mode("errorifexists").saveAsTable(self._ident(path)))
+        if not changed():
+            self._drop_snapshot(name, path)
+            return None
         self.mark(path)
         if previous is not None:
             # external table: only the catalog entry goes, the files stay

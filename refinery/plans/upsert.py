@@ -43,6 +43,9 @@ COMPARE = ["rating", "review_ts", "review_title", "review_text", "helpful_vote",
            "verified_purchase", "parent_asin", "has_images"]
 UPDATE = ["review_id", "parent_asin", "rating", "review_title", "review_text",
           "helpful_vote", "verified_purchase", "review_ts", "has_images"]
+# Silver bytes that a bucket is meant to hold, and how far it may outgrow that.
+BUCKET_BYTES = 256 << 20
+REBUCKET_FACTOR = 4
 GOLD_UPDATE = [c for c in GOLD_COLUMNS if c not in ("parent_asin", "loaded_at")]
 
 
@@ -91,10 +94,12 @@ def process_upsert(spark: SparkSession, bronze_path: str, store: TableStore,
     """One upsert run (P4).  Credits default to NULL, as the reference logs.
 
     Silver is kept bucketed on (user_id, asin) into ``silver_buckets``, so the
-    next run's merge reads it without shuffling it.  The count is sticky: by
-    default the current snapshot's count is kept (the session's
-    ``spark.sql.shuffle.partitions`` for a first run), and the merge runs with
-    that many shuffle partitions so the source lands in matching buckets.
+    next run's merge reads it without shuffling it.  By default the count
+    follows the data (``bucket_count``): the current snapshot's is kept until
+    its buckets have outgrown their size, then that run's merge shuffles Silver
+    once into more of them.  The merge runs with that many shuffle partitions,
+    so the source lands in matching buckets.  A run that changes no row leaves
+    Silver at its version.
 
     ``prune_orphans`` removes Gold rows whose product has no Silver rows left
     (off by default: the reference keeps them stale, V13 / D12).
@@ -103,13 +108,26 @@ def process_upsert(spark: SparkSession, bronze_path: str, store: TableStore,
     method guarantees uniqueness by construction, so it is off by default.
     """
     if silver_buckets is None:
-        silver_buckets = (store.bucket_count(SILVER_T)
-                          or int(spark.conf.get("spark.sql.shuffle.partitions")))
+        silver_buckets = bucket_count(spark, bronze_path, store)
     with method_tag(spark, "upsert", store):
         return _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_buckets,
                                strict, prune_orphans, verify_keys)
 
 
+def bucket_count(spark: SparkSession, bronze_path: str, store: TableStore) -> int:
+    """Buckets for the next Silver: one for each ``BUCKET_BYTES`` of what is
+    there and what comes, at least the session's shuffle partitions; the
+    present count while its buckets hold less than ``REBUCKET_FACTOR`` times that."""
+    present = store.bucket_count(SILVER_T)
+    current = store.current(SILVER_T)
+    held = store.size(current) if current else 0
+    needed = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                 -(-(held + store.size(bronze_path)) // BUCKET_BYTES))
+    if present and -(-held // BUCKET_BYTES) <= REBUCKET_FACTOR * present:
+        return present
+    return needed
+
+
 def _check_unique(df: DataFrame, keys: list[str], what: str) -> None:
     dup = duplicate_keys(df, keys).limit(1).collect()
     if dup:
@@ -132,8 +150,8 @@ def _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_b
         _check_unique(store.read(SILVER_T, SILVER), KEYS, "target")
     plan = silver_merge_plan(store.read(SILVER_T, SILVER), source, now)
     with statement(spark, "MERGE INTO silver") as st, shuffle_partitions(spark, silver_buckets):
-        store.replace_bucketed(SILVER_T, _observe_actions(plan, obs_s).drop(ACTION), KEYS,
-                               silver_buckets)
+        store.replace_bucketed(SILVER_T, _observe_actions(plan, obs_s).drop(ACTION), KEYS, silver_buckets,
+                               changed=lambda: any(_counts(obs_s)[a] for a in ("insert", "update")))
         s_act = _counts(obs_s)
         st.rows = s_act["insert"] + s_act["update"]
 

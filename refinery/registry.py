@@ -197,10 +197,16 @@ def upsert_actions(spark, sf_dir):
 
 
 def upsert_idempotent(spark, sf_dir):
-    """Wave 2 applied a second time writes no Silver row (J8, README claim)."""
+    """Wave 2 applied a second time writes no Silver row and no Silver version
+    (J8, README claim)."""
+    versions = []
+
     def run(store):
         for kind in ("wave1", "wave2", "wave2"):
             upsert_plan.process_upsert(spark, bronze_for(spark, sf_dir, kind), store)
+            versions.append(store.current("silver"))
+        if versions[1] != versions[2]:
+            raise AssertionError("an upsert without changes made a new Silver version")
     store = runs.memo(spark, sf_dir, "upsert-again", run)
     last = mx.latest_runs(upsert_plan.read_runs(store), 1)
     figures = [last.select(F.lit(c).alias("figure"), F.col(c).alias("value"))

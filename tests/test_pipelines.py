@@ -282,3 +282,20 @@ def test_failed_run_is_in_the_history(spark, tmp_path, monkeypatch):
     done = tags.statement_history(history, pattern="%into GOLD%", state=tags.SUCCEEDED).collect()
     assert [(r.query_tag, r.rows_written) for r in done] == [("method=clean_refresh", 1)]
     assert tags.statement_history(history, since=dt.datetime(2100, 1, 1)).count() == 0
+
+
+def test_silver_is_rebucketed_when_it_has_outgrown_its_buckets(spark, golden_bronze, monkeypatch):
+    store = _store(spark, "t-rebucket")
+    upsert_plan.process_upsert(spark, golden_bronze[0], store, _clock(), silver_buckets=2)
+    assert upsert_plan.bucket_count(spark, golden_bronze[0], store) == 2
+    monkeypatch.setattr(upsert_plan, "BUCKET_BYTES", 1000)
+    n = upsert_plan.bucket_count(spark, golden_bronze[0], store)
+    assert n > 8
+    before = store.read("silver", SILVER).count()
+    again = upsert_plan.process_upsert(spark, golden_bronze[0], store, _clock())
+    assert again.silver_actions["noop"] == before == store.read("silver", SILVER).count()
+    assert store.bucket_count("silver") == 2          # nothing changed: no new version
+    silver = store.read("silver", SILVER).withColumn("rating", F.lit(1.0))
+    store.replace_bucketed("silver", silver, upsert_plan.KEYS, 2)
+    last = upsert_plan.process_upsert(spark, golden_bronze[0], store, _clock())
+    assert last.silver_actions["update"] > 0 and store.bucket_count("silver") > 8
