@@ -38,8 +38,8 @@ EPOCHS = 3
 #: Learning rate, its offset, L1 and L2 of the regularised leader.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.01
 FOLDS = 5
-#: A document is rejected if no language is likelier than all others together.
-MIN_SCORE = 0.5
+#: A document is rejected if its best language is not this many times as likely as by chance.
+MIN_LIFT = 1.1
 
 UNKNOWN = "und"
 
@@ -263,14 +263,18 @@ def predict(docs: DataFrame, model: Model | None = None) -> DataFrame:
         score, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, model: Model | None = None, min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs``, all columns, whose language is known with at least ``min_score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model or train(docs))
+def accepted(docs: DataFrame, model: Model | None = None, min_lift: float = MIN_LIFT) -> DataFrame:
+    """``docs``, all columns, without those that have no letter or whose languages
+    are all about equally likely.  Short and mixed texts stay: their language
+    is less sure, but known better than by chance."""
+    model = model or train(docs)
+    least = min_lift / len(model.languages) if len(model.languages) > 1 else 0.0
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [shared.value.predict(t) for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array([lang != UNKNOWN and p >= min_score for lang, p in found], pa.bool_()))
+            yield batch.filter(pa.array([lang != UNKNOWN and p >= least for lang, p in found], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

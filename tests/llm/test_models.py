@@ -247,3 +247,13 @@ def test_odd_pages(spark):
     assert len(found) == 6
     assert (4, "u") == [r[:2] for r in found if r[3] > 1000][0] and [r[3] for r in found if r[0] == 4] == [20_000 * 15 - 1]
     assert page_text.extract(df.limit(0)).count() == 0
+
+
+def test_texts_without_any_evidence_are_rejected(spark):
+    """Letters that no training text has say nothing; a few known ones are enough to stay."""
+    rows = [(i, "the cat and the dog", "en") for i in range(60)] + [(100 + i, "le chat et le chien", "fr") for i in range(60)]
+    odd = [(900, "the", None), (901, "chien", None)]
+    kept = {r.doc_id for r in language.accepted(docs(spark, rows + odd)).collect()}
+    assert kept == {r[0] for r in rows + odd}
+    model = language.Model(["en", "fr"], np.ones(language.DIM), np.zeros((language.DIM, 2)), np.zeros(2))
+    assert language.accepted(docs(spark, odd), model).count() == 0
