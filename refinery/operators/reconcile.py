@@ -72,15 +72,20 @@ def multiset_differences(a: DataFrame, b: DataFrame, a_name: str = "a",
                          b_name: str = "b") -> DataFrame:
     """Rows held more often by one side than the other (keyless tables).
 
-    One shuffle: both sides are unioned and counted per distinct row (partial
-    aggregation first, so a row repeated a billion times costs one record per
-    task); rows whose counts differ come out once, with ``side`` and
-    ``copies`` = the surplus.  Nothing is replicated.
+    Both sides are unioned and counted per 128-bit row hash (partial
+    aggregation first, so a row repeated a billion times costs one small record
+    per task).  Only rows whose hash differs in its counts are then read in
+    full and counted as rows; they come out once, with ``side`` and ``copies``
+    = the surplus.  Where the tables mostly agree, no full row is shuffled.
     """
     cols = a.columns
     tagged = (a.select(*cols, F.lit(1).alias("_a"), F.lit(0).alias("_b"))
               .unionByName(b.select(*cols, F.lit(0).alias("_a"), F.lit(1).alias("_b"))))
-    counts = tagged.groupBy(*cols).agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
+    tagged = tagged.withColumn("_h1", F.xxhash64(*cols)).withColumn("_h2", F.xxhash64(F.lit("second"), *cols))
+    differing = (tagged.groupBy("_h1", "_h2").agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
+                 .filter(F.col("_na") != F.col("_nb")).select("_h1", "_h2"))
+    counts = (tagged.join(differing, ["_h1", "_h2"], "left_semi").groupBy(*cols)
+              .agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb")))
     return (counts.filter(F.col("_na") != F.col("_nb"))
             .select(*cols,
                     F.when(F.col("_na") > F.col("_nb"), F.lit(f"only_{a_name}"))
