@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
@@ -82,4 +83,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_decontamination, op2_edit_counts, op3_neighbours, op4_language, op5_chat_format,
         op6_simhash, op7_token_files, op8_best_fit, op9_url_filter, op10_page_text)}
 
-ORACLE: dict[str, str] = {}
+_FOLDED = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+_WORDS = rf"regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE: dict[str, str] = {
+    "op1_decontamination": f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT item_id, w, least(10, len(w)) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) x WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(list_slice(w, s, s + n - 1), ' ') AS span
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS s FROM items) i),
+places AS (
+  SELECT doc_id, n, s, array_to_string(list_slice(w, s, s + n - 1), ' ') AS span
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s
+        FROM docs, (SELECT DISTINCT n FROM items) l WHERE len(w) >= n) d),
+hits AS (SELECT p.doc_id, p.s, p.n, v.item_id FROM places p JOIN windows v ON p.n = v.n AND p.span = v.span),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT word_no) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + n)) AS word_no FROM (SELECT DISTINCT doc_id, s, n FROM hits) h) x GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) y GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit_words USING (doc_id) LEFT JOIN found USING (doc_id)""",
+}

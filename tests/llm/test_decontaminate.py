@@ -92,3 +92,22 @@ def test_every_shared_span_is_kept():
             kept.append(set(d.winnow(np.array(text, np.uint64), k, w)[1].tolist()))
         inside = set(d.kgrams(np.array(span, np.uint64), k).tolist())
         assert kept[0] & kept[1] & inside
+
+
+def test_query_against_its_oracle(spark):
+    """Whole tables, against DuckDB."""
+    import duckdb
+
+    from refinery.llm.queries import ORACLE, QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf}/{name}.parquet')")
+    found = con.execute(ORACLE["op1_decontamination"])
+    columns = [c[0] for c in found.description]
+    df = QUERIES["op1_decontamination"](spark, sf)
+    assert df.columns == columns
+    rows = sorted(found.fetchall())
+    assert sum(r[-1] for r in rows) > 10
+    assert sorted(tuple(r) for r in df.collect()) == rows
