@@ -20,14 +20,13 @@ def shared_dir(spark: SparkSession) -> str:
     session without it is refused, as executors see no local folder of the
     driver.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if path:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    own = "file://" + tempfile.mkdtemp(prefix="run-llm-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="run-llm-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

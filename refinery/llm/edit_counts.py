@@ -104,25 +104,27 @@ def segments(text: str, size: int = SEGMENT) -> list[int]:
     return out
 
 
+def parts(text: str, starts: list[int]) -> list[str]:
+    return [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])]
+
+
+def token_counts(encode: ChunkEncoder, texts: list[str]) -> list[int]:
+    if not texts:
+        return []
+    _, at = encode.encode(pa.array(texts, pa.large_string()))
+    return (at[1:] - at[:-1]).tolist()
+
+
 class CountedText:
     """A text, its segments and the tree of their token counts."""
 
-    def __init__(self, text: str, encode: ChunkEncoder):
+    def __init__(self, text: str, encode: ChunkEncoder, starts: list[int] | None = None,
+                 counts: list[int] | None = None):
         self.encode, self.text = encode, text
-        self.starts = segments(text)
-        self.tree = SumTree(self._counts([text[a:b] for a, b in self._spans(0, len(self.starts))]))
+        self.starts = segments(text) if starts is None else starts
+        self.tree = SumTree(token_counts(encode, parts(text, self.starts)) if counts is None else counts)
         self.reencoded = 0
 
-    def _spans(self, first: int, last: int) -> Iterator[tuple[int, int]]:
-        ends = [*self.starts[1:], len(self.text)]
-        return zip(self.starts[first:last], ends[first:last])
-
-    def _counts(self, parts: list[str]) -> list[int]:
-        if not parts:
-            return []
-        _, at = self.encode.encode(pa.array(parts, pa.large_string()))
-        return (at[1:] - at[:-1]).tolist()
-
     @property
     def total(self) -> int:
         return self.tree.total
@@ -141,15 +143,25 @@ class CountedText:
         inside = [left + x for x in segments(part)]
         self.starts = starts[:first] + inside + [x + shift for x in starts[last:]]
         ends = [*(x - left for x in inside[1:]), len(part)]
-        leaves = self._counts([part[x - left:b] for x, b in zip(inside, ends)])
+        leaves = token_counts(self.encode, [part[x - left:b] for x, b in zip(inside, ends)])
         self.tree.replace(first, last, leaves)
         self.reencoded += len(leaves)
 
 
-def applied(text: str, edits: list[tuple[int, int, str]], encode: ChunkEncoder) -> tuple[int, int, int, int, int]:
+def counted(texts: list[str], encode: ChunkEncoder) -> list[CountedText]:
+    """The texts with their trees; the segments of all are encoded in one call."""
+    starts = [segments(t) for t in texts]
+    counts = token_counts(encode, [p for t, s in zip(texts, starts) for p in parts(t, s)])
+    out, at = [], 0
+    for text, s in zip(texts, starts):
+        out.append(CountedText(text, encode, s, counts[at:at + len(s)]))
+        at += len(s)
+    return out
+
+
+def applied(doc: CountedText, edits: list[tuple[int, int, str]]) -> tuple[int, int, int, int, int]:
     """(tokens before, edits made, segments, segments encoded again, tokens after)."""
-    doc = CountedText(text, encode)
-    before, n_segments = doc.total, len(doc.starts)
+    text, before, n_segments = doc.text, doc.total, len(doc.starts)
     made, shift, reached = 0, 0, 0
     for start, end, new in edits:
         start, end = min(start, len(text)), min(end, len(text))
@@ -187,11 +199,9 @@ def edit_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary, True)
         for batch in slices(batches):
-            out = []
-            lists = batch.column(2).to_pylist() if given else None
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                text = text or ""
-                out.append(applied(text, _edit_list(lists[i]) if given else redactions(text), encode))
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            lists = map(_edit_list, batch.column(2).to_pylist()) if given else map(redactions, texts)
+            out = [applied(doc, edits) for doc, edits in zip(counted(texts, encode), lists)]
             cols = [pa.array([o[k] for o in out], pa.int64()) for k in range(5)]
             delta = pa.array([o[4] - o[0] for o in out], pa.int64())
             yield pa.RecordBatch.from_arrays(
