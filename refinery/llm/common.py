@@ -59,10 +59,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """Smaller batches, so that a worker holds few Python objects at a time."""
+    """Smaller batches, so that a worker holds few Python objects at a time.
+
+    At the task's end the worker, which stays for later tasks, gives back what
+    Arrow keeps in reserve.
+    """
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
 
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks in each of the two generations that a worker remembers.
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 150_000
 
 #: Letters that both patterns class alike and that lower-case one to one,
 #: followed by marks that never join a letter.
