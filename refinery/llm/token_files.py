@@ -127,7 +127,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int) -> No
     spark.createDataFrame([(dictionary,)], "dictionary binary").coalesce(1).write.parquet(f"{path}/dictionary")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // SORT_BYTES + 1)
-    ordered = docs.repartitionByRange(parts, "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = docs.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
