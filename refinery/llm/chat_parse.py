@@ -9,14 +9,18 @@ rendered as ``<|role|>``, its text, ``<|end|>``.
 
 Viterbi runs over blocks of lines: a block is summed up by the best way from
 each state before it to each state at its end, the blocks of a conversation
-are chained, and then each block is walked again between its known ends.  So a
-conversation that holds a third of all rows is shared by many tasks; one task
-only sees a small matrix for each of its blocks.
+are chained, and then each block is walked again between its known ends.  Lines
+are dealt to tasks by ranges of their whole order, and blocks are cut there by
+count, so a conversation or a turn that holds a third of all rows is shared by
+many tasks; one task only sees a small matrix for each of its blocks.
 
 Defined results.  Null text: an empty line.  Null or unknown role: not learned
 from.  Null conv_id: one conversation.  Null turn: before all others.  Rows of
-one turn stand in text order; repeated rows are lines of their own.  Empty
-table: no row.  Other columns are ignored.
+one turn stand in the order of a hash of text and role; repeated rows are lines
+of their own.  In training each copy of a turn is followed by the copies of the
+next turn in equal shares, so a turn of k copies weighs k.  A marker is taken
+off the lines that were found to be marked, other lines keep all they say.
+Empty table: no row.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,11 +32,12 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import slices, stored
 
 ROLES = ("system", "user", "assistant")
 PLACES = ("marked", "later", "blank", "opened")
@@ -51,8 +56,11 @@ STYLES = (("System:", "User:", "Assistant:"), ("SYSTEM:", "Human:", "AI:"), ("Co
           ("[setup]", "[customer]", "[agent]"))
 #: One turn in so many is written without a marker, after a blank line.
 UNMARKED = 8
-#: Turns of a block.
+#: Rows of ``conversations`` and lines that a block has at most.
 BLOCK_TURNS = 64
+BLOCK_LINES = 256
+#: Blocks of a batch.
+BATCH_BLOCKS = 256
 FOLDS = 5
 
 SYMBOLS = ("none", *ROLES, "blank")
@@ -74,18 +82,19 @@ def symbol() -> Column:
 
 
 def content() -> Column:
-    """``line`` without its marker."""
+    """``line``, without its marker if it was found to be marked."""
     out = F.col("line")
     for i, role in enumerate(ROLES):
-        out = F.when(F.col("symbol") == i + 1, F.regexp_replace("line", _pattern(role), "")).otherwise(out)
+        out = F.when(F.col("is_marked") & (F.col("symbol") == i + 1), F.regexp_replace("line", _pattern(role), "")).otherwise(out)
     return out
 
 
 def transcripts(conversations: DataFrame) -> DataFrame:
-    """(conv_id, turn, copy, pos, role, line): turns written out as lines with speaker markers.
+    """(conv_id, turn, said, copy, pos, role, line): turns written out as lines with speaker markers.
 
     The style goes by conversation; every ``UNMARKED``-th turn, by hash, has a
-    blank line in place of its marker.
+    blank line in place of its marker.  ``said`` is a hash of text and role,
+    ``copy`` a number of each row's own.
     """
     style = F.pmod(F.xxhash64("conv_id"), F.lit(len(STYLES)))
     marker = F.lit("")
@@ -98,9 +107,10 @@ def transcripts(conversations: DataFrame) -> DataFrame:
         F.concat(F.array(F.concat(marker, F.lit(" "), F.element_at(lines, 1))), F.slice(lines, 2, 1 << 30)))
     # The copy's number is given before its lines are dealt out.
     numbered = conversations.select("conv_id", "turn", "role", "text").withColumn(
-        "copy", F.xxhash64("text", F.monotonically_increasing_id()))
+        "copy", F.monotonically_increasing_id())
     return numbered.select(
-        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "copy", "role",
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+        F.xxhash64("text", "role").alias("said"), "copy", "role",
         F.posexplode(written).alias("pos", "line"))
 
 
@@ -124,7 +134,8 @@ class Chances:
 def train(lines: DataFrame) -> Chances:
     """Smoothed frequencies of labelled, observed lines (conv_id, turn, pos, role, seen).
 
-    Turns follow one another by an equi-join on the next turn's number.
+    Turns follow one another by an equi-join on the next turn's number, after
+    the copies of a turn that are alike have been counted.
     """
     state = F.coalesce(*(F.when(F.col("role") == r, F.lit(4 * i)) for i, r in enumerate(ROLES)))
     known = lines.filter(F.col("role").isin(*ROLES)).select(
@@ -142,9 +153,7 @@ def train(lines: DataFrame) -> Chances:
             (F.col("role") + place).alias("s"), "seen").count().collect()):
         show[s, o] += n
     step, start = np.ones((STATES, STATES)) * 0.05, np.ones(STATES) * 0.05
-    after = lead.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("role").alias("next"), F.col("led").alias("next_led"))
-    for role, last, to, led, n in lead.join(after, ["conv_id", "turn"]).groupBy(
-            "role", "last", "next", "next_led").count().collect():
+    for role, last, to, led, n in followed(lead).groupBy("role", "last", "next", "next_led").agg(F.sum("n")).collect():
         step[role + last, to + (2 if led else 0)] += n
     for role, led, turns, longer, more in lead.groupBy("role", "led").agg(
             F.count(F.lit(1)), F.count_if(F.col("later") > 0), F.sum(F.greatest(F.col("later") - 1, F.lit(0)))).collect():
@@ -157,6 +166,20 @@ def train(lines: DataFrame) -> Chances:
     return Chances(*(np.log(x / x.sum(axis=-1, keepdims=True)) for x in (start, step, show)))
 
 
+def followed(lead: DataFrame) -> DataFrame:
+    """(role, last, next, next_led, n): how often turns of (conv_id, turn, copy, role, led, last) follow one another.
+
+    One row for each two kinds of neighbouring turns, however many copies they have.
+    """
+    kinds = lead.groupBy("conv_id", "turn", "role", "led", "last").agg(F.count(F.lit(1)).alias("n"))
+    after = (lead.groupBy("conv_id", "turn", "role", "led").agg(F.count(F.lit(1)).alias("next_n"))
+             .withColumn("share", F.col("next_n") / F.sum("next_n").over(W.partitionBy("conv_id", "turn")))
+             .select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("role").alias("next"),
+                     F.col("led").alias("next_led"), "share"))
+    return kinds.join(after, ["conv_id", "turn"]).select(
+        "role", "last", "next", "next_led", (F.col("n") * F.col("share")).alias("n"))
+
+
 def block_matrix(seen: np.ndarray, model: Chances) -> np.ndarray:
     """Best log chance of the lines from each state before them to each at their end."""
     best = None
@@ -182,40 +205,76 @@ def walk(seen: np.ndarray, model: Chances, before: int, end: int | None) -> np.n
     return out
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
-    def rows():
-        for batch in batches:
-            yield from zip(*(c.to_pylist() for c in batch.columns))
+def blocks(lines: DataFrame) -> DataFrame:
+    """(conv_id, block, copy, pos, seen): observed lines in order, a row for each block of them.
+
+    Ranges of the whole order go to a task each, which cuts them at every new
+    conversation, ``BLOCK_TURNS`` rows or ``BLOCK_LINES`` lines.  Blocks are
+    numbered in order over all tasks.
+    """
+    parts = max(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    ordered = ["conv_id", "turn", "said", "copy", "pos"]
+    most_turns, most_lines = BLOCK_TURNS, BLOCK_LINES
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[tuple] = []
+        number = TaskContext.get().partitionId() << 40
+        conv, last, turns, block = None, None, 0, ([], [], [])
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate((
+                    pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())))],
+                ["conv_id", "block", "copy", "pos", "seen"])
 
-    yield from groupby(rows(), itemgetter(*range(keys)))
+        for batch in batches:
+            for c, copy, pos, seen in zip(*(x.to_pylist() for x in batch.columns)):
+                full = len(block[0]) == most_lines or (turns == most_turns and copy != last)
+                if block[0] and (full or c != conv):
+                    done.append((conv, number, *block))
+                    number, turns, last, block = number + 1, 0, None, ([], [], [])
+                    if len(done) == BATCH_BLOCKS:
+                        yield batch_of(done)
+                        done = []
+                turns += copy != last
+                conv, last = c, copy
+                for to, x in zip(block, (copy, pos, seen)):
+                    to.append(x)
+        if block[0]:
+            done.append((conv, number, *block))
+        yield batch_of(done)
+
+    return (lines.select(*ordered, "seen").repartitionByRange(parts, *ordered).sortWithinPartitions(*ordered)
+            .select("conv_id", "copy", "pos", "seen")
+            .mapInArrow(cut, "conv_id long, block long, copy array<long>, pos array<int>, seen array<int>"))
+
+
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    at, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    return [values[a:b] for a, b in zip(at, at[1:])]
 
 
 def decode(lines: DataFrame, model: Chances) -> DataFrame:
-    """Adds ``role_pred`` and ``turn_no`` (from 0) to observed lines."""
+    """Adds to observed lines ``role_pred`` and ``turn_no`` (from 0), ``is_blank`` and ``is_marked``
+    by the state found, and the line's place (``block``, ``place``) in the order of all."""
     spark = lines.sparkSession
     shared = spark.sparkContext.broadcast(model)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    block = F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 40)))
-    keyed = lines.select("conv_id", block.alias("block"), F.coalesce("turn", F.lit(-(1 << 60))).alias("turn"),
-                         "copy", "pos", "seen")
-    ordered = ["conv_id", "block", "turn", "copy", "pos"]
-    keyed = keyed.repartition(parts, "conv_id", "block").sortWithinPartitions(*ordered)
+    cut = stored(blocks(lines), "line-blocks")
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (conv, number), rows in _groups(batches, 2):
-            seen = np.array([r[5] for r in rows])
+        for batch in slices(batches):
             # From no state at all, as if the conversation began here; then from each state.
-            m = block_matrix(seen, shared.value)
-            first = walk_scores(seen, shared.value)
-            yield pa.RecordBatch.from_pydict({
-                "conv_id": pa.array([conv], pa.int64()), "block": pa.array([number], pa.int64()),
-                "best": pa.array([np.vstack([first, m]).ravel().tolist()], pa.list_(pa.float64()))})
+            best = [np.vstack([walk_scores(seen, shared.value), block_matrix(seen, shared.value)]).ravel()
+                    for seen in _lists(batch.column(2))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(best, pa.list_(pa.float64()))], ["conv_id", "block", "best"])
 
     def chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in groupby(((c, b, m) for batch in batches for c, b, m in zip(
                 *(x.to_pylist() for x in batch.columns))), itemgetter(0)):
-            conv, numbers, back, score = None, [], [], None
-            for conv, number, flat in rows:
+            numbers, back, score = [], [], None
+            for _, number, flat in rows:
                 best = np.array(flat).reshape(STATES + 1, STATES)
                 numbers.append(number)
                 if score is None:
@@ -230,43 +289,40 @@ def decode(lines: DataFrame, model: Chances) -> DataFrame:
                 ends.append(end)
                 end = int(from_[end])
                 befores.append(end)
-            n = len(numbers)
             yield pa.RecordBatch.from_pydict({
-                "conv": pa.array([conv] * n, pa.int64()), "number": pa.array(numbers, pa.int64()),
-                "before": pa.array(befores[::-1], pa.int32()), "end": pa.array(ends[::-1], pa.int32())})
+                "number": pa.array(numbers, pa.int64()), "before": pa.array(befores[::-1], pa.int32()),
+                "end": pa.array(ends[::-1], pa.int32())})
 
-    best = keyed.mapInArrow(matrices, "conv_id long, block long, best array<double>")
+    best = cut.select("conv_id", "block", "seen").mapInArrow(matrices, "conv_id long, block long, best array<double>")
     ends = (best.repartition(parts, "conv_id").sortWithinPartitions("conv_id", "block")
-            .mapInArrow(chained, "conv long, number long, before int, end int"))
+            .mapInArrow(chained, "number long, before int, end int"))
 
     def states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (conv, number), rows in _groups(batches, 2):
-            rows = list(rows)
-            found = walk(np.array([r[5] for r in rows]), shared.value, rows[0][6], rows[0][7])
-            n = len(rows)
-            yield pa.RecordBatch.from_pydict({
-                "conv_id": pa.array([conv] * n, pa.int64()), "block": pa.array([number] * n, pa.int64()),
-                "turn": pa.array([r[2] for r in rows], pa.int64()), "copy": pa.array([r[3] for r in rows], pa.int64()),
-                "pos": pa.array([r[4] for r in rows], pa.int32()), "state": pa.array(found.astype(np.int32)),
-                "inside": pa.array(np.cumsum((found % 4 == 0) | (found % 4 == 3)), pa.int64())})
-
-    bounded = (keyed.join(ends, F.col("conv_id").eqNullSafe(F.col("conv")) & (F.col("block") == F.col("number")))
-               .select(*ordered, "seen", "before", "end")
-               .repartition(parts, "conv_id", "block").sortWithinPartitions(*ordered))
+        for batch in slices(batches):
+            found = [walk(seen, shared.value, before, end) for seen, before, end in zip(
+                _lists(batch.column(4)), batch.column(5).to_pylist(), batch.column(6).to_pylist())]
+            inside = [np.cumsum((f % 4 == 0) | (f % 4 == 3)) for f in found]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], pa.array([f.astype(np.int32) for f in found], pa.list_(pa.int32())),
+                 pa.array([i.astype(np.int32) for i in inside], pa.list_(pa.int32())),
+                 pa.array([int(i[-1]) for i in inside], pa.int64())],
+                ["conv_id", "block", "copy", "pos", "state", "inside", "begun"])
+
+    bounded = (cut.join(ends, F.col("block") == F.col("number"))
+               .select("conv_id", "block", "copy", "pos", "seen", "before", "end"))
     found = stored(bounded.mapInArrow(
-        states, "conv_id long, block long, turn long, copy long, pos int, state int, inside long"), "line-states")
+        states, "conv_id long, block long, copy array<long>, pos array<int>, state array<int>, inside array<int>, begun long"),
+        "line-states")
     # Turns begun in the blocks before: one row a block.
-    begun = (found.groupBy("conv_id", "block").agg(F.max("inside").alias("begun")).select(
-        F.col("conv_id").alias("conv"), F.col("block").alias("number"), F.coalesce(F.sum("begun").over(
-            W.partitionBy("conv_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("earlier")))
-    numbered = found.join(begun, F.col("conv_id").eqNullSafe(F.col("conv")) & (F.col("block") == F.col("number"))).select(
-        F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("copy").alias("k"), F.col("pos").alias("p"),
-        F.greatest(F.col("earlier") + F.col("inside") - 1, F.lit(0)).alias("turn_no"),
-        F.element_at(F.array(*map(F.lit, ROLES)), F.floor(F.col("state") / 4).cast("int") + 1).alias("role_pred"),
-        (F.col("state") % 4 == 2).alias("is_blank"))
-    return lines.join(numbered, F.col("conv_id").eqNullSafe(F.col("c"))
-                      & (F.coalesce(F.col("turn"), F.lit(-(1 << 60))) == F.col("t"))
-                      & (F.col("copy") == F.col("k")) & (F.col("pos") == F.col("p"))).drop("c", "t", "k", "p")
+    begun = found.select(F.col("block").alias("number"), F.coalesce(F.sum("begun").over(
+        W.partitionBy("conv_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("earlier"))
+    numbered = found.join(begun, F.col("block") == F.col("number")).select(
+        "block", "earlier", F.posexplode(F.arrays_zip("copy", "pos", "state", "inside")).alias("place", "x")).select(
+        F.col("x.copy").alias("k"), F.col("x.pos").alias("p"), "block", "place",
+        F.greatest(F.col("earlier") + F.col("x.inside") - 1, F.lit(0)).alias("turn_no"),
+        F.element_at(F.array(*map(F.lit, ROLES)), F.floor(F.col("x.state") / 4).cast("int") + 1).alias("role_pred"),
+        (F.col("x.state") % 4 == 2).alias("is_blank"), (F.col("x.state") % 4 == 0).alias("is_marked"))
+    return lines.join(numbered, (F.col("copy") == F.col("k")) & (F.col("pos") == F.col("p"))).drop("k", "p")
 
 
 def walk_scores(seen: np.ndarray, model: Chances) -> np.ndarray:
@@ -280,7 +336,7 @@ def walk_scores(seen: np.ndarray, model: Chances) -> np.ndarray:
 def canonical(decoded: DataFrame) -> DataFrame:
     """(conv_id, turn_no, role, n_lines, text): the recovered turns, rendered."""
     lines = decoded.select("conv_id", "turn_no", "role_pred", F.struct(
-        "turn", "copy", "pos", content().alias("line")).alias("x"), "is_blank")
+        "block", "place", content().alias("line")).alias("x"), "is_blank")
     joined = F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["line"]), "\n")
     return (lines.groupBy("conv_id", "turn_no").agg(
         F.max_by("role_pred", F.struct(~F.col("is_blank"), "x")).alias("role"),
