@@ -10,6 +10,11 @@ Document frequencies count every training document.  Weights and temperature
 come from at most ``SAMPLE_ROWS`` labelled rows, those of smallest hash in each
 language.  At most ``MAX_LANGUAGES`` languages are learned, the most frequent.
 
+``accepted`` rejects a document whose score is below a bar for its language and
+length: half-way, in log-odds, from chance to the score that ``KEPT_SHARE`` of
+the language's calibration rows, cut to that length, reach.  A language with too few such rows to tell has no bar but
+``MIN_LIFT``.
+
 Defined results.  Null text or no letter: ``und`` with score 0.  No labelled
 rows, or an empty table: everything is ``und`` with score 0.  Null doc_id: not
 learned from, not held out.  Repeated rows: a row each.  Other columns are
@@ -40,6 +45,9 @@ ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.01
 FOLDS = 5
 #: A document is rejected if its best language is not this many times as likely as by chance.
 MIN_LIFT = 1.1
+#: Share of a language's clean rows whose score sets the bar, and the lengths for which it is set.
+KEPT_SHARE = 0.97
+CUTS = (4, 16, 64, 256, 1024)
 
 UNKNOWN = "und"
 
@@ -97,6 +105,8 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
+    #: The least score of an accepted document, by place in CUTS and language.
+    bars: np.ndarray | None = None
 
     def vector(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
         x = n * self.idf[at]
@@ -106,6 +116,17 @@ class Model:
     def logits(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
         return self.vector(at, n) @ self.weights[at] + self.bias
 
+    def accepts(self, text: str | None, least: float) -> bool:
+        """Whether the text's score reaches the bar of its language and length, and ``least``."""
+        at, n = counts(text)
+        if not len(at) or not self.languages:
+            return False
+        p = softmax(self.logits(at, n) / self.temperature)
+        best = int(p.argmax())
+        # A character begins about len(ORDERS) n-grams.
+        k = int(np.searchsorted(CUTS, n.sum() / len(ORDERS), "right")) - 1
+        return bool(p[best] >= (least if self.bars is None or k < 0 else max(least, self.bars[k, best])))
+
     def predict(self, text: str | None) -> tuple[str, float]:
         at, n = counts(text)
         if not len(at) or not self.languages:
@@ -171,6 +192,24 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
+def fit_bars(found: dict[tuple[int, int], list[float]], languages: int) -> np.ndarray:
+    """The bars from scores of clean rows by (place in CUTS, language).
+
+    Of n rows, that of rank (1 - KEPT_SHARE) (n + 1) from below is reached by a new clean row with a
+    chance of KEPT_SHARE; the bar stands half-way between it and chance.  None where that rank is below 1.
+    """
+    bars = np.zeros((len(CUTS), languages))
+    if languages < 2:
+        return bars
+    for (k, language), scores in found.items():
+        rank = int((1 - KEPT_SHARE) * (len(scores) + 1) + 1e-9)
+        if rank:
+            score = min(sorted(scores)[rank - 1], 1 - 1e-9)
+            odds = np.sqrt(score / (1 - score) / (languages - 1))
+            bars[k, language] = odds / (1 + odds)
+    return bars
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Whether a document is kept out of all learning; false for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
@@ -223,28 +262,41 @@ def train(docs: DataFrame) -> Model:
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
-            found = [counts(t) for t in batch.column(2).to_pylist()]
+            found = [(h, lang, k, *counts(t if k < 0 else t[:CUTS[k]])) for h, lang, t in zip(
+                *(c.to_pylist() for c in batch.columns)) for k in range(-1, len(CUTS))
+                if k < 0 or t is not None and len(t) >= CUTS[k]]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())),
-                 pa.array([f[1].astype(np.int32) for f in found], pa.list_(pa.int32()))], ["h", "lang", "at", "n"])
+                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.string()),
+                 pa.array([f[2] for f in found], pa.int32()),
+                 pa.array([f[3].astype(np.int32) for f in found], pa.list_(pa.int32())),
+                 pa.array([f[4].astype(np.int32) for f in found], pa.list_(pa.int32()))], ["h", "lang", "cut", "at", "n"])
 
     sample = (docs.join(F.broadcast(chosen), "doc_id").select(F.xxhash64("doc_id").alias("h"), "lang", "text")
-              .mapInArrow(sampled, "h long, lang string, at array<int>, n array<int>")
-              .orderBy("h", "lang").toArrow())
+              .mapInArrow(sampled, "h long, lang string, cut int, at array<int>, n array<int>")
+              .orderBy("h", "lang", "cut").toArrow())
     model = Model(languages, idf, np.zeros((DIM, len(languages))), np.zeros(len(languages)))
     number = {x: i for i, x in enumerate(languages)}
-    learn, calibrate = [], []
+    learn, calibrate, short, whole = [], [], [], -1
     for i in range(sample.num_rows):
-        lang = sample.column(1)[i].as_py()
-        at = sample.column(2)[i].values.to_numpy().astype(np.int64)
-        if lang not in number or not len(at):
+        lang, cut = sample.column(1)[i].as_py(), sample.column(2)[i].as_py()
+        whole += cut < 0
+        at = sample.column(3)[i].values.to_numpy().astype(np.int64)
+        if lang not in number or not len(at) or cut >= 0 and whole % FOLDS:
             continue
-        row = (number[lang], at, model.vector(at, sample.column(3)[i].values.to_numpy()))
-        (calibrate if i % FOLDS == 0 else learn).append(row)
+        row = (number[lang], at, model.vector(at, sample.column(4)[i].values.to_numpy()))
+        if cut >= 0:
+            short.append((cut, *row))
+        else:
+            (learn if whole % FOLDS else calibrate).append(row)
     model.weights, model.bias = follow_leader(learn, len(languages))
     if calibrate:
         logits = np.array([x @ model.weights[at] + model.bias for _, at, x in calibrate])
         model.temperature = fit_temperature(logits, np.array([c[0] for c in calibrate]))
+    found: dict[tuple[int, int], list[float]] = {}
+    for cut, language, at, x in short:
+        p = softmax((x @ model.weights[at] + model.bias) / model.temperature)
+        found.setdefault((cut, language), []).append(float(p.max()))
+    model.bars = fit_bars(found, len(languages))
     return model
 
 
@@ -264,9 +316,8 @@ def predict(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model | None = None, min_lift: float = MIN_LIFT) -> DataFrame:
-    """``docs``, all columns, without those that have no letter or whose languages
-    are all about equally likely.  Short and mixed texts stay: their language
-    is less sure, but known better than by chance."""
+    """``docs``, all columns, without those that have no letter, whose languages are all about
+    equally likely, or whose score few clean rows of their language and length fall short of."""
     model = model or train(docs)
     least = min_lift / len(model.languages) if len(model.languages) > 1 else 0.0
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -274,7 +325,6 @@ def accepted(docs: DataFrame, model: Model | None = None, min_lift: float = MIN_
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [shared.value.predict(t) for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array([lang != UNKNOWN and p >= least for lang, p in found], pa.bool_()))
+            yield batch.filter(pa.array([shared.value.accepts(t, least) for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
