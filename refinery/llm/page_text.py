@@ -69,6 +69,7 @@ recommendations comment comments disqus reply replies respond discussion notice
 alert popup modal overlay newsletter subscribe subscription signup login share sharing social widget toolbar
 pagination pager search searchbox form contentinfo complementary copyright legal skip hidden""".split())
 
+_RAW_END = {name: re.compile("</" + name, re.I | re.A) for name in RAW}
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
                   r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>?", re.S)
 _ATTRIBUTE = re.compile(r"([A-Za-z_:][-\w:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.S)
@@ -119,7 +120,6 @@ def parse(html: str) -> Page:
     parent, tags, roles, runs = page.parent, page.tag, page.role, page.runs
     open_ = [0]
     at, n = 0, len(html)
-    lower = None
     while at < n:
         m = _TAG.search(html, at)
         if m is None:
@@ -163,12 +163,9 @@ def parse(html: str) -> Page:
         if name in VOID or attributes.endswith("/") and name not in BLOCKS and name not in RAW:
             continue
         if name in RAW:
-            lower = html.lower() if lower is None else lower
-            end = lower.find("</" + name, at)
-            at = n if end < 0 else end
-            if end >= 0:
-                close = html.find(">", end)
-                at = n if close < 0 else close + 1
+            end = _RAW_END[name].search(html, at)
+            close = html.find(">", end.start()) if end else -1
+            at = n if close < 0 else close + 1
             continue
         open_.append(node)
     return page
