@@ -39,7 +39,7 @@ PIECES = "row long, doc_id long, piece int, start long, length int, ids_crc32 lo
 
 
 def pieces(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = CAPACITY,
-           with_ids: bool = False) -> DataFrame:
+           with_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """(row, doc_id, piece, start, length, ids_crc32[, ids binary]) of (doc_id, text).
 
     ``row`` tells rows of one doc_id apart.
@@ -47,7 +47,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = CA
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4")
         for batch in slices(batches, 1024):
-            ids, at = encoder(vocabulary, False).encode(batch.column(2).fill_null(""))
+            ids, at = encoder(vocabulary, False, added_tokens).encode(batch.column(2).fill_null(""))
             ids = ids.astype("<u4", copy=False)
             out: dict[str, list] = {k: [] for k in ("row", "doc_id", "piece", "start", "length", "crc", "ids")}
             for row, doc_id, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
@@ -156,18 +156,20 @@ def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                     (F.col("sequence0") + inside).alias("sequence_id"), "offset"))
 
 
-def best_fit(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
+def best_fit(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = CAPACITY,
+             added_tokens: bool = False) -> DataFrame:
     """Pieces of ``docs`` (doc_id, text) with the place that each has in its sequence.
 
     Encoded once: the pieces, without their ids, are stored in the shared folder.
     """
-    found = stored(pieces(docs, vocabulary, end_id, capacity), "pieces")
+    found = stored(pieces(docs, vocabulary, end_id, capacity, added_tokens=added_tokens), "pieces")
     return pack(found, capacity).drop("row")
 
 
-def sequences(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
+def sequences(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = CAPACITY,
+              added_tokens: bool = False) -> DataFrame:
     """(sequence_id, n_tokens, ids binary): the packed sequences themselves."""
-    found = stored(pieces(docs, vocabulary, end_id, capacity, with_ids=True), "pieces")
+    found = stored(pieces(docs, vocabulary, end_id, capacity, with_ids=True, added_tokens=added_tokens), "pieces")
     placed = pack(found.drop("ids"), capacity).select("row", "piece", "sequence_id", "offset")
     parts = F.array_sort(F.collect_list(F.struct("offset", "length", "ids")))
     return (found.join(placed, ["row", "piece"]).groupBy("sequence_id").agg(parts.alias("parts"))

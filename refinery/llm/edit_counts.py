@@ -188,7 +188,7 @@ def _edit_list(edits: list[dict] | None) -> list[tuple[int, int, str]]:
     return sorted(kept, key=lambda e: e[0])
 
 
-def edit_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
+def edit_counts(docs: DataFrame, vocabulary: str, added_tokens: bool = False) -> DataFrame:
     """Token counts of (doc_id, text, edits) before and after the edits.
 
     ``edits``: array of (start, end, text) by character.  Without the column,
@@ -197,7 +197,7 @@ def edit_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     given = "edits" in docs.columns
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary, True)
+        encode = encoder(vocabulary, True, added_tokens)
         for batch in slices(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             lists = map(_edit_list, batch.column(2).to_pylist()) if given else map(redactions, texts)

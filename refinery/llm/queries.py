@@ -34,7 +34,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_counts.edit_counts(read(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_BPE)
+    return edit_counts.edit_counts(read(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_BPE, added_tokens=True)
 
 
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,11 +54,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files.token_files(read(spark, sf_dir, "documents"), BYTE_BPE, end_id=2)
+    return token_files.token_files(read(spark, sf_dir, "documents"), BYTE_BPE, end_id=2, added_tokens=True)
 
 
 def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_fit.best_fit(read(spark, sf_dir, "documents"), WORD_BPE, end_id=0)
+    return best_fit.best_fit(read(spark, sf_dir, "documents"), WORD_BPE, end_id=0, added_tokens=True)
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

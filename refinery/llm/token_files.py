@@ -52,19 +52,19 @@ _HEAD = struct.Struct("<4sI32sQ")
 _INDEX = np.dtype([("doc_id", "<i8"), ("present", "u1"), ("offset", "<u8"), ("n_tokens", "<u8")])
 
 
-def encode_documents(texts: pa.Array, vocabulary: str, end_id: int) -> list[np.ndarray]:
+def encode_documents(texts: pa.Array, vocabulary: str, end_id: int, added_tokens: bool = False) -> list[np.ndarray]:
     """The ids of each text, ``end_id`` last.  Null is empty."""
-    ids, at = encoder(vocabulary, True).encode(texts.fill_null(""))
+    ids, at = encoder(vocabulary, True, added_tokens).encode(texts.fill_null(""))
     ids = ids.astype("<u4", copy=False)
     end = np.array([end_id], "<u4")
     return [np.concatenate((ids[a:b], end)) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
-def train_dictionary(docs: DataFrame, vocabulary: str, end_id: int) -> bytes:
+def train_dictionary(docs: DataFrame, vocabulary: str, end_id: int, added_tokens: bool = False) -> bytes:
     """A dictionary from the documents of smallest hash; empty if there are too few."""
     sample = hash_sample(docs, ["doc_id"], DICT_DOCS).select("doc_id", "text").orderBy("doc_id", "text").toArrow()
     texts = sample.column("text").cast(pa.large_string()).combine_chunks()
-    parts = [x.tobytes()[:DICT_DOC_BYTES] for x in encode_documents(texts, vocabulary, end_id)]
+    parts = [x.tobytes()[:DICT_DOC_BYTES] for x in encode_documents(texts, vocabulary, end_id, added_tokens)]
     try:
         return zstandard.train_dictionary(DICT_BYTES, parts).as_bytes()
     except zstandard.ZstdError:  # too little to learn from
@@ -119,11 +119,11 @@ class Shard:
         return np.frombuffer(self.raw(i), "<u4")
 
 
-def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int) -> None:
+def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int, added_tokens: bool = False) -> None:
     """Encode (doc_id, text), in ascending doc_id order, into shards at ``path``."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    dictionary = train_dictionary(docs, vocabulary, end_id)
+    dictionary = train_dictionary(docs, vocabulary, end_id, added_tokens)
     spark.createDataFrame([(dictionary,)], "dictionary binary").coalesce(1).write.parquet(f"{path}/dictionary")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // SORT_BYTES + 1)
@@ -143,7 +143,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int) -> No
                  "content": pa.array([shard_bytes(rows, dictionary)], pa.binary())})
 
         for batch in slices(batches, 1024):
-            found = encode_documents(batch.column(1), vocabulary, end_id)
+            found = encode_documents(batch.column(1), vocabulary, end_id, added_tokens)
             for doc_id, ids in zip(batch.column(0).to_pylist(), found):
                 frame = compress(ids.tobytes())
                 rows.append((doc_id, len(ids), frame))
@@ -215,8 +215,9 @@ def _with_starts(rows: DataFrame, totals: DataFrame) -> DataFrame:
         "doc_id", (F.col("shard_start") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def token_files(docs: DataFrame, vocabulary: str, end_id: int = 2, path: str | None = None) -> DataFrame:
+def token_files(docs: DataFrame, vocabulary: str, end_id: int = 2, path: str | None = None,
+                added_tokens: bool = False) -> DataFrame:
     """Write ``docs`` (doc_id, text) to shards and return what the files hold."""
     path = path or new_folder(docs.sparkSession, "token-files")
-    write_shards(docs, path, vocabulary, end_id)
+    write_shards(docs, path, vocabulary, end_id, added_tokens)
     return read_shards(docs.sparkSession, path)

@@ -6,7 +6,8 @@ single space in front of the word that follows.  A text whose only white space
 is single spaces between words, and single line feeds between such lines, may
 therefore be cut at each of them: the ids of the text are those of its chunks.
 In the same way a run of letters ends where a run of punctuation begins.
-Texts of any other shape are given to the library whole.  A batch of texts is
+Texts of any other shape, and those that hold an added token where these are
+to be found, are given to the library whole.  A batch of texts is
 cut at its spaces by Arrow, each distinct chunk is encoded once, and the ids
 are gathered with numpy; a worker remembers the chunks it met last.
 """
@@ -40,15 +41,24 @@ class ChunkEncoder:
 
     ``keeps_space``: the tokenizer joins a space to the word after it, and has
     an id for a line feed; else it drops white space and lower-cases.
+    ``added_tokens``: an added token's string in a text, such as
+    ``<|endoftext|>``, becomes its one id, as is the library's default; else it
+    is text like any other.
     """
 
-    def __init__(self, path: str, keeps_space: bool, cache_chunks: int = CACHE_CHUNKS):
+    def __init__(self, path: str, keeps_space: bool, cache_chunks: int = CACHE_CHUNKS,
+                 added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = ""
+        if added_tokens:
+            found = self.tokenizer.get_added_tokens_decoder().values()
+            self.added = "|".join(re.escape(t.content) for t in found)
+        else:
+            self.tokenizer.encode_special_tokens = True
         self.tokenize = self.tokenizer.model.tokenize
         self.keeps_space, self.cache_chunks = keeps_space, cache_chunks
         split = ByteLevel(add_prefix_space=False, use_regex=False)
@@ -136,6 +146,8 @@ class ChunkEncoder:
         rest_ok = plain[code]
         rest_ok[first] = True
         ok = np.logical_and.reduceat(rest_ok, first)
+        if self.added:
+            ok &= ~pc.match_substring_regex(texts, self.added).to_numpy(zero_copy_only=False)
         # The first chunk of a text has no space before it; an odd text is one chunk.
         values = coded.dictionary
         for i in range(n):
@@ -162,6 +174,6 @@ class ChunkEncoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, keeps_space: bool) -> ChunkEncoder:
+def encoder(path: str, keeps_space: bool, added_tokens: bool = False) -> ChunkEncoder:
     """The worker's encoder for a vocabulary file, kept between tasks."""
-    return ChunkEncoder(path, keeps_space)
+    return ChunkEncoder(path, keeps_space, added_tokens=added_tokens)
