@@ -32,9 +32,16 @@ LATEST_ORDER = ["review_ts", "rating", "helpful_vote", "verified_purchase",
 WIDTHS = {"asin": 25, "parent_asin": 25, "user_id": 50, "review_title": 500}
 
 
+# Keys of the upsert's merges: a longer one fails the run, as a cut would make one key of two.
+UPSERT_KEYS = ("user_id", "asin", "parent_asin")
+
+
 def _width(c: Column, n: int, spec: MethodSpec, name: str, strict: bool) -> Column:
-    """Cut to the declared width (D2); with ``strict`` a longer value fails the run."""
-    if not spec.string_widths:
+    """Cut to the declared width (D2); with ``strict`` a longer value fails the run.
+
+    The upsert's keys are left whole for ``_keys_that_fit``.
+    """
+    if not spec.string_widths or spec.dedupe and name in UPSERT_KEYS:
         return c
     if not strict:
         return bounded(c, n)
@@ -88,6 +95,20 @@ def extract(bronze: DataFrame, spec: MethodSpec, strict: bool = False) -> DataFr
     silver = projected.filter("_valid").drop("_valid")
     if spec.dedupe:
         silver = latest_per_key(silver)
+        if spec.string_widths:
+            silver = _keys_that_fit(silver)
+    return silver
+
+
+def _keys_that_fit(silver: DataFrame) -> DataFrame:
+    """``silver``; a row whose key is longer than its column fails the run.
+
+    A filter, as it leaves the key columns, and so the window's shuffle, as they are.
+    """
+    for name in UPSERT_KEYS:
+        n = WIDTHS[name]
+        error = F.raise_error(F.lit(f"{name} is longer than {n} characters")).cast("boolean")
+        silver = silver.filter(F.when(F.length(name) > n, error).otherwise(F.lit(True)))
     return silver
 
 
