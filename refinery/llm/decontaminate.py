@@ -28,7 +28,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, stored
@@ -170,7 +170,7 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
     index = _index(benchmark, window)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     if index is None:
-        return _joined_report(docs, benchmark, window)
+        return _joined_report(docs, benchmark, window).drop("key")
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,8 +192,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     if index is None:
         hit = (_joined_report(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                                           F.col("text").cast("binary").alias("text")), benchmark, window)
-               .filter("contaminated").select("doc_id").distinct())
-        return docs.join(hit, "doc_id", "left_anti").select(docs.columns)
+               .filter("contaminated").select("key").distinct())
+        own = _key(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
+        return docs.join(hit, own == hit["key"], "left_anti")
     shared = docs.sparkSession.sparkContext.broadcast(index)
     at = docs.columns.index("text")
 
@@ -205,8 +206,13 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     return docs.mapInArrow(keep, docs.schema)
 
 
+def _key(doc_id: Column, text: Column) -> Column:
+    """Tells documents apart: rows equal in doc_id, null or not, and text have one key."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("-")), F.sha2(text, 256))
+
+
 def _joined_report(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
-    """The report by Spark joins, for a benchmark of any size.
+    """The report by Spark joins, for a benchmark of any size, and each row's ``key``.
 
     Documents are told apart by doc_id and the hash of their text; rows equal
     in both share their result.
@@ -231,10 +237,14 @@ def _joined_report(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFr
                 ["item_id", "length", "bucket", "span"])
 
     found = stored(items.mapInArrow(item_rows, "item_id long, length int, bucket long, span binary"), "windows")
-    buckets = found.filter("bucket >= 0").select("length", "bucket").distinct().collect()  # 2^22 a length at most
+    # Tasks merge the buckets to bits: a row of 2^15 bits, 2^(BITMAP_BITS - 15) rows a length at most.
+    chunks = (found.filter("bucket >= 0").groupBy("length", F.shiftright("bucket", 15).alias("chunk"))
+              .agg(F.bitmap_construct_agg(F.col("bucket").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits")).collect())
     bitmap = {}
-    for length, bucket in buckets:
-        bitmap.setdefault(length, np.zeros(1 << BITMAP_BITS, bool))[bucket] = True
+    for length, chunk, bits in chunks:
+        whole = bitmap.setdefault(length, np.zeros(1 << BITMAP_BITS, bool))
+        part = whole[chunk << 15:(chunk + 1) << 15]
+        part[:] = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")[:len(part)].astype(bool)
     shared = spark.sparkContext.broadcast(bitmap)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +264,7 @@ def _joined_report(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFr
                  enumerate((pa.string(), pa.int32(), pa.int64(), pa.binary()))],
                 ["key", "length", "s", "span"])
 
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.sha2("text", 256)).alias("key")
+    key = _key(F.col("doc_id"), F.col("text")).alias("key")
     spans = found.filter("bucket < 0").groupBy("length", "span").agg(F.collect_set("item_id").alias("items"))
     hits = (docs.filter("text is not null").select(key, "text").mapInArrow(
         candidates, "key string, length int, s long, span binary").distinct().join(spans, ["length", "span"]))
@@ -272,7 +282,7 @@ def _joined_report(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFr
     rows = docs.select(key, "doc_id", "text").mapInArrow(count, "key string, doc_id long, n_words long")
     listed = F.coalesce("items", F.array().cast("array<string>"))
     return (rows.join(n_hit, "key", "left").join(per_doc, "key", "left")
-            .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+            .select("key", "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
                     F.size(listed).cast("long").alias("n_items"),
                     F.sha2(F.array_join(listed, ",").cast("binary"), 256).alias("items_sha256"),
                     (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated")))
