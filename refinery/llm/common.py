@@ -8,8 +8,9 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -70,6 +71,31 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
     pa.default_memory_pool().release_unused()
 
 
+def copied(texts: pa.Array) -> pa.LargeStringArray:
+    """Texts in buffers of their own, nulls empty: some kernels misread a slice that was cast."""
+    return texts.take(pa.array(np.arange(len(texts)))).cast(pa.large_string()).fill_null("")
+
+
+def numbered(rows: DataFrame, order: list[Column], name: str, label: str, part_rows: int = 2_000_000) -> DataFrame:
+    """``rows`` with a column ``name``: 0, 1, 2 ... without gaps, in ``order``.
+
+    ``rows`` must read the same each time (a stored table).  They are sorted by
+    ranges and stored with their place in a range; a row for each range is all
+    that is brought together.  Rows alike in ``order`` are spread by their
+    place in the input, so they may fill many ranges.
+    """
+    spark = rows.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // part_rows)
+    order = [*order, F.col("_salt")]
+    placed = stored(rows.withColumn("_salt", F.monotonically_increasing_id()).repartitionByRange(parts, *order)
+                    .sortWithinPartitions(*order).drop("_salt")
+                    .withColumn("_at", F.monotonically_increasing_id()), label)
+    part = F.shiftright("_at", 33)
+    before = (placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+              .select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before")))
+    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return (placed.withColumn("_part", part).join(F.broadcast(before), "_part")
+            .withColumn(name, F.col("_before") + inside).drop("_part", "_before", "_at"))
 
 
 def hash_sample(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
