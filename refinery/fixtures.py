@@ -20,10 +20,12 @@ from refinery.sources import reviews
 from refinery.sources.staged import BronzeLoad, load_bronze, stage_lines
 
 KINDS = {"all": {}, "wave1": {"wave": 1}, "wave2": {"wave": 2}, "broken": {"broken": True},
-         "corrected": {"corrected": True}}
+         "corrected": {"corrected": True}, "wide": {"wide": True}}
+# Kinds staged in a folder for each value of a column.
+FOLDERS = {"broken": ("l_linenumber",)}
 # Bumped whenever staging or the Bronze layout changes, so cached fixture
 # tables of an older layout are never reused.
-LAYOUT_VERSION = "layout-4"
+LAYOUT_VERSION = "layout-5"
 # Fixed load time of fixture Bronze rows, so no clock reaches compared output.
 FIXTURE_LOAD_TIME = "2024-06-30 00:00:00"
 
@@ -68,7 +70,7 @@ def load_fixture(spark: SparkSession, sf_dir: str, kind: str = "all") -> tuple[s
     if probe.marked(bronze):
         return stage, bronze, None
     if not probe.marked(stage):
-        stage_lines(reviews.review_lines(spark, sf_dir, **KINDS[kind]), stage)
+        stage_lines(reviews.review_lines(spark, sf_dir, **KINDS[kind]), stage, folders=FOLDERS.get(kind, ()))
         probe.mark(stage)
     load = load_bronze(spark, stage, bronze, load_time=FIXTURE_LOAD_TIME)
     probe.mark(bronze)

@@ -34,6 +34,11 @@ def ntz(value: dt.datetime | str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def date_from_parts(year: Column | int, month: Column | int, day: Column | int) -> Column:
+    """DATE_FROM_PARTS(y, m, d) (X10); a day that does not exist gives NULL or fails, as the session's ANSI mode says."""
+    return F.make_date(*(F.lit(x) for x in (year, month, day)))
+
+
 def bounded(c: Column, width: int) -> Column:
     """``::VARCHAR(width)``: keep the first ``width`` characters."""
     return F.substring(c, 1, width)
@@ -56,3 +61,9 @@ def round_half_up(c: Column, scale: int) -> Column:
     step makes the result the same everywhere.
     """
     return F.round(c.cast("decimal(18,6)"), scale).cast("double")
+
+
+def fingerprint(columns: list[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a row's columns, NULLs told apart by their place."""
+    parts = [*[F.col(c) for c in columns], *[F.col(c).isNull() for c in columns]]
+    return F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts)

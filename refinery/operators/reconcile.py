@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from refinery.functions.scalar import fingerprint
+
 # Column labels of the layer-count report (fixed values, as published).
 LAYER_LABEL = "warstwa"
 ROWS_LABEL = "wierszy"
@@ -72,7 +74,7 @@ def multiset_differences(a: DataFrame, b: DataFrame, a_name: str = "a",
                          b_name: str = "b") -> DataFrame:
     """Rows held more often by one side than the other (keyless tables).
 
-    Both sides are unioned and counted per 128-bit row hash (partial
+    Both sides are unioned and counted per 128-bit row hash, NULLs included (partial
     aggregation first, so a row repeated a billion times costs one small record
     per task).  Only rows whose hash differs in its counts are then read in
     full and counted as rows; they come out once, with ``side`` and ``copies``
@@ -81,7 +83,8 @@ def multiset_differences(a: DataFrame, b: DataFrame, a_name: str = "a",
     cols = a.columns
     tagged = (a.select(*cols, F.lit(1).alias("_a"), F.lit(0).alias("_b"))
               .unionByName(b.select(*cols, F.lit(0).alias("_a"), F.lit(1).alias("_b"))))
-    tagged = tagged.withColumn("_h1", F.xxhash64(*cols)).withColumn("_h2", F.xxhash64(F.lit("second"), *cols))
+    h1, h2 = fingerprint(cols)
+    tagged = tagged.withColumn("_h1", h1).withColumn("_h2", h2)
     differing = (tagged.groupBy("_h1", "_h2").agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
                  .filter(F.col("_na") != F.col("_nb")).select("_h1", "_h2"))
     counts = (tagged.join(differing, ["_h1", "_h2"], "left_semi").groupBy(*cols)

@@ -8,12 +8,10 @@ filter is written on the extracted fields, so each variant path is read once.
 
 from __future__ import annotations
 
-from dataclasses import replace
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from refinery.functions.scalar import bounded, epoch_ms_to_ts, md5_of, ntz
+from refinery.functions.scalar import bounded, date_from_parts, epoch_ms_to_ts, md5_of, ntz
 from refinery.functions.variant import array_size, castable_or_raise, field, present, whole_number
 from refinery.spec import MethodSpec
 
@@ -39,7 +37,7 @@ UPSERT_KEYS = ("user_id", "asin", "parent_asin")
 def _width(c: Column, n: int, spec: MethodSpec, name: str, strict: bool) -> Column:
     """Cut to the declared width (D2); with ``strict`` a longer value fails the run.
 
-    The upsert's keys are left whole for ``_keys_that_fit``.
+    The upsert's keys are left whole for ``keys_that_fit``.
     """
     if not spec.string_widths or spec.dedupe and name in UPSERT_KEYS:
         return c
@@ -48,19 +46,27 @@ def _width(c: Column, n: int, spec: MethodSpec, name: str, strict: bool) -> Colu
     return F.when(F.length(c) > n, F.raise_error(F.lit(f"{name} is longer than {n} characters")).cast("string")).otherwise(c)
 
 
-def cut_counts(bronze: DataFrame, spec: MethodSpec) -> DataFrame:
-    """How many kept rows have a value cut to its declared width, by column: one row."""
-    wide = extract(bronze, replace(spec, string_widths=False, dedupe=False))
-    return wide.agg(*(F.count_if(F.length(c) > n).alias(c) for c, n in WIDTHS.items()))
-
-
-def extract(bronze: DataFrame, spec: MethodSpec, strict: bool = False) -> DataFrame:
-    """Typed, filtered Silver rows of ``spec`` (no ``loaded_at``).
+def extract(bronze: DataFrame, spec: MethodSpec, strict: bool = False, cut: Observation | None = None) -> DataFrame:
+    """Typed, filtered Silver rows of ``spec`` (no ``loaded_at``), newest per key if it says so.
 
     A value that does not cast (``"rating": "abc"``) becomes NULL and the row
     is rejected; with ``strict=True`` the job fails instead, as the reference
     dialect does (D3).
     """
+    silver = typed(bronze, spec, strict, cut=cut)
+    if spec.dedupe:
+        silver = latest_per_key(silver)
+        if spec.string_widths:
+            silver = keys_that_fit(silver)
+    return silver
+
+
+def typed(bronze: DataFrame, spec: MethodSpec, strict: bool = False, carry: tuple[str, ...] = (),
+          cut: Observation | None = None) -> DataFrame:
+    """All typed, filtered rows of ``spec``, duplicates included, with ``bronze``'s columns ``carry``.
+
+    ``cut`` counts the rows whose value is longer than its column's declared width (B4).
+    """
     user_s = field("user_id", "string")
     asin_s = field("asin", "string")
     ts_ms = _checked(whole_number("timestamp"), "timestamp", "number", strict)
@@ -77,13 +83,15 @@ def extract(bronze: DataFrame, spec: MethodSpec, strict: bool = False) -> DataFr
     if spec.helpful_default is not None:
         helpful = F.coalesce(helpful, F.lit(spec.helpful_default))
 
+    wide = {"asin": asin_s, "parent_asin": field("parent_asin", "string"), "user_id": user_s,
+            "review_title": field("title", "string")}
     projected = bronze.select(
         md5_of(user_s, asin_s, field("timestamp", "string"), sep=spec.id_separator).alias("review_id"),
         _width(asin_s, WIDTHS["asin"], spec, "asin", strict).alias("asin"),
-        _width(field("parent_asin", "string"), WIDTHS["parent_asin"], spec, "parent_asin", strict).alias("parent_asin"),
+        _width(wide["parent_asin"], WIDTHS["parent_asin"], spec, "parent_asin", strict).alias("parent_asin"),
         _width(user_s, WIDTHS["user_id"], spec, "user_id", strict).alias("user_id"),
         rating.alias("rating"),
-        _width(field("title", "string"), WIDTHS["review_title"], spec, "title", strict).alias("review_title"),
+        _width(wide["review_title"], WIDTHS["review_title"], spec, "title", strict).alias("review_title"),
         text.alias("review_text"),
         helpful.alias("helpful_vote"),
         _checked(field("verified_purchase", "boolean"), "verified_purchase", "boolean",
@@ -91,16 +99,17 @@ def extract(bronze: DataFrame, spec: MethodSpec, strict: bool = False) -> DataFr
         ts.alias("review_ts"),
         has_images.alias("has_images"),
         _valid(spec, ts, rating).alias("_valid"),
+        *carry,
+        *([(F.length(c) > WIDTHS[name]).alias(f"_long_{name}") for name, c in wide.items()] if cut else []),
     )
     silver = projected.filter("_valid").drop("_valid")
-    if spec.dedupe:
-        silver = latest_per_key(silver)
-        if spec.string_widths:
-            silver = _keys_that_fit(silver)
+    if cut is not None:
+        counts = [F.count_if(F.col(f"_long_{name}")).alias(name) for name in WIDTHS]
+        silver = silver.observe(cut, *counts).drop(*(f"_long_{name}" for name in WIDTHS))
     return silver
 
 
-def _keys_that_fit(silver: DataFrame) -> DataFrame:
+def keys_that_fit(silver: DataFrame) -> DataFrame:
     """``silver``; a row whose key is longer than its column fails the run.
 
     A filter, as it leaves the key columns, and so the window's shuffle, as they are.
@@ -123,6 +132,9 @@ def _valid(spec: MethodSpec, ts: Column, rating: Column) -> Column:
     else:
         cond = field("user_id", "string").isNotNull() & field("asin", "string").isNotNull()
     cond = cond & rating.between(1.0, 5.0) & (F.length(field("text", "string")) > 0)
+    if spec.years is not None:
+        first, end = (date_from_parts(y, 1, 1).cast("timestamp_ntz") for y in spec.years)
+        cond = cond & (ts >= first) & (ts < end)
     if spec.lower is not None:
         cond = cond & (ts >= ntz(spec.lower))
     if spec.upper is not None:
@@ -142,6 +154,23 @@ def latest_per_key(silver: DataFrame, keys: tuple[str, ...] = ("user_id", "asin"
             .filter(F.col("_rn") == 1).drop("_rn"))
 
 
+def newest_places(rows: DataFrame, keys: list[str], place: list[str], mark: list[str]) -> DataFrame:
+    """The newest row per key (W1), without its payload: keys, ``mark``, ``place``, ``tied``.
+
+    ``rows`` come from ``typed`` with their place in the input and a row
+    fingerprint ``mark`` (two longs).  Only narrow columns are shuffled, after
+    partial aggregation: a hot key costs one small record a task.  ``tied``
+    says that rows alike in time and figures differ in text columns, which
+    ``latest_per_key`` has to decide.
+    """
+    order = LATEST_ORDER[:4]
+    top = F.max(F.struct(*order, *mark, *place)).alias("a")
+    low = F.max(F.struct(*order, F.bitwise_not(mark[0]).alias("low"))).alias("b")
+    return rows.groupBy(*keys).agg(top, low).select(
+        *keys, *[F.col(f"a.{c}").alias(c) for c in [*mark, *place]],
+        (F.col(f"a.{mark[0]}") != F.bitwise_not(F.col("b.low"))).alias("tied"))
+
+
 def with_load_clock(silver: DataFrame, now: Column | None = None) -> DataFrame:
     """Append ``loaded_at`` (A10 default CURRENT_TIMESTAMP)."""
     return silver.withColumn("loaded_at", now if now is not None else F.localtimestamp())

@@ -207,18 +207,17 @@ runs AS (
 """
 SHARED = ("run_id, run_timestamp, method, bronze_row_count, silver_rows_loaded, silver_rows_deleted, "
           "gold_rows_loaded, duration_sec, credits_used")
-# Statements of the batch run: years with a Bronze partition load Silver, those
-# with Silver rows also partials and Gold.
-BATCH_STATEMENTS = """, loaded AS (
+# Writes of the batch run and the records each wrote: years with a Bronze
+# partition load Silver, those with Silver rows also partials and the whole Gold.
+BATCH_WRITES = """, loaded AS (
   SELECT y, (SELECT count(*) FROM s_batch WHERE year(review_ts) = y) AS silver_rows,
-         (SELECT count(DISTINCT parent_asin) FROM s_batch WHERE year(review_ts) = y) AS products
+         (SELECT count(DISTINCT parent_asin) FROM s_batch WHERE year(review_ts) = y) AS products,
+         (SELECT count(DISTINCT parent_asin) FROM s_batch WHERE year(review_ts) <= y) AS gold_rows
   FROM years WHERE y IN (SELECT year(epoch_ms(ts_ms)) FROM rec)),
 statements AS (
-  SELECT 'CALL batch' AS query, CAST(NULL AS BIGINT) AS rows_written
-  UNION ALL SELECT 'INSERT INTO silver (year ' || y || ')', silver_rows FROM loaded
+  SELECT 'INSERT INTO silver (year ' || y || ')' AS query, silver_rows AS rows_written FROM loaded
   UNION ALL SELECT 'INSERT INTO gold partials (year ' || y || ')', products FROM loaded WHERE silver_rows > 0
-  UNION ALL SELECT 'DELETE + INSERT INTO gold (year ' || y || ')', products FROM loaded WHERE silver_rows > 0
-  UNION ALL SELECT 'INSERT INTO run_metrics', 28)
+  UNION ALL SELECT 'DELETE + INSERT INTO gold (year ' || y || ')', gold_rows FROM loaded WHERE silver_rows > 0)
 """
 
 ORACLE: dict[str, str] = {
@@ -238,6 +237,11 @@ FROM rec GROUP BY 1 ORDER BY 1 NULLS FIRST""",
 SELECT CAST(count_if(l.l_partkey % 89 = 0) AS BIGINT) AS rejected_lines,
        CAST(count_if(l.l_partkey % 89 <> 0) AS BIGINT) AS loaded_rows
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
+    "load_report": """
+SELECT CAST(l.l_linenumber AS INTEGER) AS part, CAST(count(*) AS BIGINT) AS lines,
+       CAST(count_if(l.l_partkey % 89 <> 0) AS BIGINT) AS loaded_rows,
+       CAST(count_if(l.l_partkey % 89 = 0) AS BIGINT) AS rejected_lines, TRUE AS first_rejected_named
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1""",
     "silver_clean": _with(REC, S_CLEAN) + f"SELECT {SILVER_COLS} FROM s_clean",
     "silver_batch_year": _with(REC, _silver_clean_form(
         "s", "rec", f"{STEP_YEAR}-01-01 00:00:00", f"{STEP_YEAR + 1}-01-01 00:00:00", False))
@@ -317,6 +321,28 @@ FROM (
     SELECT {SILVER_COLS}, 0 AS a, 1 AS b FROM s_clean
   ) u GROUP BY ALL
 ) c WHERE na <> nb""",
+    "reconcile_shifted_nulls": _with(REC, S_CLEAN) + """
+SELECT asin, parent_asin, CASE WHEN na > nb THEN 'only_table' ELSE 'only_copy' END AS side,
+       CAST(abs(na - nb) AS BIGINT) AS copies
+FROM (
+  SELECT asin, parent_asin, sum(a) AS na, sum(b) AS nb FROM (
+    SELECT asin, parent_asin, 1 AS a, 0 AS b FROM s_clean
+    UNION ALL
+    SELECT CASE WHEN asin IS NULL OR parent_asin IS NULL THEN parent_asin ELSE asin END,
+           CASE WHEN asin IS NULL OR parent_asin IS NULL THEN asin ELSE parent_asin END, 0, 1 FROM s_clean
+  ) u GROUP BY ALL
+) c WHERE na <> nb""",
+    "runs_by_state": """
+SELECT 'clean_refresh' AS method, 'SUCCEEDED' AS state, CAST(1 AS BIGINT) AS runs
+UNION ALL SELECT 'clean_refresh', 'FAILED', 1 UNION ALL SELECT 'batch', 'SUCCEEDED', 28
+UNION ALL SELECT 'upsert', 'SUCCEEDED', 2""",
+    "cut_values": _with(REC, S_CLEAN) + f"""
+SELECT 'clean_refresh' AS method, CAST(count_if(asin IS NOT NULL AND pk % 90 = 3) AS BIGINT) AS cut_asin,
+       CAST(count_if(parent_asin IS NOT NULL AND pk % 60 = 7) AS BIGINT) AS cut_parent_asin,
+       CAST(count_if(pk % 70 = 9) AS BIGINT) AS cut_user_id, CAST(count_if(pk % 50 = 0) AS BIGINT) AS cut_review_title
+FROM rec
+WHERE (asin IS NOT NULL OR asin_json_null) AND rating BETWEEN 1.0 AND 5.0 AND length(text) > 0
+  AND epoch_ms(ts_ms) >= TIMESTAMP '{T1996}' AND epoch_ms(ts_ms) <= TIMESTAMP '{T2024}'""",
     "run_metrics_counts": RUNS_WITH + RUN_COUNTS,
     "run_metrics_union": RUN_TABLE + f"SELECT {SHARED} FROM runs ORDER BY run_timestamp DESC, run_id DESC",
     "kpi_per_batch": RUN_TABLE + """
@@ -342,11 +368,11 @@ SELECT run_timestamp, method, batch_id, duration_sec AS "Czas pracy warehouse (s
 SELECT min(run_timestamp) AS first_run_timestamp, CAST(count(*) AS BIGINT) AS runs,
        CAST(round(sum(credits_used), 4) AS DOUBLE) AS credits_used
 FROM runs WHERE run_timestamp >= TIMESTAMP '{CLOCK_START}' + INTERVAL 3611 SECOND - INTERVAL 1 HOUR""",
-    "job_history": RUNS_WITH + BATCH_STATEMENTS + """
+    "job_history": RUNS_WITH + BATCH_WRITES + """
 SELECT query, 'method=batch' AS query_tag, 'SUCCEEDED' AS state, CAST(rows_written AS BIGINT) AS rows_written
 FROM statements""",
     "merge_history": RUN_TABLE + """
-SELECT 'MERGE INTO silver' AS query, 'method=upsert' AS query_tag, 'SUCCEEDED' AS state,
+SELECT 'MERGE INTO silver (changed rows)' AS query, 'method=upsert' AS query_tag, 'SUCCEEDED' AS state,
        silver_rows_loaded AS rows_written FROM runs WHERE run_id = 'upsert-002'""",
     "file_listing": """
 SELECT CAST(count(*) AS BIGINT) AS lines, TRUE AS files_listed, TRUE AS all_sized, TRUE AS all_dated

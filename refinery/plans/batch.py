@@ -16,8 +16,9 @@ Layout that makes a yearly step cost one year of data, not the whole history:
   left-anti join on the touched keys.  A year that was loaded before (a re-run
   of corrected input) also touches the products it held then; those keys are
   saved before its partitions change, so a retry still knows them.
-* The watermark is a small file, and a catch-up logs its metrics in one append
-  and passes over years without input in one go.
+* The watermark is a numbered small file (the old one stands until the new one
+  is whole).  Each step logs its row, without a Spark job, before the watermark
+  moves: a run cut off after k years has k rows.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 from refinery.functions.scalar import ntz
 from refinery.operators import gold as gold_ops
 from refinery.operators import silver as silver_ops
-from refinery.plans.metrics import RUNS, Clock, RunMetrics, elapsed_sec, estimate_credits, log_runs
+from refinery.plans.metrics import RUNS, Clock, RunMetrics, elapsed_sec, estimate_credits, failures_logged, log_run
 from refinery.plans.store import TableStore
 from refinery.plans.tags import method_tag, statement
 from refinery.schemas import BATCH_STATE, GOLD, GOLD_PARTS, SILVER, one_row
@@ -63,7 +64,7 @@ def create_batch_tables(spark: SparkSession, store: TableStore,
     for name in (SILVER_T, PARTS_T, RUNS):
         store.reset_appended(name)
     store.truncate(GOLD_T, GOLD)
-    store.write_text(f"{store.path(PENDING_T)}/year", "none\n")
+    store.put_state(f"{store.path(PENDING_T)}/year", "none\n")
     set_next_year(spark, store, first_year)
 
 
@@ -78,11 +79,11 @@ def reset_batch(spark: SparkSession, store: TableStore, year: int = 2000) -> Non
 
 def set_next_year(spark: SparkSession, store: TableStore, year: int) -> None:
     """UPDATE batch_state SET next_year = year (A12): one small file."""
-    store.write_text(f"{store.path(STATE_T)}/next_year", f"{int(year)}\n")
+    store.put_state(f"{store.path(STATE_T)}/next_year", f"{int(year)}\n")
 
 
 def next_year(store: TableStore) -> int:
-    found = store.read_text(f"{store.path(STATE_T)}/next_year")
+    found = store.get_state(f"{store.path(STATE_T)}/next_year")
     if found is None:
         raise RuntimeError("batch_state is empty: call create_batch_tables first")
     return int(found)
@@ -103,60 +104,59 @@ def process_next_batch(spark: SparkSession, bronze_path: str, store: TableStore,
     ``bronze_rows`` / ``gold_rows`` let a caller that already knows the Bronze
     size and the current Gold size skip recounting them.
     """
-    with method_tag(spark, "batch", store):
-        r = _step(spark, bronze_path, store, clock or Clock(), credits_per_hour, last_year,
-                  bronze_rows, gold_rows, strict, year_present(spark, bronze_path, next_year(store)))
-        if r.metrics is not None:
-            _log(spark, store, [r])
-            set_next_year(spark, store, r.year + 1)
-        return r
-
-
-def _log(spark: SparkSession, store: TableStore, steps: list[BatchResult]) -> None:
-    rows = [r.metrics for r in steps if r.metrics is not None]
-    if rows:
-        with statement(spark, "INSERT INTO run_metrics") as st:
-            log_runs(store, rows, per_batch=True)
-            st.rows = len(rows)
-
-
-def _load_silver(spark, bronze_path, store, year, now, strict) -> int:
-    """Overwrite the year's Silver partition; its rows."""
-    obs = Observation(f"silver_{year}")
-    silver_y = (silver_ops.extract(read_bronze(spark, bronze_path, year=year), BATCH.for_year(year), strict)
+    with method_tag(spark, "batch"):
+        return _logged_step(spark, bronze_path, store, clock or Clock(), credits_per_hour, last_year,
+                            bronze_rows, gold_rows, strict, year_present(spark, bronze_path, next_year(store)))
+
+
+def _logged_step(spark, bronze_path, store, clock, credits_per_hour, last_year, bronze_rows, gold_rows,
+                 strict, present) -> BatchResult:
+    """One step, its row in the run log, then the watermark."""
+    start = clock.now()
+    year = next_year(store)
+    with failures_logged(store, "batch", clock, start, year):
+        r = _step(spark, bronze_path, store, clock, start, year, credits_per_hour, last_year, bronze_rows,
+                  gold_rows, strict, present)
+    if r.metrics is not None:
+        log_run(store, r.metrics)
+        set_next_year(spark, store, r.year + 1)
+    return r
+
+
+def _load_silver(spark, bronze_path, store, year, now, strict) -> tuple[int, dict]:
+    """Overwrite the year's Silver partition; its rows, and the values cut by column."""
+    obs, obs_w = Observation(f"silver_{year}"), Observation(f"widths_{year}")
+    silver_y = (silver_ops.extract(read_bronze(spark, bronze_path, year=year), BATCH.for_year(year), strict, obs_w)
                 .withColumn("loaded_at", now).withColumn(YEAR_COL, F.lit(year))
                 .observe(obs, F.count(F.lit(1)).alias("n")))
-    with statement(spark, f"INSERT INTO silver (year {year})") as st:
+    with statement(spark, f"INSERT INTO silver (year {year})"):
         store.overwrite_partitions(SILVER_T, silver_y, YEAR_COL)
-        st.rows = int(obs.get["n"])
-    return st.rows
+    return int(obs.get["n"]), dict(obs_w.get)
 
 
-def _step(spark, bronze_path, store, clock, credits_per_hour, last_year, bronze_rows, gold_rows,
+def _step(spark, bronze_path, store, clock, start, year, credits_per_hour, last_year, bronze_rows, gold_rows,
           strict, present) -> BatchResult:
     """Silver and Gold of one year; the caller logs it and advances the watermark."""
-    start = clock.now()
     now = ntz(start)
-    year = next_year(store)
     if year > last_year:
         return BatchResult(DONE, None, 0)
 
     # 0) A year loaded before: the products it held are touched too.  They are
     #    saved first, as its partitions are about to change.
     pending_file = f"{store.path(PENDING_T)}/year"
-    again = store.read_text(pending_file) == str(year)
+    again = store.get_state(pending_file) == str(year)
     if store.has_partition(PARTS_T, YEAR_COL, year):
         old = store.read_partition(PARTS_T, GOLD_PARTS, YEAR_COL, year).select(gold_ops.KEY)
         if again:
             old = old.unionByName(store.read(PENDING_T, PENDING)).distinct()
         with statement(spark, f"save touched products (year {year})"):
             store.replace(PENDING_T, old)
-        store.write_text(pending_file, f"{year}\n")
+        store.put_state(pending_file, f"{year}\n")
         again = True
 
     # 1) Silver: this year's rows; the Bronze read is pruned to one partition,
     #    and a year with no Bronze partition has nothing to load.
-    rows = _load_silver(spark, bronze_path, store, year, now, strict) if present else 0
+    rows, cut = _load_silver(spark, bronze_path, store, year, now, strict) if present else (0, {})
     if not rows:  # an overwrite without rows leaves the old ones
         for name in (SILVER_T, PARTS_T):
             store.drop_partition(name, YEAR_COL, year)
@@ -167,12 +167,9 @@ def _step(spark, bronze_path, store, clock, credits_per_hour, last_year, bronze_
     if rows or again:
         if rows:
             year_rows = store.read_partition(SILVER_T, SILVER_PART, YEAR_COL, year)
-            obs_p = Observation(f"parts_{year}")
-            parts_y = (gold_ops.partials(year_rows).withColumn(YEAR_COL, F.lit(year))
-                       .observe(obs_p, F.count(F.lit(1)).alias("n")))
-            with statement(spark, f"INSERT INTO gold partials (year {year})") as st:
+            parts_y = gold_ops.partials(year_rows).withColumn(YEAR_COL, F.lit(year))
+            with statement(spark, f"INSERT INTO gold partials (year {year})"):
                 store.overwrite_partitions(PARTS_T, parts_y, YEAR_COL)
-                st.rows = int(obs_p.get["n"])
         all_parts = store.read_partitioned(PARTS_T, GOLD_PARTS)
         touched = store.read_partition(PARTS_T, GOLD_PARTS, YEAR_COL, year).select(gold_ops.KEY)
         if again:
@@ -184,12 +181,12 @@ def _step(spark, bronze_path, store, clock, credits_per_hour, last_year, bronze_
             .observe(obs_g, F.count(F.lit(1)).alias("n"),
                      F.count_if(F.col("_new").isNotNull()).alias("written")) \
             .select(*GOLD.fieldNames())
-        with statement(spark, f"DELETE + INSERT INTO gold (year {year})") as st:
+        with statement(spark, f"DELETE + INSERT INTO gold (year {year})"):
             store.replace(GOLD_T, new_gold)
-            st.rows = gold_written = int(obs_g.get["written"])
+        gold_written = int(obs_g.get["written"])
         gold_total = int(obs_g.get["n"])
         if again:
-            store.write_text(pending_file, "none\n")
+            store.put_state(pending_file, "none\n")
     elif gold_rows is not None:
         gold_total = int(gold_rows)
     else:
@@ -203,7 +200,7 @@ def _step(spark, bronze_path, store, clock, credits_per_hour, last_year, bronze_
         run_id=clock.new_id(), run_timestamp=start, method="batch", batch_id=year,
         bronze_row_count=int(bronze_rows), silver_rows_loaded=rows, silver_rows_deleted=0,
         gold_rows_loaded=gold_total, duration_sec=duration,
-        credits_used=estimate_credits(duration, credits_per_hour))
+        credits_used=estimate_credits(duration, credits_per_hour), cut=cut)
     return BatchResult(f"processed batch year={year} rows={rows}", year, rows, gold_written, metrics)
 
 
@@ -213,28 +210,23 @@ def run_all_batches(spark: SparkSession, bronze_path: str, store: TableStore,
                     strict: bool = False) -> list[BatchResult]:
     """Catch-up loop (P3): steps until all are done, or ``calls`` of them.
 
-    Whether a year has input is known from one listing.  The watermark moves
-    with every year that changed a table; metrics are logged once at the end,
-    also when a step fails.
+    Whether a year has input is known from one listing.  Each step logs its row
+    and moves the watermark before the next one begins.
     """
     clock = clock or Clock()
     out: list[BatchResult] = []
-    with method_tag(spark, "batch", store):
+    with method_tag(spark, "batch"):
         years = bronze_years(spark, bronze_path)
         bronze_rows = read_bronze(spark, bronze_path).count()
         gold_rows = None
-        try:
-            while calls is None or len(out) < calls:
-                year = next_year(store)
-                r = _step(spark, bronze_path, store, clock, credits_per_hour, last_year, bronze_rows,
-                          gold_rows, strict, years is None or year in years)
-                out.append(r)
-                if r.status == DONE:
-                    break
-                gold_rows = r.metrics.gold_rows_loaded
-                set_next_year(spark, store, r.year + 1)
-        finally:
-            _log(spark, store, out)
+        while calls is None or len(out) < calls:
+            year = next_year(store)
+            r = _logged_step(spark, bronze_path, store, clock, credits_per_hour, last_year, bronze_rows,
+                             gold_rows, strict, years is None or year in years)
+            out.append(r)
+            if r.status == DONE:
+                break
+            gold_rows = r.metrics.gold_rows_loaded
     return out
 
 

@@ -1,25 +1,31 @@
 """Run metrics, KPI reports and cost.
 
-The run table is append-only, one row per run (per yearly batch for the batch
-method).  Rows are built on the driver from figures the job already holds
-(``Observation`` counts, the driver clock), so logging never rescans a layer.
-Reports are plain DataFrame projections over the run table.
+The run log is append-only, one row per run (per yearly batch for the batch
+method), runs that failed included.  Rows are built on the driver from figures
+the job already holds (``Observation`` counts, the driver clock), so logging
+never rescans a layer, and are durable when the run returns: a JSON line
+written without a Spark job.  ``read_runs`` gives the run table of the reports:
+succeeded runs, the last one of a batch that was run again.  Reports are plain
+DataFrame projections over it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, field as dc_field
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from refinery.functions.scalar import round_half_up, ntz
-from refinery.schemas import RUN_METRICS, RUN_METRICS_COLUMNS, SHARED_RUN_COLUMNS
+from refinery.schemas import RUN_LOG, RUN_METRICS_COLUMNS, SHARED_RUN_COLUMNS
 
 RUNS = "run_metrics"
+SUCCEEDED, FAILED = "SUCCEEDED", "FAILED"
 
 # Cost assumptions of the reference (fixed values): the batch estimate uses
 # 1 credit per hour of run time, the upsert cost report 2 USD per credit.
@@ -52,15 +58,19 @@ class RunMetrics:
     run_timestamp: dt.datetime
     method: str
     batch_id: int | None
-    bronze_row_count: int
-    silver_rows_loaded: int
-    silver_rows_deleted: int
-    gold_rows_loaded: int
+    bronze_row_count: int | None
+    silver_rows_loaded: int | None
+    silver_rows_deleted: int | None
+    gold_rows_loaded: int | None
     duration_sec: float
     credits_used: float | None
+    cut: dict = dc_field(default_factory=dict)  # rows whose value was cut to its declared width, by column
+    state: str = SUCCEEDED
+    error: str | None = None
 
-    def as_row(self) -> tuple:
-        return tuple(getattr(self, c) for c in RUN_METRICS_COLUMNS)
+    def as_row(self) -> dict:
+        out = {c: getattr(self, c) for c in (*RUN_METRICS_COLUMNS, "state", "error")}
+        return out | {f"cut_{c}": n for c, n in self.cut.items()} | {"logged": time.time_ns()}
 
 
 def elapsed_sec(start: dt.datetime, end: dt.datetime) -> float:
@@ -75,31 +85,36 @@ def estimate_credits(duration_sec: float, credits_per_hour: float | None) -> flo
     return round(duration_sec / 3600.0 * credits_per_hour, 6)
 
 
-def metrics_frame(spark: SparkSession, rows: list[RunMetrics]) -> DataFrame:
-    return spark.createDataFrame([r.as_row() for r in rows], RUN_METRICS)
-
-
 def log_run(store, row: RunMetrics) -> None:
     """INSERT INTO run_metrics (P5)."""
-    log_runs(store, [row])
+    store.log(RUNS, [row.as_row()])
+
 
+@contextmanager
+def failures_logged(store, method: str, clock: Clock, start: dt.datetime, batch_id: int | None = None):
+    """Log the run as FAILED if it fails (F12), then let it fail."""
+    try:
+        yield
+    except BaseException as e:
+        log_run(store, RunMetrics(
+            run_id=clock.new_id(), run_timestamp=start, method=method, batch_id=batch_id, bronze_row_count=None,
+            silver_rows_loaded=None, silver_rows_deleted=None, gold_rows_loaded=None,
+            duration_sec=elapsed_sec(start, clock.now()), credits_used=None, state=FAILED,
+            error=f"{type(e).__name__}: {e}"[:500]))
+        raise
 
-def log_runs(store, rows: list[RunMetrics], per_batch: bool = False) -> None:
-    """INSERT INTO run_metrics, several runs in one write.
 
-    ``per_batch`` (batch method) keeps the table partitioned by ``batch_id``
-    and overwrites the steps' partitions, so a retried year replaces its row
-    instead of logging the year twice.
-    """
-    frame = store.spark.createDataFrame([r.as_row() for r in rows], RUN_METRICS).coalesce(1)
-    if per_batch:
-        store.overwrite_partitions(RUNS, frame, "batch_id")
-    else:
-        store.append(RUNS, frame)
+def read_run_log(store) -> DataFrame:
+    """Every run, failed ones included."""
+    return store.read_log(RUNS, RUN_LOG)
 
 
 def read_runs(store) -> DataFrame:
-    return store.read_appended(RUNS, RUN_METRICS)
+    """The run table: succeeded runs, for each batch the last one logged."""
+    last = Window.partitionBy("method", F.coalesce(F.col("batch_id").cast("string"), F.concat(F.lit("run "), F.col("logged").cast("string")))) \
+        .orderBy(F.desc("logged"))
+    return (read_run_log(store).filter(F.col("state") == SUCCEEDED).withColumn("_last", F.row_number().over(last))
+            .filter(F.col("_last") == 1).select(*RUN_METRICS_COLUMNS))
 
 
 # ---- reports -----------------------------------------------------------------
@@ -158,11 +173,11 @@ def cost_report(runs: DataFrame, usd_per_credit: float = USD_PER_CREDIT, k: int
     return out.limit(k) if k else out
 
 
-def recent_summary(runs: DataFrame, now: dt.datetime, hours: int = 1) -> DataFrame:
-    """Runs of the last ``hours``: earliest start, count and rounded credits
-    (F12, G13, G14, X12)."""
+def recent_summary(log: DataFrame, now: dt.datetime, hours: int = 1, state: str = SUCCEEDED) -> DataFrame:
+    """Runs of a run log in the last ``hours`` and of that state: earliest start,
+    count and rounded credits (F12, G13, G14, X12)."""
     since = ntz(now) - F.expr(f"INTERVAL {int(hours)} HOUR")
-    return (runs.filter(F.col("run_timestamp") >= since)
+    return (log.filter((F.col("run_timestamp") >= since) & (F.col("state") == state))
             .agg(F.min("run_timestamp").alias("first_run_timestamp"),
                  F.count(F.lit(1)).alias("runs"),
                  round_half_up(F.sum("credits_used"), 4).alias("credits_used")))
@@ -177,6 +192,11 @@ def cross_method(*run_tables: DataFrame) -> DataFrame:
     return out.orderBy(F.col("run_timestamp").desc(), F.col("run_id").desc())
 
 
+def runs_by_state(log: DataFrame) -> DataFrame:
+    """Runs per method and state."""
+    return log.groupBy("method", "state").agg(F.count(F.lit(1)).alias("runs"))
+
+
 def run_counts(runs: DataFrame) -> DataFrame:
     """Row figures per method and batch: the clock-free part of the run table."""
     return runs.select("method", "batch_id", "bronze_row_count", "silver_rows_loaded",

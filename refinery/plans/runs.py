@@ -10,7 +10,8 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 from refinery.fixtures import bronze_for, input_key
 from refinery.plans import batch as batch_plan
@@ -19,6 +20,7 @@ from refinery.plans import upsert as upsert_plan
 from refinery.plans.metrics import Clock
 from refinery.plans.store import TableStore
 from refinery.session import fresh_workspace
+from refinery.sources.eventlog import job_history, read_events, recording
 
 _DONE: dict[tuple, TableStore] = {}
 
@@ -35,17 +37,29 @@ def ticking_clock(label: str) -> Clock:
                  new_id=lambda: f"{label}-{next(ids):03d}")
 
 
+EVENTS = "_events"
+
+
 def memo(spark: SparkSession, sf_dir: str, label: str, run) -> TableStore:
-    """Run ``run(store)`` once per session, input and label; return its store."""
+    """Run ``run(store)`` once per session, input and label; return its store.
+
+    Spark's event log of the run is kept in the store's folder.
+    """
     key = (spark.sparkContext.applicationId, input_key(spark, sf_dir), label)
     store = _DONE.get(key)
     if store is None:
         store = TableStore(spark, fresh_workspace(spark, label))
-        run(store)
+        with recording(spark, store.path(EVENTS)):
+            run(store)
         _DONE[key] = store
     return store
 
 
+def history(store: TableStore) -> DataFrame:
+    """The run's statements as Spark measured them."""
+    return job_history(read_events(store.spark, store.path(EVENTS)))
+
+
 def clean_run(spark: SparkSession, sf_dir: str) -> TableStore:
     """P1 over the whole review set."""
     def run(store):
@@ -93,3 +107,24 @@ def upsert_two_waves(spark: SparkSession, sf_dir: str) -> TableStore:
         for kind in ("wave1", "wave2"):
             upsert_plan.process_upsert(spark, bronze_for(spark, sf_dir, kind), store, clock=clock)
     return memo(spark, sf_dir, "upsert2", run)
+
+
+def wide_run(spark: SparkSession, sf_dir: str) -> TableStore:
+    """P1 over reviews of which some have values longer than their columns."""
+    def run(store):
+        clean_plan.clean_refresh(spark, bronze_for(spark, sf_dir, "wide"), store, clock=ticking_clock("wide"))
+    return memo(spark, sf_dir, "wide", run)
+
+
+def failed_run(spark: SparkSession, sf_dir: str) -> TableStore:
+    """P1 as it should be, then once over input that isn't there."""
+    def run(store):
+        clock = ticking_clock("clean")
+        bronze = bronze_for(spark, sf_dir, "all")
+        clean_plan.clean_refresh(spark, bronze, store, clock=clock)
+        try:
+            clean_plan.clean_refresh(spark, f"{bronze}-lost", store, clock=clock)
+        except AnalysisException:
+            return
+        raise AssertionError("a run without input did not fail")
+    return memo(spark, sf_dir, "failed", run)

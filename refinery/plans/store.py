@@ -9,16 +9,17 @@ empty or half-written table, a failed write leaves the previous version
 current, and a retry simply writes the next version.  A table that has
 snapshots but no marked one is an error, never an empty table.
 
-Year-partitioned tables (batch Silver and its partial aggregates) instead
-overwrite single partitions in place with dynamic partition overwrite, which
-makes re-running a year idempotent.
-
-A snapshot can also be written *bucketed* on a key (``replace_bucketed``):
-the files are hash-clustered on the key exactly like a shuffle on it, and the
-snapshot is registered as an external catalog table carrying the bucket spec.
-A later join or aggregation on that key then reads it without an exchange --
-the upsert merge shuffles only its source, never the whole Silver table.  The
-spec is kept next to the snapshot, so any later session can register it again.
+Partitioned tables live in generation folders ``<table>/g=<n>/``.  The yearly
+ones overwrite single partitions with dynamic partition overwrite: a year can
+be loaded again from its input.  A table whose rows cannot be had again
+(the upsert's Silver) uses ``replace_partitions``: new partitions are first
+written beside the table and marked, then moved in one by one; a run cut off
+in between is finished by ``finish_replace``.  Other partitions' files stay as
+they are.
+
+Small changing values (``put_state``) are numbered files of which the newest
+counts, so the old value stands until the new one is complete.  Run records
+(``log``) are JSON-lines files written without a Spark job.
 
 Paths go through the Hadoop FileSystem API so the same code works on a local
 folder, HDFS or an object store.
@@ -26,10 +27,10 @@ folder, HDFS or an object store.
 
 from __future__ import annotations
 
-import hashlib
+import json
 import re
 import time
-from collections.abc import Callable
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -37,6 +38,8 @@ from pyspark.sql import types as T
 _VERSION = re.compile(r"^v=(\d+)$")
 # Name of the store's commit marker (readers skip names with an underscore).
 MARKER = "_REFINERY_COMMITTED"
+# Files of a log table, beyond which they are put together.
+LOG_FILES = 200
 
 
 class TableStore:
@@ -76,7 +79,7 @@ class TableStore:
         return f"{self.root}/{name}"
 
     def write_text(self, path: str, text: str) -> None:
-        """A small file, complete or absent: written beside its name, then renamed."""
+        """A small file that is written once: complete or absent."""
         part = f"{path}.part"
         p, fs = self._fs(part)
         out = fs.create(p, True)
@@ -92,16 +95,52 @@ class TableStore:
 
     def read_text(self, path: str) -> str | None:
         """First line of a small file, None if there is none."""
+        lines = self.read_lines(path)
+        return lines[0] if lines else None
+
+    def read_lines(self, path: str) -> list[str]:
         p, fs = self._fs(path)
         if not fs.exists(p):
-            return None
+            return []
         jvm = self.spark.sparkContext._jvm
         stream = fs.open(p)
         try:
-            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream)).readLine()
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            return list(iter(reader.readLine, None))
         finally:
             stream.close()
 
+    def _delete(self, path: str) -> None:
+        p, fs = self._fs(path)
+        if fs.exists(p):
+            fs.delete(p, True)
+
+    def _move(self, path: str, to: str) -> None:
+        """Rename; ``to`` must not exist."""
+        p, fs = self._fs(path)
+        target, _ = self._fs(to)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(p, target):
+            raise OSError(f"cannot move {path} to {to}")
+
+    # -- small values ----------------------------------------------------------
+    def _state_numbers(self, path: str) -> list[int]:
+        folder, name = path.rsplit("/", 1)
+        found = (re.fullmatch(re.escape(name) + r"\.(\d+)", c) for c in self._children(folder))
+        return sorted(int(m.group(1)) for m in found if m)
+
+    def put_state(self, path: str, text: str) -> None:
+        """Set a changing value: a new number beside the old one, which goes afterwards."""
+        old = self._state_numbers(path)
+        self.write_text(f"{path}.{(old[-1] if old else 0) + 1:09d}", text)
+        for n in old:
+            self._delete(f"{path}.{n:09d}")
+
+    def get_state(self, path: str) -> str | None:
+        """The newest value's first line, None if there is none."""
+        found = self._state_numbers(path)
+        return self.read_text(f"{path}.{found[-1]:09d}") if found else None
+
     def size(self, path: str) -> int:
         """Bytes of a folder's files, 0 if it does not exist."""
         p, fs = self._fs(path)
@@ -150,14 +189,13 @@ class TableStore:
         return self.current(name) is not None
 
     def read(self, name: str, schema: T.StructType) -> DataFrame:
-        """Current snapshot, or an empty frame of ``schema`` (never created)."""
+        """Current snapshot or generation, or an empty frame of ``schema`` (never created)."""
         cur = self.current(name)
-        if cur is None:
-            return self.spark.createDataFrame([], schema)
-        spec = self._bucket_spec(name, cur)
-        if spec is not None:
-            return self._bucketed_table(cur, schema, *spec).select(*schema.fieldNames())
-        return self.spark.read.schema(schema).parquet(cur)
+        if cur is not None:
+            return self.spark.read.schema(schema).parquet(cur)
+        if self.has_generation(name):
+            return self.read_appended(name, schema)
+        return self.spark.createDataFrame([], schema)
 
     def _next_path(self, name: str) -> str:
         versions = self._version_numbers(name)
@@ -196,74 +234,10 @@ class TableStore:
             if v >= oldest_kept:
                 continue
             path = f"{self.path(name)}/v={v:06d}"
-            self._drop_snapshot(name, path)
+            self._delete(path)
             removed.append(path)
         return removed
 
-    def _drop_snapshot(self, name: str, path: str) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._ident(path)}")
-        for target in (path, self._spec_path(name, path)):
-            p, fs = self._fs(target)
-            if fs.exists(p):
-                fs.delete(p, True)
-
-    # -- bucketed snapshots -------------------------------------------------------
-    def _spec_path(self, name: str, snapshot: str) -> str:
-        return f"{self.path(name)}/_bucketing/{snapshot.rsplit('/', 1)[1]}"
-
-    def _bucket_spec(self, name: str, snapshot: str) -> tuple[int, list[str]] | None:
-        line = self.read_text(self._spec_path(name, snapshot))
-        if line is None:
-            return None
-        n, cols = line.split("|")
-        return int(n), cols.split(",")
-
-    def bucket_count(self, name: str) -> int | None:
-        """Bucket count of the current snapshot, None if it is not bucketed."""
-        cur = self.current(name)
-        spec = self._bucket_spec(name, cur) if cur else None
-        return spec[0] if spec else None
-
-    @staticmethod
-    def _ident(snapshot: str) -> str:
-        # In a database of its own name, so a later USE leaves no orphan entry.
-        return "default.refinery_" + hashlib.sha1(snapshot.encode()).hexdigest()[:16]
-
-    def _bucketed_table(self, snapshot: str, schema: T.StructType, n: int, keys: list[str]) -> DataFrame:
-        ident = self._ident(snapshot)
-        if not self.spark.catalog.tableExists(ident):
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-            by = ", ".join(f"`{k}`" for k in keys)
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {ident} ({cols}) USING parquet "
-                           f"CLUSTERED BY ({by}) INTO {n} BUCKETS LOCATION '{snapshot}'")
-        return self.spark.table(ident)
-
-    def replace_bucketed(self, name: str, df: DataFrame, keys: list[str], buckets: int,
-                         changed: Callable[[], bool] = lambda: True) -> str | None:
-        """A new snapshot hash-clustered on ``keys`` into ``buckets`` files groups.
-
-        ``changed`` is asked after the write; if it says no, the new files are
-        dropped and the table stays at its version (None is returned).
-
-        When ``df`` is already partitioned on ``keys`` into ``buckets``
-        partitions (a join or window on the key), every task writes one bucket
-        file and no extra shuffle or sort is added.
-        """
-        previous = self.current(name)
-        path = self._next_path(name)
-        self.write_text(self._spec_path(name, path), f"{int(buckets)}|{','.join(keys)}\n")
-        (df.write.format("parquet").bucketBy(int(buckets), *keys).option("path", path)
-         .mode("errorifexists").saveAsTable(self._ident(path)))
-        if not changed():
-            self._drop_snapshot(name, path)
-            return None
-        self.mark(path)
-        if previous is not None:
-            # external table: only the catalog entry goes, the files stay
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._ident(previous)}")
-        self.vacuum(name)
-        return path
-
     def create_if_absent(self, name: str, schema: T.StructType) -> None:
         """CREATE TABLE IF NOT EXISTS (A6): an empty first snapshot."""
         if self.current(name) is None:
@@ -283,6 +257,9 @@ class TableStore:
     def _gen_path(self, name: str) -> str:
         return f"{self.path(name)}/g={self._generation(name):06d}"
 
+    def has_generation(self, name: str) -> bool:
+        return any(re.match(r"^g=\d+$", c) for c in self._children(self.path(name)))
+
     def append(self, name: str, df: DataFrame) -> None:
         """INSERT INTO (A8): new files next to the old ones."""
         df.write.mode("append").parquet(self._gen_path(name))
@@ -291,7 +268,31 @@ class TableStore:
         path = self._gen_path(name)
         if not self._exists(path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+    def log(self, name: str, rows: list[dict]) -> None:
+        """INSERT of some small rows, durable when this returns; no Spark job.
+
+        Beyond ``LOG_FILES`` files they are put together in a new generation.
+        """
+        path = self._gen_path(name)
+        self.write_text(f"{path}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}.json",
+                        "".join(json.dumps(r, default=lambda v: v.isoformat()) + "\n" for r in rows))
+        files = sorted(c for c in self._children(path) if c.endswith(".json"))
+        if len(files) > LOG_FILES:
+            now = self._generation(name) + 1
+            whole = f"{self.path(name)}/g={now:06d}.part"
+            self._delete(whole)
+            lines = [line for f in files for line in self.read_lines(f"{path}/{f}")]
+            self.write_text(f"{whole}/{files[-1]}", "".join(line + "\n" for line in lines))
+            self._move(whole, f"{self.path(name)}/g={now:06d}")
+            self._drop_ended(name, now)
+
+    def read_log(self, name: str, schema: T.StructType) -> DataFrame:
+        path = self._gen_path(name)
+        if not any(c.endswith(".json") for c in self._children(path)):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).json(path)
 
     def reset_appended(self, name: str) -> None:
         """TRUNCATE of an append-only or partitioned table: a new generation.
@@ -300,32 +301,79 @@ class TableStore:
         now = self._generation(name) + 1
         p, fs = self._fs(f"{self.path(name)}/g={now:06d}")
         fs.mkdirs(p)
+        self._drop_ended(name, now)
+
+    def _drop_ended(self, name: str, now: int) -> None:
+        """Remove generations that ended at least ``keep_sec`` ago."""
         if self.keep is None:
             return
         ended = None  # a generation ended when the one after it was begun
         for g in range(now - 1, 0, -1):
             later = f"{self.path(name)}/g={g + 1:06d}"
+            if not self._exists(later):
+                return
             if ended is None and self._age_sec(later) >= self.keep_sec:
                 ended = g
             if ended is not None:
-                old, _ = self._fs(f"{self.path(name)}/g={g:06d}")
-                if fs.exists(old):
-                    fs.delete(old, True)
+                self._delete(f"{self.path(name)}/g={g:06d}")
 
     def has_partition(self, name: str, column: str, value) -> bool:
         return self._exists(f"{self._gen_path(name)}/{column}={value}")
 
     def drop_partition(self, name: str, column: str, value) -> None:
         """Remove one partition: what an overwrite with no rows leaves standing."""
-        p, fs = self._fs(f"{self._gen_path(name)}/{column}={value}")
-        if fs.exists(p):
-            fs.delete(p, True)
+        self._delete(f"{self._gen_path(name)}/{column}={value}")
 
     def overwrite_partitions(self, name: str, df: DataFrame, partition_col: str) -> None:
         """Replace only the partitions present in ``df`` (dynamic overwrite)."""
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col).parquet(self._gen_path(name)))
 
+    def replace_partitions(self, name: str, df: DataFrame, column: str) -> None:
+        """Replace the partitions that ``df`` holds; it may read the table itself.
+
+        Written beside the table, marked, then moved in: until the mark the
+        table is as it was, from then on ``finish_replace`` completes it.
+        """
+        staged = f"{self.path(name)}/_staged"
+        self.finish_replace(name)
+        df.write.mode("overwrite").partitionBy(column).parquet(staged)
+        self.mark(staged)
+        self.finish_replace(name)
+
+    def finish_replace(self, name: str) -> bool:
+        """Move marked partitions in, also those of a run that was cut off; whether there were any."""
+        staged = f"{self.path(name)}/_staged"
+        if not self.marked(staged):
+            self._delete(staged)
+            return False
+        for part in self._children(staged):
+            if "=" in part:
+                self._delete(f"{self._gen_path(name)}/{part}")
+                self._move(f"{staged}/{part}", f"{self._gen_path(name)}/{part}")
+        self._delete(staged)
+        return True
+
+    def replace_generation(self, name: str, df: DataFrame, column: str, notes: dict[str, str]) -> None:
+        """The whole partitioned table anew, with small notes; it may read the table itself."""
+        part = f"{self.path(name)}/_next"
+        df.write.mode("overwrite").partitionBy(column).parquet(part)
+        for key, text in notes.items():
+            self.write_text(f"{part}/_{key}", text)
+        now = self._generation(name) + 1 if self.has_generation(name) else 1
+        self._move(part, f"{self.path(name)}/g={now:06d}")
+        self._drop_ended(name, now)
+
+    def note(self, name: str, key: str) -> str | None:
+        return self.read_text(f"{self._gen_path(name)}/_{key}")
+
+    def partition_values(self, name: str, column: str) -> list[str]:
+        return [c.split("=", 1)[1] for c in self._children(self._gen_path(name)) if c.startswith(f"{column}=")]
+
+    def generation_size(self, name: str) -> int:
+        """Bytes of the current generation."""
+        return self.size(self._gen_path(name))
+
     def read_partitioned(self, name: str, schema: T.StructType) -> DataFrame:
         return self.read_appended(name, schema)
 
@@ -339,15 +387,13 @@ class TableStore:
 
     # -- SQL access ------------------------------------------------------------------
     def register_views(self, tables: dict[str, T.StructType], prefix: str = "",
-                       partitioned: tuple[str, ...] = (), appended: tuple[str, ...] = ()) -> list[str]:
+                       partitioned: tuple[str, ...] = ()) -> list[str]:
         """Temp views over the current version of each table, so reports can
         be written in Spark SQL (``SELECT ... FROM run_metrics ...``)."""
         names = []
         for name, schema in tables.items():
             if name in partitioned:
                 df = self.read_partitioned(name, schema)
-            elif name in appended:
-                df = self.read_appended(name, schema)
             else:
                 df = self.read(name, schema)
             view = f"{prefix}{name}"

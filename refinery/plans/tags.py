@@ -1,132 +1,36 @@
-"""Job tags, statement labels and the statement history (the reference's
-QUERY_TAG, query text and query history).
+"""Job tags and statement labels (the reference's QUERY_TAG and query text).
 
 Every job a method starts carries the tag ``method=<name>``, and each write is
-labelled with the statement it stands for, so the event-log history
-(``sources.eventlog``) can be filtered by method or by statement text.  The
-statements of a run, with the rows they wrote and whether they succeeded, are
-also kept in the store's own ``statement_history`` table, one append a run, so
-the history does not depend on an event log.
+labelled with the statement it stands for.  Spark's event log holds both beside
+what Spark measured, so ``sources.eventlog`` can be filtered by method or by
+statement text.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import threading
 from contextlib import contextmanager
-from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-HISTORY_T = "statement_history"
-HISTORY = T.StructType([
-    T.StructField("query_tag", T.StringType(), True),
-    T.StructField("seq", T.IntegerType(), True),
-    T.StructField("query_text", T.StringType(), True),
-    T.StructField("state", T.StringType(), True),
-    T.StructField("rows_written", T.LongType(), True),
-    T.StructField("start_time", T.TimestampNTZType(), True),
-    T.StructField("total_sec", T.DoubleType(), True),
-])
-SUCCEEDED, FAILED = "SUCCEEDED", "FAILED"
-
-
-def _now() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-
-
-@dataclass
-class Statement:
-    text: str
-    rows: int | None = None
-    state: str = SUCCEEDED
-    start: dt.datetime = field(default_factory=_now)
-    end: dt.datetime | None = None
-
-    def close(self, state: str) -> None:
-        self.state, self.end = state, _now()
-
-
-_RUN = threading.local()  # the statements of the run that this thread is in
+from pyspark.sql import SparkSession
 
 
 @contextmanager
-def method_tag(spark: SparkSession, method: str, store=None):
-    """Tag the run's jobs; with ``store`` its statements are kept there, also
-    those of a run that fails (its call and the failing statement as FAILED)."""
+def method_tag(spark: SparkSession, method: str):
+    """Tag the run's jobs."""
     tag = f"method={method}"
-    outer = getattr(_RUN, "statements", None)
-    call = Statement(f"CALL {method}")
-    _RUN.statements = found = []
     spark.addTag(tag)
     try:
         yield tag
-        call.close(SUCCEEDED)
-    except BaseException:
-        call.close(FAILED)
-        raise
     finally:
         spark.removeTag(tag)
-        _RUN.statements = outer
-        if store is not None:
-            rows = [(tag, i, s.text, s.state, s.rows, s.start, (s.end - s.start).total_seconds())
-                    for i, s in enumerate([call, *found])]
-            store.append(HISTORY_T, spark.createDataFrame(rows, HISTORY).coalesce(1))
 
 
 @contextmanager
 def statement(spark: SparkSession, text: str):
-    """Label the statement's jobs; the caller may set ``rows`` on what it gets."""
+    """Label the statement's jobs."""
     sc = spark.sparkContext
     previous = sc.getLocalProperty("spark.job.description")
     sc.setJobDescription(text)
-    found = Statement(text)
-    if getattr(_RUN, "statements", None) is not None:
-        _RUN.statements.append(found)
-    try:
-        yield found
-        found.close(SUCCEEDED)
-    except BaseException:
-        found.close(FAILED)
-        raise
-    finally:
-        sc.setLocalProperty("spark.job.description", previous)
-
-
-def read_history(store) -> DataFrame:
-    return store.read_appended(HISTORY_T, HISTORY)
-
-
-def statement_history(history: DataFrame, tag: str | None = None, pattern: str | None = None,
-                      k: int | None = None, since: dt.datetime | None = None,
-                      state: str | None = None) -> DataFrame:
-    """Statements by tag (F13), text pattern (F11, ILIKE), start and state
-    (F12), newest first (L5, L7), the text's first 60 characters as ``query`` (X15)."""
-    if tag is not None:
-        history = history.filter(F.col("query_tag") == tag)
-    if pattern is not None:
-        history = history.filter(F.col("query_text").ilike(pattern))
-    if since is not None:
-        history = history.filter(F.col("start_time") >= F.lit(since))
-    if state is not None:
-        history = history.filter(F.col("state") == state)
-    out = (history.withColumn("query", F.left("query_text", F.lit(60)))
-           .orderBy(F.col("start_time").desc(), F.col("seq").desc()))
-    return out.limit(k) if k else out
-
-
-@contextmanager
-def shuffle_partitions(spark: SparkSession, n: int | None):
-    """Run a statement with ``spark.sql.shuffle.partitions = n`` (None: as is)."""
-    if n is None:
-        yield
-        return
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(int(n)))
     try:
         yield
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
-
+        sc.setLocalProperty("spark.job.description", previous)

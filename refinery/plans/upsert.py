@@ -1,19 +1,23 @@
 """Upsert method (P4): newest row per (user_id, asin) merged into Silver,
 all products re-aggregated and merged into Gold.
 
-Plan shape per run (checked with ``explain``):
-
-* Bronze scan -> projection/filter -> partial ``WindowGroupLimit`` (top-1 per
-  key inside each task) -> shuffle on (user_id, asin) -> final top-1.
-* Silver snapshot, stored bucketed on (user_id, asin) -> bucketed scan, no
-  shuffle -> full outer sort-merge join with the source, whose single shuffle
-  (the window's) lands in the same buckets.  The new Silver is written back
-  bucketed, one file per bucket.
+Silver lies in folders by ``pmod(hash(user_id, asin), n)`` and holds a
+fingerprint of the compared columns beside each row.  A run costs what it
+changes:
+
+* Decide.  Bronze scan -> keys, time, figures, fingerprint and place of each
+  row -> partial aggregate -> shuffle of these narrow rows on (user_id, asin)
+  -> newest per key, joined to the keys and fingerprints of Silver (no other
+  column of it is read).  Rows to insert or update are written down as places.
+* Fetch.  Only those rows' payload is read from Bronze, by their places.
+* Rewrite.  Only the buckets that hold a changed row are read, freed of the
+  updated keys, and replaced with the fetched rows; other files stay.
+
+A first load has nothing to compare and writes the de-duplicated source.
 * Gold: partial aggregate of the new Silver -> shuffle on ``parent_asin`` ->
   final aggregate -> full outer join with the (small) Gold table.
 
-Both merges write new snapshots; counts per action come from an
-``Observation`` on the write.
+Counts per action come from ``Observation``s on the writes.
 """
 
 from __future__ import annotations
@@ -22,16 +26,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from refinery.functions.scalar import ntz
+from refinery.functions.scalar import fingerprint, ntz
 from refinery.operators import gold as gold_ops
 from refinery.operators import silver as silver_ops
 from refinery.operators.merge import ACTION, duplicate_keys, merge_plan
-from refinery.plans.metrics import RUNS, Clock, RunMetrics, elapsed_sec, estimate_credits, log_run
+from refinery.plans.metrics import Clock, RunMetrics, elapsed_sec, estimate_credits, failures_logged, log_run
 from refinery.plans.store import TableStore
-from refinery.plans.tags import method_tag, shuffle_partitions, statement
-from refinery.schemas import GOLD, GOLD_COLUMNS, RUN_METRICS, SILVER, SILVER_COLUMNS
-from refinery.sources.staged import read_bronze
+from refinery.plans.tags import method_tag, statement
+from refinery.schemas import GOLD, GOLD_COLUMNS, SILVER, SILVER_COLUMNS
+from refinery.sources.staged import PLACE, read_placed
 from refinery.spec import UPSERT
 
 SILVER_T = "silver"
@@ -43,9 +48,22 @@ COMPARE = ["rating", "review_ts", "review_title", "review_text", "helpful_vote",
            "verified_purchase", "parent_asin", "has_images"]
 UPDATE = ["review_id", "parent_asin", "rating", "review_title", "review_text",
           "helpful_vote", "verified_purchase", "review_ts", "has_images"]
-# Silver bytes that a bucket is meant to hold, and how far it may outgrow that.
+# Silver bytes that a bucket is meant to hold, how far it may outgrow that, and
+# the most buckets there are (beyond, they hold more bytes, in more files).
 BUCKET_BYTES = 256 << 20
 REBUCKET_FACTOR = 4
+MAX_BUCKETS = 32_768
+BUCKET = "bucket"
+MARK = ["_fp1", "_fp2"]
+# Silver as stored: beside its columns, the fingerprint of COMPARE.
+SILVER_STORED = T.StructType(SILVER.fields + [T.StructField(c, T.LongType(), True) for c in MARK])
+SILVER_BUCKETED = T.StructType(SILVER_STORED.fields + [T.StructField(BUCKET, T.IntegerType(), True)])
+CHANGES_T = "silver_changes"
+CHANGES = T.StructType(
+    [T.StructField(k, T.StringType(), True) for k in KEYS]
+    + [T.StructField(c, T.LongType(), True) for c in (*PLACE, "t_fp1", "t_fp2")]
+    + [T.StructField("t_in", T.BooleanType(), True), T.StructField(ACTION, T.StringType(), True)])
+TIED = "tied"
 GOLD_UPDATE = [c for c in GOLD_COLUMNS if c not in ("parent_asin", "loaded_at")]
 
 
@@ -58,9 +76,15 @@ class UpsertResult:
 
 
 def create_upsert_tables(store: TableStore) -> None:
-    """CREATE TABLE IF NOT EXISTS (A6): state outlives a run."""
-    store.create_if_absent(SILVER_T, SILVER)
+    """CREATE TABLE IF NOT EXISTS (A6): state outlives a run.
+
+    Silver comes into being with its first rows.  A Silver kept as snapshots
+    (an earlier layout) is taken over.
+    """
     store.create_if_absent(GOLD_T, GOLD)
+    if not store.has_generation(SILVER_T) and store.current(SILVER_T) is not None:
+        old = store.read(SILVER_T, SILVER)
+        _store_anew(store, old, bucket_number(store, store.size(store.current(SILVER_T))))
 
 
 def silver_source(bronze: DataFrame, strict: bool = False) -> DataFrame:
@@ -79,7 +103,7 @@ def gold_merge_plan(target: DataFrame, silver: DataFrame, now) -> DataFrame:
 
 
 def _counts(obs: Observation) -> dict:
-    return {k: int(v) for k, v in obs.get.items()}
+    return {k: int(v or 0) for k, v in obs.get.items()}
 
 
 def _observe_actions(plan: DataFrame, obs: Observation) -> DataFrame:
@@ -93,39 +117,55 @@ def process_upsert(spark: SparkSession, bronze_path: str, store: TableStore,
                    prune_orphans: bool = False, verify_keys: bool = False) -> UpsertResult:
     """One upsert run (P4).  Credits default to NULL, as the reference logs.
 
-    Silver is kept bucketed on (user_id, asin) into ``silver_buckets``, so the
-    next run's merge reads it without shuffling it.  By default the count
-    follows the data (``bucket_count``): the current snapshot's is kept until
-    its buckets have outgrown their size, then that run's merge shuffles Silver
-    once into more of them.  The merge runs with that many shuffle partitions,
-    so the source lands in matching buckets.  A run that changes no row leaves
-    Silver at its version.
+    Silver is kept in ``silver_buckets`` folders; by default their number
+    follows the data when the table is first written and when it has outgrown
+    them (``rebucket``).  A run that changes no row writes no Silver file.
 
     ``prune_orphans`` removes Gold rows whose product has no Silver rows left
     (off by default: the reference keeps them stale, V13 / D12).
-    ``verify_keys`` first checks that the merge keys are unique on both sides
-    and raises otherwise (D14); it costs one aggregation per side, and the
-    method guarantees uniqueness by construction, so it is off by default.
+    ``verify_keys`` first checks that Silver's merge keys are unique and raises
+    otherwise (D14); the source's are unique by its aggregation.
     """
-    if silver_buckets is None:
-        silver_buckets = bucket_count(spark, bronze_path, store)
-    with method_tag(spark, "upsert", store):
-        return _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_buckets,
+    clock = clock or Clock()
+    run_id = clock.new_id()
+    start = clock.now()
+    with method_tag(spark, "upsert"), failures_logged(store, "upsert", Clock(clock.now, lambda: run_id), start):
+        return _process_upsert(spark, bronze_path, store, clock, run_id, start, credits_per_hour, silver_buckets,
                                strict, prune_orphans, verify_keys)
 
 
-def bucket_count(spark: SparkSession, bronze_path: str, store: TableStore) -> int:
-    """Buckets for the next Silver: one for each ``BUCKET_BYTES`` of what is
-    there and what comes, at least the session's shuffle partitions; the
-    present count while its buckets hold less than ``REBUCKET_FACTOR`` times that."""
-    present = store.bucket_count(SILVER_T)
-    current = store.current(SILVER_T)
-    held = store.size(current) if current else 0
-    needed = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                 -(-(held + store.size(bronze_path)) // BUCKET_BYTES))
-    if present and -(-held // BUCKET_BYTES) <= REBUCKET_FACTOR * present:
-        return present
-    return needed
+def bucket_number(store: TableStore, size: int) -> int:
+    """Buckets for so many bytes: a multiple of the shuffle partitions where that fits,
+    so that a task of a shuffle on the keys holds whole buckets."""
+    parts = int(store.spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, -(-(-(-size // BUCKET_BYTES)) // parts)) * parts
+    return n if n <= MAX_BUCKETS else max(MAX_BUCKETS // parts * parts, min(parts, MAX_BUCKETS))
+
+
+def buckets_of(store: TableStore) -> int | None:
+    """The present Silver's bucket count, None if there is none."""
+    found = store.note(SILVER_T, "buckets")
+    return int(found) if found else None
+
+
+def _bucket(n: int):
+    return F.pmod(F.hash(*KEYS), F.lit(n)).alias(BUCKET)
+
+
+def _store_anew(store: TableStore, rows: DataFrame, n: int) -> None:
+    """All of Silver into ``n`` buckets; ``rows`` that are dealt by the keys are not dealt again."""
+    mark = [c.alias(m) for c, m in zip(fingerprint(COMPARE), MARK)]
+    store.replace_generation(SILVER_T, rows.select(*SILVER_COLUMNS, *mark, _bucket(n)), BUCKET, {"buckets": f"{n}\n"})
+
+
+def rebucket(store: TableStore, silver_buckets: int | None = None) -> int:
+    """Silver's bucket count, after dealing it into more buckets if it has outgrown them."""
+    n = buckets_of(store)
+    held = store.generation_size(SILVER_T)
+    wanted = silver_buckets or (bucket_number(store, held) if held > REBUCKET_FACTOR * n * BUCKET_BYTES else n)
+    if wanted != n:
+        _store_anew(store, store.read(SILVER_T, SILVER).repartition(*KEYS), wanted)
+    return wanted
 
 
 def _check_unique(df: DataFrame, keys: list[str], what: str) -> None:
@@ -134,53 +174,116 @@ def _check_unique(df: DataFrame, keys: list[str], what: str) -> None:
         raise ValueError(f"merge {what} has duplicate keys {keys}: {tuple(dup[0])[:len(keys)]}")
 
 
-def _process_upsert(spark, bronze_path, store, clock, credits_per_hour, silver_buckets,
+def _merge_silver(spark, bronze_path, store, now, silver_buckets, strict) -> tuple[int, dict, dict]:
+    """Merge Bronze into Silver; Bronze rows, rows per action, cut values by column."""
+    obs_b, obs_w = Observation("bronze"), Observation("widths")
+    bronze = read_placed(spark, bronze_path).observe(obs_b, F.count(F.lit(1)).alias("n"))
+    counts = dict.fromkeys(("insert", "update", "noop", "keep"), 0)
+    if not store.partition_values(SILVER_T, BUCKET):
+        obs = Observation("silver_load")
+        rows = (silver_ops.extract(bronze, UPSERT, strict, obs_w).withColumn("loaded_at", now)
+                .observe(obs, F.count(F.lit(1)).alias("insert")))
+        with statement(spark, "MERGE INTO silver (first load)"):
+            _store_anew(store, rows, silver_buckets or bucket_number(store, store.size(bronze_path)))
+        return int(obs_b.get["n"]), counts | _counts(obs), _counts(obs_w)
+
+    n = rebucket(store, silver_buckets)
+    held = store.read(SILVER_T, SILVER).count()
+    found = _decide(spark, bronze, store, strict, obs_w)
+    counts.update(insert=found["insert"], update=found["update"], noop=found["noop"],
+                  keep=held - found["update"] - found["noop"])
+    if found["insert"] + found["update"]:
+        with statement(spark, "MERGE INTO silver (buckets)"):
+            _rewrite(spark, read_placed(spark, bronze_path), store, now, n, strict)
+    return int(obs_b.get["n"]), counts, _counts(obs_w)
+
+
+def _marked(bronze: DataFrame, strict: bool, cut: Observation | None = None) -> DataFrame:
+    """Typed rows with their place and fingerprint."""
+    rows = silver_ops.typed(bronze, UPSERT, strict, PLACE, cut)
+    return rows.withColumns(dict(zip(MARK, fingerprint(COMPARE))))
+
+
+def _labelled(newest: DataFrame) -> DataFrame:
+    """``CHANGES`` rows from newest source rows joined to Silver's fingerprints."""
+    same = (F.col("_fp1") == F.col("t_fp1")) & (F.col("_fp2") == F.col("t_fp2"))
+    action = (F.when(F.col("tied"), F.lit(TIED)).when(F.col("t_in").isNull(), F.lit("insert"))
+              .when(same, F.lit("noop")).otherwise(F.lit("update")))
+    return newest.withColumn(ACTION, action).select(*CHANGES.fieldNames())
+
+
+def decide_plan(bronze: DataFrame, store: TableStore, strict: bool = False, cut: Observation | None = None) -> DataFrame:
+    """The action for each newest source row, with its place: narrow columns only."""
+    target = store.read_appended(SILVER_T, SILVER_STORED).select(
+        *KEYS, *[F.col(c).alias(f"t{c}") for c in MARK], F.lit(True).alias("t_in"))
+    return _labelled(silver_ops.newest_places(_marked(bronze, strict, cut), KEYS, list(PLACE), MARK).join(target, KEYS, "left"))
+
+
+def _decide(spark, bronze, store, strict, cut) -> dict:
+    """Write down the rows to insert or update (``CHANGES_T``); rows per action."""
+    names = ("insert", "update", "noop", TIED)
+    obs = Observation("silver_decide")
+    plan = decide_plan(bronze, store, strict, cut)
+    plan = plan.observe(obs, *[F.count_if(F.col(ACTION) == a).alias(a) for a in names])
+    with statement(spark, "MERGE INTO silver (changed rows)"):
+        store.replace(CHANGES_T, plan.filter(F.col(ACTION) != "noop"))
+    counts = dict.fromkeys(names, 0) | _counts(obs)
+    if counts[TIED]:
+        # Rows alike in time and figures: their text columns decide.
+        changes = store.read(CHANGES_T, CHANGES)
+        ties = changes.filter(F.col(ACTION) == TIED).select(*KEYS, "t_fp1", "t_fp2", "t_in")
+        picked = silver_ops.latest_per_key(_marked(bronze, strict).join(ties, KEYS)).withColumn("tied", F.lit(False))
+        obs_t = Observation("silver_ties")
+        picked = _labelled(picked).observe(obs_t, *[F.count_if(F.col(ACTION) == a).alias(a) for a in names[:3]])
+        with statement(spark, "MERGE INTO silver (changed rows)"):
+            store.replace(CHANGES_T, changes.filter(F.col(ACTION) != TIED)
+                          .unionByName(picked.filter(F.col(ACTION) != "noop")))
+        for action, rows in _counts(obs_t).items():
+            counts[action] += rows
+    return counts
+
+
+def _rewrite(spark, bronze, store, now, n, strict) -> None:
+    """Replace the buckets that hold changed rows."""
+    changes = store.read(CHANGES_T, CHANGES)
+    # At most as many numbers as there are buckets.
+    touched = [r[0] for r in changes.select(_bucket(n)).distinct().collect()]
+    columns = [*SILVER_STORED.fieldNames(), BUCKET]
+    fetched = (silver_ops.keys_that_fit(_marked(bronze, strict).join(changes.select(*KEYS, *PLACE), [*KEYS, *PLACE]))
+               .withColumn("loaded_at", now).withColumn(BUCKET, _bucket(n)).select(*columns).repartition(BUCKET))
+    kept = store.read_appended(SILVER_T, SILVER_BUCKETED).filter(F.col(BUCKET).isin(touched))
+    updated = changes.filter(F.col(ACTION) == "update").select(*KEYS)
+    store.replace_partitions(SILVER_T, kept.join(updated, KEYS, "left_anti").select(*columns).unionByName(fetched), BUCKET)
+
+
+def _process_upsert(spark, bronze_path, store, clock, run_id, start, credits_per_hour, silver_buckets,
                     strict, prune_orphans, verify_keys) -> UpsertResult:
-    clock = clock or Clock()
-    run_id = clock.new_id()
-    start = clock.now()
     now = ntz(start)
+    store.finish_replace(SILVER_T)
     create_upsert_tables(store)
-
-    obs_b, obs_s = Observation("bronze"), Observation("silver_merge")
-    bronze = read_bronze(spark, bronze_path).observe(obs_b, F.count(F.lit(1)).alias("n"))
-    source = silver_source(bronze, strict)
     if verify_keys:
-        _check_unique(source, KEYS, "source")
         _check_unique(store.read(SILVER_T, SILVER), KEYS, "target")
-    plan = silver_merge_plan(store.read(SILVER_T, SILVER), source, now)
-    with statement(spark, "MERGE INTO silver") as st, shuffle_partitions(spark, silver_buckets):
-        store.replace_bucketed(SILVER_T, _observe_actions(plan, obs_s).drop(ACTION), KEYS, silver_buckets,
-                               changed=lambda: any(_counts(obs_s)[a] for a in ("insert", "update")))
-        s_act = _counts(obs_s)
-        st.rows = s_act["insert"] + s_act["update"]
+    bronze_rows, s_act, cut = _merge_silver(spark, bronze_path, store, now, silver_buckets, strict)
 
     obs_g = Observation("gold_merge")
     gplan = gold_merge_plan(store.read(GOLD_T, GOLD), store.read(SILVER_T, SILVER), now)
     gplan = _observe_actions(gplan, obs_g)
     if prune_orphans:
         gplan = gplan.filter(F.col(ACTION) != "keep")
-    with statement(spark, "MERGE INTO gold") as st:
+    with statement(spark, "MERGE INTO gold"):
         store.replace(GOLD_T, gplan.drop(ACTION))
-        g_act = _counts(obs_g)
-        st.rows = g_act["insert"] + g_act["update"]
+    g_act = _counts(obs_g)
 
     silver_loaded = s_act["insert"] + s_act["update"]
     gold_loaded = g_act["insert"] + g_act["update"]
     duration = elapsed_sec(start, clock.now())
     metrics = RunMetrics(
         run_id=run_id, run_timestamp=start, method="upsert", batch_id=None,
-        bronze_row_count=int(obs_b.get["n"]), silver_rows_loaded=silver_loaded,
+        bronze_row_count=bronze_rows, silver_rows_loaded=silver_loaded,
         silver_rows_deleted=0, gold_rows_loaded=gold_loaded, duration_sec=duration,
-        credits_used=estimate_credits(duration, credits_per_hour))
-    with statement(spark, "INSERT INTO run_metrics") as st:
-        log_run(store, metrics)
-        st.rows = 1
+        credits_used=estimate_credits(duration, credits_per_hour), cut=cut)
+    log_run(store, metrics)
     status = (f"upsert OK | run_id={run_id} | bronze={metrics.bronze_row_count}"
               f" | silver_loaded={silver_loaded} | gold_loaded={gold_loaded}"
               f" | duration_sec={duration}")
     return UpsertResult(status, metrics, s_act, g_act)
-
-
-def read_runs(store: TableStore) -> DataFrame:
-    return store.read_appended(RUNS, RUN_METRICS)

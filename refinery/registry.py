@@ -17,7 +17,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.fixtures import bronze_for, load_fixture
+from refinery.fixtures import bronze_for, load_fixture, table_files
 from refinery.functions.variant import field, whole_number
 from refinery.operators import gold as gold_ops
 from refinery.operators import inspect as inspect_ops
@@ -28,14 +28,15 @@ from refinery.operators.merge import action_counts
 from refinery.operators.silver import SILVER_DATA_COLUMNS
 from refinery.plans import batch as batch_plan
 from refinery.plans import metrics as mx
-from refinery.plans import runs, tags
+from refinery.plans import runs
 from refinery.plans import upsert as upsert_plan
 from refinery.plans.store import TableStore
 from refinery.schemas import GOLD, SILVER
 from refinery.session import ensure_session_settings
-from refinery.sources import reviews
-from refinery.sources.staged import list_staged, read_bronze, read_staged
-from refinery.spec import BATCH, CLEAN, UPSERT
+from refinery.sources import eventlog, reviews
+from refinery.sources.staged import FILE_COL, list_staged, read_bronze, read_staged
+from refinery.sources.staged import load_report as file_report
+from refinery.spec import BATCH, CLEAN, FIRST_BATCH_YEAR, UPSERT
 
 # The yearly step shown by the single-year queries.
 STEP_YEAR = 2023
@@ -105,6 +106,17 @@ def malformed_lines(spark, sf_dir):
         F.count_if(F.col("raw_json").isNotNull()).alias("loaded_rows"))
 
 
+def load_report(spark, sf_dir):
+    """Lines, loaded and rejected ones of the broken set's files, by their folder."""
+    report = file_report(spark, bronze_for(spark, sf_dir, "broken"))
+    folder = F.regexp_extract(FILE_COL, "l_linenumber=([0-9]+)", 1).cast("int")
+    named = (F.col("rejected_lines") > 0).eqNullSafe(F.try_parse_json("first_rejected").isNull()
+                                                     & F.col("first_rejected").isNotNull())
+    return report.groupBy(folder.alias("part")).agg(
+        F.sum("lines").alias("lines"), F.sum("loaded_rows").alias("loaded_rows"),
+        F.sum("rejected_lines").alias("rejected_lines"), F.bool_and(named).alias("first_rejected_named"))
+
+
 # ---- Silver / Gold by method ----------------------------------------------------
 
 def silver_clean(spark, sf_dir):
@@ -129,7 +141,7 @@ def gold_upsert(spark, sf_dir):
 
 def _batch_silver_through(spark, sf_dir, year):
     """Batch Silver after the steps up to ``year`` (seeded at 1996)."""
-    spec = replace(BATCH.for_year(year), lower=BATCH.lower)
+    spec = replace(BATCH, lower=None, upper=None, years=(FIRST_BATCH_YEAR, year + 1))
     return silver_ops.extract(_bronze(spark, sf_dir), spec)
 
 
@@ -197,18 +209,18 @@ def upsert_actions(spark, sf_dir):
 
 
 def upsert_idempotent(spark, sf_dir):
-    """Wave 2 applied a second time writes no Silver row and no Silver version
+    """Wave 2 applied a second time writes no Silver row and no Silver file
     (J8, README claim)."""
     versions = []
 
     def run(store):
         for kind in ("wave1", "wave2", "wave2"):
             upsert_plan.process_upsert(spark, bronze_for(spark, sf_dir, kind), store)
-            versions.append(store.current("silver"))
+            versions.append(table_files(spark, store.path("silver")))
         if versions[1] != versions[2]:
-            raise AssertionError("an upsert without changes made a new Silver version")
+            raise AssertionError("an upsert without changes wrote Silver files")
     store = runs.memo(spark, sf_dir, "upsert-again", run)
-    last = mx.latest_runs(upsert_plan.read_runs(store), 1)
+    last = mx.latest_runs(mx.read_runs(store), 1)
     figures = [last.select(F.lit(c).alias("figure"), F.col(c).alias("value"))
                for c in ("silver_rows_loaded", "gold_rows_loaded")]
     figures.append(_silver(store).agg(F.count(F.lit(1)).alias("value"))
@@ -239,6 +251,15 @@ def reconcile_silver_rows(spark, sf_dir):
         batch_plan.read_silver(b).select(*SILVER_DATA_COLUMNS), _silver(c), "batch", "clean_refresh")
 
 
+def reconcile_shifted_nulls(spark, sf_dir):
+    """P7 over a table and its copy in which a NULL and its neighbour have changed places."""
+    a = silver_clean(spark, sf_dir).select("asin", "parent_asin")
+    moved = F.col("asin").isNull() | F.col("parent_asin").isNull()
+    b = a.select(F.when(moved, F.col("parent_asin")).otherwise(F.col("asin")).alias("asin"),
+                 F.when(moved, F.col("asin")).otherwise(F.col("parent_asin")).alias("parent_asin"))
+    return rec.multiset_differences(a, b, "table", "copy")
+
+
 # ---- run metrics and reports -------------------------------------------------------
 
 def _all_runs(spark, sf_dir):
@@ -283,26 +304,41 @@ def cost_report(spark, sf_dir):
     return mx.cost_report(c.unionByName(b).unionByName(u), k=None)
 
 
+def _all_logs(spark, sf_dir):
+    stores = (runs.failed_run(spark, sf_dir), runs.batch_run(spark, sf_dir), runs.upsert_two_waves(spark, sf_dir))
+    logs = [mx.read_run_log(s) for s in stores]
+    return logs[0].unionByName(logs[1]).unionByName(logs[2])
+
+
 def recent_runs_summary(spark, sf_dir):
-    c, b, u = _all_runs(spark, sf_dir)
+    """Succeeded runs of the last hour (F12); the log also holds older and failed ones."""
     # An hour and eleven seconds after the runs' clock began: the first of them are too old.
     now = runs.CLOCK_START + dt.timedelta(seconds=3611)
-    return mx.recent_summary(c.unionByName(b).unionByName(u), now)
+    return mx.recent_summary(_all_logs(spark, sf_dir), now)
+
+
+def runs_by_state(spark, sf_dir):
+    """Runs by method and state."""
+    return mx.runs_by_state(_all_logs(spark, sf_dir))
 
 
-def _statements(store: TableStore, **by) -> DataFrame:
-    found = tags.statement_history(tags.read_history(store), **by)
-    return found.select("query", "query_tag", "state", "rows_written")
+def cut_values(spark, sf_dir):
+    """Rows whose value was cut to its column's width, as the run counted them."""
+    return mx.read_run_log(runs.wide_run(spark, sf_dir)).select(
+        "method", "cut_asin", "cut_parent_asin", "cut_user_id", "cut_review_title")
 
 
 def job_history(spark, sf_dir):
-    """Statements of the batch run by tag, newest first."""
-    return _statements(runs.batch_run(spark, sf_dir), tag="method=batch")
+    """Statements of the batch run by tag (P9, F13, X15, L7), rows as Spark's tasks counted them."""
+    found = eventlog.query_history(runs.history(runs.batch_run(spark, sf_dir)), tag="method=batch", pattern="%INTO%")
+    return eventlog.statement_report(found)
 
 
 def merge_history(spark, sf_dir):
-    """Latest Silver MERGE found by its text."""
-    return _statements(runs.upsert_two_waves(spark, sf_dir), pattern="%merge into SILVER%", k=1)
+    """Latest Silver MERGE found by its text (F11, L5): the rows it changed, as Spark's tasks counted them."""
+    found = eventlog.query_history(runs.history(runs.upsert_two_waves(spark, sf_dir)),
+                                   tag="method=upsert", pattern="%merge into SILVER (changed%", k=1)
+    return eventlog.statement_report(found)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -312,6 +348,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_preview": bronze_preview,
     "load_stamp": load_stamp,
     "malformed_lines": malformed_lines,
+    "load_report": load_report,
     "silver_clean": silver_clean,
     "silver_batch_year": silver_batch_year,
     "silver_upsert": silver_upsert,
@@ -333,6 +370,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_counts": reconcile_counts,
     "reconcile_rows": reconcile_rows,
     "reconcile_silver_rows": reconcile_silver_rows,
+    "reconcile_shifted_nulls": reconcile_shifted_nulls,
     "run_metrics_counts": run_metrics_counts,
     "run_metrics_union": run_metrics_union,
     "kpi_per_batch": kpi_per_batch,
@@ -342,6 +380,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_run_time": latest_run_time,
     "cost_report": cost_report,
     "recent_runs_summary": recent_runs_summary,
+    "runs_by_state": runs_by_state,
+    "cut_values": cut_values,
     "job_history": job_history,
     "merge_history": merge_history,
 }

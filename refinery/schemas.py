@@ -91,6 +91,18 @@ RUN_METRICS = T.StructType([
     T.StructField("credits_used", T.DoubleType(), True),
 ])
 
+# A run as logged: also its state, the number of rows with a value cut to its
+# declared width, and when the row was written.
+RUN_LOG = T.StructType(RUN_METRICS.fields + [
+    T.StructField("state", T.StringType(), True),
+    T.StructField("error", T.StringType(), True),
+    T.StructField("cut_asin", T.LongType(), True),
+    T.StructField("cut_parent_asin", T.LongType(), True),
+    T.StructField("cut_user_id", T.LongType(), True),
+    T.StructField("cut_review_title", T.LongType(), True),
+    T.StructField("logged", T.LongType(), True),
+])
+
 # Columns shared by every method's run table (U4, cross-method comparison).
 SHARED_RUN_COLUMNS = [c for c in RUN_METRICS_COLUMNS if c != "batch_id"]
 

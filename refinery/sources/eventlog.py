@@ -3,13 +3,21 @@
 The reference reads its warehouse's query history (time, rows, bytes
 scanned, spill) filtered by a session tag or by query text.  The Spark
 counterpart is the event log, written when ``spark.eventLog.enabled`` is on.
-It is read here as JSON-lines text and parsed with explicit schemas; the
-per-task metrics are summed per stage and per job with ordinary aggregations,
-so a long history is processed like any other table.
+It is read here as JSON-lines text, plain or compressed, in one file or
+rolling ones, and parsed with explicit schemas; the per-task metrics are summed
+per stage and per job with ordinary aggregations, so a long history is
+processed like any other table.  ``recording`` writes a log of the jobs inside
+it, also in a session that keeps none.
 """
 
 from __future__ import annotations
 
+import io
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,21 +63,74 @@ _TASK_END = T.StructType([
 HISTORY_COLUMNS = ["query_id", "jobs", "query", "description", "tags", "start_time", "total_sec",
                    "compile_sec", "execute_sec", "rows_read", "rows_written", "mb_scanned",
                    "shuffle_mb", "shuffle_bytes", "files_read", "partitions_read", "shuffle_records",
-                   "bytes_spilled", "result"]
+                   "bytes_spilled", "stages", "tasks", "result"]
 
 
 def event_log_dir(spark: SparkSession) -> str:
     """This application's event log folder; an error if the session writes none."""
     base = spark.conf.get("spark.eventLog.dir", None)
     if spark.conf.get("spark.eventLog.enabled", "false").lower() != "true" or not base:
-        raise RuntimeError("this session writes no event log: set spark.eventLog.enabled and spark.eventLog.dir "
-                           "(the store's statement_history needs neither)")
+        raise RuntimeError("this session writes no event log: set spark.eventLog.enabled and spark.eventLog.dir, "
+                           "or run the jobs in eventlog.recording")
     return f"{base.rstrip('/')}/*{spark.sparkContext.applicationId}*"
 
 
+@contextmanager
+def recording(spark: SparkSession, folder: str, compress: bool = True) -> Iterator[str]:
+    """Write Spark's event log of the jobs run inside to a new folder in ``folder``; its path.
+
+    Uses Spark's own log writer as one more listener of the running context
+    (rolling files; zstd if ``compress``), whatever the session's settings.
+    """
+    sc = spark.sparkContext
+    jvm, context = sc._jvm, sc._jsc.sc()
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(p)
+    conf = (context.getConf().clone().set("spark.eventLog.rolling.enabled", "true")
+            .set("spark.eventLog.compress", str(compress).lower()).set("spark.eventLog.compression.codec", "zstd"))
+    name = f"run-{uuid.uuid4().hex[:12]}"
+    none = getattr(getattr(jvm.scala, "None$"), "MODULE$")
+    writer = jvm.org.apache.spark.scheduler.EventLoggingListener(
+        name, none, fs.makeQualified(p).toUri(), conf, sc._jsc.hadoopConfiguration())
+    writer.start()
+    context.addSparkListener(writer)
+    try:
+        yield f"{folder.rstrip('/')}/eventlog_v2_{name}"
+    finally:
+        context.listenerBus().waitUntilEmpty()  # events arrive behind the jobs
+        context.removeSparkListener(writer)
+        writer.stop()
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of zstd files, some at a time; a line that a crash cut off is left out by its parse."""
+    import zstandard
+
+    for batch in batches:
+        for content in batch.column(0):
+            source = zstandard.ZstdDecompressor().stream_reader(
+                io.BytesIO(content.as_py()), read_across_frames=True)
+            lines = []
+            try:
+                for line in io.TextIOWrapper(source, encoding="utf-8"):
+                    lines.append(line.rstrip("\n"))
+                    if len(lines) == 1000:
+                        yield pa.RecordBatch.from_pydict({"value": lines})
+                        lines = []
+            except zstandard.ZstdError:  # the end of a file that was not closed
+                pass
+            if lines:
+                yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
+
+
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """Raw events: (event, json) per line; rolling and single-file logs alike."""
-    raw = spark.read.option("recursiveFileLookup", "true").text(path)
+    """Raw events: (event, json) per line; rolling and single-file logs alike, plain or zstd."""
+    def files(format: str, **options: str) -> DataFrame:
+        return spark.read.format(format).option("recursiveFileLookup", "true").options(**options).load(path)
+
+    raw = (files("text").filter(~F.col("_metadata.file_name").rlike(r"\.zstd(\.|$)")).select("value")
+           .unionByName(files("binaryFile", pathGlobFilter="*.zstd*").select("content").mapInArrow(_unpacked, "value string")))
     return raw.select(F.get_json_object("value", "$.Event").alias("event"), F.col("value").alias("json"))
 
 
@@ -100,6 +161,7 @@ def job_history(events: DataFrame) -> DataFrame:
     tasks = (events.filter(F.col("event") == "SparkListenerTaskEnd")
              .select(F.from_json("json", _TASK_END).alias("e"))
              .groupBy(F.col("e.`Stage ID`").alias("stage_id")).agg(
+                 F.count(F.lit(1)).alias("tasks"),
                  F.sum(f"{m}.`Executor Run Time`").alias("run_ms"),
                  F.sum(f"{m}.`Input Metrics`.`Records Read`").alias("rows_read"),
                  F.sum(f"{m}.`Output Metrics`.`Records Written`").alias("rows_written"),
@@ -114,6 +176,7 @@ def job_history(events: DataFrame) -> DataFrame:
     owner = (starts.select("job_id", F.explode("stages").alias("stage_id"))
              .groupBy("stage_id").agg(F.min("job_id").alias("job_id")))
     per_job = owner.join(tasks, "stage_id").groupBy("job_id").agg(
+        F.count(F.lit(1)).alias("n_stages"), F.sum("tasks").alias("tasks"),
         F.sum("run_ms").alias("run_ms"), F.sum("rows_read").alias("rows_read"),
         F.sum("rows_written").alias("rows_written"), F.sum("bytes_read").alias("bytes_read"),
         F.sum("shuffle_bytes").alias("shuffle_bytes"), F.sum("shuffle_records").alias("shuffle_records"),
@@ -131,6 +194,7 @@ def job_history(events: DataFrame) -> DataFrame:
         F.max(F.coalesce(F.col("description"), F.col("call_site"))).alias("description"),
         F.max("tags").alias("tags"),
         F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"),
+        F.sum("n_stages").alias("stages"), F.sum("tasks").alias("tasks"),
         F.sum("run_ms").alias("run_ms"), F.sum("rows_read").alias("rows_read"),
         F.sum("rows_written").alias("rows_written"), F.sum("bytes_read").alias("bytes_read"),
         F.sum("shuffle_bytes").alias("shuffle_bytes"),
@@ -154,6 +218,7 @@ def job_history(events: DataFrame) -> DataFrame:
         F.coalesce("partitions_read", F.lit(0)).alias("partitions_read"),
         F.coalesce("shuffle_records", F.lit(0)).alias("shuffle_records"),
         F.coalesce("spill", F.lit(0)).alias("bytes_spilled"),
+        F.coalesce("stages", F.lit(0)).alias("stages"), F.coalesce("tasks", F.lit(0)).alias("tasks"),
         "result")
 
 
@@ -191,6 +256,17 @@ def has_tag(tag: str) -> Column:
                     lambda t: (t == F.lit(tag)) | t.endswith(F.lit("-" + tag)))
 
 
+#: States of statements, as run logs name them.
+STATES = {"JobSucceeded": "SUCCEEDED", "JobFailed": "FAILED"}
+
+
+def statement_report(history: DataFrame) -> DataFrame:
+    """query, query_tag, state, rows_written of statements that wrote a table, rows as Spark's tasks counted them."""
+    tag = F.regexp_extract(F.col("tags"), "(method=[a-z_]+)", 1)
+    state = F.create_map(*[F.lit(x) for pair in STATES.items() for x in pair])[F.col("result")]
+    return history.select("query", tag.alias("query_tag"), state.alias("state"), "rows_written")
+
+
 def query_history(history: DataFrame, tag: str | None = None, pattern: str | None = None,
                   k: int | None = None) -> DataFrame:
     """Jobs by tag (F13) and/or text pattern (F11, ILIKE), newest first."""

@@ -40,8 +40,18 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
 
 
-def _record(parent_asin: Column) -> Column:
+# Values longer than their column: (remainder of the part key, modulus, length).
+WIDE = {"title": (0, 50, 501), "parent_asin": (7, 60, 26), "asin": (3, 90, 26), "user_id": (9, 70, 51)}
+
+
+def _widened(value: Column, name: str) -> Column:
+    rest, modulus, length = WIDE[name]
+    return F.when(F.col("l_partkey") % modulus == rest, F.rpad(value, length, "x")).otherwise(value)
+
+
+def _record(parent_asin: Column, wide: bool) -> Column:
     """The review object; NULL fields are left out by ``to_json``."""
+    fit = _widened if wide else lambda value, name: value
     pk = F.col("l_partkey")
     ln = F.col("l_linenumber")
     flag = F.col("l_returnflag")
@@ -55,13 +65,13 @@ def _record(parent_asin: Column) -> Column:
         F.array_repeat(F.struct(F.lit("MAIN").alias("variant")), ln % 3))
     return F.struct(
         (ln % 7).cast("double").alias("rating"),
-        flag.alias("title"),
+        fit(flag, "title").alias("title"),
         F.when(F.col("l_quantity") == 50, F.lit(""))
          .otherwise(F.concat(flag, F.lit("-"), F.col("l_linestatus"))).alias("text"),
-        F.when(pk % 101 == 5, F.lit(None)).when(pk % 101 == 6, F.lit(None))
-         .otherwise(F.concat(F.lit("A"), (pk % 400).cast("string"))).alias("asin"),
-        parent_asin.alias("parent_asin"),
-        F.concat(F.lit("U"), F.col("o_custkey").cast("string")).alias("user_id"),
+        fit(F.when(pk % 101 == 5, F.lit(None)).when(pk % 101 == 6, F.lit(None))
+            .otherwise(F.concat(F.lit("A"), (pk % 400).cast("string"))), "asin").alias("asin"),
+        fit(parent_asin, "parent_asin").alias("parent_asin"),
+        fit(F.concat(F.lit("U"), F.col("o_custkey").cast("string")), "user_id").alias("user_id"),
         ts.alias("timestamp"),
         F.when(ln % 4 == 0, F.lit(None)).otherwise(F.col("l_quantity").cast("int")).alias("helpful_vote"),
         F.when(flag == "N", F.lit(None)).otherwise(flag == "A").alias("verified_purchase"),
@@ -74,8 +84,10 @@ def _parent(pk: Column) -> Column:
 
 
 def review_lines(spark: SparkSession, sf_dir: str, wave: int | None = None,
-                 broken: bool = False, corrected: bool = False) -> DataFrame:
-    """JSON-lines text (column ``value``) of the reviews.
+                 broken: bool = False, corrected: bool = False, wide: bool = False) -> DataFrame:
+    """JSON-lines text (column ``value``, beside ``l_linenumber``) of the reviews.
+
+    ``wide`` makes some values longer than their columns (``WIDE``).
 
     ``corrected`` leaves out some reviews by ship date (see CORRECTED_YEAR);
     the fixed timestamps of 2023 and 2024 stay.
@@ -99,11 +111,11 @@ def review_lines(spark: SparkSession, sf_dir: str, wave: int | None = None,
     # to_json drops NULL fields ("missing"); a JSON null is spliced in as text.
     text = F.when(pk % 101 == 6, F.concat(F.lit('{"asin":null,'), F.expr("substring(_j, 2)"))) \
         .otherwise(F.col("_j"))
-    lines = base.select(F.to_json(_record(parent)).alias("_j"), pk.alias("l_partkey")) \
-        .select(text.alias("value"), "l_partkey")
+    lines = base.select(F.to_json(_record(parent, wide)).alias("_j"), pk.alias("l_partkey"), "l_linenumber") \
+        .select(text.alias("value"), "l_partkey", "l_linenumber")
     if broken:
         v = F.col("value")
         lines = lines.select(
             F.when(F.col("l_partkey") % 89 == 0, F.expr("substring(value, 1, length(value) div 2)"))
-             .otherwise(v).alias("value"), "l_partkey")
-    return lines.select("value")
+             .otherwise(v).alias("value"), "l_partkey", "l_linenumber")
+    return lines.select("value", "l_linenumber")

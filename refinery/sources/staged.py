@@ -4,7 +4,8 @@ Bronze keeps the raw record as a ``VARIANT`` plus its load time, exactly like
 the reference.  One storage-only column is added: ``review_year``, the year of
 the record's ``timestamp`` (NULL when absent or not a number).  Bronze is
 written partitioned by it, so a yearly batch reads one partition instead of
-scanning everything for each of 28 years (SURVEY section 4).
+scanning everything for each of 28 years (SURVEY section 4).  A second one,
+``source_file``, says which staged file a row came from, for the load report.
 """
 
 from __future__ import annotations
@@ -21,20 +22,27 @@ from refinery.functions.variant import whole_number
 from refinery.schemas import BRONZE
 
 YEAR_COL = "review_year"
-# Bronze as stored: the reference's two columns plus the partition column.
-BRONZE_STORED = T.StructType(BRONZE.fields + [T.StructField(YEAR_COL, T.IntegerType(), True)])
+FILE_COL = "source_file"
+# Bronze as stored: the reference's two columns, the source file and the partition column.
+BRONZE_STORED = T.StructType(BRONZE.fields + [T.StructField(FILE_COL, T.StringType(), True),
+                                              T.StructField(YEAR_COL, T.IntegerType(), True)])
+# Lines that did not parse, kept beside Bronze (readers skip names with an underscore).
+REJECTS = "_rejects"
+REJECT = T.StructType([T.StructField(FILE_COL, T.StringType(), True), T.StructField("place", T.LongType(), True),
+                       T.StructField("line", T.StringType(), True)])
 
 
-def stage_lines(lines: DataFrame, path: str, compression: str = "none") -> str:
+def stage_lines(lines: DataFrame, path: str, compression: str = "none", folders: tuple[str, ...] = ()) -> str:
     """Write JSON-lines text (column ``value``) as staged files.
 
     The files' number follows the data: lines are rebalanced to pieces of
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, whatever their text,
     so copies of one line are spread too.  Plain text can be split by its
-    readers; a gzip file would be read by one task.
+    readers; a gzip file would be read by one task.  ``folders`` are columns
+    whose values get a folder each.
     """
-    (lines.select("value").hint("rebalance").write.mode("overwrite")
-     .option("compression", compression).text(path))
+    (lines.select("value", *folders).hint("rebalance", *folders).write.mode("overwrite")
+     .option("compression", compression).partitionBy(*folders).text(path))
     return path
 
 
@@ -92,7 +100,7 @@ def read_staged(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> Dat
     dropped by ``load_bronze``); DROPMALFORMED drops it silently.
     """
     return (spark.read.option("singleVariantColumn", "raw_json").option("mode", mode)
-            .json(path))
+            .option("recursiveFileLookup", "true").json(path))
 
 
 def with_year(bronze: DataFrame) -> DataFrame:
@@ -118,12 +126,16 @@ def load_bronze(spark: SparkSession, stage_path: str, bronze_path: str,
     AQE splits a large year into files of the advisory size and puts small
     ones together, so the number of files follows the data, not tasks x years.
 
+    Each row keeps its file's path.  If lines were rejected, a second pass over
+    the staged text writes those down beside Bronze, for ``load_report``.
+
     ``on_error="abort"`` fails the load on the first line that does not parse
     (the JSON reader's FAILFAST mode) instead of skipping it.
     """
     if on_error not in ("continue", "abort"):
         raise ValueError("on_error must be 'continue' or 'abort'")
     raw = read_staged(spark, stage_path, mode="PERMISSIVE" if on_error == "continue" else "FAILFAST")
+    raw = raw.select("raw_json", F.col("_metadata.file_path").alias(FILE_COL))
     obs = Observation("bronze_load")
     stamp = ntz(load_time) if load_time is not None else F.localtimestamp()
     out = (raw.observe(obs, F.count(F.lit(1)).alias("lines"),
@@ -138,14 +150,57 @@ def load_bronze(spark: SparkSession, stage_path: str, bronze_path: str,
         m = raw.agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("raw_json").isNull()).alias("rejected")).first()
     else:
         m = obs.get
+    if m["rejected"]:
+        rejected_lines(spark, stage_path).write.mode("overwrite").parquet(f"{bronze_path}/{REJECTS}")
     return BronzeLoad(bronze_path, int(m["lines"] - m["rejected"]), int(m["rejected"]))
 
 
+def rejected_lines(spark: SparkSession, stage_path: str) -> DataFrame:
+    """(source_file, place, line) of the staged lines that are not JSON; places of a file rise from its first line on."""
+    text = (spark.read.option("recursiveFileLookup", "true").text(stage_path)
+            .select(F.col("_metadata.file_path").alias(FILE_COL), F.col("_metadata.file_block_start").alias("at"),
+                    F.monotonically_increasing_id().alias("n"), "value"))
+    bad = text.filter(F.try_parse_json("value").isNull() & F.col("value").rlike(r"\S"))
+    # Rows of a split come in its order; a line is longer than nothing, so these places never cross.
+    return bad.select(FILE_COL, (F.col("at") + F.col("n").bitwiseAND(F.lit((1 << 33) - 1))).alias("place"),
+                      F.col("value").alias("line"))
+
+
+def load_report(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """COPY INTO's answer, by file (P11): lines, loaded rows, rejected lines, the first rejected one.
+
+    Reads one column of Bronze and the rejected lines; a file without a line is
+    not in it.
+    """
+    loaded = (spark.read.schema(BRONZE_STORED).parquet(bronze_path).groupBy(FILE_COL)
+              .agg(F.count(F.lit(1)).alias("loaded_rows")))
+    p, fs = _fs(spark, f"{bronze_path}/{REJECTS}")
+    rejects = (spark.read.schema(REJECT).parquet(f"{bronze_path}/{REJECTS}") if fs.exists(p)
+               else spark.createDataFrame([], REJECT))
+    rejects = rejects.groupBy(FILE_COL).agg(F.count(F.lit(1)).alias("rejected_lines"),
+                                            F.min_by(F.left("line", F.lit(200)), "place").alias("first_rejected"))
+    both = loaded.join(rejects, FILE_COL, "full_outer").na.fill(0, ["loaded_rows", "rejected_lines"])
+    return both.select(FILE_COL, (F.col("loaded_rows") + F.col("rejected_lines")).alias("lines"),
+                       "loaded_rows", "rejected_lines", "first_rejected")
+
+
 def _null_year(spark: SparkSession, bronze_path: str) -> bool:
     p, fs = _fs(spark, f"{bronze_path}/{YEAR_COL}=__HIVE_DEFAULT_PARTITION__")
     return bool(fs.exists(p))
 
 
+#: Columns that say where a Bronze row is: hash of its file's path, row number in the file.
+PLACE = ("_file", "_row")
+
+
+def read_placed(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """All of Bronze with each row's place (Parquet's own row numbers)."""
+    schema = BRONZE_STORED if year_partitioned(spark, bronze_path) else BRONZE
+    return spark.read.schema(schema).parquet(bronze_path).select(
+        *BRONZE.fieldNames(), F.xxhash64("_metadata.file_path").alias(PLACE[0]),
+        F.col("_metadata.row_index").alias(PLACE[1]))
+
+
 def read_bronze(spark: SparkSession, bronze_path: str, year: int | None = None,
                 keep_year: bool = False) -> DataFrame:
     """Bronze as (raw_json, load_timestamp), read with its fixed schema.
@@ -166,4 +221,4 @@ def read_bronze(spark: SparkSession, bronze_path: str, year: int | None = None,
               .parquet(f"{bronze_path}/{YEAR_COL}={int(year)}"))
     else:
         df = spark.createDataFrame([], BRONZE_STORED)
-    return df if keep_year else df.drop(YEAR_COL)
+    return df.drop(FILE_COL) if keep_year else df.drop(FILE_COL, YEAR_COL)

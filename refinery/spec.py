@@ -26,11 +26,11 @@ class MethodSpec:
     dedupe: bool                 # V9: newest row per (user_id, asin)
     round_avg: bool              # V10: ROUND(AVG(rating), 2)
     drop_null_parent: bool       # V11: NULL parent_asin group in Gold
+    years: tuple[int, int] | None = None  # batch window: Jan 1 of the first to Jan 1 of the second (F6)
 
     def for_year(self, year: int) -> "MethodSpec":
         """Batch window [Jan 1 year, Jan 1 year+1)."""
-        return replace(self, lower=dt.datetime(year, 1, 1),
-                       upper=dt.datetime(year + 1, 1, 1), upper_inclusive=False)
+        return replace(self, lower=None, upper=None, years=(year, year + 1))
 
 
 CLEAN = MethodSpec(

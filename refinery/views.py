@@ -12,18 +12,20 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from refinery.plans import batch as batch_plan
-from refinery.plans.metrics import RUNS
+from refinery.plans.metrics import RUNS, read_runs
 from refinery.plans.store import TableStore
-from refinery.schemas import GOLD, RUN_METRICS, SILVER
+from refinery.schemas import GOLD, SILVER
 
 
 def register(spark: SparkSession, store: TableStore, method: str, prefix: str = "") -> list[str]:
-    tables = {"silver": SILVER, "gold": GOLD, RUNS: RUN_METRICS}
+    tables = {"silver": SILVER, "gold": GOLD}
     partitioned: tuple[str, ...] = ()
     if method == "batch":
         tables["silver"] = batch_plan.SILVER_PART
         partitioned = ("silver",)
-    views = store.register_views(tables, prefix, partitioned=partitioned, appended=(RUNS,))
+    views = store.register_views(tables, prefix, partitioned=partitioned)
+    read_runs(store).createOrReplaceTempView(f"{prefix}{RUNS}")
+    views.append(f"{prefix}{RUNS}")
     if method == "batch":
         batch_plan.read_state(spark, store).createOrReplaceTempView(f"{prefix}{batch_plan.STATE_T}")
         views.append(f"{prefix}{batch_plan.STATE_T}")

@@ -8,6 +8,7 @@ import pytest
 
 from refinery.plans import metrics as mx
 from refinery.plans.metrics import RunMetrics
+from refinery.schemas import RUN_LOG
 
 T0 = dt.datetime(2025, 3, 1, 12, 0, 0)
 
@@ -22,7 +23,7 @@ def runs(spark):
         RunMetrics("r-b2003", T0 + dt.timedelta(minutes=4), "batch", 2003, 1000, 0, 0, 30, 0.5, 0.000139),
         RunMetrics("r-upsert", T0 + dt.timedelta(minutes=5), "upsert", None, 1000, 850, 0, 79, 12.5, None),
     ]
-    return mx.metrics_frame(spark, rows)
+    return spark.createDataFrame([tuple(r.as_row().get(f) for f in RUN_LOG.fieldNames()) for r in rows], RUN_LOG)
 
 
 def test_per_batch(runs):
@@ -105,3 +106,26 @@ def test_history_counts_files_and_partitions_read(spark, golden_bronze):
     hist = eventlog.job_history(eventlog.read_events(spark, eventlog.event_log_dir(spark)))
     (r,) = eventlog.query_history(hist, pattern="files-read probe").collect()
     assert r.files_read >= 1 and r.partitions_read == 1      # one year partition
+
+
+@pytest.mark.parametrize("compress", [False, True])
+def test_recorded_log_says_what_spark_wrote(spark, compress):
+    """A log of the jobs inside, plain or compressed: records, stages and tasks as Spark counted them."""
+    from refinery.plans.tags import method_tag, statement
+    from refinery.session import fresh_workspace
+    from refinery.sources import eventlog
+
+    folder = fresh_workspace(spark, "t-recording")
+    with eventlog.recording(spark, folder, compress) as path:
+        with method_tag(spark, "probe"), statement(spark, "INSERT INTO t"):
+            spark.range(1234).repartition(3).write.parquet(f"{folder}-t")
+        with pytest.raises(Exception, match="broken"):
+            with method_tag(spark, "probe"), statement(spark, "INSERT INTO u"):
+                spark.range(9).selectExpr("raise_error('broken') AS x").write.parquet(f"{folder}-u")
+    spark.range(5).count()      # not in the log
+    hist = eventlog.job_history(eventlog.read_events(spark, path))
+    assert hist.count() == 2
+    (r,) = eventlog.query_history(hist, tag="method=probe", pattern="%into T%").collect()
+    assert (r.rows_written, r.stages, r.result) == (1234, 2, "JobSucceeded") and r.tasks > 3
+    report = {x.query: (x.query_tag, x.state) for x in eventlog.statement_report(hist).collect()}
+    assert report == {"INSERT INTO t": ("method=probe", "SUCCEEDED"), "INSERT INTO u": ("method=probe", "FAILED")}

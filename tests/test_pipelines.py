@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import itertools
+import os
 
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from refinery.plans import upsert as upsert_plan
 from refinery.plans.metrics import Clock, read_runs
 from refinery.plans.store import TableStore
 from refinery.schemas import GOLD, SILVER
-from refinery.session import fresh_workspace
+from refinery.session import fresh_workspace, local_path
 from refinery.sources.staged import read_bronze
 from refinery.spec import BATCH, CLEAN
 
@@ -200,7 +201,7 @@ def test_upsert_prune_orphans_and_key_check(spark, tmp_path):
     dup = spark.createDataFrame([("U1", "A1"), ("U1", "A1")], "user_id string, asin string")
     rows = dup.select(*[F.col(c) if c in ("user_id", "asin") else F.lit(None).cast(t).alias(c)
                         for c, t in ((f.name, f.dataType) for f in SILVER.fields)])
-    bad.replace("silver", rows)
+    bad.replace("silver", rows)       # an earlier layout is taken over
     with pytest.raises(ValueError, match="target has duplicate keys"):
         upsert_plan.process_upsert(spark, paths[0], bad, _clock(), verify_keys=True)
 
@@ -264,38 +265,162 @@ def test_catch_up_runs_until_done_and_logs_every_year(spark, tmp_path):
     assert [r.batch_id for r in read_runs(store).orderBy("batch_id").collect()] == list(range(1950, 2024))
 
 
-def test_failed_run_is_in_the_history(spark, tmp_path, monkeypatch):
+def test_failed_runs_are_logged(spark, tmp_path, monkeypatch):
     import pytest
-    from refinery.plans import tags
+    from refinery.plans import metrics as mx
     bronze = _bronze_of(spark, tmp_path, "h", [("u1", "p1", 1998)])
-    store = _store(spark, "t-history")
-    clean_plan.clean_refresh(spark, bronze, store, _clock())
+    for method, call in (
+            ("clean_refresh", lambda store: clean_plan.clean_refresh(spark, bronze, store, _clock())),
+            ("upsert", lambda store: upsert_plan.process_upsert(spark, bronze, store, _clock())),
+            ("batch", lambda store: batch_plan.process_next_batch(spark, bronze, store, _clock()))):
+        store = _store(spark, f"t-failed-{method}")
+        batch_plan.create_batch_tables(spark, store, 1998)
+        with monkeypatch.context() as m:
+            def broken(*_):
+                raise OSError("lost")
+            m.setattr(store, "replace", broken)
+            with pytest.raises(OSError):
+                call(store)
+        if method == "batch":
+            batch_plan.set_next_year(spark, store, 1998)
+        call(store)
+        log = mx.read_run_log(store)
+        assert sorted((r.method, r.state, r.error) for r in log.collect()) == [
+            (method, "FAILED", "OSError: lost"), (method, "SUCCEEDED", None)]
+        assert read_runs(store).count() == 1                      # reports see succeeded runs
+        assert mx.recent_summary(log, dt.datetime(2025, 1, 1, 0, 30)).first().runs == 1
+        assert mx.recent_summary(log, dt.datetime(2025, 1, 1, 0, 30), state="FAILED").first().runs == 1
+        assert mx.recent_summary(log, dt.datetime(2025, 1, 1, 9)).first().runs == 0
+
+
+def test_catch_up_cut_off_after_some_years_has_their_rows(spark, tmp_path, monkeypatch):
+    """The log holds a row for each year done, and the watermark the next one."""
+    import pytest
+    bronze = _bronze_of(spark, tmp_path, "cut", [("u1", "p1", y) for y in (1998, 1999, 2000, 2001)])
+    store = _store(spark, "t-cut-off")
+    batch_plan.create_batch_tables(spark, store, first_year=1998)
+    real = batch_plan._step
+    def dies(*args, **kw):
+        if args[5] == 2000:
+            raise KeyboardInterrupt      # the driver is gone
+        return real(*args, **kw)
     with monkeypatch.context() as m:
-        def broken(*_):
+        m.setattr(batch_plan, "_step", dies)
+        with pytest.raises(KeyboardInterrupt):
+            batch_plan.run_all_batches(spark, bronze, store, clock=_clock(), last_year=2001)
+    assert sorted(r.batch_id for r in read_runs(store).collect()) == [1998, 1999]
+    assert batch_plan.next_year(store) == 2000
+    batch_plan.run_all_batches(spark, bronze, store, last_year=2001)
+    assert sorted(r.batch_id for r in read_runs(store).collect()) == [1998, 1999, 2000, 2001]
+    assert _gold_rows(store) == {"p1": 4}
+
+
+def _silver_files(store):
+    """Path, size and time of Silver's data files."""
+    root = local_path(store.path("silver"))
+    found = [os.path.join(d, f) for d, _, files in os.walk(root) for f in files if f.endswith(".parquet")]
+    return sorted((os.path.relpath(f, root), os.path.getsize(f), os.path.getmtime(f)) for f in found)
+
+
+def _lines(spark, tmp_path, name, rows):
+    """Bronze of reviews given as dicts."""
+    import json
+    from refinery.sources.staged import load_bronze
+    f = tmp_path / f"{name}.jsonl"
+    base = {"rating": 4, "text": "a", "asin": "A", "parent_asin": "P", "user_id": "U", "timestamp": 1275350400000}
+    f.write_text("".join(json.dumps({**base, **r}) + "\n" for r in rows))
+    out = f"{fresh_workspace(spark, 'bronze-' + name)}/bronze"
+    load_bronze(spark, str(f), out)
+    return out
+
+
+def test_small_wave_rewrites_its_buckets_only(spark, tmp_path):
+    first = _lines(spark, tmp_path, "many", [{"user_id": f"u{i}"} for i in range(400)])
+    small = _lines(spark, tmp_path, "few", [{"user_id": "u3", "rating": 2}, {"user_id": "new"}, {"user_id": "u5"}])
+    store = _store(spark, "t-small-wave")
+    upsert_plan.process_upsert(spark, first, store, _clock(), silver_buckets=64)
+    before = {f[0]: f for f in _silver_files(store)}
+    r = upsert_plan.process_upsert(spark, small, store, _clock())
+    assert r.silver_actions == {"insert": 1, "update": 1, "noop": 1, "keep": 398}
+    after = {f[0]: f for f in _silver_files(store)}
+    same = [n for n in before if after.get(n) == before[n]]
+    assert len(before) - len(same) <= 2 and len(same) > 50       # times and sizes as they were
+    rows = {s.user_id: s.rating for s in store.read("silver", SILVER).collect()}
+    assert len(rows) == 401 and rows["u3"] == 2.0 and rows["new"] == 4.0 and rows["u5"] == 4.0
+    unchanged = _silver_files(store)
+    assert upsert_plan.process_upsert(spark, small, store, _clock()).metrics.silver_rows_loaded == 0
+    assert _silver_files(store) == unchanged
+
+
+def test_ties_are_decided_by_text_columns(spark, tmp_path):
+    """Rows alike in time and figures: the title, text and product decide, as in the window form."""
+    rows = [{"user_id": f"u{i % 7}", "asin": f"a{i % 3}", "text": t, "title": u, "parent_asin": p, "timestamp": 1275350400000 + i % 2}
+            for i, (t, u, p) in enumerate((t, u, p) for t in "xyz" for u in ("b", None, "c") for p in ("p", "q"))] * 2
+    first = _lines(spark, tmp_path, "tie0", [{"user_id": "other"}, {"user_id": "u1", "asin": "a1", "text": "old"}])
+    wave = _lines(spark, tmp_path, "tie1", rows)
+    store = _store(spark, "t-ties")
+    upsert_plan.process_upsert(spark, first, store, _clock())
+    r = upsert_plan.process_upsert(spark, wave, store, _clock())
+    expected = upsert_plan.silver_source(read_bronze(spark, wave))
+    cols = [c for c in SILVER_DATA_COLUMNS]
+    got = store.read("silver", SILVER).filter("user_id <> 'other'")
+    assert _multiset(got, cols) == _multiset(expected, cols)
+    assert r.silver_actions["insert"] + r.silver_actions["update"] == expected.count()
+    assert upsert_plan.process_upsert(spark, wave, store, _clock()).metrics.silver_rows_loaded == 0
+
+
+def test_upsert_cut_off_while_buckets_move_in(spark, tmp_path, monkeypatch):
+    import pytest
+    first = _lines(spark, tmp_path, "c0", [{"user_id": f"u{i}"} for i in range(60)])
+    wave = _lines(spark, tmp_path, "c1", [{"user_id": f"u{i}", "rating": 1} for i in range(0, 60, 2)])
+    store = _store(spark, "t-cut-move")
+    upsert_plan.process_upsert(spark, first, store, _clock(), silver_buckets=8)
+    moves = []
+    real = store._move
+    def dies(path, to):
+        moves.append(path)
+        if len(moves) == 3:
+            raise OSError("lost")
+        real(path, to)
+    with monkeypatch.context() as m:
+        m.setattr(store, "_move", dies)
+        with pytest.raises(OSError):
+            upsert_plan.process_upsert(spark, wave, store, _clock())
+    assert upsert_plan.process_upsert(spark, wave, store, _clock()).metrics.silver_rows_loaded == 0
+    rows = {s.user_id: s.rating for s in store.read("silver", SILVER).collect()}
+    assert len(rows) == 60 and all((rows[f"u{i}"] == 1.0) == (i % 2 == 0) for i in range(60))
+
+
+def test_upsert_cut_off_before_the_mark_changes_nothing(spark, tmp_path, monkeypatch):
+    import pytest
+    first = _lines(spark, tmp_path, "m0", [{"user_id": f"u{i}"} for i in range(20)])
+    wave = _lines(spark, tmp_path, "m1", [{"user_id": "u1", "rating": 1}])
+    store = _store(spark, "t-cut-mark")
+    upsert_plan.process_upsert(spark, first, store, _clock())
+    before = _silver_files(store)
+    with monkeypatch.context() as m:
+        def broken(path):
             raise OSError("lost")
-        m.setattr(store, "replace", broken)
+        m.setattr(store, "mark", broken)
         with pytest.raises(OSError):
-            clean_plan.clean_refresh(spark, bronze, store, _clock())
-    history = tags.read_history(store)
-    failed = tags.statement_history(history, state=tags.FAILED).collect()
-    assert [r.query for r in failed] == ["TRUNCATE + INSERT INTO silver", "CALL clean_refresh"]
-    done = tags.statement_history(history, pattern="%into GOLD%", state=tags.SUCCEEDED).collect()
-    assert [(r.query_tag, r.rows_written) for r in done] == [("method=clean_refresh", 1)]
-    assert tags.statement_history(history, since=dt.datetime(2100, 1, 1)).count() == 0
+            upsert_plan.process_upsert(spark, wave, store, _clock())
+    assert _silver_files(store) == before
+    assert upsert_plan.process_upsert(spark, wave, store, _clock()).silver_actions["update"] == 1
 
 
 def test_silver_is_rebucketed_when_it_has_outgrown_its_buckets(spark, golden_bronze, monkeypatch):
     store = _store(spark, "t-rebucket")
     upsert_plan.process_upsert(spark, golden_bronze[0], store, _clock(), silver_buckets=2)
-    assert upsert_plan.bucket_count(spark, golden_bronze[0], store) == 2
+    assert upsert_plan.buckets_of(store) == 2
+    before = _multiset(store.read("silver", SILVER), SILVER_DATA_COLUMNS)
     monkeypatch.setattr(upsert_plan, "BUCKET_BYTES", 1000)
-    n = upsert_plan.bucket_count(spark, golden_bronze[0], store)
-    assert n > 8
-    before = store.read("silver", SILVER).count()
     again = upsert_plan.process_upsert(spark, golden_bronze[0], store, _clock())
-    assert again.silver_actions["noop"] == before == store.read("silver", SILVER).count()
-    assert store.bucket_count("silver") == 2          # nothing changed: no new version
-    silver = store.read("silver", SILVER).withColumn("rating", F.lit(1.0))
-    store.replace_bucketed("silver", silver, upsert_plan.KEYS, 2)
-    last = upsert_plan.process_upsert(spark, golden_bronze[0], store, _clock())
-    assert last.silver_actions["update"] > 0 and store.bucket_count("silver") > 8
+    assert again.silver_actions["noop"] == len(before)
+    assert upsert_plan.buckets_of(store) >= 8
+    assert _multiset(store.read("silver", SILVER), SILVER_DATA_COLUMNS) == before
+    # a bound on buckets: they then hold more bytes
+    monkeypatch.setattr(upsert_plan, "MAX_BUCKETS", 24)
+    assert upsert_plan.bucket_number(store, 10 ** 9) == 24
+    monkeypatch.setattr(upsert_plan, "MAX_BUCKETS", 5)
+    assert upsert_plan.bucket_number(store, 10 ** 9) == 5
+    assert upsert_plan.process_upsert(spark, golden_bronze[0], store, _clock()).metrics.silver_rows_loaded == 0

@@ -55,28 +55,31 @@ def test_latest_per_key_uses_window_group_limit(spark, golden_bronze):
     _no_python(plan)
 
 
-def test_upsert_merge_does_not_shuffle_bucketed_silver(spark, golden_bronze):
-    from pyspark.sql import functions as F
+def test_decision_shuffles_narrow_rows_and_reads_narrow_silver(spark, golden_bronze):
+    """No text, title or id goes through the decision's exchanges, and only keys and
+    fingerprints of Silver are read."""
     from refinery.plans import upsert as upsert_plan
     from refinery.plans.store import TableStore
-    from refinery.schemas import SILVER
     from refinery.session import fresh_workspace
+    from refinery.sources.staged import read_placed
 
-    store = TableStore(spark, fresh_workspace(spark, "t-bucketed"))
+    store = TableStore(spark, fresh_workspace(spark, "t-decide"))
     upsert_plan.process_upsert(spark, golden_bronze[0], store)
-    target = store.read("silver", SILVER)
-    source = upsert_plan.silver_source(read_bronze(spark, golden_bronze[0]))
-    plan = _plan(upsert_plan.silver_merge_plan(target, source, F.localtimestamp()))
-    assert "Bucketed: true" in plan
-    assert plan.count("Exchange hashpartitioning") == 1      # the source side only
-    # a second run over the bucketed table still gives the same Silver
-    before = sorted(tuple(r) for r in target.drop("loaded_at").collect())
-    r = upsert_plan.process_upsert(spark, golden_bronze[0], store)
-    assert r.metrics.silver_rows_loaded == 0
-    assert sorted(tuple(r) for r in store.read("silver", SILVER).drop("loaded_at").collect()) == before
-
-
-def test_bucket_count_is_sticky_across_shuffle_settings(spark, golden_bronze):
+    df = upsert_plan.decide_plan(read_placed(spark, golden_bronze[0]), store)
+    plan = _plan(df)
+    _no_python(plan)
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    silver = [line for line in scans if "/silver/" in line]
+    assert len(silver) == 1
+    assert "review_text" not in silver[0] and "review_title" not in silver[0] and "review_id" not in silver[0]
+    for line in plan.splitlines():
+        if "HashAggregate(" in line or "SortAggregate(" in line:
+            assert "output=" not in line or "review_text" not in line.split("output=")[1]
+    # Spark's own count: the text of the reviews does not weigh in the shuffle
+    assert {r["_action"] for r in df.collect()} == {"noop"}
+
+
+def test_later_sessions_keep_the_bucket_count(spark, golden_bronze):
     from refinery.plans import upsert as upsert_plan
     from refinery.plans.store import TableStore
     from refinery.session import fresh_workspace
@@ -87,7 +90,13 @@ def test_bucket_count_is_sticky_across_shuffle_settings(spark, golden_bronze):
     spark.conf.set("spark.sql.shuffle.partitions", "3")
     try:
         upsert_plan.process_upsert(spark, golden_bronze[0], store)
-        assert store.bucket_count("silver") == 6
+        assert upsert_plan.buckets_of(store) == 6
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_year_window_is_made_from_parts(spark, golden_bronze):
+    """The bounds are DATE_FROM_PARTS (X10), folded to literals in the plan."""
+    df = silver_ops.extract(read_bronze(spark, golden_bronze[0], year=2010), BATCH.for_year(2010))
+    assert "make_date(2010, 1, 1" in df._jdf.queryExecution().analyzed().toString()
+    assert "make_date" not in _plan(df) and "2010-01-01 00:00:00" in _plan(df)

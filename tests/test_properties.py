@@ -149,3 +149,16 @@ def test_keyed_differences_match_dicts(spark, a, b):
         elif a[k] != b[k]:
             expected[k] = ("differs", "v")
     assert got == expected
+
+
+def test_multiset_differences_tell_nulls_apart(spark):
+    """A NULL and its neighbour that have changed places are differences."""
+    from refinery.operators.reconcile import multiset_differences
+    schema = "a int, b boolean, c string, d string"
+    a = spark.createDataFrame([(1, None, None, "x"), (2, True, "q", None)], schema)
+    b = spark.createDataFrame([(None, True, "x", None), (2, True, "q", None)], schema)
+    c = spark.createDataFrame([(1, None, "x", None), (2, True, None, "q")], schema)
+    for other in (b, c):
+        found = multiset_differences(a, other).collect()
+        assert len(found) == 2 * (2 if other is c else 1) and all(r.copies == 1 for r in found)
+    assert multiset_differences(a, a).count() == 0

@@ -191,3 +191,56 @@ def test_rejected_lines_are_counted_when_nothing_is_kept(spark, tmp_path):
     f.write_text('{"a":\n{"b"\n')
     load = load_bronze(spark, str(f), f"{fresh_workspace(spark, 't-allbad')}/bronze")
     assert (load.loaded_rows, load.rejected_lines) == (0, 2)
+
+
+def test_state_survives_a_crash_at_any_step(spark, monkeypatch):
+    import pytest
+    store = TableStore(spark, fresh_workspace(spark, "t-state"))
+    at = f"{store.path('batch_state')}/next_year"
+    store.put_state(at, "1998\n")
+    for step in ("write_text", "_delete"):
+        with monkeypatch.context() as m:
+            def broken(*_):
+                raise OSError("lost")
+            m.setattr(store, step, broken)
+            with pytest.raises(OSError):
+                store.put_state(at, "1999\n")
+        # before the new value is whole the old one stands, then the new one does
+        assert store.get_state(at) == ("1998" if step == "write_text" else "1999")
+    store.put_state(at, "2000\n")
+    assert store.get_state(at) == "2000"
+    assert len([f for f in os.listdir(local_path(store.path("batch_state"))) if not f.startswith(".")]) == 1
+
+
+def test_log_is_put_together(spark, monkeypatch):
+    from pyspark.sql import types as T
+    from refinery.plans import store as module
+    monkeypatch.setattr(module, "LOG_FILES", 5)
+    store = TableStore(spark, fresh_workspace(spark, "t-log"), keep_sec=0)
+    schema = T.StructType([T.StructField("i", T.LongType()), T.StructField("s", T.StringType())])
+    assert store.read_log("log", schema).count() == 0
+    for i in range(23):
+        store.log("log", [{"i": i, "s": "é\n"}])
+    assert sorted(r.i for r in store.read_log("log", schema).collect()) == list(range(23))
+    assert {r.s for r in store.read_log("log", schema).collect()} == {"é\n"}
+    (only,) = os.listdir(local_path(store.path("log")))
+    assert len([f for f in os.listdir(f"{local_path(store.path('log'))}/{only}") if f.endswith(".json")]) <= 6
+    store.reset_appended("log")
+    assert store.read_log("log", schema).count() == 0
+
+
+def test_load_report_by_file(spark, tmp_path):
+    from refinery.sources.staged import load_report
+    good = '{"timestamp": 1275350400000}'
+    for name, lines in (("a", [good, "{bad one", good, "", "{bad two"]), ("b", [good]), ("c", ["nope", "   "])):
+        (tmp_path / f"{name}.jsonl").write_text("".join(x + "\n" for x in lines))
+    out = f"{fresh_workspace(spark, 't-report')}/bronze"
+    load = load_bronze(spark, str(tmp_path), out)
+    rows = {r.source_file[-7:]: tuple(r)[1:] for r in load_report(spark, out).collect()}
+    assert rows == {"a.jsonl": (4, 2, 2, "{bad one"), "b.jsonl": (1, 1, 0, None), "c.jsonl": (1, 0, 1, "nope")}
+    assert (load.loaded_rows, load.rejected_lines) == (3, 3) and read_bronze(spark, out).count() == 3
+    # a load without rejects leaves none from an earlier one
+    (tmp_path / "a.jsonl").write_text(good + "\n")
+    (tmp_path / "c.jsonl").write_text("")
+    load_bronze(spark, str(tmp_path), out)
+    assert {r.rejected_lines for r in load_report(spark, out).collect()} == {0}
