@@ -31,13 +31,14 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import copied, numbered, slices, stored
 
 #: Text bytes of a block.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 #: Ids below HEAD are counted in dense tiles of TILE x TILE cells.
 HEAD, TILE = 4096, 256
 #: Pairs that a strip is meant to hold, blocks summed at a time.
@@ -83,9 +84,10 @@ def pack_block(block: int, texts: pa.Array, langs: list[str]) -> pa.RecordBatch:
     both = lang * len(words) + code
     count = np.bincount(both[real], minlength=len(names) * len(words))
     used = np.flatnonzero(count)
-    new = np.full(len(count), -1, np.int32)
+    used = used[np.argsort(-count[used], kind="stable")]  # frequent words get small codes
+    new = np.full(len(count), -1, np.int64)
     new[used] = np.arange(len(used))
-    out = np.where(real, new[np.maximum(both, 0)], -1).astype("<i4") if len(code) else np.empty(0, "<i4")
+    out = np.where(real, new[np.maximum(both, 0)], -1) if len(code) else np.empty(0, np.int64)
     first = np.concatenate([[True], (out[1:] >= 0) | (out[:-1] >= 0)]) if len(out) else np.empty(0, bool)
     lang_of, word_of = np.divmod(used, max(1, len(words)))
     return pa.RecordBatch.from_pydict({
@@ -93,7 +95,7 @@ def pack_block(block: int, texts: pa.Array, langs: list[str]) -> pa.RecordBatch:
         "words": pa.array([[words[w] for w in word_of.tolist()]], pa.list_(pa.string())),
         "langs": pa.array([[names[x] for x in lang_of.tolist()]], pa.list_(pa.string())),
         "counts": pa.array([count[used].tolist()], pa.list_(pa.int64())),
-        "codes": pa.array([out[first].tobytes()], pa.binary())})
+        "codes": pa.array([squeezed(out[first] + 1)], pa.binary())})
 
 
 def blocks_of(docs: DataFrame) -> DataFrame:
@@ -119,24 +121,22 @@ def blocks_of(docs: DataFrame) -> DataFrame:
 
 # ---- tiles -------------------------------------------------------------------
 
-def packed(tile: int, cells: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
-    """Cells (short in a dense tile) and counts (short where they fit) as bytes."""
-    short = counts.max(initial=0) < 1 << 32
-    return cells.astype("<u2" if tile < 0 else "<i8").tobytes(), counts.astype("<u4" if short else "<i8").tobytes()
+def squeezed(numbers: np.ndarray, rising: bool = False) -> bytes:
+    """Whole numbers from 0 on as bytes: differences if ``rising``, byte planes, zstandard."""
+    if rising:
+        numbers = np.diff(numbers, prepend=0)
+    most = int(numbers.max(initial=0))
+    size = next(k for k in (1, 2, 4, 8) if most < 1 << (8 * k))
+    planes = numbers.astype(f"<u{size}").view(np.uint8).reshape(len(numbers), size).T
+    return bytes([size]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def unpacked(tile: int, cells: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    at = np.frombuffer(cells, "<u2" if tile < 0 else "<i8").astype(np.int64)
-    return at, np.frombuffer(counts, "<u4" if len(counts) == 4 * len(at) else "<i8").astype(np.int64)
-
-
-def ids_bytes(ids: np.ndarray) -> bytes:
-    wide = len(ids) and ids.max() >= 1 << 31
-    return (b"8" if wide else b"4") + ids.astype("<i8" if wide else "<i4").tobytes()
-
-
-def bytes_ids(held: bytes) -> np.ndarray:
-    return np.frombuffer(held, "<i8" if held[:1] == b"8" else "<i4", offset=1).astype(np.int64)
+def spread(held: bytes, rising: bool = False) -> np.ndarray:
+    """The numbers of ``squeezed``."""
+    size = held[0]
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(held[1:]), np.uint8).reshape(size, -1)
+    numbers = np.ascontiguousarray(planes.T).view(f"<u{size}").ravel().astype(np.int64)
+    return np.cumsum(numbers) if rising else numbers
 
 
 def tile_rows(block: int, code: np.ndarray, width: int, strips: int) -> list[tuple[int, int, bytes, bytes]]:
@@ -152,14 +152,14 @@ def tile_rows(block: int, code: np.ndarray, width: int, strips: int) -> list[tup
     for a, b in zip(at.tolist(), [*at[1:].tolist(), len(tile)]):
         count = np.bincount(cell[a:b], minlength=TILE * TILE)
         used = np.flatnonzero(count)
-        out.append((block, -1 - int(tile[a]), *packed(-1, used, count[used])))
+        out.append((block, -1 - int(tile[a]), squeezed(used, True), squeezed(count[used])))
     codes, count = np.unique(code[~dense], return_counts=True)
     strip = codes % strips
     order = np.argsort(strip, kind="stable")  # codes stay sorted in a strip
     strip, codes, count = strip[order], codes[order], count[order]
     at = np.flatnonzero(np.diff(strip, prepend=-1))
     for a, b in zip(at.tolist(), [*at[1:].tolist(), len(strip)]):
-        out.append((block, int(strip[a]), *packed(0, codes[a:b], count[a:b])))
+        out.append((block, int(strip[a]), squeezed(codes[a:b], True), squeezed(count[a:b])))
     return out
 
 
@@ -186,14 +186,14 @@ def counted(block: int, head: np.ndarray, word: np.ndarray, size: int, width: in
     """Rows of a block: its ids (but in the ``last`` round), and counts of (run of ``size`` words, next word)."""
     left, right = head[:max(0, len(head) - size)], word[size:]
     both = (left >= 0) & (right >= 0)
-    ids = [] if last else [(block, IDS, ids_bytes(head) if size > 1 else b"", ids_bytes(word))]
+    ids = [] if last else [(block, IDS, squeezed(head + 1) if size > 1 else b"", squeezed(word + 1))]
     return _table([*ids, *tile_rows(block, left[both] * width + right[both], width, strips)])
 
 
 def first_counts(entries: pa.Table, blocks: pa.Table, width: int, strips: int, last: bool) -> pa.Table:
     """A block's codes turned into word ids, and its pairs of words."""
     row = blocks.to_pylist()[0]
-    code = np.frombuffer(row["codes"], "<i4")
+    code = spread(row["codes"]) - 1
     ids = np.full(int(code.max(initial=-1)) + 2, -1, np.int64)  # the last place is for -1
     ids[entries["code"].to_numpy()] = entries["id"].to_numpy()
     word = ids[code]
@@ -203,10 +203,10 @@ def first_counts(entries: pa.Table, blocks: pa.Table, width: int, strips: int, l
 def next_counts(found: pa.Table, ids: pa.Table, size: int, width: int, strips: int, last: bool) -> pa.Table:
     """Runs of ``size`` words of a block get their ids, and are counted with the next word."""
     row = ids.to_pylist()[0]
-    word = bytes_ids(row["counts"])
-    head = bytes_ids(row["cells"]) if size > 2 else word
-    code = np.concatenate([np.frombuffer(x, "<i8") for x in found["cells"].to_pylist()])
-    new = np.concatenate([np.frombuffer(x, "<i8") for x in found["counts"].to_pylist()])
+    word = spread(row["counts"]) - 1
+    head = spread(row["cells"]) - 1 if size > 2 else word
+    code = np.concatenate([spread(x, True) for x in found["cells"].to_pylist()])
+    new = np.concatenate([spread(x) for x in found["counts"].to_pylist()])
     order = np.argsort(code)
     code, new = code[order], new[order]
     end = word[size - 1:]
@@ -225,11 +225,11 @@ def known_cells(pairs: pa.Table, counts: pa.Table, width: int) -> pa.Table:
     code, ids = code[order], pairs["id"].to_numpy()[order]
     out = []
     for row in counts.to_pylist():
-        own = codes_of(row["tile"], unpacked(row["tile"], row["cells"], row["counts"])[0], width)
+        own = codes_of(row["tile"], spread(row["cells"], True), width)
         at = np.minimum(np.searchsorted(code, own), len(code) - 1)
         same = code[at] == own
         if same.any():
-            out.append((row["block"], row["tile"], own[same].tobytes(), ids[at[same]].tobytes()))
+            out.append((row["block"], row["tile"], squeezed(own[same], True), squeezed(ids[at[same]])))
     return _table(out)
 
 
@@ -271,7 +271,7 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndar
                 if total is not None:
                     yield *key, *total.done()
                 key, total = (part, tile), TileSum(tile)
-            total.add(*unpacked(tile, cells, counts))
+            total.add(spread(cells, True), spread(counts))
     if total is not None:
         yield *key, *total.done()
 
@@ -289,7 +289,7 @@ def frequent_pairs(counts: DataFrame, parts: int, width: int, least: int) -> Dat
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, tile, cells, n in _sums(batches):
-            yield _table([(part, tile, *packed(tile, cells, n))]).to_batches()[0]
+            yield _table([(part, tile, squeezed(cells, True), squeezed(n))]).to_batches()[0]
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, tile, cells, n in _sums(batches):

@@ -71,7 +71,7 @@ def test_tiles_hold_every_pair():
     code = np.concatenate([code, code[:500]])
     total = Counter()
     for _, tile, cells, counts in C.tile_rows(3, code, width, strips):
-        cells, counts = C.unpacked(tile, cells, counts)
+        cells, counts = C.spread(cells, True), C.spread(counts)
         own = C.codes_of(tile, cells, width)
         left, right = np.divmod(own, width)
         assert (C.tile_of(left, right, width, strips) == tile).all()
@@ -87,8 +87,13 @@ def test_tile_sum_merges_strips(monkeypatch):
     cells, counts = total.done()
     assert dict(zip(cells.tolist(), counts.tolist())) == {
         k: v << 33 for k, v in {1: 2, 2: 1, 3: 1, 5: 3, 7: 1, 8: 1, 9: 3}.items()}
-    packed = C.packed(0, cells, counts)
-    assert [x.tolist() for x in C.unpacked(0, *packed)] == [cells.tolist(), counts.tolist()]
+
+
+def test_squeezed_numbers_come_back():
+    for numbers in ([], [0], [3, 3, 9, 2 ** 40], list(range(300)), [7] * 1000 + [2 ** 62]):
+        numbers = np.array(numbers, np.int64)
+        for rising in (False, True):
+            assert C.spread(C.squeezed(numbers, rising), rising).tolist() == numbers.tolist()
 
 
 def test_empty_table(spark):
