@@ -12,14 +12,18 @@ document's ids as unsigned 32-bit integers; any document is read on its own
 through the index.  The dictionary is trained on the serialized ids of a
 sample of at most ``DICT_DOCS`` documents and kept beside the shards.
 
+Documents are encoded and compressed where they are read; their frames, not
+their texts, are then dealt by ranges of (doc_id, hash of the text) and put
+together.  So an id with very many rows fills as many ranges as it needs.
+
 Shards are rows (shard, content) of a Parquet table, so that Spark's commit
 protocol holds for them, on any file system that Spark can write to, and a
 lost executor leaves no half file.
 
 Defined results.  Null or empty text: a document with only the end id.  Null
 doc_id: first in order.  Repeated rows: each is a document of its own; rows of
-one id stand in text order.  Empty table: no shard, no row.  Other columns are
-ignored.
+one id stand in the order of their texts' hashes.  Empty table: no shard, no
+row.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hash_sample, new_folder, slices
+from .common import hash_sample, new_folder, slices, stored
 from .tokens import encoder
 
 #: The dictionary: documents and bytes per document it is trained on, its size.
@@ -44,29 +48,43 @@ DICT_DOC_BYTES = 32_768
 DICT_BYTES = 65_536
 #: Bytes of frames in a shard, beyond which the next document starts another.
 SHARD_BYTES = 4 << 20
-#: Text bytes for each partition of the sort.
-SORT_BYTES = 24 << 20
+#: Frame bytes for each partition of the sort.
+SORT_BYTES = 256 << 20
 
 MAGIC = b"RTOK"
 _HEAD = struct.Struct("<4sI32sQ")
 _INDEX = np.dtype([("doc_id", "<i8"), ("present", "u1"), ("offset", "<u8"), ("n_tokens", "<u8")])
 
 
-def encode_documents(texts: pa.Array, vocabulary: str, end_id: int, added_tokens: bool = False) -> list[np.ndarray]:
-    """The ids of each text, ``end_id`` last.  Null is empty."""
+def encode_documents(texts: pa.Array, vocabulary: str, end_id: int, added_tokens: bool = False) -> list[memoryview]:
+    """The bytes of each text's ids, ``end_id`` last.  Null is empty."""
     ids, at = encoder(vocabulary, True, added_tokens).encode(texts.fill_null(""))
-    ids = ids.astype("<u4", copy=False)
-    end = np.array([end_id], "<u4")
-    return [np.concatenate((ids[a:b], end)) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+    n = np.arange(len(at) - 1)
+    out = np.empty(len(ids) + len(n), "<u4")
+    ends = at[1:] + n
+    out[ends] = end_id
+    inside = np.ones(len(out), bool)
+    inside[ends] = False
+    out[inside] = ids
+    held, to = memoryview(out).cast("B"), (4 * (ends + 1)).tolist()
+    return [held[a:b] for a, b in zip([0, *to[:-1]], to)]
 
 
 def train_dictionary(docs: DataFrame, vocabulary: str, end_id: int, added_tokens: bool = False) -> bytes:
-    """A dictionary from the documents of smallest hash; empty if there are too few."""
-    sample = hash_sample(docs, ["doc_id"], DICT_DOCS).select("doc_id", "text").orderBy("doc_id", "text").toArrow()
-    texts = sample.column("text").cast(pa.large_string()).combine_chunks()
-    parts = [x.tobytes()[:DICT_DOC_BYTES] for x in encode_documents(texts, vocabulary, end_id, added_tokens)]
+    """A dictionary from the documents of smallest hash; empty if there are too few.
+
+    The sample is encoded in tasks, and at most ``DICT_DOC_BYTES`` of each
+    document come to the driver.
+    """
+    def clipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            parts = [x[:DICT_DOC_BYTES].tobytes() for x in encode_documents(batch.column(1), vocabulary, end_id, added_tokens)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts, pa.binary())], ["doc_id", "part"])
+
+    sample = hash_sample(docs, ["doc_id"], DICT_DOCS).select("doc_id", "text")
+    parts = [r[1] for r in sample.mapInArrow(clipped, "doc_id long, part binary").orderBy("doc_id", "part").collect()]
     try:
-        return zstandard.train_dictionary(DICT_BYTES, parts).as_bytes()
+        return zstandard.train_dictionary(DICT_BYTES, [bytes(x) for x in parts]).as_bytes()
     except zstandard.ZstdError:  # too little to learn from
         return b""
 
@@ -125,15 +143,25 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int, added
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     dictionary = train_dictionary(docs, vocabulary, end_id, added_tokens)
     spark.createDataFrame([(dictionary,)], "dictionary binary").coalesce(1).write.parquet(f"{path}/dictionary")
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+    def frames_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = _compressor(dictionary).compress
+        for batch in slices(batches, 1024):
+            found = encode_documents(batch.column(1), vocabulary, end_id, added_tokens)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array([len(x) // 4 for x in found], pa.int64()),
+                 pa.array([compress(x) for x in found], pa.binary())], ["doc_id", "mark", "n_tokens", "frame"])
+
+    marked = docs.withColumn("mark", F.xxhash64("text"))
+    frames = stored(marked.mapInArrow(frames_of, "doc_id long, mark long, n_tokens long, frame binary"), "frames", "none")
+    size = frames.agg(F.sum(F.octet_length("frame"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // SORT_BYTES + 1)
-    ordered = docs.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = frames.repartitionByRange(parts, "doc_id", "mark").sortWithinPartitions("doc_id", "mark")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        compress = _compressor(dictionary).compress
         rows: list[tuple[int | None, int, bytes]] = []
         held = number = 0
 
@@ -143,10 +171,8 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int, added
                  "content": pa.array([shard_bytes(rows, dictionary)], pa.binary())})
 
         for batch in slices(batches, 1024):
-            found = encode_documents(batch.column(1), vocabulary, end_id, added_tokens)
-            for doc_id, ids in zip(batch.column(0).to_pylist(), found):
-                frame = compress(ids.tobytes())
-                rows.append((doc_id, len(ids), frame))
+            for doc_id, n, frame in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3))):
+                rows.append((doc_id, n, frame))
                 held += len(frame)
                 if held >= SHARD_BYTES:
                     yield shard()

@@ -9,31 +9,35 @@ In the same way a run of letters ends where a run of punctuation begins.
 Texts of any other shape, and those that hold an added token where these are
 to be found, are given to the library whole.  A batch of texts is
 cut at its spaces by Arrow, each distinct chunk is encoded once, and the ids
-are gathered with numpy; a worker remembers the chunks it met last.
+are gathered with numpy.  A worker remembers chunks: their ids stand in one
+array, a dictionary says where; when it is full, those met in one batch only
+go first.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import struct
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Chunks in each of the two generations that a worker remembers.
-CACHE_CHUNKS = 150_000
+#: Chunks that a worker remembers, some 150 bytes each.
+CACHE_CHUNKS = 400_000
 
 #: Letters that both patterns class alike and that lower-case one to one,
 #: followed by marks that never join a letter.
-_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*$%&#|]*)")
-_PACK = [struct.Struct(f"<{n}I").pack for n in range(64)]
+_MARKS = ".,;:!?*$%&#|"
+_WORD = re.compile(rf"([A-Za-zÀ-ÖØ-öø-ÿ]+)([{re.escape(_MARKS)}]*)")
 
 
-def _packed(ids: list[int]) -> bytes:
-    return _PACK[len(ids)](*ids) if len(ids) < 64 else np.asarray(ids, dtype="<u4").tobytes()
+def _known(shown: dict[int, str]) -> set[str]:
+    """The characters that a word with its space is shown as."""
+    out = {chr(c) for c in range(0x21, 0x7f)} | {"\u0120"}
+    return out.union(*shown.values())
 
 
 class ChunkEncoder:
@@ -66,22 +70,34 @@ class ChunkEncoder:
         space = self.shown.pop(0x20)
         # What stands before a chunk: in the text, and as the model is given it.
         self.before = (" ", space) if keeps_space else ("", "")
-        self.marks: dict[str, bytes] = {}
-        self.known: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
+        # Marks are apart from letters before merging, so both may go in one call if no
+        # token spans them.
+        letter, mark = "A-Za-z" + "".join(self.shown.values()), re.escape(_MARKS)
+        spans = re.compile(f"[{letter}][{mark}]" if keeps_space else ".")
+        found = self.tokenizer.get_added_tokens_decoder().values()
+        special = {t.content for t in found}
+        self.joined = not any(spans.search(t) for t in self.tokenizer.get_vocab() if t not in special and set(t) <= _known(self.shown))
+        self.marks: dict[str, list[int]] = {}
+        self.known: dict[str, int] = {}
+        self._empty()
         self.line_feed = self.whole("\n")
 
-    def whole(self, text: str) -> bytes:
-        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+    def _empty(self) -> None:
+        """No remembered ids: ids, the end of each chunk's, whether the text can be cut there, batches it was in."""
+        self.ids, self.ends, self.plain, self.met = array("I"), array("q"), bytearray(), array("i")
 
-    def _letters(self, letters: str, marks: str, shown: str) -> bytes:
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _letters(self, letters: str, marks: str, shown: str) -> list[int]:
         """Ids of a run of letters and the marks after it."""
         if not self.keeps_space:
             letters = letters.lower()
         if not letters.isascii():
             letters = letters.translate(self.shown)
-        found = [t.id for t in self.tokenize(shown + letters)]
-        ids = _PACK[len(found)](*found) if len(found) < 64 else _packed(found)
+        if self.joined:
+            return [t.id for t in self.tokenize(shown + letters + marks)]
+        ids = [t.id for t in self.tokenize(shown + letters)]
         if not marks:
             return ids
         tail = self.marks.get(marks)
@@ -91,42 +107,76 @@ class ChunkEncoder:
             tail = self.marks[marks] = self.whole(marks)
         return ids + tail
 
-    def _word(self, word: str, space: str, shown: str) -> bytes:
+    def _word(self, word: str, space: str, shown: str) -> list[int]:
         """Ids of a chunk without white space."""
         m = _WORD.fullmatch(word)
         return self._letters(m[1], m[2], shown) if m else self.whole(space + word)
 
-    def chunk(self, chunk: str, starts: bool) -> bytes | None:
+    def chunk(self, chunk: str, starts: bool) -> list[int] | None:
         """Ids of what stands between two spaces; None if the text can't be cut there."""
         words = chunk.split("\n")
         for word in words[1:] if starts and not words[0] else words:
             if word.split() != [word]:
                 return None
         if starts:
-            first = self._word(words[0], "", "") if words[0] else b""
+            out = list(self._word(words[0], "", "")) if words[0] else []
         else:
-            first = self._word(words[0], *self.before)
-        return self.line_feed.join([first, *(self._word(w, "", "") for w in words[1:])])
-
-    def _all(self, chunks: list[str]) -> list[bytes | None]:
-        if len(self.known) > self.cache_chunks:
-            self.old, self.known = self.known, {}
-        known, old, out = self.known, self.old, []
-        whole, letters, shown = _WORD.fullmatch, self._letters, self.before[1]
-        for x in chunks:
-            if x in known:
-                out.append(known[x])
-                continue
-            if x in old:
-                ids = old[x]
-            elif m := whole(x):
-                ids = letters(m[1], m[2], shown)
-            else:
-                ids = self.chunk(x, False)
-            known[x] = ids
-            out.append(ids)
+            out = list(self._word(words[0], *self.before))
+        for w in words[1:]:
+            out += self.line_feed
+            out += self._word(w, "", "")
         return out
 
+    def _add(self, chunk: str) -> int:
+        """Remember a chunk's ids; its number."""
+        m = _WORD.fullmatch(chunk)
+        ids = self._letters(m[1], m[2], self.before[1]) if m else self.chunk(chunk, False)
+        number = self.known[chunk] = len(self.ends)
+        self.plain.append(ids is not None)
+        self.ids.extend(ids or ())
+        self.ends.append(len(self.ids))
+        self.met.append(0)
+        return number
+
+    def _numbers(self, chunks: list[str]) -> np.ndarray:
+        """The numbers of distinct chunks, new ones encoded."""
+        found = list(map(self.known.get, chunks))
+        if None in found:
+            found = [self._add(x) if n is None else n for n, x in zip(found, chunks)]
+        found = np.array(found, np.int64)
+        np.frombuffer(self.met, np.int32)[found] += 1
+        return found
+
+    def _forget(self) -> None:
+        """Keep the chunks that were in most batches, half the room at most."""
+        met, least = np.frombuffer(self.met, np.int32), 2
+        while np.count_nonzero(met >= least) > self.cache_chunks // 2:
+            least *= 2
+        kept = [(x, n) for x, n in self.known.items() if met[n] >= least]
+        number = np.array([n for _, n in kept], np.int64)
+        ends = np.frombuffer(self.ends, np.int64)
+        ids, at = self._gather(np.frombuffer(self.ids, np.uint32), ends, number)
+        plain = np.frombuffer(self.plain, np.uint8)[number]
+        half = (met[number] // 2).astype(np.int32)
+        self._empty()
+        self.ids.frombytes(ids.tobytes())
+        self.ends.frombytes(at[1:].tobytes())
+        self.plain += plain.tobytes()
+        self.met.frombytes(half.tobytes())
+        self.known = {x: i for i, (x, _) in enumerate(kept)}
+
+    @staticmethod
+    def _gather(flat: np.ndarray, ends: np.ndarray, code: np.ndarray,
+                count: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the numbers ``code`` after one another, and where each begins (and the last ends)."""
+        begin = np.concatenate([[0], ends[:-1]])[code] if len(ends) else np.empty(0, np.int64)
+        if count is None:
+            count = ends[code] - begin
+        total = np.concatenate([[0], np.cumsum(count)])
+        where = np.repeat(begin - total[:-1], count)
+        where += np.arange(len(where))
+        return flat[where], total
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts after one another, and where each text's begin.
 
@@ -136,12 +186,14 @@ class ChunkEncoder:
         n = len(texts)
         if n == 0:
             return np.empty(0, np.uint32), np.zeros(1, np.int64)
+        if len(self.ends) > self.cache_chunks:
+            self._forget()
         cut = pc.split_pattern(texts.cast(pa.large_string()), " ")
         at = cut.offsets.to_numpy() - cut.offsets[0].as_py()
         coded = cut.flatten().dictionary_encode()
         code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        ids = self._all(coded.dictionary.to_pylist())
-        plain = np.fromiter((x is not None for x in ids), bool, len(ids))
+        number = self._numbers(coded.dictionary.to_pylist())
+        plain = np.frombuffer(self.plain, np.uint8)[number].astype(bool)
         first = at[:-1]
         rest_ok = plain[code]
         rest_ok[first] = True
@@ -149,28 +201,26 @@ class ChunkEncoder:
         if self.added:
             ok &= ~pc.match_substring_regex(texts, self.added).to_numpy(zero_copy_only=False)
         # The first chunk of a text has no space before it; an odd text is one chunk.
-        values = coded.dictionary
-        for i in range(n):
-            head = values[int(code[first[i]])].as_py() if ok[i] else None
-            own = self.chunk(head, True) if ok[i] else None
-            if own is None:
-                own = self.whole(texts[i].as_py())
+        heads = coded.dictionary.take(pa.array(code[first])).to_pylist()
+        own, own_ends = array("I"), array("q")
+        for i, head in enumerate(heads):
+            ids = self.chunk(head, True) if ok[i] else None
+            if ids is None:
+                ids = self.whole(texts[i].as_py())
                 ok[i] = False
-            code[first[i]] = len(ids)
-            ids.append(own)
-        length = np.fromiter((len(x) // 4 if x else 0 for x in ids), np.int64, len(ids))
-        flat = np.frombuffer(b"".join([x for x in ids if x]), dtype="<u4")
-        begin = np.cumsum(length) - length
-        count = length[code]
+            own.extend(ids)
+            own_ends.append(len(own))
+        flat = np.concatenate([np.frombuffer(self.ids, np.uint32), np.frombuffer(own, np.uint32)])
+        ends = np.concatenate([np.frombuffer(self.ends, np.int64), np.frombuffer(own_ends, np.int64) + len(self.ids)])
+        code = number[code]
+        code[first] = len(self.ends) + np.arange(n)
+        count = np.diff(ends, prepend=0)[code]
         if not ok.all():
             alone = np.zeros(len(code), bool)
             alone[first] = True
             count[~np.repeat(ok, np.diff(at)) & ~alone] = 0
-        total = np.cumsum(count)
-        where = np.repeat(begin[code] - (total - count), count)
-        where += np.arange(len(where))
-        ends = total[at[1:] - 1]
-        return flat[where], np.concatenate([[0], ends])
+        ids, total = self._gather(flat, ends, code, count)
+        return ids, total[at]
 
 
 @lru_cache(maxsize=4)

@@ -9,6 +9,7 @@ from tokenizers import Tokenizer
 
 from refinery.llm import best_fit as b
 from refinery.llm import token_files as t
+from refinery.llm.common import new_folder
 from refinery.llm.tokens import ChunkEncoder
 
 from .helpers import docs, words
@@ -160,3 +161,29 @@ def test_plan_is_best_fit():
 def test_empty_tables(spark):
     assert t.token_files(docs(spark, []), BYTE).count() == 0
     assert b.best_fit(docs(spark, []), WORD).count() == 0
+
+
+def test_a_hot_id_fills_several_ranges(spark, monkeypatch):
+    """Rows of one id, or of none, are dealt over ranges, in the order of ids."""
+    monkeypatch.setattr(t, "SORT_BYTES", 1 << 10)
+    rng = random.Random(12)
+    rows = [(7, words(rng, 30)) for _ in range(400)] + [(None, words(rng, 30)) for _ in range(300)] + [(i, words(rng, 5)) for i in range(20)]
+    path = new_folder(spark, "hot")
+    found = t.token_files(docs(spark, rows), BYTE, path=path).orderBy("start").collect()
+    ids = [r.doc_id for r in found]
+    assert ids == [None] * 300 + sorted(i for i, _ in rows if i is not None)
+    assert spark.read.parquet(f"{path}/shards").select("part").distinct().count() >= 8
+    whole = library(BYTE)
+    expected = sorted(zlib.crc32(np.array(whole(x) + [2], "<u4").tobytes()) for _, x in rows)
+    assert sorted(r.ids_crc32 for r in found) == expected
+
+
+def test_remembered_chunks_are_let_go(monkeypatch):
+    """Frequent chunks stay, the room is kept to, and ids stay right."""
+    encoder, whole, rng = ChunkEncoder(BYTE, True, cache_chunks=300), library(BYTE), random.Random(3)
+    for _ in range(12):
+        texts = [" ".join(["often", *(f"w{rng.randrange(10 ** 5)}" for _ in range(200))]) for _ in range(3)]
+        ids, at = encoder.encode(pa.array(texts))
+        for i, x in enumerate(texts):
+            assert ids[at[i]:at[i + 1]].tolist() == whole(x)
+        assert len(encoder.known) == len(encoder.ends) == len(encoder.met) == len(encoder.plain) <= 300 + 700
