@@ -12,9 +12,11 @@ size at most; its fingerprints are sent to each of its trees in blocks.
 Components of the links are found by star contraction, checkpointed.
 
 Defined results.  Null, empty or blank text: fingerprint zero, linked like any
-other.  Repeated doc_ids: a row each.  Null doc_id: a row of its own, never
-the smallest of a component unless all are null.  Empty table: no row.  Other
-columns are ignored by ``components`` and kept by ``representatives``.
+other.  Repeated doc_ids, whatever their texts: a row each.  Null doc_id: a row
+of its own, never the smallest of a component unless all are null.  Empty
+table: no row.  Other columns are ignored by ``components`` and kept by
+``representatives``, which decides row by row: each component, so each text,
+keeps exactly one row.
 """
 
 from __future__ import annotations
@@ -60,15 +62,21 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(a)).tobytes(), "big")
 
 
+def _mark() -> Column:
+    """A hash that tells an id's texts apart."""
+    return F.xxhash64("text", F.col("text").isNull())
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp long): the fingerprint's bits as a signed number."""
+    """(doc_id, mark, fp long): a hash of the text, the fingerprint's bits as a signed number."""
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            fp = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            fp = np.array([fingerprint(t, shingle) for t in batch.column(2).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp.view(np.int64))],
+                                             ["doc_id", "mark", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")) \
-        .mapInArrow(hashed, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _mark().alias("mark"),
+                       F.col("text").cast("binary").alias("text")).mapInArrow(hashed, "doc_id long, mark long, fp long")
 
 
 class BKTree:
@@ -217,30 +225,42 @@ def connected(pairs: DataFrame) -> DataFrame:
                            .filter("u <> v").distinct())
 
 
-def components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every document."""
+def _grouped(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
+    """(doc_id, mark, fp, first) of every row; ``first``: the first row of its component, by id (null last) and mark."""
     prints = stored(fingerprints(docs, shingle), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
+    distinct = stored(prints.groupBy("fp").agg(F.min(row).alias("first")), "distinct-fingerprints")
     roots = connected(links(distinct.select("fp"), radius))
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_print = rooted.join(smallest, "root").select("fp", "component_id")
-    return prints.join(by_print, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    return prints.join(rooted.drop("first").join(smallest, "root").select("fp", "first"), "fp")
+
+
+def components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every document."""
+    return _grouped(docs, shingle, radius).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.doc_id").alias("component_id"))
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs``, all columns, with one document of each component: that of the smallest id.
+    """``docs``, all columns, with one row of each component: that of the smallest id.
 
-    A document whose rows are repeated is kept once; a null doc_id names no
-    document, its rows are kept.
+    Of rows of that id the one whose text has the smallest hash, and of rows
+    alike in both one.  A null id comes after all others.
     """
-    found = stored(components(docs, shingle, radius).select("doc_id", "component_id"), "components")
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    # Dropped ids grow with the table: both sides are dealt by id at every size, never broadcast.
-    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
-    if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return kept
-    named = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.filter("doc_id is null"))
+    key = ["_sim_id", "_sim_null", "_sim_mark"]
+    number = F.col("doc_id").cast("long")
+    named = [F.coalesce(number, F.lit(0)), number.isNull()]
+    found = stored(_grouped(docs, shingle, radius).select(
+        *[c.alias(k) for c, k in zip([*named, F.col("mark")], key)],
+        (~(number.eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark")))).alias("goes")), "components")
+    gone = found.filter("goes").select(*key).distinct()
+    rows = docs.withColumns(dict(zip(key, [*named, _mark()])))
+    # Dropped rows grow with the table: both sides are dealt by key at every size, never broadcast.
+    kept = rows.join(gone.hint("merge"), key, "left_anti")
+    twice = stored(found.filter("not goes").groupBy(*key).count().filter("count > 1").select(*key), "repeated")
+    if not twice.isEmpty():
+        one = kept.join(twice, key, "left_semi").dropDuplicates(key)
+        kept = kept.join(twice, key, "left_anti").unionByName(one)
+    return kept.select(docs.columns)

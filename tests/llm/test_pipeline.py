@@ -72,4 +72,4 @@ def test_entry_registers_them():
 
     names = set(entry.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))

@@ -94,11 +94,34 @@ def test_one_of_each_group_stays(spark):
     expected = {d for d, _, c in brute(rows) if d == c}
     kept = s.representatives(docs(spark, rows))
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-    ids = [r.doc_id for r in kept.collect()]
-    assert sorted(x for x in ids if x is not None) == sorted(expected)
-    assert ids.count(None) == 1
+    # The row without an id is a copy of a named one, which stays for it.
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(expected)
 
 
 def test_empty_table(spark):
     assert s.components(docs(spark, [])).count() == 0
     assert s.representatives(docs(spark, [])).count() == 0
+
+
+def _kept(spark, rows):
+    return sorted(((r.doc_id, r.text) for r in s.representatives(docs(spark, rows)).collect()), key=repr)
+
+
+def test_one_id_with_different_texts_loses_none(spark):
+    rng = random.Random(8)
+    a, b = (" ".join(f"{x}{rng.randrange(10 ** 6)}" for _ in range(40)) for x in "ab")
+    assert _kept(spark, [(3, b), (5, a), (5, b), (7, a)]) == [(3, b), (5, a)]
+
+
+def test_rows_without_an_id_and_repeated_rows(spark):
+    rng = random.Random(9)
+    a, b, c, d = (" ".join(f"{x}{rng.randrange(10 ** 6)}" for _ in range(40)) for x in "abcd")
+    rows = [(None, a), (None, a), (4, a), (None, b), (None, b), (None, c), (2, d), (2, d), (2, d), (None, None), (9, ""), (9, "")]
+    assert _kept(spark, rows) == sorted([(4, a), (None, b), (None, c), (2, d), (9, "")], key=repr)
+
+
+def test_a_third_of_all_rows_alike(spark):
+    rng = random.Random(10)
+    texts = [" ".join(f"{i}-{rng.randrange(10 ** 6)}" for _ in range(30)) for i in range(20)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100, texts[3])] * 150 + [(200 + i, texts[4]) for i in range(150)]
+    assert _kept(spark, rows) == sorted([(i, t) for i, t in enumerate(texts)], key=repr)
