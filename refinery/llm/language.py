@@ -240,30 +240,35 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     return df, rows
 
 
-def train(docs: DataFrame) -> Model:
-    """A model from the labelled documents that are not held out."""
+def train(docs: DataFrame, bars: bool = True, max_languages: int = MAX_LANGUAGES) -> Model:
+    """A model from the labelled documents that are not held out; ``bars`` are what ``accepted`` needs.
+
+    More than ``max_languages`` languages fail the run: weights are a dense column for each.
+    """
     docs = docs.select(F.col("doc_id"), F.col("text"), F.col("lang")).filter(
         "doc_id is not null and lang is not null").filter(~held_out())
-    top = dict(r[:] for r in docs.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-               .limit(MAX_LANGUAGES).collect())
+    top = dict(r[:] for r in docs.groupBy("lang").count().limit(max_languages + 1).collect())
+    if len(top) > max_languages:
+        raise ValueError(f"more than {max_languages} languages: raise max_languages (and the memory for their weights)")
     languages = sorted(top)
     if not languages:
         return Model([], np.zeros(DIM), np.zeros((DIM, 0)), np.zeros(0))
     df, rows = document_frequencies(docs.select("text"))
     idf = np.log((1 + rows) / (1 + df)) + 1
-    # The rows of smallest hash in each language: ids first, then their texts.
+    # The rows of smallest hash in each language, copies of an id and text taken as one.
     # Hashes are spread evenly, so those of four times as many rows as are wanted lie below a known bound.
     each = max(10, SAMPLE_ROWS // len(languages))
     bounds = {x: -(1 << 63) + min((1 << 64) - 1, (1 << 64) * 4 * each // n) for x, n in top.items()}
     bound = F.create_map(*(F.lit(v) for pair in bounds.items() for v in pair))[F.col("lang")]
-    few = docs.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).filter(F.col("h") <= bound)
-    ranked = few.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id")))
-    chosen = ranked.filter(F.col("rank") <= each).select("doc_id").distinct()
+    few = (docs.select(F.xxhash64("doc_id", "text").alias("h"), "lang", "text").filter(F.col("h") <= bound)
+           .dropDuplicates(["lang", "h"]))
+    chosen = (few.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("h")))
+              .filter(F.col("rank") <= each).select("h", "lang", "text"))
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
             found = [(h, lang, k, *counts(t if k < 0 else t[:CUTS[k]])) for h, lang, t in zip(
-                *(c.to_pylist() for c in batch.columns)) for k in range(-1, len(CUTS))
+                *(c.to_pylist() for c in batch.columns)) for k in range(-1, len(CUTS) if bars else 0)
                 if k < 0 or t is not None and len(t) >= CUTS[k]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.string()),
@@ -271,8 +276,7 @@ def train(docs: DataFrame) -> Model:
                  pa.array([f[3].astype(np.int32) for f in found], pa.list_(pa.int32())),
                  pa.array([f[4].astype(np.int32) for f in found], pa.list_(pa.int32()))], ["h", "lang", "cut", "at", "n"])
 
-    sample = (docs.join(F.broadcast(chosen), "doc_id").select(F.xxhash64("doc_id").alias("h"), "lang", "text")
-              .mapInArrow(sampled, "h long, lang string, cut int, at array<int>, n array<int>")
+    sample = (chosen.mapInArrow(sampled, "h long, lang string, cut int, at array<int>, n array<int>")
               .orderBy("h", "lang", "cut").toArrow())
     model = Model(languages, idf, np.zeros((DIM, len(languages))), np.zeros(len(languages)))
     number = {x: i for i, x in enumerate(languages)}
@@ -296,13 +300,14 @@ def train(docs: DataFrame) -> Model:
     for cut, language, at, x in short:
         p = softmax((x @ model.weights[at] + model.bias) / model.temperature)
         found.setdefault((cut, language), []).append(float(p.max()))
-    model.bars = fit_bars(found, len(languages))
+    if bars:
+        model.bars = fit_bars(found, len(languages))
     return model
 
 
 def predict(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every document; trains first if no model is given."""
-    shared = docs.sparkSession.sparkContext.broadcast(model or train(docs))
+    shared = docs.sparkSession.sparkContext.broadcast(model or train(docs, bars=False))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
