@@ -5,8 +5,9 @@ Everything is DataFrame expressions and Spark ML.  A rule is written
 with the rule's, and the longest rule that fits decides.  URLs that no rule
 fits are judged by boosted trees over length, depth, digit ratio, entropy,
 parameter counts and statistics of the host's suffix.  Suffix statistics count
-all labelled URLs; the trees are fitted on the ``FIT_ROWS`` labelled URLs of
-smallest hash.
+all different labelled URLs; the trees are fitted on the ``FIT_ROWS`` of them,
+half of each verdict, of smallest hash.  A URL in training does not see its own
+verdict in its suffix's rate.  How often a URL is repeated changes nothing.
 
 Defined results.  Null url, or none with ``://``: host and path are empty, no
 rule fits.  No labelled URLs, or of one verdict only: that verdict, or allow.
@@ -109,8 +110,10 @@ class UrlModel:
         self.suffixes, self.rows, self.rate, self.trees = suffixes, rows, rate, trees
 
     def features(self, urls: DataFrame) -> DataFrame:
-        """``urls`` (with ``lexical``) and their suffix statistics."""
+        """``urls`` (with ``lexical``) and their suffix statistics; those with a ``label`` of the other URLs."""
         n, blocked = F.coalesce("suffix_n", F.lit(0)), F.coalesce("suffix_blocked", F.lit(0))
+        if "label" in urls.columns:
+            n, blocked = n - 1, blocked - F.col("label")
         return (urls.join(self.suffixes, "suffix", "left")
                 .withColumn("suffix_share", n / F.lit(max(self.rows, 1)))
                 .withColumn("suffix_rate", (blocked + PRIOR_ROWS * self.rate) / (n + PRIOR_ROWS)))
@@ -125,9 +128,9 @@ class UrlModel:
 
 def train(labelled: DataFrame) -> UrlModel:
     """A model from (url, host, path, verdict), verdict being allow or block."""
-    rows = lexical(labelled.filter(F.col("verdict").isin("allow", "block")))
-    rows = rows.withColumn("label", (F.col("verdict") == "block").cast("double"))
-    suffixes = stored(rows.groupBy("suffix").agg(
+    rows = stored(labelled.filter(F.col("verdict").isin("allow", "block")).select(
+        "url", "host", "path", (F.col("verdict") == "block").cast("double").alias("label")).distinct(), "url-labelled")
+    suffixes = stored(lexical(rows).groupBy("suffix").agg(
         F.count(F.lit(1)).alias("suffix_n"), F.sum("label").alias("suffix_blocked")), "url-suffixes")
     n, blocked = suffixes.agg(F.sum("suffix_n"), F.sum("suffix_blocked")).first()
     if not n:
@@ -135,12 +138,12 @@ def train(labelled: DataFrame) -> UrlModel:
     model = UrlModel(suffixes, n, blocked / n, None)
     if blocked in (0, n):
         return model
-    sample = hash_sample(rows, ["url", "label"], FIT_ROWS)
+    each = [hash_sample(rows.filter(F.col("label") == label), ["url"], FIT_ROWS // 2) for label in (0.0, 1.0)]
+    sample = lexical(each[0].unionByName(each[1]))
     ready = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(
         model.features(sample)).select("features", "label")
     ready = stored(ready.repartition(4), "url-training")
-    if ready.select("label").distinct().count() == 2:
-        model.trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED).fit(ready)
+    model.trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED).fit(ready)
     return model
 
 
