@@ -2,18 +2,24 @@
 
 Each element of a page is a node with two states, content or not.  A node sees
 the amount of text below it and the share of that in links; a potential ties
-its state to its parent's, by the node's role, which its tag and the words in
-its class and id tell.  Sum-product messages go up the tree and down again, and
+its state to its parent's, by the node's role, which its tag tells, and by what
+its class and id call it.  Sum-product messages go up the tree and down again, and
 text whose element's content marginal is over one half is kept, a line for
 each block.
 
-The potentials are frequencies on labelled pages: those that name their main
-text by ``article``, ``main`` or an equal role.  At most ``TRAIN_PAGES`` pages
-are used, those of smallest hash; smoothing keeps every feature's evidence
-bounded, so that kinds that the pages lack still count by what their names say.
+A name speaks by its head: ``cookie-notice`` is a notice, ``related-posts``
+something related, but ``related-work`` is a work, ``share-price`` a price, and
+``has-sidebar`` or ``no-comments`` say what an element has.  Each head word has
+a weight of its own, learned from the labelled pages; words known to name main
+text or other things start with ``NAME_ODDS``.  All of a node's evidence is
+bounded, so that tags, names and text can outvote one another.
+
+The potentials are frequencies on labelled pages: those with an ``article`` or
+``main`` element, whose labels come from tags alone.  At most ``TRAIN_PAGES``
+pages are used, those of smallest hash.
 
 Defined results.  Null or empty html: empty text.  No labelled page: the
-smoothing alone, which rests on the names.  Unclosed, stray and crossed tags
+smoothing alone, which rests on tags and names.  Unclosed, stray and crossed tags
 are mended as browsers do in outline.  Null page_id or url: kept.  Repeated
 rows: a row each.  Empty table: no row.  Other columns are ignored.
 """
@@ -39,6 +45,10 @@ SMOOTHING = {"text": 0.4, "links": 0.4, "edge": 0.05}
 #: P(content) of a node by its role and its parent's state, where no labelled page tells.
 PRIOR_EDGE = {"content": (0.9, 0.98), "other": (0.01, 0.01), "plain": (0.1, 0.95), "inline": (0.1, 0.95)}
 PRIOR_ROWS = 1.0
+#: Odds of content that a word of CONTENT_WORDS or OTHER_WORDS starts with, how many nodes
+#: that is worth, the most that all of a node's words say (logarithm), and words learned.
+NAME_ODDS = {"content": 100.0, "other": 0.00001}
+NAME_ROWS, NAME_BOUND, NAME_WORDS = 20.0, 10.0, 5_000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noscript iframe noframes noembed template".split())
@@ -69,11 +79,21 @@ recommendations comment comments disqus reply replies respond discussion notice
 alert popup modal overlay newsletter subscribe subscription signup login share sharing social widget toolbar
 pagination pager search searchbox form contentinfo complementary copyright legal skip hidden""".split())
 
+#: A name that begins so says what the element has or does, not what it is.
+HAS_WORDS = frozenset("has have had no not non with without is are can show shows hide".split())
+#: Heads that only hold what the word before them names.
+HOLDERS = frozenset("""list lists item items box boxes wrap wrapper wrapping container holder inner outer left right top
+bottom center slot unit bar area zone section block panel group row col column cell link links button buttons icon
+icons title label module component region frame""".split())
+#: Heads that a word for other things before them makes one of these.
+HELD = CONTENT_WORDS | frozenset("posts articles stories news contents texts".split())
+
 _RAW_END = {name: re.compile("</" + name, re.I | re.A) for name in RAW}
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
                   r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>?", re.S)
 _ATTRIBUTE = re.compile(r"([A-Za-z_:][-\w:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.S)
 _NAMING = frozenset(("class", "id", "role", "itemprop", "aria-label"))
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$|/)", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 ROLES = ("content", "other", "plain", "inline")
@@ -88,33 +108,53 @@ class Page:
     parent: list[int] = field(default_factory=lambda: [-1])
     tag: list[str] = field(default_factory=lambda: ["#root"])
     role: list[int] = field(default_factory=lambda: [2])
+    words: list[tuple[str, ...]] = field(default_factory=lambda: [()])
     #: (node, text) and (node, None) where a block begins or ends.
     runs: list[tuple[int, str | None]] = field(default_factory=list)
 
 
 def role_of(tag: str, attributes: str) -> int:
-    """Index in ROLES by the names of tag and attributes.  Naming words of other than main text win."""
+    """Index in ROLES, by the tag and what the page itself hides or marks as main."""
     if tag in OTHER_TAGS:
         return 1
     content = tag in CONTENT_TAGS
-    if attributes and "=" in attributes:
+    if attributes:
         for name, *values in _ATTRIBUTE.findall(attributes):
-            name = name.lower()
-            if name in _NAMING:
-                value = entities.unescape(values[0] or values[1] or values[2])
-                names = value.lower().split()
-                parts = {p.lower() for p in _PART.findall(value)}
-                if parts & OTHER_WORDS or not OTHER_WORDS.isdisjoint(names):
-                    # "article-header" and the like name a part of the main text's frame.
-                    return 1
-                content |= bool((parts | set(names)) & CONTENT_WORDS)
-            elif name == "hidden" or (name == "aria-hidden" and "true" in values):
+            value = (values[0] or values[1] or values[2]).lower()
+            if name.lower() == "aria-hidden" and value == "true":
                 return 1
+            content |= name.lower() == "role" and value == "main"
+        if _HIDDEN.search(re.sub(_ATTRIBUTE, " ", attributes)):
+            return 1
     if content:
         return 0
     return 2 if tag in BLOCKS else 3
 
 
+def head_word(name: str) -> str | None:
+    """What a name says that the element is."""
+    parts = [p.lower() for p in _PART.findall(name) if not p.isdigit()]
+    if not parts or parts[0] in HAS_WORDS and len(parts) > 1:
+        return None
+    while len(parts) > 1 and parts[-1] in HOLDERS:
+        parts.pop()
+    if len(parts) > 1 and parts[-1] in HELD and parts[-2] in OTHER_WORDS:
+        parts.pop()
+    return parts[-1]
+
+
+def head_words(tag: str, attributes: str) -> tuple[str, ...]:
+    """The head words of an element's names; what the whole page is called says nothing."""
+    if tag in ("html", "body") or "=" not in attributes:
+        return ()
+    out = set()
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        if name.lower() in _NAMING:
+            value = entities.unescape(values[0] or values[1] or values[2])
+            out.update(map(head_word, [value] if name.lower() == "aria-label" else value.split()))
+    return tuple(sorted(x for x in out if x))
+
+
 def parse(html: str) -> Page:
     page = Page()
     parent, tags, roles, runs = page.parent, page.tag, page.role, page.runs
@@ -156,6 +196,7 @@ def parse(html: str) -> Page:
         parent.append(open_[-1])
         tags.append(name)
         roles.append(role_of(name, attributes))
+        page.words.append(head_words(name, attributes))
         if name in BLOCKS:
             runs.append((open_[-1], None))
         elif name == "br":
@@ -210,9 +251,9 @@ def observed(page: Page) -> tuple[np.ndarray, np.ndarray]:
 
 
 def labels(page: Page) -> list[int] | None:
-    """States by the page's own markup: 1 below its main element and outside what names other things.
+    """States by the page's own tags: 1 below its main element and outside tags for other things.
 
-    None if the page names no main text, or several.
+    None if the page has no such element.
     """
     found = [i for i, r in enumerate(page.role) if r == 0 and page.tag[i] in CONTENT_TAGS]
     if not found:
@@ -230,11 +271,13 @@ def labels(page: Page) -> list[int] | None:
 
 @dataclass
 class Potentials:
-    """Probabilities: text and links by state; edge by role, parent's state and own state."""
+    """Probabilities: text and links by state; edge by role, parent's state and own state.
+    Words: the logarithm of the odds of content."""
 
     text: np.ndarray
     links: np.ndarray
     edge: np.ndarray
+    words: dict[str, float] = field(default_factory=dict)
 
 
 def potentials(counts: Counter) -> Potentials:
@@ -252,7 +295,28 @@ def potentials(counts: Counter) -> Potentials:
             n = np.array([counts["edge", 2 * r + p, s] for s in (0, 1)]) + PRIOR_ROWS * np.array([1 - one, one])
             share = SMOOTHING["edge"]
             edge[r, p] = (1 - share) * n / n.sum() + share * np.array([1 - one, one])
-    return Potentials(table("text", len(TEXT_BINS) + 1), table("links", len(LINK_BINS) + 1), edge)
+    seen = {w for kind, _, w in counts if kind == "word"}
+    return Potentials(table("text", len(TEXT_BINS) + 1), table("links", len(LINK_BINS) + 1), edge,
+                      {w: _log_odds(w, counts["word", 0, w], counts["word", 1, w])
+                       for w in seen | CONTENT_WORDS | OTHER_WORDS})
+
+
+def _log_odds(word: str, other: int, content: int) -> float:
+    kind = "other" if word in OTHER_WORDS else "content" if word in CONTENT_WORDS else None
+    odds = NAME_ODDS.get(kind, 1.0)
+    n = NAME_ROWS * np.array([1.0, odds]) / max(1.0, odds)
+    return float(np.log((content + n[1]) / (other + n[0])))
+
+
+def edges_of(page: Page, model: Potentials) -> np.ndarray:
+    """P(state) by node and parent's state: its role's, the odds of content moved by its names."""
+    edge = model.edge[page.role]
+    w = np.clip([sum(model.words.get(x, 0.0) for x in words) for words in page.words], -NAME_BOUND, NAME_BOUND)
+    at = np.flatnonzero(w)
+    odds = edge[at, :, 1] / edge[at, :, 0] * np.exp(w[at])[:, None]
+    edge[at, :, 1] = odds / (1 + odds)
+    edge[at, :, 0] = 1 / (1 + odds)
+    return edge
 
 
 def marginals(page: Page, model: Potentials) -> list[float]:
@@ -264,13 +328,13 @@ def marginals(page: Page, model: Potentials) -> list[float]:
     own /= own.sum(axis=0)
     zero, one = own[0].tolist(), own[1].tolist()
     zero[0] = one[0] = 0.5  # the root sees nothing of its own
-    edge, role = model.edge.reshape(-1, 4).tolist(), page.role
-    n, parent = len(role), page.parent
+    edge = edges_of(page, model).reshape(-1, 4).tolist()
+    n, parent = len(edge), page.parent
     # Below: evidence of the node's subtree; to its parent goes its sum over states.
     up0, up1 = [1.0] * n, [1.0] * n
     for i in range(n - 1, 0, -1):
         a, b = zero[i], one[i]
-        e00, e01, e10, e11 = edge[role[i]]
+        e00, e01, e10, e11 = edge[i]
         up0[i], up1[i] = e00 * a + e01 * b, e10 * a + e11 * b
         s = up0[i] + up1[i]
         up0[i] /= s
@@ -286,7 +350,7 @@ def marginals(page: Page, model: Potentials) -> list[float]:
         p = parent[i]
         # The parent's belief without this child's message.
         x, y = top0[p] / up0[i], top1[p] / up1[i]
-        e00, e01, e10, e11 = edge[role[i]]
+        e00, e01, e10, e11 = edge[i]
         a, b = (x * e00 + y * e10) * zero[i], (x * e01 + y * e11) * one[i]
         s = a + b
         top0[i], top1[i] = max(a / s, 1e-300), max(b / s, 1e-300)
@@ -303,12 +367,12 @@ def main_text(html: str | None, model: Potentials) -> str:
     lines, part = [], []
     for node, run in [*page.runs, (0, None)]:
         if run is None:
-            line = " ".join(entities.unescape("".join(part)).split())
+            line = " ".join("".join(part).split())
             if line:
                 lines.append(line)
             part = []
         elif content[node]:
-            part.append(run)
+            part.append(entities.unescape(run))  # a reference does not reach past a tag
     return "\n".join(lines)
 
 
@@ -325,6 +389,8 @@ def learn_counts(html: str | None) -> Counter:
         out["text", s, int(text[i])] += 1
         out["links", s, int(links[i])] += 1
         out["edge", 2 * page.role[i] + state[page.parent[i]], s] += 1
+        for w in page.words[i]:
+            out["word", s, w] += 1
     return out
 
 
@@ -340,12 +406,15 @@ def train(pages: DataFrame, limit: int = TRAIN_PAGES) -> Potentials:
         keys = list(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-             pa.array([k[2] for k in keys], pa.int32()), pa.array([total[k] for k in keys], pa.int64())],
+             pa.array([str(k[2]) for k in keys], pa.string()), pa.array([total[k] for k in keys], pa.int64())],
             ["kind", "a", "b", "n"])
 
-    rows = (chosen.repartition(4).mapInArrow(count, "kind string, a int, b int, n long")
-            .groupBy("kind", "a", "b").agg(F.sum("n").alias("n")).collect())  # some dozens of kinds
-    return potentials(Counter({(k, a, b): n for k, a, b, n in rows}))
+    rows = (chosen.repartition(4).mapInArrow(count, "kind string, a int, b string, n long")
+            .groupBy("kind", "a", "b").agg(F.sum("n").alias("n")))
+    # Some dozens of kinds, and the words met most often.
+    few = rows.filter("kind <> 'word'").unionByName(
+        rows.filter("kind = 'word'").orderBy(F.desc("n"), "a", "b").limit(NAME_WORDS)).collect()
+    return potentials(Counter({(k, a, b if k == "word" else int(b)): n for k, a, b, n in few}))
 
 
 def extract(pages: DataFrame, model: Potentials | None = None) -> DataFrame:

@@ -61,6 +61,62 @@ def test_nothing_to_learn_from(spark):
     assert [r[2:] for r in found] == [("und", 0.0)] * 2
 
 
+def test_a_hot_id_sends_one_row(spark):
+    """Copies of a row with a small hash fill no sample, however many; different texts of an id are rows of their own."""
+    rng = np.random.default_rng(1)
+    rows = [(i, " ".join("abcdefgh"[k] * 3 for k in rng.integers(0, 8, 12)), "en" if i % 2 else "fr") for i in range(60)]
+    df = docs(spark, rows)
+    plain = language.train(df)
+    many = language.train(df.unionByName(df.filter("doc_id = 7").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("n")))
+    assert many.languages == plain.languages
+    seen = []
+    follow = language.follow_leader
+    language.follow_leader = lambda learn, *a: seen.append(len(learn)) or follow(learn, *a)
+    try:
+        language.train(df.withColumn("doc_id", F.lit(3)))
+        language.train(df.unionByName(df))
+    finally:
+        language.follow_leader = follow
+    assert max(seen) <= 60
+
+
+def test_too_many_languages_fail_loudly(spark):
+    df = docs(spark, [(i, "a b", f"l{i}") for i in range(30)])
+    with pytest.raises(ValueError, match="more than 5 languages"):
+        language.train(df, max_languages=5)
+
+
+def test_leader_as_written_out():
+    """FTRL with elastic net, coordinate by coordinate in plain Python."""
+    from math import exp, sqrt
+
+    rng = random.Random(5)
+    rows = [(rng.randrange(3), np.array(sorted(rng.sample(range(20), 4))), np.array([rng.random() for _ in range(4)])) for _ in range(40)]
+    z, n = [[[0.0] * 3 for _ in range(language.DIM + 1 if i < 0 else 21)] for i in range(2)]
+
+    def weight(i, k):
+        if abs(z[i][k]) <= language.L1:
+            return 0.0
+        sign = 1 if z[i][k] > 0 else -1
+        return -(z[i][k] - sign * language.L1) / ((language.BETA + sqrt(n[i][k])) / language.ALPHA + language.L2)
+
+    for _ in range(language.EPOCHS):
+        for label, at, x in rows:
+            terms = [(int(i), float(v)) for i, v in zip(at, x)] + [(20, 1.0)]
+            w = {(i, k): weight(i, k) for i, _ in terms for k in range(3)}
+            e = [exp(sum(v * w[i, k] for i, v in terms)) for k in range(3)]
+            for k in range(3):
+                for i, v in terms:
+                    g = v * (e[k] / sum(e) - (k == label))
+                    step = (sqrt(n[i][k] + g * g) - sqrt(n[i][k])) / language.ALPHA
+                    z[i][k] += g - step * w[i, k]
+                    n[i][k] += g * g
+    weights, bias = language.follow_leader(rows, 3)
+    assert np.allclose(weights[:20], [[weight(i, k) for k in range(3)] for i in range(20)])
+    assert np.allclose(bias, [weight(20, k) for k in range(3)])
+    assert not weights[20:].any()
+
+
 def test_document_frequencies_count_all_rows(spark):
     rows = [(i, f"w{i} the") for i in range(700)]
     df, n = language.document_frequencies(docs(spark, rows).select("text").repartition(5))
@@ -150,6 +206,19 @@ def test_trees_learn_held_out_urls(spark):
     assert np.mean([(r.p_block > 0.5) == (r.verdict == "block") for r in scored]) > 0.95
 
 
+def test_copies_of_a_url_change_no_verdict(spark):
+    """A URL that holds most rows neither fills the sample nor moves a suffix's rate."""
+    rng = random.Random(4)
+    urls = [f"https://a{rng.randrange(50)}.{'shop.com/de' if rng.random() < .5 else 'blog.com/fr'}/p{rng.randrange(10 ** 6)}" for _ in range(400)]
+    urls += [f"http://x{rng.randrange(50)}.{rng.choice(['shop', 'blog', 'other'])}.net/p{i}" for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    hot = df.unionByName(df.filter("page_id in (3, 4, 5)").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(1500)))).drop("n"))
+    rules = [("shop.com/de/", "block"), ("blog.com/fr/", "allow")]
+    plain, copied = (url_filter.judge(x, rules).distinct().collect() for x in (df, hot))
+    assert sorted(map(tuple, plain)) == sorted(map(tuple, copied))
+    assert len({r.p_block for r in plain}) > 1
+
+
 def test_urls_without_labels(spark):
     df = spark.createDataFrame([(1, "http://x.net/"), (2, None)], "page_id long, url string")
     assert [r.verdict for r in url_filter.judge(df, URL_RULES).collect()] == ["allow", "allow"]
@@ -187,6 +256,15 @@ PAGES = {
         "Just a plain page with a paragraph of text and no more structure at all, long enough.",
     "<article><p>a<b>b</b>c<br>d &lt;x&gt; &#233;&nbsp;f</p><!-- no <p>no</p> --><p> </p><p>g</article>": "abc d <x> é f\ng",
     "<main><style>p{}</style><p title='a>b'>one</p><textarea>no</textarea>two</main>": "one\ntwo",
+    # Names that say what an element has, or whose head is something else, drop nothing.
+    """<article class="post has-sidebar no-comments"><h1>Title</h1><div class="related-work"><p>Others did this.</p></div>
+    <div class="share-price">12 EUR</div><section class=comments><p>Nice!</p></section><div class="related-posts">
+    <a href=/x>More</a></div><div class="ad-slot">Buy</div><p>&am<b>p;</b> &amp;amp;</p></article>""":
+        "Title\nOthers did this.\n12 EUR\n&amp; &amp;",
+    """<body class="single-post sidebar-left"><ul class="main-menu"><li><a href=/>Home</a></ul><div class="entry-content">
+    <p>The text of the entry, which is long enough to be one.</p><div id="comment-list"><p>I was here first, ha.</p></div>
+    </div><div class="widget-area">Weather</div><div class=newsletter-box>Subscribe</div></body>""":
+        "The text of the entry, which is long enough to be one.",
     "": "", "<": "", "<article>": "", "<article><p>x</p></article><p>" : "x",
 }
 
@@ -228,16 +306,34 @@ def test_marginals_are_exact(model):
     siblings = np.bincount(page.parent[1:], minlength=n)
     own = own ** (1.0 / np.maximum(siblings[page.parent], 1))
     own[:, 0] = 0.5
-    total, one = 0.0, np.zeros(n)
+    total, one, edge = 0.0, np.zeros(n), page_text.edges_of(page, model)
     for states in product((0, 1), repeat=n):
         w = np.prod([own[s, i] for i, s in enumerate(states)])
         for i in range(1, n):
-            w *= model.edge[page.role[i], states[page.parent[i]], states[i]]
+            w *= edge[i, states[page.parent[i]], states[i]]
         total += w
         one += w * np.array(states)
     assert page_text.marginals(page, model) == pytest.approx(list(one / total))
 
 
+def test_names_speak_by_their_heads():
+    for name, head in {"cookie-notice": "notice", "related-posts": "related", "related-work": "work", "share-price": "price",
+                       "shareButtons": "share", "has-sidebar": None, "no-comments": None, "comment-body": "comment",
+                       "article-body": "body", "sidebar2": "sidebar", "col-12": "col", "entry__content": "content", "-": None}.items():
+        assert page_text.head_word(name) == head, name
+
+
+def test_weights_of_names_are_learned(spark):
+    """Words that no list holds get weights from pages; listed ones can be outvoted by many pages."""
+    ship(spark)
+    one = ("<body><div class='zorp'>buy this now</div><article><p>some text of the article</p>"
+           "<div class='share'>a part that all pages have</div></article></body>")
+    pages = spark.createDataFrame([(i, f"u{i}", one) for i in range(300)], "page_id long, url string, html string")
+    model = page_text.train(pages)
+    assert model.words["zorp"] < -2 and model.words["share"] > 0 and model.words["comments"] < -5
+    assert page_text.main_text(one, model) == "some text of the article\na part that all pages have"
+
+
 def test_odd_pages(spark):
     ship(spark)
     rows = [(1, "u", None), (None, None, "<article><p>x</p></article>"), (2, "u", ""), (2, "u", ""),
