@@ -7,6 +7,9 @@ touches are cut into pre-tokens and encoded again, together with as much
 context as it takes for the cuts to fall in with the old ones; their leaves
 are replaced and the sums on the way to the root are brought up to date.
 
+Trees can be kept as a table (``trees``, or ``with_trees`` of a call) and given to
+a later call, which finds them by id and a hash of the text.
+
 The pattern of the tokenizer looks at most at the white space next to a
 pre-token, so cuts fall in again at the first place, on either side, where an
 unchanged character that is not white space ends an old segment and white
@@ -26,7 +29,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices
@@ -37,6 +40,7 @@ SEGMENT = 256
 #: Children of an inner node.
 FAN = 8
 
+TREES = "doc_id long, mark long, starts array<int>, counts array<long>"
 COUNTS = ("doc_id long, n_tokens_before long, n_edits long, n_segments long, n_reencoded long, "
           "n_tokens_after long, token_delta long")
 EDITS = "array<struct<start:int,end:int,text:string>>"
@@ -188,27 +192,69 @@ def _edit_list(edits: list[dict] | None) -> list[tuple[int, int, str]]:
     return sorted(kept, key=lambda e: e[0])
 
 
-def edit_counts(docs: DataFrame, vocabulary: str, added_tokens: bool = False) -> DataFrame:
+def _mark(text: Column) -> Column:
+    """A hash that tells an id's texts apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def trees(docs: DataFrame, vocabulary: str, added_tokens: bool = False) -> DataFrame:
+    """(doc_id, mark, starts, counts): each text's segments and their token counts, to be kept as a table."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(vocabulary, True, added_tokens)
+        for batch in slices(batches):
+            found = counted([t or "" for t in batch.column(2).to_pylist()], encode)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *_tree_columns(found)],
+                                             ["doc_id", "mark", "starts", "counts"])
+
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _mark(text).alias("mark"), text.alias("text")) \
+        .mapInArrow(count, TREES)
+
+
+def _tree_columns(found: list[CountedText]) -> list[pa.Array]:
+    return [pa.array([d.starts for d in found], pa.list_(pa.int32())),
+            pa.array([d.tree.levels[0] for d in found], pa.list_(pa.int64()))]
+
+
+def edit_counts(docs: DataFrame, vocabulary: str, added_tokens: bool = False, kept: DataFrame | None = None,
+                with_trees: bool = False) -> DataFrame:
     """Token counts of (doc_id, text, edits) before and after the edits.
 
     ``edits``: array of (start, end, text) by character.  Without the column,
-    the edits are the text's redactions.
+    the edits are the text's redactions.  ``kept``: trees of an earlier call or
+    of ``trees``; a text that has one there is not encoded again, only what its
+    edits touch (``n_encoded`` segments in all).  ``with_trees`` adds the edited
+    ``text`` and its tree (``mark``, ``starts``, ``counts``), to be kept in turn.
     """
-    given = "edits" in docs.columns
+    given, known = "edits" in docs.columns, kept is not None
+    name = {x: i for i, x in enumerate(["doc_id", "text", *(["edits"] if given else []), *(["starts", "counts"] if known else [])])}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary, True, added_tokens)
         for batch in slices(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            lists = map(_edit_list, batch.column(2).to_pylist()) if given else map(redactions, texts)
-            out = [applied(doc, edits) for doc, edits in zip(counted(texts, encode), lists)]
+            lists = map(_edit_list, batch.column(name["edits"]).to_pylist()) if given else map(redactions, texts)
+            have = batch.column(name["starts"]).to_pylist() if known else [None] * len(texts)
+            new = iter(counted([t for t, s in zip(texts, have) if s is None], encode))
+            held = batch.column(name["counts"]).to_pylist() if known else have
+            found = [next(new) if s is None else CountedText(t, encode, s, n) for t, s, n in zip(texts, have, held)]
+            out = [applied(doc, edits) for doc, edits in zip(found, lists)]
             cols = [pa.array([o[k] for o in out], pa.int64()) for k in range(5)]
             delta = pa.array([o[4] - o[0] for o in out], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *cols, delta],
-                ["doc_id", "n_tokens_before", "n_edits", "n_segments", "n_reencoded", "n_tokens_after", "token_delta"])
+            encoded = pa.array([o[3] + (o[2] if s is None else 0) for o, s in zip(out, have)], pa.int64())
+            more = [pa.array([d.text for d in found], pa.string()), *_tree_columns(found)] if with_trees else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols, delta, encoded, *more], names)
 
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
     if given:
         columns.append(F.col("edits").cast(EDITS).alias("edits"))
-    return docs.select(*columns).mapInArrow(count, COUNTS)
+    rows = docs.select(*columns)
+    if known:
+        key = ["_id", "_null", "_mark"]
+        by = [F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull()]
+        table = (kept.select(*[c.alias(k) for c, k in zip([*by, F.col("mark")], key)], "starts", "counts").dropDuplicates(key))
+        rows = rows.withColumns(dict(zip(key, [*by, _mark(F.col("text"))]))).join(table, key, "left").select(*name)
+    schema = COUNTS + ", n_encoded long" + (", text string, starts array<int>, counts array<long>" if with_trees else "")
+    names = [c.split()[0] for c in schema.split(", ")]
+    found = rows.mapInArrow(count, schema)
+    return found.withColumn("mark", _mark(F.col("text"))) if with_trees else found

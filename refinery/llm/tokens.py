@@ -80,13 +80,17 @@ class ChunkEncoder:
         self.marks: dict[str, list[int]] = {}
         self.known: dict[str, int] = {}
         self._empty()
-        self.line_feed = self.whole("\n")
+        self.line_feed = self._whole("\n")
 
     def _empty(self) -> None:
         """No remembered ids: ids, the end of each chunk's, whether the text can be cut there, batches it was in."""
         self.ids, self.ends, self.plain, self.met = array("I"), array("q"), bytearray(), array("i")
 
-    def whole(self, text: str) -> list[int]:
+    def whole(self, text: str) -> bytes:
+        """The text's ids by the library itself, as 32-bit numbers."""
+        return np.array(self._whole(text), "<u4").tobytes()
+
+    def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _letters(self, letters: str, marks: str, shown: str) -> list[int]:
@@ -104,13 +108,13 @@ class ChunkEncoder:
         if tail is None:
             if len(self.marks) > 10_000:
                 self.marks = {}
-            tail = self.marks[marks] = self.whole(marks)
+            tail = self.marks[marks] = self._whole(marks)
         return ids + tail
 
     def _word(self, word: str, space: str, shown: str) -> list[int]:
         """Ids of a chunk without white space."""
         m = _WORD.fullmatch(word)
-        return self._letters(m[1], m[2], shown) if m else self.whole(space + word)
+        return self._letters(m[1], m[2], shown) if m else self._whole(space + word)
 
     def chunk(self, chunk: str, starts: bool) -> list[int] | None:
         """Ids of what stands between two spaces; None if the text can't be cut there."""
@@ -206,7 +210,7 @@ class ChunkEncoder:
         for i, head in enumerate(heads):
             ids = self.chunk(head, True) if ok[i] else None
             if ids is None:
-                ids = self.whole(texts[i].as_py())
+                ids = self._whole(texts[i].as_py())
                 ok[i] = False
             own.extend(ids)
             own_ends.append(len(own))

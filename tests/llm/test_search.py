@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from refinery.llm import chat_parse as c
 from refinery.llm import edit_counts as e
 from refinery.llm import neighbours as n
-from refinery.llm.common import ship
+from refinery.llm.common import ship, stored
 from refinery.llm.tokens import ChunkEncoder
 
 from .helpers import SF, docs, table
@@ -140,6 +140,36 @@ def test_given_edits_and_odd_rows(spark):
     assert e.edit_counts(df.limit(0), BYTE).count() == 0
 
 
+def test_kept_trees_save_the_encoding(spark):
+    """A second call over a kept table encodes what its edits touch, a third over its own trees too."""
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"w{rng.randrange(10 ** 4)}" for _ in range(600))) for i in range(12)]
+    rows += [(None, rows[0][1]), (3, rows[4][1]), rows[5], (50, None), (51, "")]
+    df = docs(spark, rows, extra=True)
+
+    def edits(at):
+        return F.when(F.col("text").isNotNull(), F.array(F.struct(F.lit(at).alias("start"), F.lit(at + 5).alias("end"), F.lit("new one").alias("text"))))
+
+    first = df.withColumn("edits", edits(700))
+    plain = e.edit_counts(first, BYTE)
+    kept = stored(e.trees(df, BYTE), "trees")
+    assert kept.count() == len(rows)
+    second = stored(e.edit_counts(first, BYTE, kept=kept, with_trees=True), "second")
+    columns = [c for c in plain.columns if c != "n_encoded"]
+    assert table(second.select(columns)) == table(plain.select(columns))
+    total = {n: d.agg(F.sum("n_encoded")).first()[0] for n, d in (("plain", plain), ("second", second))}
+    assert total["second"] == plain.agg(F.sum("n_reencoded")).first()[0] < total["plain"] / 5
+    # The edited texts with their trees, edited again.
+    again = second.select("doc_id", "text").withColumn("edits", edits(1500))
+    third = e.edit_counts(again, BYTE, kept=second)
+    sums = ["doc_id", "n_tokens_before", "n_edits", "n_tokens_after"]  # an edited tree may be cut in other places
+    assert table(third.select(sums)) == table(e.edit_counts(again, BYTE).select(sums))
+    assert third.agg(F.sum("n_encoded")).first()[0] == third.agg(F.sum("n_reencoded")).first()[0]
+    # Texts that the table does not hold are encoded whole.
+    other = df.withColumn("text", F.concat(F.lit("x "), "text")).withColumn("edits", edits(3))
+    assert table(e.edit_counts(other, BYTE, kept=kept)) == table(e.edit_counts(other, BYTE))
+
+
 def test_query_as_brute_force(spark):
     """Every document of the table, redacted and counted anew."""
     ship(spark)
