@@ -20,7 +20,7 @@ from refinery.plans import upsert as upsert_plan  # noqa: E402
 from refinery.plans.store import TableStore  # noqa: E402
 from refinery.schemas import GOLD, GOLD_PARTS, SILVER  # noqa: E402
 from refinery.session import build_session, fresh_workspace  # noqa: E402
-from refinery.sources.staged import read_bronze, read_staged, with_year  # noqa: E402
+from refinery.sources.staged import read_bronze, read_placed, read_staged, with_year  # noqa: E402
 from refinery.spec import BATCH, CLEAN, UPSERT  # noqa: E402
 
 
@@ -45,9 +45,8 @@ def main() -> None:
 
     store = TableStore(spark, fresh_workspace(spark, "explain"))
     upsert_plan.process_upsert(spark, bronze_for(spark, sf, "wave1"), store)
-    src = upsert_plan.silver_source(read_bronze(spark, bronze_for(spark, sf, "wave2")))
-    tree("Silver MERGE against the bucketed Silver snapshot",
-         upsert_plan.silver_merge_plan(store.read("silver", SILVER), src, F.localtimestamp()))
+    tree("Silver MERGE, decision: narrow rows against keys and fingerprints of Silver",
+         upsert_plan.decide_plan(read_placed(spark, bronze_for(spark, sf, "wave2")), store))
     tree("Gold MERGE", upsert_plan.gold_merge_plan(store.read("gold", GOLD),
                                                    store.read("silver", SILVER), F.localtimestamp()))
 
