@@ -19,7 +19,9 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from codecs import charmap_decode
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +34,20 @@ CACHE_CHUNKS = 400_000
 #: followed by marks that never join a letter.
 _MARKS = ".,;:!?*$%&#|"
 _WORD = re.compile(rf"([A-Za-zÀ-ÖØ-öø-ÿ]+)([{re.escape(_MARKS)}]*)")
+_SPANNING = re.compile(rf"[A-Za-zÀ-ÖØ-öø-ÿ][{re.escape(_MARKS)}]")
 
 
-def _known(shown: dict[int, str]) -> set[str]:
-    """The characters that a word with its space is shown as."""
-    out = {chr(c) for c in range(0x21, 0x7f)} | {"\u0120"}
-    return out.union(*shown.values())
+#: How both vocabularies show bytes (fixed rule): printable ones of Latin-1 as themselves, the
+#: others in order from U+0100 on.
+_PRINTED = [*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100)]
+_SHOWN = "".join(chr(b if b in _PRINTED else 0x100 + b - sum(x < b for x in _PRINTED)) for b in range(256))
+_BYTE = {c: b for b, c in enumerate(_SHOWN)}
+
+
+def _spelled(token: str) -> bool:
+    """Whether a token is of letters and marks that ``_WORD`` takes."""
+    text = bytes(_BYTE[c] for c in token).decode("utf-8", "replace").removeprefix(" ")
+    return bool(_SPANNING.search(text))
 
 
 class ChunkEncoder:
@@ -66,17 +76,19 @@ class ChunkEncoder:
         self.tokenize = self.tokenizer.model.tokenize
         self.keeps_space, self.cache_chunks = keeps_space, cache_chunks
         split = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.shown = {c: split.pre_tokenize_str(chr(c))[0][0] for c in [0x20, *range(0xc0, 0x100)]}
-        space = self.shown.pop(0x20)
-        # What stands before a chunk: in the text, and as the model is given it.
-        self.before = (" ", space) if keeps_space else ("", "")
+        every = " " + "".join(map(chr, range(0xc0, 0x100)))
+        if split.pre_tokenize_str(every)[0][0] != charmap_decode(every.encode(), "strict", _SHOWN)[0]:
+            raise ValueError("the library shows bytes in another way")
+        # What stands before a chunk in the text.
+        self.before = " " if keeps_space else ""
         # Marks are apart from letters before merging, so both may go in one call if no
         # token spans them.
-        letter, mark = "A-Za-z" + "".join(self.shown.values()), re.escape(_MARKS)
-        spans = re.compile(f"[{letter}][{mark}]" if keeps_space else ".")
-        found = self.tokenizer.get_added_tokens_decoder().values()
-        special = {t.content for t in found}
-        self.joined = not any(spans.search(t) for t in self.tokenizer.get_vocab() if t not in special and set(t) <= _known(self.shown))
+        letter, mark = "A-Za-z" + re.escape(_SHOWN[0x80:]), re.escape(_MARKS)
+        spans = re.compile(f"[{letter}][{mark}]")
+        words = re.compile(f"[{letter}{mark}{_SHOWN[0x20]}]+")
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.joined = keeps_space and not any(
+            spans.search(t) and _spelled(t) for t in self.tokenizer.get_vocab() if t not in special and words.fullmatch(t))
         self.marks: dict[str, list[int]] = {}
         self.known: dict[str, int] = {}
         self._empty()
@@ -93,15 +105,13 @@ class ChunkEncoder:
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _letters(self, letters: str, marks: str, shown: str) -> list[int]:
-        """Ids of a run of letters and the marks after it."""
+    def _letters(self, letters: str, marks: str, space: str) -> list[int]:
+        """Ids of a run of letters, ``space`` before it, and the marks after it."""
         if not self.keeps_space:
             letters = letters.lower()
-        if not letters.isascii():
-            letters = letters.translate(self.shown)
         if self.joined:
-            return [t.id for t in self.tokenize(shown + letters + marks)]
-        ids = [t.id for t in self.tokenize(shown + letters)]
+            return [t.id for t in self.tokenize(charmap_decode((space + letters + marks).encode(), "strict", _SHOWN)[0])]
+        ids = [t.id for t in self.tokenize(charmap_decode((space + letters).encode(), "strict", _SHOWN)[0])]
         if not marks:
             return ids
         tail = self.marks.get(marks)
@@ -111,10 +121,10 @@ class ChunkEncoder:
             tail = self.marks[marks] = self._whole(marks)
         return ids + tail
 
-    def _word(self, word: str, space: str, shown: str) -> list[int]:
+    def _word(self, word: str, space: str) -> list[int]:
         """Ids of a chunk without white space."""
         m = _WORD.fullmatch(word)
-        return self._letters(m[1], m[2], shown) if m else self._whole(space + word)
+        return self._letters(m[1], m[2], space) if m else self._whole(space + word)
 
     def chunk(self, chunk: str, starts: bool) -> list[int] | None:
         """Ids of what stands between two spaces; None if the text can't be cut there."""
@@ -123,30 +133,30 @@ class ChunkEncoder:
             if word.split() != [word]:
                 return None
         if starts:
-            out = list(self._word(words[0], "", "")) if words[0] else []
+            out = self._word(words[0], "") if words[0] else []
         else:
-            out = list(self._word(words[0], *self.before))
+            out = self._word(words[0], self.before)
         for w in words[1:]:
-            out += self.line_feed
-            out += self._word(w, "", "")
+            out = out + self.line_feed + self._word(w, "")
         return out
 
-    def _add(self, chunk: str) -> int:
-        """Remember a chunk's ids; its number."""
-        m = _WORD.fullmatch(chunk)
-        ids = self._letters(m[1], m[2], self.before[1]) if m else self.chunk(chunk, False)
-        number = self.known[chunk] = len(self.ends)
-        self.plain.append(ids is not None)
-        self.ids.extend(ids or ())
-        self.ends.append(len(self.ids))
-        self.met.append(0)
-        return number
+    def _remember(self, chunks: list[str]) -> None:
+        """Encode new chunks."""
+        match, letters, chunk, space = _WORD.fullmatch, self._letters, self.chunk, self.before
+        found = [letters(m[1], m[2], space) if (m := match(x)) else chunk(x, False) for x in chunks]
+        self.known.update(zip(chunks, range(len(self.ends), len(self.ends) + len(chunks))))
+        self.plain += bytes([x is not None for x in found])
+        sizes = np.fromiter((len(x) if x else 0 for x in found), np.int64, len(found))
+        self.ends.frombytes((np.cumsum(sizes) + len(self.ids)).tobytes())
+        self.ids.extend(chain.from_iterable(x for x in found if x))
+        self.met.frombytes(bytes(4 * len(chunks)))
 
     def _numbers(self, chunks: list[str]) -> np.ndarray:
         """The numbers of distinct chunks, new ones encoded."""
         found = list(map(self.known.get, chunks))
         if None in found:
-            found = [self._add(x) if n is None else n for n, x in zip(found, chunks)]
+            self._remember([x for n, x in zip(found, chunks) if n is None])
+            found = list(map(self.known.get, chunks))
         found = np.array(found, np.int64)
         np.frombuffer(self.met, np.int32)[found] += 1
         return found
@@ -196,7 +206,7 @@ class ChunkEncoder:
         at = cut.offsets.to_numpy() - cut.offsets[0].as_py()
         coded = cut.flatten().dictionary_encode()
         code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        number = self._numbers(coded.dictionary.to_pylist())
+        number = self._numbers(coded.dictionary.to_numpy(zero_copy_only=False).tolist())  # faster than to_pylist
         plain = np.frombuffer(self.plain, np.uint8)[number].astype(bool)
         first = at[:-1]
         rest_ok = plain[code]
@@ -205,7 +215,7 @@ class ChunkEncoder:
         if self.added:
             ok &= ~pc.match_substring_regex(texts, self.added).to_numpy(zero_copy_only=False)
         # The first chunk of a text has no space before it; an odd text is one chunk.
-        heads = coded.dictionary.take(pa.array(code[first])).to_pylist()
+        heads = coded.dictionary.take(pa.array(code[first])).to_numpy(zero_copy_only=False).tolist()
         own, own_ends = array("I"), array("q")
         for i, head in enumerate(heads):
             ids = self.chunk(head, True) if ok[i] else None
