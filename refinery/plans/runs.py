@@ -49,7 +49,7 @@ def memo(spark: SparkSession, sf_dir: str, label: str, run) -> TableStore:
     store = _DONE.get(key)
     if store is None:
         store = TableStore(spark, fresh_workspace(spark, label))
-        with recording(spark, store.path(EVENTS)):
+        with recording(spark, store.path(EVENTS), compress=False):
             run(store)
         _DONE[key] = store
     return store
