@@ -8,11 +8,12 @@ fitted on labelled rows kept out of that training, calibrates the scores.
 
 Document frequencies count every training document.  Weights and temperature
 come from at most ``SAMPLE_ROWS`` labelled rows, those of smallest hash in each
-language.  At most ``MAX_LANGUAGES`` languages are learned, the most frequent.
+language; the bars of ``accepted`` from all labelled rows that the weights were
+not learned from.  At most ``MAX_LANGUAGES`` languages are learned, the most frequent.
 
 ``accepted`` rejects a document whose score is below a bar for its language and
 length: half-way, in log-odds, from chance to the score that ``KEPT_SHARE`` of
-the language's calibration rows, cut to that length, reach.  A language with too few such rows to tell has no bar but
+those rows of the language, cut to that length, reach.  A language with too few such rows to tell has no bar but
 ``MIN_LIFT``.
 
 Defined results.  Null text or no letter: ``und`` with score 0.  No labelled
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, stored
 
 DIM = 1 << 15
 ORDERS = (1, 2, 3)
@@ -48,6 +49,8 @@ MIN_LIFT = 1.1
 #: Share of a language's clean rows whose score sets the bar, and the lengths for which it is set.
 KEPT_SHARE = 0.97
 CUTS = (4, 16, 64, 256, 1024)
+#: Scores of bars are told apart to so many bits, so many at a pass.
+SCORE_BITS, PASS_BITS = 27, 9
 
 UNKNOWN = "und"
 
@@ -192,6 +195,18 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
+def bar_rank(n: int) -> int:
+    """The rank from below of the score that a new clean row reaches with a chance of KEPT_SHARE, 0 if n rows can't tell."""
+    return int((1 - KEPT_SHARE) * (n + 1) + 1e-9)
+
+
+def bar(score: float, languages: int) -> float:
+    """Half-way, in log-odds, between chance and the score."""
+    score = min(score, 1 - 1e-9)
+    odds = np.sqrt(score / (1 - score) / (languages - 1))
+    return odds / (1 + odds)
+
+
 def fit_bars(found: dict[tuple[int, int], list[float]], languages: int) -> np.ndarray:
     """The bars from scores of clean rows by (place in CUTS, language).
 
@@ -202,14 +217,75 @@ def fit_bars(found: dict[tuple[int, int], list[float]], languages: int) -> np.nd
     if languages < 2:
         return bars
     for (k, language), scores in found.items():
-        rank = int((1 - KEPT_SHARE) * (len(scores) + 1) + 1e-9)
-        if rank:
-            score = min(sorted(scores)[rank - 1], 1 - 1e-9)
-            odds = np.sqrt(score / (1 - score) / (languages - 1))
-            bars[k, language] = odds / (1 + odds)
+        if rank := bar_rank(len(scores)):
+            bars[k, language] = bar(sorted(scores)[rank - 1], languages)
+    return bars
+
+
+def fit_table_bars(scores: DataFrame, languages: int) -> np.ndarray:
+    """``fit_bars`` over a table (cut, language, key), a key being the first SCORE_BITS bits of a score.
+
+    Each pass counts keys by their next PASS_BITS bits, among those that begin as the wanted one does:
+    at most 2 ** PASS_BITS counts a group come to the driver, and no group is sorted.
+    """
+    bars = np.zeros((len(CUTS), languages))
+    if languages < 2:
+        return bars
+    spark, wanted = scores.sparkSession, None  # (cut, language) -> first bits of the wanted key, its rank among those
+    for shift in range(SCORE_BITS - PASS_BITS, -1, -PASS_BITS):
+        rows = scores
+        if wanted is not None:
+            first = spark.createDataFrame([(*group, bits) for group, (bits, _) in wanted.items()],
+                                          "cut int, language int, first long")
+            rows = (rows.withColumn("first", F.shiftright("key", shift + PASS_BITS))
+                    .join(F.broadcast(first), ["cut", "language", "first"], "left_semi"))
+        bins: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for cut, language, bits, n in rows.groupBy(
+                "cut", "language", F.shiftright("key", shift).alias("bits")).count().collect():
+            bins.setdefault((cut, language), []).append((bits, n))
+        found = {}
+        for group, counted in bins.items():
+            rank = bar_rank(sum(n for _, n in counted)) if wanted is None else wanted[group][1]
+            for bits, n in sorted(counted) if rank else ():
+                if rank <= n:
+                    found[group] = bits, rank
+                    break
+                rank -= n
+        wanted = found
+        if not wanted:
+            return bars
+    for (cut, language), (key, _) in wanted.items():
+        bars[cut, language] = bar(key / (1 << SCORE_BITS), languages)
     return bars
 
 
+def bar_scores(docs: DataFrame, model: Model, learned: set[tuple[str, int]]) -> DataFrame:
+    """(cut, language, key) of all labelled rows, cut to each of CUTS that they reach, without those in
+    ``learned`` (language, hash of id and text)."""
+    shared = docs.sparkSession.sparkContext.broadcast((model, learned, {x: i for i, x in enumerate(model.languages)}))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, learned, number = shared.value
+        for batch in slices(batches):
+            found = []
+            for h, lang, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if text is None or (lang, h) in learned:
+                    continue
+                for k, cut in enumerate(CUTS):
+                    if len(text) < cut:
+                        break
+                    at, n = counts(text[:cut])
+                    if len(at):
+                        p = softmax(model.logits(at, n) / model.temperature).max()
+                        found.append((k, number[lang], min(int(p * (1 << SCORE_BITS)), (1 << SCORE_BITS) - 1)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.int64()))],
+                ["cut", "language", "key"])
+
+    return docs.select(F.xxhash64("doc_id", "text").alias("h"), "lang", "text").mapInArrow(
+        score, "cut int, language int, key long")
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Whether a document is kept out of all learning; false for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
@@ -267,41 +343,32 @@ def train(docs: DataFrame, bars: bool = True, max_languages: int = MAX_LANGUAGES
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
-            found = [(h, lang, k, *counts(t if k < 0 else t[:CUTS[k]])) for h, lang, t in zip(
-                *(c.to_pylist() for c in batch.columns)) for k in range(-1, len(CUTS) if bars else 0)
-                if k < 0 or t is not None and len(t) >= CUTS[k]]
+            found = [(h, lang, *counts(t)) for h, lang, t in zip(*(c.to_pylist() for c in batch.columns))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.string()),
-                 pa.array([f[2] for f in found], pa.int32()),
-                 pa.array([f[3].astype(np.int32) for f in found], pa.list_(pa.int32())),
-                 pa.array([f[4].astype(np.int32) for f in found], pa.list_(pa.int32()))], ["h", "lang", "cut", "at", "n"])
+                 pa.array([f[2].astype(np.int32) for f in found], pa.list_(pa.int32())),
+                 pa.array([f[3].astype(np.int32) for f in found], pa.list_(pa.int32()))], ["h", "lang", "at", "n"])
 
-    sample = (chosen.mapInArrow(sampled, "h long, lang string, cut int, at array<int>, n array<int>")
-              .orderBy("h", "lang", "cut").toArrow())
+    sample = (chosen.mapInArrow(sampled, "h long, lang string, at array<int>, n array<int>")
+              .orderBy("h", "lang").toArrow())
     model = Model(languages, idf, np.zeros((DIM, len(languages))), np.zeros(len(languages)))
     number = {x: i for i, x in enumerate(languages)}
-    learn, calibrate, short, whole = [], [], [], -1
+    learn, calibrate, learned = [], [], set()
     for i in range(sample.num_rows):
-        lang, cut = sample.column(1)[i].as_py(), sample.column(2)[i].as_py()
-        whole += cut < 0
-        at = sample.column(3)[i].values.to_numpy().astype(np.int64)
-        if lang not in number or not len(at) or cut >= 0 and whole % FOLDS:
+        lang = sample.column(1)[i].as_py()
+        at = sample.column(2)[i].values.to_numpy().astype(np.int64)
+        if lang not in number or not len(at):
             continue
-        row = (number[lang], at, model.vector(at, sample.column(4)[i].values.to_numpy()))
-        if cut >= 0:
-            short.append((cut, *row))
-        else:
-            (learn if whole % FOLDS else calibrate).append(row)
+        row = (number[lang], at, model.vector(at, sample.column(3)[i].values.to_numpy()))
+        (learn if i % FOLDS else calibrate).append(row)
+        if i % FOLDS:
+            learned.add((lang, sample.column(0)[i].as_py()))
     model.weights, model.bias = follow_leader(learn, len(languages))
     if calibrate:
         logits = np.array([x @ model.weights[at] + model.bias for _, at, x in calibrate])
         model.temperature = fit_temperature(logits, np.array([c[0] for c in calibrate]))
-    found: dict[tuple[int, int], list[float]] = {}
-    for cut, language, at, x in short:
-        p = softmax((x @ model.weights[at] + model.bias) / model.temperature)
-        found.setdefault((cut, language), []).append(float(p.max()))
     if bars:
-        model.bars = fit_bars(found, len(languages))
+        model.bars = fit_table_bars(stored(bar_scores(docs, model, learned), "bar-scores"), len(languages))
     return model
 
 

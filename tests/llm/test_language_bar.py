@@ -34,3 +34,28 @@ def test_planted_junk_and_short_texts(spark):
 def test_few_rows_set_no_bar():
     bars = language.fit_bars({(0, 0): [0.9] * 20, (1, 0): [0.1, *[0.5] * 99]}, 2)
     assert bars[0, 0] == 0 and bars[1, 0] == 0.5 and language.fit_bars({(0, 0): [0.9] * 99}, 2)[0, 0].round(6) == 0.75 and not bars[:, 1].any()
+
+
+def test_bars_come_from_all_rows(spark):
+    """The same bars as from all scores at once, and scores of every row that was not learned from."""
+    ship(spark)
+    rng = random.Random(2)
+    rows = [(k, x, rng.randrange(1 << language.SCORE_BITS) >> rng.randrange(3)) for k, x, n in
+            ((0, 0, 5000), (1, 0, 33), (1, 1, 32), (2, 1, 700)) for _ in range(n)] + [(3, 1, 7)] * 400
+    table = spark.createDataFrame(rows, "cut int, language int, key long")
+    found = {}
+    for k, x, key in rows:
+        found.setdefault((k, x), []).append(key / (1 << language.SCORE_BITS))
+    assert (language.fit_table_bars(table, 2) == language.fit_bars(found, 2)).all()
+    assert not language.fit_table_bars(table.limit(0), 2).any()
+
+    labelled = spark.createDataFrame([(i, "abcd " * 20, "en" if i % 2 else "fr") for i in range(6000)],
+                                     "doc_id long, text string, lang string")
+    seen, scores = [], language.bar_scores
+    language.bar_scores = lambda docs, model, learned: seen.append((docs.count(), len(learned))) or scores(docs, model, learned)
+    try:
+        language.train(labelled)
+    finally:
+        language.bar_scores = scores
+    (rows_, learned), = seen
+    assert rows_ == labelled.filter(~language.held_out()).count() and learned < language.SAMPLE_ROWS < rows_
