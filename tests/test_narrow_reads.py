@@ -31,3 +31,12 @@ def test_id_is_made_behind_the_shuffle(spark, golden_bronze):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.index("md5(") < plan.index("Exchange hashpartitioning(user_id")
     assert "md5(" not in plan[plan.index("Exchange hashpartitioning(user_id"):]
+
+
+def test_only_few_changes_are_broadcast_and_never_bronze(spark):
+    bronze, changes = spark.range(10), spark.range(1000)
+
+    def plan(n):
+        return bronze.join(upsert._few_or_many(changes, n), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan(upsert.BROADCAST_ROWS)
+    assert "SortMergeJoin" in plan(upsert.BROADCAST_ROWS + 1) and "Broadcast" not in plan(upsert.BROADCAST_ROWS + 1)
